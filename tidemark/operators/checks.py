@@ -197,10 +197,11 @@ def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLik
 def columns_match_set(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Column names that only the table or only the list has, whatever their case."""
     have, want = fold(df.columns), fold(columns)
-    spark = df.sparkSession
-    rows = [(name, "not_expected") for name in sorted(have - want)] + [
+    problems = [(name, "not_expected") for name in sorted(have - want)] + [
         (name, "not_found") for name in sorted(want - have)]
-    return spark.createDataFrame(rows, "column_name string, problem string")
+    pairs = [F.struct(F.lit(name).alias("column_name"), F.lit(problem).alias("problem")) for name, problem in problems]
+    rows = F.array(*pairs).cast("array<struct<column_name:string,problem:string>>")
+    return df.sparkSession.range(1).select(F.inline(rows))
 
 
 def assert_equal(df: DataFrame, actual: ColumnLike, expected: ColumnLike) -> DataFrame:

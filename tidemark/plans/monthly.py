@@ -111,7 +111,7 @@ def prices_by_month(history: DataFrame, product_history: DataFrame, current: Dat
         first_slot(hits, [from_cents(f"items_data_{n}_plan_amount") for n in SLOTS]).alias("amount"),
     ).filter(F.col("plan_name").isNotNull())
     return measure_by_month(prices, ["id", "customer", "plan_name"], "amount", periods, [
-        (current.select("id"), "id", "inner"), *_who(customers, accounts, orgs)])
+        (current.select("id"), "id", "inner"), *_who(customers, accounts, orgs)], drop=["customer"])
 
 
 def _who(customers: DataFrame, accounts: DataFrame, orgs: DataFrame) -> list[tuple[DataFrame, str, str]]:

@@ -29,7 +29,7 @@ def touchpoints(raw: DataFrame, fields: Mapping[str, str | tuple[str, str]], mom
         text = scalar_at(F.col("_document"), path)
         outputs.append((text if kind == "string" else text.try_cast(kind)).alias(name))
     for name, path in (moments or {}).items():
-        utc = F.from_utc_timestamp(scalar_at(F.col("_document"), path).try_cast("timestamp"), "UTC")
+        utc = scalar_at(F.col("_document"), path).try_cast("timestamp")
         outputs += [utc.cast("date").alias(f"date_{name}"), convert_timezone(utc, zone).alias(name)]
     return staged.select(*outputs, "run_date")
 

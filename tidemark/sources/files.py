@@ -21,12 +21,6 @@ class TooManyBadRecords(ValueError):
     """More records of a load cannot be read than it tolerates."""
 
 
-def _refuse_bad(bad: DataFrame, max_bad: int, path) -> None:
-    found = bad.limit(max_bad + 1).count()
-    if found > max_bad:
-        raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
-
-
 def load_json_lines(spark: SparkSession, path: str | list[str], max_bad: int = MAX_BAD_RECORDS,
                     column: str = "json_data") -> DataFrame:
     """One JSON document per line, as one text column.
@@ -36,7 +30,9 @@ def load_json_lines(spark: SparkSession, path: str | list[str], max_bad: int = M
     """
     lines = spark.read.text(path).filter(F.trim("value") != "")
     is_bad = parsed("value").isNull()
-    _refuse_bad(lines.filter(is_bad), max_bad, path)
+    found = lines.filter(is_bad).limit(max_bad + 1).count()
+    if found > max_bad:
+        raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
     return lines.filter(~is_bad).select(F.col("value").alias(column))
 
 
@@ -56,10 +52,11 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
                                columnNameOfCorruptRecord=CORRUPT).schema(with_corrupt).csv(path))
-    # The parser only fills the corrupt column when it also has to read the others.
-    everything = F.struct(*[quoted(f.name) for f in schema.fields])
-    checked = rows.select(F.col(CORRUPT), F.xxhash64(everything).alias("_all"))
-    _refuse_bad(checked.filter(F.col(CORRUPT).isNotNull() & F.col("_all").isNotNull()), max_bad, path)
+    # The parser only fills the corrupt column when it reads the others too, hence the second aggregate.
+    every_field = F.xxhash64(*[quoted(f.name) for f in schema.fields])
+    found = rows.agg(F.count_if(F.col(CORRUPT).isNotNull()), F.max(every_field)).first()[0]
+    if found > max_bad:
+        raise TooManyBadRecords(f"{found} records of {path} cannot be read")
     return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 

@@ -115,7 +115,7 @@ def freshness(df: DataFrame, now, run_column: str = RUN_DATE, error_after_hours:
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """Register a result as a view, or write it as a table, under a name."""
+    """Register a result as a view, or write it as a table, under a name such as `schema.table`."""
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
