@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogue.base import query
 from tidemark.functions.scalars import sum_if
 from tidemark.operators.spines import months_list
+from tidemark.operators.windows import latest_per_key
 from tidemark.plans import book, crm, customers, general, monthly, revenue, status, subscriptions, touchpoints, usage
 
 AS_OF = "2001-08-01"
@@ -89,16 +90,18 @@ def _status():
 
 def wide_subscriptions(t):
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
-    lines = t.lineitem.select(
-        "l_orderkey", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)).alias("place"),
-        F.col("l_partkey").alias("plan_product"), F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("plan_amount"),
-        F.when(F.col("l_returnflag") == "A", "year").otherwise("month").alias("plan_interval"),
-        F.when(F.col("l_returnflag") == "R", 3).otherwise(1).alias("plan_interval_count"),
-        F.concat(F.lit("price_"), (F.col("l_partkey") % 10).cast("string")).alias("price_id")).filter("place <= 3")
-    fields = ("plan_product", "quantity", "plan_amount", "plan_interval", "plan_interval_count", "price_id")
-    slots = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[
-        F.max(F.when(F.col("place") == n + 1, F.col(f))).alias(f"items_data_{n}_{f}") for n in (0, 1, 2) for f in fields])
+    fields = {
+        "plan_product": F.col("l_partkey"), "quantity": F.col("l_quantity").cast("bigint"),
+        "plan_amount": F.floor(F.col("l_extendedprice") * 100 + 0.5),
+        "plan_interval": F.when(F.col("l_returnflag") == "A", "year").otherwise("month"),
+        "plan_interval_count": F.when(F.col("l_returnflag") == "R", 3).otherwise(1),
+        "price_id": F.concat(F.lit("price_"), (F.col("l_partkey") % 10).cast("string"))}
+    # An order may have very many lines: only its first three are kept before they are moved.
+    first = latest_per_key(t.lineitem.select("l_orderkey", *order), "l_orderkey", order, rows=3)
+    along = Window.partitionBy("l_orderkey").orderBy(*order)
+    item = F.struct(*[value.alias(name) for name, value in fields.items()])
+    slots = first.select(F.col("l_orderkey").alias("o_orderkey"), F.row_number().over(along).alias("place"), item.alias("slot_0"),
+                         F.lead(item, 1).over(along).alias("slot_1"), F.lead(item, 2).over(along).alias("slot_2")).filter("place = 1")
     day = F.col("o_orderdate").cast("date")
     return t.orders.join(slots, "o_orderkey").select(
         F.col("o_orderkey").alias("id"), _text("cus_", "o_custkey").alias("customer"), _status().alias("status"),
@@ -108,7 +111,7 @@ def wide_subscriptions(t):
         F.date_add(day, 7).alias("trial_end"), day.alias("created"), day.alias("current_period_start"),
         F.date_add(day, 30).alias("current_period_end"),
         F.when(F.col("o_orderstatus") == "F", F.date_add(day, 90)).alias("ended_at"),
-        *[f"items_data_{n}_{f}" for n in (0, 1, 2) for f in fields])
+        *[F.col(f"slot_{n}.{f}").alias(f"items_data_{n}_{f}") for n in (0, 1, 2) for f in fields])
 
 
 SUBS_SQL = """
@@ -161,7 +164,7 @@ def plain_subscriptions(t):
 def subscription_items(t):
     return t.lineitem.select(
         F.col("l_orderkey").alias("subscription"), F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("amount"),
         F.when(F.col("l_returnflag") == "A", "year").otherwise("month").alias("interval_period"),
         F.when(F.col("l_returnflag") == "R", 3).otherwise(1).alias("interval_count"))
 
@@ -178,7 +181,7 @@ r AS (SELECT customer_id, start_month, status AS source_status, sum(cents) AS ce
       FROM s LEFT JOIN items ON id = sub WHERE cancel_month IS NULL OR cancel_month <> start_month GROUP BY 1, 2, 3),
 act AS (SELECT customer_id, max(source_status) AS status FROM r WHERE source_status <> 'canceled' GROUP BY 1),
 can AS (SELECT customer_id, max(cancel_month) AS canceled_at FROM r WHERE source_status = 'canceled' GROUP BY 1),
-res AS (SELECT r.customer_id, start_month, source_status, CAST(floor(CAST(cents AS DOUBLE) / 100 + 0.5) AS BIGINT) AS amount,
+res AS (SELECT r.customer_id, start_month, source_status, CAST(CAST(floor(cents + 50) AS HUGEINT) // 100 AS BIGINT) AS amount,
           coalesce(act.status, 'canceled') AS status, CASE WHEN act.status IS NULL THEN can.canceled_at END AS canceled_at
         FROM r LEFT JOIN act ON r.customer_id = act.customer_id LEFT JOIN can ON r.customer_id = can.customer_id),
 spine AS (SELECT DISTINCT customer_id, CAST(m AS TIMESTAMP) AS month FROM res, (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)),
@@ -275,8 +278,8 @@ SELECT l_orderkey AS id, CAST(sum(CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'STAN
 FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag) <= 3)
 LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def slot_licences(t):
-    counted = subscriptions.licence_counts(wide_subscriptions(t), products(t), PAID, EXCLUDED)
-    return counted.withColumn("total_amount", F.col("total_amount").cast("double"))
+    counted = subscriptions.with_licences(wide_subscriptions(t), products(t), PAID, EXCLUDED)
+    return counted.select("id", "paid_licenses", F.col("total_amount").cast("double").alias("total_amount"), "total_licenses")
 
 
 # -- CRM ----------------------------------------------------------------------------------------
@@ -520,7 +523,7 @@ def _slot_columns(numbers):
 def _copies(t):
     """Daily copies of subscriptions: one per line, the supplier being the subscription."""
     part, line, quantity = F.col("l_partkey"), F.col("l_linenumber").cast("bigint"), F.col("l_quantity").cast("bigint")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     return t.lineitem.select(
         F.col("l_suppkey").alias("id"), F.concat(F.lit("cus_"), (F.col("l_suppkey") % 40).cast("string")).alias("customer"),
         F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("run_date"),

@@ -88,9 +88,19 @@ def rounded_int(value: ColumnLike) -> Column:
     return F.round(as_column(value)).cast("bigint")
 
 
+def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
+    """Sum of fractional numbers, each rounded to `scale` places, that does not depend on the order of rows.
+
+    Each number becomes a whole number of its smallest unit, which is cheaper than a cast to a
+    fractional decimal; the sum is a decimal, so it cannot overflow.
+    """
+    units = F.floor(as_column(value).cast("double") * 10**scale + 0.5).cast("decimal(19,0)")
+    return (F.sum(units) * F.lit(10.0**-scale).cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")
+
+
 def money_sum(value: ColumnLike, scale: int = 2) -> Column:
-    """Exact sum of amounts: added as decimals, so the order of rows does not matter."""
-    return F.sum(as_column(value).cast(f"decimal(18,{scale})")).cast("double")
+    """Exact sum of amounts as a double."""
+    return exact_sum(value, scale).cast("double")
 
 
 def from_cents(value: ColumnLike) -> Column:

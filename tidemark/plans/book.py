@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
-from tidemark.functions.scalars import null_label
+from tidemark.functions.scalars import exact_sum, null_label
 from tidemark.operators.joins import latest_join
-from tidemark.operators.windows import latest_per_key
+from tidemark.operators.reshape import pivot_periods
 
 # The book customer that does not count for the current month, and the number of
 # months that are also given under relative names.
@@ -39,18 +39,8 @@ def current_month(book: DataFrame) -> Column:
     return counted.agg(F.max("month").cast("date")).scalar()
 
 
-def _amount(value: Column) -> Column:
-    return value.cast(MONEY)
-
-
-def _marks(book: DataFrame, changes: DataFrame, this_month: Column, label: str, months: Sequence[str]) -> DataFrame:
-    """High-water marks of this and of the last month, and the sums of all listed months: one pass.
-
-    The book is first reduced to one row per customer and month, which is all that the marks and
-    the monthly sums need; the owner changes are joined to that.
-    """
-    monthly = book.groupBy("customer", "month").agg(
-        F.max(_amount(F.col("mrr"))).alias("_top"), F.sum(_amount(F.col("mrr"))).alias("_sum"))
+def _marks(monthly: DataFrame, changes: DataFrame, this_month: Column, label: str) -> DataFrame:
+    """High-water marks of this and of the last month in one pass over customers' months."""
     dated = monthly.join(changes, "customer", "left")
     month, changed = F.col("month").cast("date"), F.col("_changed")
 
@@ -58,16 +48,12 @@ def _marks(book: DataFrame, changes: DataFrame, this_month: Column, label: str,
         end = F.add_months(this_month, -months_back)
         start = F.add_months(this_month, -11 - months_back)
         since = F.when(changed.isNull() | (changed < start), start).otherwise(changed)
-        inside = month.between(since, end)
         # Months outside count as zero, so a mark is never negative unless every month lies inside.
-        return F.coalesce(F.max(F.when(inside, F.col("_top")).otherwise(F.lit(0).cast(MONEY))),
-                          F.lit(0).cast(MONEY))
+        zero = F.lit(0).cast(MONEY)
+        return F.coalesce(F.max(F.when(month.between(since, end), F.col("_top")).otherwise(zero)), zero)
 
-    # Several changes of one customer repeat its months; each month is summed for the first only.
-    first_only = F.when(F.coalesce("_first", F.lit(True)), F.col("_sum"))
-    columns = [F.sum(F.when(F.date_format(month, "yyyy-MM") == m, first_only)).alias(f"{label}_{m}") for m in months]
-    return dated.groupBy(null_label(F.col("customer")).alias("customer_key")).agg(
-        mark(0).alias(f"high_water_this_month_{label}"), mark(1).alias(f"high_water_last_month_{label}"), *columns)
+    return dated.groupBy(null_label("customer").alias("customer_key")).agg(
+        mark(0).alias(f"high_water_this_month_{label}"), mark(1).alias(f"high_water_last_month_{label}"))
 
 
 def revenue_book(licences: DataFrame, services: DataFrame, accounts: DataFrame, months: Sequence[str]) -> DataFrame:
@@ -79,18 +65,20 @@ def revenue_book(licences: DataFrame, services: DataFrame, accounts: DataFrame,
     """
     months = list(months)
     this_month = current_month(licences)
-    dates = accounts.select(F.col("app_customer_key").alias("customer"), F.col("last_owner_change").alias("_changed"))
-    # A customer with several accounts has several change days; one of them carries the monthly sums.
-    first = latest_per_key(dates, "customer", [F.asc_nulls_first("_changed")]).select(
-        F.col("customer").alias("_k"), F.col("_changed").alias("_f"))
-    distinct_dates = dates.distinct()
-    changes = distinct_dates.join(first, distinct_dates["customer"] == first["_k"], "left").select(
-        "customer", "_changed", F.col("_changed").eqNullSafe(F.col("_f")).alias("_first"))
-
-    def with_first(book: DataFrame, label: str) -> DataFrame:
-        return _marks(book, changes, this_month, label, months)
-
-    lic, srv = with_first(licences, "rgr"), with_first(services, "msp")
+    # Equal days of several accounts of a customer need not be compared twice.
+    changes = accounts.select(F.col("app_customer_key").alias("customer"),
+                              F.col("last_owner_change").alias("_changed")).distinct()
+
+    def summed(book: DataFrame, label: str) -> DataFrame:
+        """Marks and monthly sums.  Both need no more than one row per customer and month."""
+        monthly = book.groupBy("customer", "month").agg(
+            F.max(F.col("mrr").cast(MONEY)).alias("_top"), exact_sum("mrr", 6).alias("_sum"))
+        labelled = monthly.select(null_label("customer").alias("customer_key"), cal.month_key("month").alias("period"),
+                                  "_sum")
+        wide = pivot_periods(labelled, "customer_key", "period", "_sum", months, alias=label)
+        return _marks(monthly, changes, this_month, label).join(wide, "customer_key")
+
+    lic, srv = summed(licences, "rgr"), summed(services, "msp")
     full = lic.join(srv, "customer_key", "left").join(
         accounts.withColumnRenamed("app_customer_key", "customer_key"), "customer_key", "left")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.functions.documents import parsed, scalar_at
+from tidemark.functions.scalars import exact_sum
 from tidemark.operators.reshape import pivot_periods
 
 
@@ -21,7 +22,7 @@ def revenue_by_month(invoices: DataFrame, bridge: DataFrame, orgs: DataFrame, mo
     month = cal.month_key("created")
     listed = F.when(month.isin(*months), month)
     paid = invoices.filter(F.col("paid")).groupBy("customer", listed.alias("month")).agg(
-        F.sum(F.col("amount_paid").cast("decimal(18,2)")).alias("amount"))
+        exact_sum("amount_paid").alias("amount"))
     pairs = bridge.select(F.col("customer_id").alias("customer"), F.col("organization_id").alias("org_id")).distinct()
     places = orgs.select(F.col("id").alias("org_id"), "resource_id")
     owned = paid.join(pairs.join(places, "org_id", "left"), "customer", "left")
@@ -54,7 +55,7 @@ def monthly_cents(items: DataFrame) -> DataFrame:
     per_interval = F.col("amount") / F.nullif(F.col("interval_count"), F.lit(0))
     monthly = F.when(F.col("interval_period") == "year", per_interval / 12).otherwise(per_interval) * F.col("quantity")
     return items.groupBy(F.col("subscription").alias("id")).agg(
-        F.sum(monthly.cast("decimal(28,6)")).alias("monthly_cents"))
+        exact_sum(monthly, 6).alias("monthly_cents"))
 
 
 def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="2021-01-01",
@@ -79,40 +80,46 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
     per_status = priced.groupBy("customer_id", "start_month", "status").agg(
         (F.sum("monthly_cents") / 100).alias("_amount"), F.max("cancel_month").alias("_cancelled"))
 
-    # Status of the customer: any that is not cancelled, else cancelled since the last cancellation.
-    customer = Window.partitionBy("customer_id")
-    running = F.max(F.when(~gone, F.col("status"))).over(customer)
-    last_cancel = F.max(F.when(gone, F.col("_cancelled"))).over(customer)
-    ended = F.max(F.when(gone, F.col("status"))).over(customer)
-    resolved = per_status.select(
-        "customer_id", "start_month", F.col("status").alias("source_status"),
-        F.round(F.col("_amount")).cast("bigint").alias("amount"),
-        F.coalesce(running, ended).alias("status"),
-        F.when(F.coalesce(running, ended) == "canceled", last_cancel).alias("canceled_at"))
-    in_reach = resolved.filter(F.col("start_month").between(opening, this_month))
-
-    begun = in_reach.groupBy("customer_id", "start_month", "status", "canceled_at").agg(
-        F.sort_array(F.collect_list(F.struct("source_status", "amount"))).alias("_begun"))  # one per status
-    known = F.filter(F.col("_begun"), lambda b: b["amount"].isNotNull())
-    along = Window.partitionBy("customer_id").orderBy("start_month")
-    timeline = begun.select(
-        "*", F.last(F.try_element_at(known, F.lit(-1))["amount"], ignorenulls=True).over(along).alias("mrr"),
+    # One row per customer, month and status is left, so a customer's rows fit one window, and all
+    # of the following shares one sort.
+    along = Window.partitionBy("customer_id").orderBy("start_month", "status")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start_month, own_status = F.col("start_month"), F.col("status")
+    in_reach = start_month.between(opening, this_month)
+    amount = F.round("_amount").cast("bigint")
+    timeline = per_status.select(
+        "customer_id", "start_month", own_status.alias("source_status"), amount.alias("amount"),
+        # Status of the customer: any that is not cancelled, else cancelled since the last cancellation.
+        F.max(F.when(~gone, own_status)).over(whole).alias("_open"),
+        F.max(F.when(gone, own_status)).over(whole).alias("_ended"),
+        F.max(F.when(gone, F.col("_cancelled"))).over(whole).alias("_last_cancel"),
+        F.last(F.when(in_reach, amount), ignorenulls=True).over(so_far).alias("_known"),
         F.lead("start_month").over(along).alias("_next"))
-
-    start_month = F.col("start_month")
-    until = F.coalesce(F.add_months("_next", -1), this_month)
-    later = F.when(until > start_month, F.sequence(F.add_months(start_month, 1), until, F.expr("INTERVAL 1 MONTH")))
-    own_rows = F.transform("_begun", lambda b: F.struct(
-        start_month.alias("month"), start_month.alias("start_date_month"),
-        b["source_status"].alias("source_status"), b["amount"].alias("amount")))
-    later_rows = F.transform(F.coalesce(later, F.array().cast("array<date>")), lambda m: F.struct(
-        m.alias("month"), F.lit(None).cast("date").alias("start_date_month"),
-        F.lit(None).cast("string").alias("source_status"), F.lit(None).cast("bigint").alias("amount")))
-    rows = F.concat(own_rows, later_rows)
+    same_month = Window.partitionBy("customer_id", "start_month")
+    status = F.coalesce("_open", "_ended")
+    filled = timeline.select(
+        "*", status.alias("status"), F.when(status == "canceled", F.col("_last_cancel")).alias("canceled_at"),
+        F.max_by("_known", F.coalesce("source_status", F.lit(""))).over(same_month).alias("mrr"),
+    ).filter(in_reach & F.col("mrr").isNotNull())
+
+    # The last row of a month also stands for the months up to the next one.
+    until = F.least(F.coalesce(F.add_months("_next", -1), this_month), this_month)
+    is_last = F.col("_next").isNull() | (F.col("_next") > start_month)
+    later = F.when(is_last & (until > start_month),
+                   F.sequence(F.add_months(start_month, 1), until, F.expr("INTERVAL 1 MONTH")))
+
+    def month_row(month, begun, source, own):
+        return F.struct(month.alias("month"), begun.cast("date").alias("start_date_month"),
+                        source.cast("string").alias("source_status"), own.cast("bigint").alias("amount"))
+
+    nothing = F.lit(None)
+    rows = F.concat(
+        F.array(month_row(start_month, start_month, F.col("source_status"), F.col("amount"))),
+        F.transform(F.coalesce(later, F.array().cast("array<date>")), lambda m: month_row(m, nothing, nothing, nothing)))
     if not history:
         rows = F.filter(rows, lambda r: r["month"] == this_month)
-    spelled = timeline.filter(F.col("mrr").isNotNull()).select(
-        "customer_id", "status", "canceled_at", "mrr", F.explode(rows).alias("_row"))
+    spelled = filled.select("customer_id", "status", "canceled_at", "mrr", F.explode(rows).alias("_row"))
     alive = spelled.filter(F.col("canceled_at").isNull() | (F.col("_row.month") <= F.col("canceled_at")))
 
     # At most one row per customer, month and status reaches these windows.

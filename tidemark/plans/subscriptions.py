@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import billing_period, from_cents, link, sum_if
+from tidemark.functions.scalars import billing_period, from_cents, link, safe_add
 from tidemark.operators.joins import role_join
-from tidemark.operators.reshape import slots_to_rows
 from tidemark.plans.customers import ORG_COUNTERS
 
 SLOTS = (0, 1, 2)
@@ -49,33 +48,51 @@ def dim_subscriptions(subs: DataFrame, products: DataFrame, customers: DataFrame
         link(billing_url, "billing_subscription_key").alias("billing_subscription_link"))
 
 
-def licence_counts(subs: DataFrame, products: DataFrame, paid_names: Sequence[str],
-                   excluded_names: Sequence[str]) -> DataFrame:
-    """Paid and total licences and the paid amount of each subscription, over its three slots.
+def _sum_known(values: list[Column]) -> Column:
+    """Sum of the values that are known, NULL if none is."""
+    return F.when(F.coalesce(*values).isNotNull(), safe_add(*values))
 
-    A slot whose product has no name counts neither as paid nor in the total.
+
+def with_licences(subs: DataFrame, products: DataFrame, paid_names: Sequence[str],
+                  excluded_names: Sequence[str]) -> DataFrame:
+    """Subscriptions with paid and total licences and the paid amount over their three slots.
+
+    Subscriptions without a product in any slot are left out; a slot whose product has no name
+    counts neither as paid nor in the total.  The slots of a subscription stay in its row: the
+    product names are looked up once per slot, and nothing is grouped or joined back.
     """
-    slots = [{"product": f"items_data_{n}_plan_product", "quantity": f"items_data_{n}_quantity",
-              "cents": f"items_data_{n}_plan_amount"} for n in SLOTS]
-    rows = slots_to_rows(subs, ["id"], slots, required="product")
-    names = products.select(F.col("id").alias("product"), F.col("name").alias("product_name"))
-    named = rows.join(names, "product", "left")
-    paid = F.col("product_name").isin(*paid_names)
-    counted = ~F.col("product_name").isin(*excluded_names)
-    amount = from_cents("cents").cast("decimal(18,2)")
-    return named.groupBy("id").agg(
-        sum_if(paid, "quantity").alias("paid_licenses"),
-        sum_if(paid, amount).alias("total_amount"),
-        sum_if(counted, "quantity").alias("total_licenses"))
+    held = subs.filter(F.coalesce(*[F.col(f"items_data_{n}_plan_product") for n in SLOTS]).isNotNull())
+    named = role_join(held, products, {f"_slot_{n}": f"items_data_{n}_plan_product" for n in SLOTS}, "id", ["name"])
+
+    def over_slots(chosen, value) -> Column:
+        return _sum_known([
+            F.when(F.col(f"items_data_{n}_plan_product").isNotNull(),
+                   F.when(chosen(F.col(f"_slot_{n}_name")), value(n)).otherwise(F.lit(0))) for n in SLOTS])
+
+    def quantity(n: int) -> Column:
+        return F.col(f"items_data_{n}_quantity")
+
+    def amount(n: int) -> Column:
+        return from_cents(f"items_data_{n}_plan_amount").cast("decimal(18,2)")
+
+    counted = named.withColumns({
+        "paid_licenses": over_slots(lambda name: name.isin(*paid_names), quantity),
+        "total_amount": over_slots(lambda name: name.isin(*paid_names), amount),
+        "total_licenses": over_slots(lambda name: ~name.isin(*excluded_names), quantity)})
+    return counted.drop(*[f"_slot_{n}_name" for n in SLOTS])
 
 
 def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, orgs: DataFrame, app_subs: DataFrame,
                       mrr: DataFrame, paid_names: Sequence[str], excluded_names: Sequence[str]) -> DataFrame:
-    """Subscriptions with licences, billing interval, organisation, revenue and app settings."""
+    """Subscriptions with licences, billing interval, organisation, revenue and app settings.
+
+    The ids of subscriptions are unique, so rows can only repeat through the tables looked up;
+    those are made distinct, which is cheaper than making the wide result distinct.
+    """
     interval = F.when(F.col("plan_interval") == "month", "monthly").otherwise(
         billing_period("items_data_0_plan_interval", "items_data_0_plan_interval_count", FACT_PERIODS))
     paid, whole = F.col("paid_licenses"), F.col("total_licenses")
-    facts = subs.join(licence_counts(subs, products, paid_names, excluded_names), "id").select(
+    facts = with_licences(subs, products, paid_names, excluded_names).select(
         F.col("id").alias("billing_subscription_key"), F.col("customer").alias("billing_customer_key"),
         interval.alias("plan_interval"), "status",
         *[F.col(c).cast("date").alias(c) for c in ("current_period_start", "current_period_end", "created", "ended_at")],
@@ -93,10 +110,10 @@ def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, o
                                "media_data_usage", "form_scripts_enabled")
     full = facts
     for part in (by_customer, revenue, settings):
-        full = full.join(part, "billing_customer_key", "left")
+        full = full.join(part.distinct(), "billing_customer_key", "left")
     return full.select(
         "app_customer_key", "billing_subscription_key", "billing_customer_key", "plan_interval", "status",
         "current_period_start", "current_period_end", "created", "ended_at", "collection_method",
         "paid_licenses", "unpaid_licenses", "total_licenses", "total_amount", "mrr", "industry_name",
         *ORG_COUNTERS, "signed_up_date", "max_users", "min_users", "media_data_usage",
-        "form_scripts_enabled").distinct()
+        "form_scripts_enabled")
