@@ -126,4 +126,15 @@ def heavy_key_join(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = t.orders.filter(F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
-    return skew_join(lines, orders, "l_orderkey", "left")
+    return skew_join(lines, orders, "l_orderkey", "left", unique_right=True)
+
+
+@query("""
+SELECT l_suppkey, l_returnflag, user_id % 5 AS kind, count(*) AS n, count(DISTINCT l_partkey) AS n_parts
+FROM lineitem JOIN (SELECT DISTINCT user_id, event_type FROM events) ON l_suppkey = user_id GROUP BY 1, 2, 3""")
+def heavy_key_join_to_many(t):
+    lines = t.lineitem.select(F.col("l_suppkey").alias("user_id"), "l_partkey", "l_returnflag")
+    kinds = t.events.select("user_id", "event_type").distinct()
+    return skew_join(lines, kinds, "user_id").groupBy(
+        F.col("user_id").alias("l_suppkey"), "l_returnflag", (F.col("user_id") % 5).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_parts"))

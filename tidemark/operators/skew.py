@@ -1,83 +1,86 @@
 """Work on data in which one key may hold a large share of all rows.
 
-A key is called heavy when it holds more than `share` of the rows.  There can be fewer than
-1 / share such keys, whatever the size of the data, so the table of heavy keys may be broadcast.
+A key is called heavy when it holds more than `share` of the rows and more than fit one task well.
+There are fewer than 1 / share such keys, whatever the size of the data, so the table of heavy keys
+may be broadcast.  Each heavy key is cut into a number of pieces that grows with its rows, but all
+keys together into at most `max_pieces` plus one per heavy key, which bounds every table that has
+one row per piece.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.common import names
+from tidemark.functions.common import names, quoted
 
 HEAVY_SHARE = 0.005
-HEAVY_MIN_ROWS = 1_000_000
-SPLITS = 256
+ROWS_PER_PIECE = 1_000_000
+MAX_PIECES = 100_000
+
 
+def pieces_for(rows: Column, total: Column, rows_per_piece: int, max_pieces: int) -> Column:
+    """How many pieces a key of `rows` rows out of `total` is cut into."""
+    wanted, allowed = rows / rows_per_piece, rows / total * max_pieces
+    return F.ceil(F.least(wanted, allowed)).cast("int")
 
-def heavy_keys(df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS,
-               extra: list[Column] | None = None) -> DataFrame:
-    """Keys with more than `share` of the rows (and at least `min_rows`), with further aggregates.
+
+def heavy_keys(df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, rows_per_piece: int = ROWS_PER_PIECE,
+               max_pieces: int = MAX_PIECES, extra: list[Column] | None = None) -> DataFrame:
+    """Heavy keys with the number of `_pieces` to cut each into, and further aggregates.
 
     Rows are counted per key on the map side, so a heavy key costs one partial row per task.
-    The answer has fewer than 1 / share rows.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *(extra or []))
-    return counted.filter((F.col("_rows") >= min_rows) & (F.col("_rows") > total * F.lit(share)))
+    heavy = counted.filter((F.col("_rows") > rows_per_piece) & (F.col("_rows") > total * F.lit(share)))
+    return heavy.withColumn("_pieces", pieces_for(F.col("_rows"), total, rows_per_piece, max_pieces)).drop("_rows")
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality on all keys, NULL matching NULL."""
+def _known(keys: list[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
+        condition = condition & quoted(key).isNotNull()
     return condition
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
-              share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS, splits: int = SPLITS) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", unique_right: bool = False,
+              **heavy_options) -> DataFrame:
     """Equi-join whose left side may hold heavy or NULL keys (`how`: inner, left, left_semi, left_anti).
 
-    Left rows of a heavy key are dealt out over `splits` sub-keys and the few matching right rows
-    are repeated for each of them; all other rows join as usual.  NULL keys match nothing and are
-    dealt out as well.  The result is the same as that of the plain join.
+    `unique_right` says that the right side has one row per key at most.  Then the right rows of
+    heavy keys are as few as these keys; they are broadcast, and left rows of heavy keys are not
+    shuffled at all.  Otherwise the left rows of a heavy key are dealt out over its pieces by a hash
+    of the whole row, and the matching right rows are repeated for each piece.  NULL keys match
+    nothing and are kept out of the join.  The result is the same as that of the plain join.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"cannot split a {how} join by its left side")
     keys = names(on)
-    heavy = F.broadcast(heavy_keys(left, keys, share, min_rows).select(*[F.col(k).alias(f"_h_{k}") for k in keys],
-                                                                      F.lit(True).alias("_heavy")))
+    keyed = left.filter(_known(keys))
+    split = _join_apart if unique_right else _join_in_pieces
+    joined = split(keyed, right.filter(_known(keys)), keys, how, heavy_keys(keyed, keys, **heavy_options))
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(left.filter(~_known(keys)), allowMissingColumns=True)
 
-    def marked(df: DataFrame) -> DataFrame:
-        condition = F.lit(True)
-        for key in keys:
-            condition = condition & (df[key] == heavy[f"_h_{key}"])
-        return df.join(heavy, condition, "left").drop(*[f"_h_{k}" for k in keys])
 
-    any_null = F.lit(False)
-    for key in keys:
-        any_null = any_null | F.col(key).isNull()
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(splits))
-    dealt = (
-        marked(left)
-        .withColumn("_split", F.when(F.col("_heavy") | any_null, deal).otherwise(F.lit(0).cast("bigint")))
-        .drop("_heavy")
-    )
-    repeated = (
-        marked(right)
-        .withColumn(
-            "_split",
-            F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint")))
-                      .otherwise(F.array(F.lit(0).cast("bigint")))),
-        )
-        .drop("_heavy")
-    )
-    return dealt.join(repeated, [*keys, "_split"], how).drop("_split")
+def _join_apart(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: DataFrame) -> DataFrame:
+    heavy = F.broadcast(heavy.select(*keys))
+    few = F.broadcast(right.join(heavy, keys, "left_semi"))
+    return left.join(heavy, keys, "left_semi").join(few, keys, how).unionByName(
+        left.join(heavy, keys, "left_anti").join(right, keys, how))
+
+
+def _join_in_pieces(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: DataFrame) -> DataFrame:
+    heavy = F.broadcast(heavy.select(*keys, "_pieces"))
+    pieces = F.coalesce("_pieces", F.lit(1))
+    row = F.xxhash64(*[quoted(c) for c in left.columns])
+    dealt = left.join(heavy, keys, "left").withColumn("_piece", F.pmod(row, pieces).cast("int")).drop("_pieces")
+    every = F.sequence(F.lit(0), pieces - 1)
+    repeated = right.join(heavy, keys, "left").withColumn("_piece", F.explode(every)).drop("_pieces")
+    return dealt.join(repeated, [*keys, "_piece"], how).drop("_piece")
 
 
 def order_number(df: DataFrame, column: str) -> Column | None:
@@ -92,13 +95,8 @@ def order_number(df: DataFrame, column: str) -> Column | None:
     return None
 
 
-def stretch_number(value: Column, low: Column, high: Column, splits: int) -> Column:
-    """Which of `splits` equal stretches of [low, high] the value lies in, 1..splits; 0 for NULL."""
-    position = F.floor((value - low) / (high - low) * splits)
-    inside = F.least(F.greatest(position, F.lit(0)), F.lit(splits - 1)) + 1
+def stretch_number(value: Column, low: Column, high: Column, pieces: Column) -> Column:
+    """Which of the equal stretches of [low, high] the value lies in, from 1 on; 0 for NULL."""
+    position = F.floor((value - low) / (high - low) * pieces)
+    inside = F.least(F.greatest(position, F.lit(0)), pieces - 1) + 1
     return F.when(value.isNull(), 0).when(high > low, inside).otherwise(1).cast("int")
-
-
-def bound(share: float = HEAVY_SHARE, splits: int = SPLITS) -> int:
-    """Upper bound for the rows of a table with one row per heavy key and stretch."""
-    return math.ceil(1 / share) * (splits + 1)

@@ -15,13 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.common import names
+from tidemark.functions.common import names, quoted
 from tidemark.operators.skew import (
-    HEAVY_MIN_ROWS,
     HEAVY_SHARE,
-    SPLITS,
+    MAX_PIECES,
+    ROWS_PER_PIECE,
     heavy_keys,
     order_number,
+    pieces_for,
     stretch_number,
 )
 
@@ -67,8 +68,12 @@ def _before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _after(window):
-    return window.rowsBetween(1, Window.unboundedFollowing)
+def _so_far(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _whole(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _present(value: Column, order: Column) -> Column:
@@ -79,7 +84,7 @@ def filled(name: str, column: str, order: Column) -> Scan:
     value = F.col(column)
     return Scan(
         name,
-        lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        lambda w: F.last(value, ignorenulls=True).over(_so_far(w)),
         F.max_by(value, _present(value, order)),
         lambda s, w: F.last(s, ignorenulls=True).over(_before(w)),
         lambda own, carried: F.coalesce(own, carried),
@@ -90,7 +95,7 @@ def first_seen(name: str, column: str, order: Column) -> Scan:
     value = F.col(column)
     return Scan(
         name,
-        lambda w: F.first(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        lambda w: F.first(value, ignorenulls=True).over(_so_far(w)),
         F.min_by(value, _present(value, order)),
         lambda s, w: F.first(s, ignorenulls=True).over(_before(w)),
         lambda own, carried: F.coalesce(carried, own),
@@ -115,23 +120,28 @@ def place(name: str, descending: bool = False) -> Scan:
     """Row number from the start or, descending, from the end."""
     def own(window):
         number = F.row_number().over(window).cast("bigint")
-        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return F.count(F.lit(1)).over(whole) - number + 1 if descending else number
+        return F.count(F.lit(1)).over(_whole(window)) - number + 1 if descending else number
+
+    def others(size, window):
+        if descending:
+            return F.sum(size).over(_whole(window)) - F.sum(size).over(_so_far(window))
+        return F.sum(size).over(_before(window))
 
     return Scan(
         name,
         own,
         F.count(F.lit(1)),
-        lambda s, w: F.sum(s).over(_after(w) if descending else _before(w)),
-        lambda own_place, others: own_place + F.coalesce(others, F.lit(0)),
+        others,
+        lambda own_place, carried: own_place + F.coalesce(carried, F.lit(0)),
     )
 
 
 def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[str], scans: list[Scan],
-                 share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS, splits: int = SPLITS) -> DataFrame:
+                 share: float = HEAVY_SHARE, rows_per_piece: int = ROWS_PER_PIECE,
+                 max_pieces: int = MAX_PIECES) -> DataFrame:
     """Add the columns of `scans`, computed along ascending `order` (column names) within `keys`.
 
-    Without keys the whole table is one ordered sequence and is always cut into stretches.
+    Without keys the whole table is one ordered sequence, cut into stretches in any case.
     """
     keys, order = names(keys), names(order)
     lead = order_number(df, order[0])
@@ -142,27 +152,30 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
         plain = df.select("*", *[s.in_window(window).alias(f"_own_{i}") for i, s in enumerate(scans)])
         return _finish(plain, df.columns, scans, carried=False)
 
+    ends = [F.min(lead).alias("_low"), F.max(lead).alias("_high")]
     if keys:
-        heavy = heavy_keys(df, keys, share, min_rows, [F.min(lead).alias("_low"), F.max(lead).alias("_high")])
-        heavy = heavy.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_rows", "_low", "_high")
+        found = heavy_keys(df, keys, share, rows_per_piece, max_pieces, ends)
+        heavy = F.broadcast(found.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_pieces", "_low", "_high"))
         match = F.lit(True)
         for key in keys:
-            match = match & F.col(key).eqNullSafe(F.col(f"_h_{key}"))
-        stretch = F.when(F.col("_rows").isNull(), 0).otherwise(
-            stretch_number(lead, F.col("_low"), F.col("_high"), splits))
-        cut = df.join(F.broadcast(heavy), match, "left").select(
-            *[F.col(f"`{c}`") for c in df.columns], stretch.alias("_stretch"), F.col("_rows").isNotNull().alias("_cut"))
-        only_cut = df.join(F.broadcast(heavy), match, "inner").select(
-            *[F.col(f"`{c}`") for c in df.columns], stretch.alias("_stretch"))
+            match = match & quoted(key).eqNullSafe(F.col(f"_h_{key}"))
+        stretch = F.when(F.col("_pieces").isNull(), 0).otherwise(
+            stretch_number(lead, F.col("_low"), F.col("_high"), F.col("_pieces")))
+        columns = [quoted(c) for c in df.columns]
+        cut = df.join(heavy, match, "left").select(
+            *columns, stretch.alias("_stretch"), F.col("_pieces").isNotNull().alias("_cut"))
+        only_cut = df.join(heavy, match, "inner").select(*columns, stretch.alias("_stretch"))
     else:
-        low, high = df.agg(F.min(lead)).scalar(), df.agg(F.max(lead)).scalar()
-        cut = df.select("*", stretch_number(lead, low, high, splits).alias("_stretch"), F.lit(True).alias("_cut"))
+        rows = F.count(F.lit(1))
+        shape = df.agg(F.struct(*ends, pieces_for(rows, rows, rows_per_piece, max_pieces).alias("_pieces"))).scalar()
+        stretch = stretch_number(lead, shape["_low"], shape["_high"], shape["_pieces"])
+        cut = df.select("*", stretch.alias("_stretch"), F.lit(True).alias("_cut"))
         only_cut = cut
 
     summary = only_cut.groupBy(*keys, "_stretch").agg(*[s.summary.alias(f"_sum_{i}") for i, s in enumerate(scans)])
     across = Window.partitionBy(*keys).orderBy("_stretch")
     carry = summary.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
+        *[quoted(k).alias(f"_c_{k}") for k in keys],
         F.col("_stretch").alias("_c_stretch"),
         *[s.carry(F.col(f"_sum_{i}"), across).alias(f"_carry_{i}") for i, s in enumerate(scans)],
     )
@@ -180,7 +193,7 @@ def _finish(df: DataFrame, columns: list[str], scans: list[Scan], carried: bool)
         return scan.merge(own, F.col(f"_carry_{i}") if carried else F.lit(None))
 
     replaced = {s.name.lower() for s in scans}
-    kept = [F.col(f"`{c}`") for c in columns if c.lower() not in replaced]
+    kept = [quoted(c) for c in columns if c.lower() not in replaced]
     return df.select(*kept, *[value(i, s).alias(s.name) for i, s in enumerate(scans)])
 
 
@@ -231,22 +244,20 @@ def dense_rank_within(df: DataFrame, keys, order, name: str = "rank") -> DataFra
     keys, by = names(keys), names(order)
     ranked = rank_both_ways(df.select(*keys, *by).distinct(), keys, by, name, "_down").drop("_down")
     condition = F.lit(True)
-    renamed = ranked.select(*[F.col(c).alias(f"_r_{c}") for c in [*keys, *by]], name)
+    renamed = ranked.select(*[quoted(c).alias(f"_r_{c}") for c in [*keys, *by]], name)
     for c in [*keys, *by]:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
     return df.join(renamed, condition, "left").drop(*[f"_r_{c}" for c in [*keys, *by]])
 
 
 def closest_by(df: DataFrame, keys, distance: Column) -> DataFrame:
-    """Rows of each key with the smallest distance; ties are all kept."""
-    by = names(keys)
-    nearest = df.groupBy(*by).agg(F.min(distance).alias("_nearest"))
-    renamed = nearest.select(*[F.col(k).alias(f"_n_{k}") for k in by], "_nearest")
-    condition = F.col("_distance") == F.col("_nearest")
-    for key in by:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_n_{key}"))
-    measured = df.withColumn("_distance", distance)
-    return measured.join(renamed, condition, "inner").drop("_distance", "_nearest", *[f"_n_{k}" for k in by])
+    """Rows of each key with the smallest distance; ties are all kept.
+
+    Each task drops all rows but its closest ones before they are shuffled.
+    """
+    window = Window.partitionBy(*names(keys)).orderBy("_distance")
+    ranked = df.withColumn("_distance", distance).withColumn("_rank", F.rank().over(window))
+    return ranked.filter(F.col("_rank") == 1).drop("_distance", "_rank")
 
 
 def top_n(df: DataFrame, order, n: int) -> DataFrame:

@@ -77,28 +77,31 @@ def write_snapshot(df: DataFrame, location: str, columns: Iterable[str], as_of:
     chosen.write.mode("overwrite").parquet(location)
 
 
-def latest_snapshot(df: DataFrame, run_column: str = RUN_DATE) -> DataFrame:
-    """Rows of the newest day.
+def _day(df: DataFrame, run_column: str) -> Column:
+    """Day of a copy: the partition column where the table has one, so that files of other days stay closed."""
+    if RUN_DAY in df.columns and run_column in (RUN_DATE, RUN_DAY):
+        return quoted(RUN_DAY).cast("string")
+    return run_day_of(run_column)
 
-    The newest day is a scalar subquery.  With `run_day`, by which the tables above are
-    partitioned, other days' files are not opened.
-    """
-    day = quoted(RUN_DAY).cast("string") if run_column == RUN_DAY else run_day_of(run_column)
+
+def latest_snapshot(df: DataFrame, run_column: str = RUN_DATE) -> DataFrame:
+    """Rows of the newest day, which is found by a scalar subquery."""
+    day = _day(df, run_column)
     return df.filter(day == df.agg(F.max(day)).scalar())
 
 
 def snapshots_on(df: DataFrame, days: DataFrame, run_column: str = RUN_DATE, day_column: str = "month") -> DataFrame:
     """Rows of the copies taken on the given days; `days` is a calendar, one row per day."""
     wanted = F.broadcast(days.select(F.date_format(quoted(day_column), "yyyyMMdd").alias("_wanted")).distinct())
-    return df.join(wanted, run_day_of(run_column) == F.col("_wanted"), "left_semi")
+    return df.join(wanted, _day(df, run_column) == F.col("_wanted"), "left_semi")
 
 
 def month_start_snapshots(df: DataFrame, as_of, months_back: int, run_column: str = RUN_DATE) -> DataFrame:
     """Rows of the first-of-month copies from `months_back` months before `as_of` on.
 
-    A plain predicate on the run date, without a join.
+    A plain predicate on the day of the copy, without a join.
     """
-    day = run_day_of(run_column)
+    day = _day(df, run_column)
     first = F.date_format(cal.months_ago(months_back, as_of), "yyyyMMdd")
     last = F.date_format(cal.day(as_of), "yyyyMMdd")
     return df.filter((F.substring(day, 7, 2) == "01") & (day >= first) & (day <= last))
