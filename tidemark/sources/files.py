@@ -14,6 +14,7 @@ from tidemark.functions.documents import json_path, parsed
 # Fixed value: how many bad records a load tolerates.
 MAX_BAD_RECORDS = 15
 CORRUPT = "_corrupt_record"
+SMALLEST_LONG = -(2**63)
 ANY_ITEM = object()
 
 
@@ -52,12 +53,13 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
                                columnNameOfCorruptRecord=CORRUPT).schema(with_corrupt).csv(path))
-    # The parser only fills the corrupt column when it reads the others too, hence the second aggregate.
+    # The parser must read all columns to tell a bad record, so both uses refer to all of them: a
+    # count of the loaded rows leaves out the same records as a read of every column.
     every_field = F.xxhash64(*[quoted(f.name) for f in schema.fields])
     found = rows.agg(F.count_if(F.col(CORRUPT).isNotNull()), F.max(every_field)).first()[0]
     if found > max_bad:
         raise TooManyBadRecords(f"{found} records of {path} cannot be read")
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return rows.filter(F.col(CORRUPT).isNull() & (every_field >= F.lit(SMALLEST_LONG))).drop(CORRUPT)
 
 
 def load_many(spark: SparkSession, mapping: Mapping[str, str], folder: str, loader=load_csv) -> dict[str, DataFrame]:
