@@ -22,7 +22,9 @@ from tidemark.operators.select import (
     top_parent_flag,
 )
 from tidemark.plans.general import REPORT_PERIODS
+from tidemark.plans.staging import stage_all
 from tidemark.plans.subscriptions import FACT_PERIODS
+from tidemark.sources.files import load_union
 
 
 @query("""
@@ -186,6 +188,31 @@ def staging_select(t):
                  epochs=["VALUE_AT"], where="event_type <> 'error'")
 
 
+@query("""
+SELECT 'user' AS kind, c_custkey AS id, c_name AS label FROM customer
+UNION ALL SELECT 'membership', o_orderkey, CAST(o_custkey % 5 AS VARCHAR) FROM orders
+UNION ALL SELECT 'change', event_id, props FROM events
+UNION ALL SELECT 'newest copy', event_id, event_type FROM events WHERE strftime(ts, '%Y%m%d') = (SELECT max(strftime(ts, '%Y%m%d')) FROM events)""")
+def staging_views(t):
+    none = null_column("string")
+    views = stage_all({
+        "app_users": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("first_name"), *[
+            none.alias(c) for c in ("last_name", "phone", "email", "last_sign_in_at", "last_synced_at", "not_staged")]),
+        "app_memberships": t.orders.select(
+            F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_custkey").alias("organization_id"),
+            (F.col("o_custkey") % 5).alias("role_id")),
+        "crm_account_history": t.events.select(
+            F.col("event_id").alias("AccountId"), F.lit("Owner").alias("Field"), F.col("props").alias("OldValue"),
+            none.alias("NewValue"), F.col("ts").alias("CreatedDate")),
+        "raw_subscriptions": t.events.select(F.col("event_id").alias("id"), F.col("event_type").alias("object"),
+                                             F.date_format("ts", "yyyyMMddHHmmss").alias("run_date")),
+    })
+    parts = [("user", "app_users", "user_id", "first_name"), ("membership", "app_memberships", "id", "role_id"),
+             ("change", "crm_account_history", "account_id", "old_value"), ("newest copy", "raw_subscriptions", "id", "object")]
+    return load_union([views[view].select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(label).cast("string").alias("label"))
+                       for kind, view, key, label in parts])
+
+
 @query("""
 SELECT o_orderkey, strftime(make_timestamp(o_orderkey * 1000000), '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""")
 def epoch_columns(t):

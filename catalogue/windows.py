@@ -75,9 +75,11 @@ def changes(t):
 SELECT event_id, user_id, lead(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS next_type,
        lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS previous_type FROM events""")
 def neighbouring_events(t):
-    source = t.events.select("event_id", "user_id", "event_type")
-    ahead = w.next_value(source, "user_id", "event_id", "event_type", "next_type")
-    return w.previous_value(ahead, "user_id", "event_id", "event_type", "previous_type").drop("event_type")
+    by = F.col("event_id")
+    scanned = w.ordered_scan(t.events.select("event_id", "user_id", "event_type"), "user_id", "event_id", [
+        w.neighbour("next_type", "event_type", by, following=True),
+        w.neighbour("previous_type", "event_type", by, following=False)])
+    return scanned.drop("event_type")
 
 
 @query("""

@@ -137,15 +137,19 @@ def place(name: str, descending: bool = False) -> Scan:
 
 
 def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[str], scans: list[Scan],
-                 share: float = HEAVY_SHARE, rows_per_piece: int = ROWS_PER_PIECE,
+                 share: float = HEAVY_SHARE, rows_per_piece: int | None = ROWS_PER_PIECE,
                  max_pieces: int = MAX_PIECES) -> DataFrame:
     """Add the columns of `scans`, computed along ascending `order` (column names) within `keys`.
 
-    Without keys the whole table is one ordered sequence, cut into stretches in any case.
+    Without keys the whole table is one ordered sequence, cut into stretches in any case.  Heavy
+    keys are found by counting rows per key beforehand; where no key can be heavy, for example after
+    an aggregation by key and month, `rows_per_piece=None` spares the count.
     """
     keys, order = names(keys), names(order)
     lead = order_number(df, order[0])
-    if lead is None:
+    if not keys and rows_per_piece is None:
+        raise ValueError("a sequence over a whole table is always cut")
+    if lead is None or rows_per_piece is None:
         if not keys:
             raise ValueError("a sequence over a whole table must be ordered by a number, date or time")
         window = Window.partitionBy(*keys).orderBy(*order)

@@ -82,22 +82,17 @@ def revenue_book(licences: DataFrame, services: DataFrame, accounts: DataFrame,
     full = lic.join(srv, "customer_key", "left").join(
         accounts.withColumnRenamed("app_customer_key", "customer_key"), "customer_key", "left")
 
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(f"`{name}`"), F.lit(0)).cast("double")
-
-    def exact(name: str) -> Column:
-        return F.coalesce(F.col(f"`{name}`"), F.lit(0).cast(MONEY))
+    def triple(left: str, right: str, names: Sequence[str]) -> list[str]:
+        """Left, right and their exact sum; a missing one counts as zero."""
+        a, b = f"coalesce(`{left}`, 0BD)", f"coalesce(`{right}`, 0BD)"
+        return [f"cast({value} as double) as `{name}`" for value, name in zip((a, b, f"{a} + {b}"), names, strict=True)]
 
     outputs = []
     for when in ("last", "this"):
-        names = [f"high_water_{when}_month_{label}" for label in ("rgr", "msp")]
-        outputs += [number(names[0]).alias(f"high_water_{when}_month_license"),
-                    number(names[1]).alias(f"high_water_{when}_month_msp"),
-                    (exact(names[0]) + exact(names[1])).cast("double").alias(f"high_water_{when}_month_total")]
+        mark = f"high_water_{when}_month"
+        outputs += triple(f"{mark}_rgr", f"{mark}_msp", [f"{mark}_{kind}" for kind in ("license", "msp", "total")])
     recent = months[-RECENT_MONTHS:]
-    named = [(m, m) for m in months] + [(m, str(len(recent) - 1 - i)) for i, m in enumerate(recent)]
-    for month, name in named:
-        outputs += [number(f"rgr_{month}").alias(f"rgr_{name}"), number(f"msp_{month}").alias(f"msp_{name}"),
-                    (exact(f"rgr_{month}") + exact(f"msp_{month}")).cast("double").alias(f"total_{name}")]
-    others = [c for c in accounts.columns if c != "app_customer_key"]
-    return full.select("customer_key", *others, *outputs)
+    for month, name in [(m, m) for m in months] + [(m, len(recent) - 1 - i) for i, m in enumerate(recent)]:
+        outputs += triple(f"rgr_{month}", f"msp_{month}", [f"{kind}_{name}" for kind in ("rgr", "msp", "total")])
+    others = [f"`{c}`" for c in accounts.columns if c != "app_customer_key"]
+    return full.selectExpr("customer_key", *others, *outputs)

@@ -15,16 +15,21 @@ def customer_status(subs: DataFrame, order: str, grace_days: int = GRACE_DAYS) -
     """Cancelled customers with their day of deletion; others with the status listed last.
 
     subs(customer, status, canceled_at epoch seconds or timestamp).  `order` is a column that says
-    in which order subscriptions are listed.  Customers without subscriptions have no row.  One
-    aggregation: a customer with very many subscriptions is reduced in the tasks that read them.
+    in which order subscriptions are listed.  Customers without subscriptions have no row.
+
+    Subscriptions are first reduced to one row per customer and status, by counts and largest
+    numbers alone, which each task keeps in a hash table; a customer with very many subscriptions
+    costs a task no more than one row per status.
     """
-    cancelled = F.col("status") == "canceled"
     moment = F.col("canceled_at").cast("timestamp")
-    rolled = subs.groupBy(F.col("customer").alias("customer_id")).agg(
-        F.count(F.lit(1)).alias("n_subscriptions"),
-        F.count_if(cancelled).alias("_n_cancelled"),
-        F.max(F.when(cancelled, moment)).alias("_last_cancel"),
-        F.max_by("status", F.when(~cancelled, F.col(order))).alias("_open_status"))
+    per_status = subs.groupBy(F.col("customer").alias("customer_id"), "status").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(order).alias("_listed"), F.max(moment).alias("_gone"))
+    cancelled = F.col("status") == "canceled"
+    rolled = per_status.groupBy("customer_id").agg(
+        F.sum("_n").alias("n_subscriptions"),
+        F.sum(F.when(cancelled, F.col("_n")).otherwise(0)).alias("_n_cancelled"),
+        F.max(F.when(cancelled, F.col("_gone"))).alias("_last_cancel"),
+        F.max_by("status", F.when(~cancelled, F.col("_listed"))).alias("_open_status"))
     all_gone = F.col("_n_cancelled") == F.col("n_subscriptions")
     delete_by = F.date_format(F.date_add(F.col("_last_cancel").cast("date"), grace_days), "yyyy-MM-dd")
     return rolled.select(

@@ -116,18 +116,19 @@ def _size_at(value: Column, path: tuple) -> Column:
 
 
 def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | None = None,
-                 keep: Iterable[str] | None = None) -> DataFrame:
+                 keep: Iterable[str] | None = None, schema: T.DataType | None = None) -> DataFrame:
     """Nested documents as wide rows: names joined with `sep`, array items numbered from 0.
 
     The columns depend on the data, so the documents are read twice at once: for the common schema
-    and for the greatest length of each array.  `max_items` leaves out columns of later items.
+    and for the greatest length of each array.  A known `schema` spares the first reading.
+    `max_items` leaves out columns of later items, and spares the second.
     """
-    kind = merged_schema(df, column)
+    kind = merged_schema(df, column) if schema is None else schema
     kept = [c for c in df.columns if c != column] if keep is None else list(keep)
     nested = df.select(*[quoted(k) for k in kept], F.from_json(quoted(column), kind).alias("_document"))
     paths = _array_paths(kind)
-    widths: dict[tuple, int] = {}
-    if paths:
+    widths: dict[tuple, int] = {p: max_items for p in paths if max_items is not None}
+    if paths and max_items is None:
         sizes = nested.agg(*[F.max(_size_at(F.col("_document"), p)).alias(f"w{i}") for i, p in enumerate(paths)])
         widths = {p: n or 0 for p, n in zip(paths, sizes.first(), strict=True)}
 
@@ -136,8 +137,7 @@ def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | No
             return [c for f in part.fields
                     for c in outputs(value.getField(f.name), f.dataType, (*path, f.name), [*label, f.name])]
         if isinstance(part, T.ArrayType):
-            width = widths[path] if max_items is None else min(widths[path], max_items)
-            return [c for i in range(width)
+            return [c for i in range(widths[path])
                     for c in outputs(F.get(value, F.lit(i)), part.elementType, (*path, ANY_ITEM), [*label, str(i)])]
         return [value.alias(sep.join(label))]
 
