@@ -26,9 +26,8 @@ LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 1000) ON supp = s_suppkey"""
 def customers_through_bridge(t):
     pairs = t.orders.filter("o_orderstatus = 'F'").select("o_custkey", (F.col("o_orderkey") % 40).alias("supp"))
     suppliers = t.supplier.filter("s_acctbal > 1000").select("s_suppkey", "s_name")
-    linked = j.bridge_join(t.customer.select("c_custkey", "c_name"), pairs, suppliers, "c_custkey", "s_suppkey",
-                           bridge_left="o_custkey", bridge_right="supp")
-    return linked.withColumn("s_suppkey", F.when(F.col("s_name").isNotNull(), F.col("s_suppkey")))
+    return j.bridge_join(t.customer.select("c_custkey", "c_name"), pairs, suppliers, "c_custkey", "s_suppkey",
+                         bridge_left="o_custkey", bridge_right="supp")
 
 
 @query("""

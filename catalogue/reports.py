@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue.base import query
 from tidemark.functions.scalars import sum_if
+from tidemark.operators.select import null_column
 from tidemark.operators.spines import months_list
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans import book, crm, customers, general, monthly, revenue, status, subscriptions, touchpoints, usage
@@ -422,6 +423,46 @@ def adoption_flags(t):
     return usage.adoption(owners, activities, flags, accounts, "resource_id")
 
 
+@query("""
+WITH form AS (SELECT o_custkey AS k, count(*) AS n, CAST(sum(CASE WHEN CAST(o_orderdate AS DATE) >= DATE '2001-07-02' THEN 1 ELSE 0 END) AS BIGINT) AS recent,
+                count(*) FILTER (o_orderpriority = '5-LOW') AS empty FROM orders GROUP BY 1),
+signed AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '2001-07-02' AND o_orderstatus = 'F' GROUP BY 1),
+reg AS (SELECT event_id % 700 AS owner, user_id, event_type FROM events WHERE CAST(ts AS DATE) - 8218 >= DATE '2001-07-02'),
+dev AS (SELECT owner AS k, count(DISTINCT event_type) AS n FROM reg GROUP BY 1),
+memb AS (SELECT owner AS k, count(DISTINCT reg.user_id) AS n FROM reg JOIN (SELECT DISTINCT o_custkey AS user_id FROM orders WHERE o_orderstatus = 'O') o ON reg.user_id = o.user_id GROUP BY 1),
+grp AS (SELECT doc_id AS k, count(*) AS n, CAST(sum(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END) AS BIGINT) AS features FROM documents GROUP BY 1),
+geo AS (SELECT user_id AS k, max(CASE WHEN event_type = 'view' AND value > 60 THEN 1 ELSE 0 END) AS line, max(CASE WHEN event_type = 'click' AND value > 60 THEN 2 END) AS polygon FROM events GROUP BY 1)
+SELECT c_custkey AS id, 'org_' || c_custkey AS resource_id, c_nationkey AS api_token_count, form.recent AS forms_activity_last_30_days, form.n AS forms_count, signed.n AS members_sign_in_last_30_days,
+  dev.n AS devices_sync_last_30_days, memb.n AS members_sync_last_30_days, CASE WHEN c_nationkey > 0 THEN 'yes' ELSE 'no' END AS api_tokens, CASE WHEN form.n > 0 THEN 'yes' ELSE 'no' END AS workflows,
+  CASE WHEN line > 0 THEN 'yes' ELSE 'no' END AS lines, CASE WHEN line > 0 OR polygon > 0 THEN 'yes' ELSE 'no' END AS lines_polygons, CASE WHEN grp.n > 0 THEN 'yes' ELSE 'no' END AS groups,
+  CASE WHEN features > 0 THEN 'yes' ELSE 'no' END AS feature_services, CASE WHEN c_acctbal > 5000 THEN 'yes' ELSE 'no' END AS data_views, CASE WHEN labels.doc_id IS NOT NULL THEN 'yes' ELSE 'no' END AS issues_tasks,
+  CASE WHEN form.n > 0 THEN 'yes' ELSE 'no' END AS projects, CASE WHEN form.empty > 0 THEN 'yes' ELSE 'no' END AS status_field, s_name AS account_key
+FROM customer LEFT JOIN form ON c_custkey = form.k LEFT JOIN signed ON c_custkey = signed.k LEFT JOIN dev ON c_custkey = dev.k LEFT JOIN memb ON c_custkey = memb.k LEFT JOIN grp ON c_custkey = grp.k
+LEFT JOIN geo ON c_custkey = geo.k LEFT JOIN (SELECT DISTINCT doc_id FROM labels) labels ON c_custkey = labels.doc_id LEFT JOIN supplier ON c_custkey = s_suppkey AND s_acctbal > 0""")
+def adoption_report(t):
+    org = lambda column: _text("org_", column)
+    big = F.col("value") > 60
+    tables = {
+        "form_report": t.orders.select(org("o_custkey").alias("org_resource_id"), F.col("o_orderdate").alias("record_changed_at")),
+        "member_report": t.orders.filter("o_orderstatus = 'F'").select(org("o_custkey").alias("org_resource_id"), F.col("o_orderdate").alias("last_sign_in_at")),
+        "forms": t.orders.select(F.col("o_custkey").alias("owner_id"), F.when(F.col("o_orderpriority") == "5-LOW", "{}").alias("status_field")),
+        "workflows": t.orders.select(F.col("o_custkey").alias("owner_id")),
+        "projects": t.orders.select(F.col("o_custkey").alias("owner_id")),
+        "registrations": t.events.select((F.col("event_id") % 700).alias("owner_id"), F.col("event_type").alias("device_id"), "user_id",
+                                         F.date_sub(F.col("ts").cast("date"), 8218).alias("updated_at")),
+        "memberships": t.orders.filter("o_orderstatus = 'O'").select(F.col("o_custkey").alias("user_id")),
+        "groups": t.documents.select(org("doc_id").alias("org_id")),
+        "flows": t.documents.select(org("doc_id").alias("user_org_id"), (F.col("n_chars") > 1000).alias("user_flag_feature_service_layers_enabled")),
+        "form_stats": t.labels.select(org("doc_id").alias("resource_id")),
+        "geometry": t.events.select(
+            org("user_id").alias("organization_id"), F.when((F.col("event_type") == "view") & big, 1).otherwise(0).alias("line"),
+            null_column("int").alias("multi_line"), F.when((F.col("event_type") == "click") & big, 2).alias("polygon"), null_column("int").alias("multi_polygon")),
+        "app_subscriptions": t.customer.select(F.col("c_custkey").alias("owner_id"), (F.col("c_acctbal") > 5000).alias("shared_views_enabled")),
+    }
+    orgs = t.customer.select(F.col("c_custkey").alias("id"), org("c_custkey").alias("resource_id"), F.col("c_nationkey").alias("api_token_count"))
+    return usage.adoption_report(orgs, _org_accounts(t).select("app_customer_key", "account_key"), tables, AS_OF)
+
+
 @query("SELECT c_custkey AS id, count(*) AS workflows_count FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1")
 def workflow_counts(t):
     return customers.workflow_counts(t.customer.select(F.col("c_custkey").alias("id")), t.orders.select(F.col("o_custkey").alias("owner_id")))

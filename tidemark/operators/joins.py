@@ -28,8 +28,9 @@ def bridge_join(left: DataFrame, bridge: DataFrame, right: DataFrame, left_key:
                 how: str = "left", right_how: str | None = None) -> DataFrame:
     """Join two tables through a bridge of key pairs that may hold repeated pairs.
 
-    The pairs are made distinct first.  The result has the columns of both tables; the right key
-    keeps its name.  `how` applies to the bridge and, unless `right_how` says otherwise, to the right.
+    The pairs are made distinct first.  The result has the columns of both tables, those of the right
+    one NULL where a pair leads nowhere.  `how` applies to the bridge and, unless `right_how` says
+    otherwise, to the right.
     """
     first, second = bridge_left or left_key, bridge_right or right_key
     pairs = bridge.select(quoted(first).alias("_pair_left"), quoted(second).alias("_pair_right")).distinct()
@@ -37,7 +38,7 @@ def bridge_join(left: DataFrame, bridge: DataFrame, right: DataFrame, left_key:
     far = right.withColumnRenamed(right_key, "_right_key")
     joined = linked.join(far, F.col("_pair_right") == F.col("_right_key"), right_how or how)
     kept = [quoted(c) for c in left.columns]
-    return joined.select(*kept, F.col("_pair_right").alias(right_key),
+    return joined.select(*kept, F.col("_right_key").alias(right_key),
                          *[quoted(c) for c in right.columns if c != right_key])
 
 

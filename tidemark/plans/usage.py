@@ -115,3 +115,78 @@ def adoption(owners: DataFrame, activities: Sequence[tuple[DataFrame, Activity]]
     if accounts is None:
         return flagged
     return flagged.join(accounts, flagged[account_key] == accounts[account_key], "left").drop(accounts[account_key])
+
+
+# -- the standard report ------------------------------------------------------------------------
+
+def standard_activities(tables: Mapping[str, DataFrame], as_of, days: int = 30) -> list[tuple[DataFrame, Activity]]:
+    """What the standard adoption report counts, for the tables that are given.
+
+    Tables by name: form_stats(resource_id), projects(owner_id), groups(org_id), forms(owner_id,
+    status_field), flows(user_org_id, user_flag_feature_service_layers_enabled),
+    form_report(org_resource_id, record_changed_at), member_report(org_resource_id, last_sign_in_at),
+    registrations(owner_id, device_id, user_id, updated_at), memberships(user_id),
+    workflows(owner_id), geometry(organization_id, line, multi_line, polygon, multi_polygon),
+    app_subscriptions(owner_id, shared_views_enabled).
+    """
+    def recent(column: str) -> Column:
+        return within_days(column, days, as_of)
+
+    plan = {
+        "form_stats": Activity("resource_id", "resource_id", {"_has_stats": present()}),
+        "groups": Activity("org_id", "resource_id", {"_groups": F.count(F.lit(1))}),
+        "flows": Activity("user_org_id", "resource_id", {
+            "_features": sum_if(F.col("user_flag_feature_service_layers_enabled"))}),
+        "form_report": Activity("org_resource_id", "resource_id", {
+            "forms_activity_last_30_days": recent_count("record_changed_at", as_of, days), "forms_count": F.count(F.lit(1))}),
+        "member_report": Activity("org_resource_id", "resource_id", {
+            "members_sign_in_last_30_days": F.count(F.lit(1))}, recent("last_sign_in_at")),
+        "geometry": Activity("organization_id", "resource_id", {
+            f"_{shape}": F.max(shape) for shape in ("line", "multi_line", "polygon", "multi_polygon")}),
+        "projects": Activity("owner_id", "id", {"_has_projects": present()}),
+        "forms": Activity("owner_id", "id", {"_has_empty_status": present()}, F.col("status_field") == "{}"),
+        "registrations": Activity("owner_id", "id", {
+            "devices_sync_last_30_days": F.count_distinct("device_id")}, recent("updated_at")),
+        "workflows": Activity("owner_id", "id", {"_workflows": F.count(F.lit(1))}),
+        "app_subscriptions": Activity("owner_id", "id", {"_shared_views": F.max("shared_views_enabled")}),
+    }
+    found = [(tables[name], activity) for name, activity in plan.items() if name in tables]
+    if "registrations" in tables and "memberships" in tables:
+        # Of a device's registrations and a user's memberships only the distinct pairs matter.
+        pairs = tables["registrations"].filter(recent("updated_at")).select("owner_id", "user_id").distinct()
+        members_of = pairs.join(tables["memberships"].select("user_id").distinct(), "user_id", "left_semi")
+        found.append((members_of, Activity("owner_id", "id", {"members_sync_last_30_days": F.count_distinct("user_id")})))
+    return found
+
+
+def standard_flags(columns: Sequence[str]) -> dict[str, Column]:
+    """yes/no columns of the standard report, for owners and measures that are among `columns`."""
+    def some(*names: str) -> Column:
+        return yes_no(F.coalesce(F.greatest(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0]), F.lit(0)) > 0)
+
+    shapes = ("_line", "_multi_line", "_polygon", "_multi_polygon")
+    flags = {
+        "api_tokens": (some, ("api_token_count",)), "data_events": (some, ("data_event_count",)),
+        "repeatables": (some, ("repeatable_count",)), "reports": (some, ("report_count",)),
+        "record_assignments": (some, ("record_link_field_count",)), "workflows": (some, ("_workflows",)),
+        "lines": (some, ("_line",)), "lines_polygons": (some, shapes), "groups": (some, ("_groups",)),
+        "feature_services": (some, ("_features",)),
+        "data_views": (lambda c: yes_no(F.col(c)), ("_shared_views",)),
+        "issues_tasks": (lambda c: yes_no(F.col(c).isNotNull()), ("_has_stats",)),
+        "projects": (lambda c: yes_no(F.col(c).isNotNull()), ("_has_projects",)),
+        "status_field": (lambda c: yes_no(F.col(c).isNotNull()), ("_has_empty_status",)),
+    }
+    return {name: make(*needs) for name, (make, needs) in flags.items() if set(needs) <= set(columns)}
+
+
+def adoption_report(orgs: DataFrame, accounts: DataFrame, tables: Mapping[str, DataFrame], as_of,
+                    days: int = 30) -> DataFrame:
+    """The standard adoption report: activity measures, yes/no flags and the account of each organisation.
+
+    orgs(id, resource_id, counters), accounts(app_customer_key, ...).
+    """
+    activities = standard_activities(tables, as_of, days)
+    measured = [name for _, activity in activities for name in activity.measures]
+    owned = accounts.withColumnRenamed("app_customer_key", "resource_id")
+    full = adoption(orgs, activities, standard_flags([*orgs.columns, *measured]), owned, "resource_id")
+    return full.drop(*[c for c in full.columns if c.startswith("_")])

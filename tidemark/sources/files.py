@@ -15,6 +15,35 @@ from tidemark.functions.documents import json_path, parsed
 MAX_BAD_RECORDS = 15
 CORRUPT = "_corrupt_record"
 SMALLEST_LONG = -(2**63)
+
+# Files of the daily application export and the tables they fill.
+EXPORTED_TABLES = {
+    "billingRevenue.csv": "revenue",
+    "projects.csv": "projects",
+    "reportTemplates.csv": "report_templates",
+    "workflows.csv": "workflows",
+    "shares.csv": "shares",
+    "dataShares.csv": "data_shares",
+    "exports.csv": "exports",
+    "imports.csv": "imports",
+    "dataExports.csv": "data_exports",
+    "views.csv": "views",
+    "layers.csv": "layers",
+    "userAgents.csv": "user_agents",
+    "forms.csv": "forms",
+    "billingInvoice.csv": "invoices",
+    "billingManualInvoiceItems.csv": "manual_invoice_items",
+    "billingManualInvoices.csv": "manual_invoices",
+    "organizationMemberships.csv": "memberships",
+    "organizationDeviceRegistrations.csv": "organization_mobile_device_registrations",
+    "organizations.csv": "organizations",
+    "billingPlans.csv": "plans",
+    "billingPromoCodes.csv": "promo_codes",
+    "roles.csv": "roles",
+    "billingSubscriptions.csv": "subscriptions",
+    "users.csv": "users",
+    "stripe_customers.csv": "stripe_customers",
+}
 ANY_ITEM = object()
 
 
@@ -63,7 +92,7 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def load_many(spark: SparkSession, mapping: Mapping[str, str], folder: str, loader=load_csv) -> dict[str, DataFrame]:
-    """Tables by name, from a mapping of file name to table name.
+    """Tables by name, from a mapping of file name to table name such as `EXPORTED_TABLES`.
 
     File names with a dash are dated copies and are passed over.
     """
