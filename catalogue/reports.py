@@ -609,7 +609,7 @@ avgs AS (SELECT id, period, floor(sum(CAST(seats AS BIGINT)) / count(*) + 0.5) A
 SELECT avgs.id, status, base_plan, plan_name, licenses_count, who.*, {_period_columns('seats')}
 FROM avgs JOIN now_plan ON avgs.id = now_plan.id JOIN who ON now_plan.customer = who.customer_id GROUP BY ALL""")
 def seats_by_month(t):
-    return monthly.seats_by_month(_copies(t), _current(t), billing_customers(t), _month_accounts(t), organizations(t), _plan_names(t), BASE_PRICES, PERIODS, AS_OF)
+    return monthly.seats_by_month(_copies(t), _current(t), billing_customers(t), _month_accounts(t), organizations(t), _plan_names(t), BASE_PRICES, AS_OF, PERIODS)
 
 
 @query(f"""WITH {ORGS_SQL}, {CURRENT_SQL},
@@ -622,7 +622,7 @@ def members_by_month(t):
                               F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("export_date"), F.col("l_quantity").cast("bigint").alias("membership_count"))
     history = stats.withColumnRenamed("membership_count", "members")
     return monthly.members_by_month(history.withColumnRenamed("members", "membership_count"), _current(t), billing_customers(t), _month_accounts(t), organizations(t),
-                                    _plan_names(t), BASE_PRICES, PERIODS, AS_OF)
+                                    _plan_names(t), BASE_PRICES, AS_OF, PERIODS)
 
 
 @query(f"""WITH {ORGS_SQL}, {CURRENT_SQL},
@@ -638,7 +638,7 @@ SELECT avgs.id, plan_name, who.*, {_period_columns('price')} FROM avgs JOIN cur
 def prices_by_month(t):
     product_history = t.lineitem.groupBy(F.col("l_linenumber").alias("id"), F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("run_date")).agg(
         F.max(F.concat("l_returnflag", "l_linestatus")).alias("name"))
-    return monthly.prices_by_month(_copies(t), product_history, _current(t), billing_customers(t), _month_accounts(t), organizations(t), ["AO", "NO", "RF"], PERIODS, AS_OF)
+    return monthly.prices_by_month(_copies(t), product_history, _current(t), billing_customers(t), _month_accounts(t), organizations(t), AS_OF, ["AO", "NO", "RF"], PERIODS)
 
 
 # -- status, book, touchpoints ------------------------------------------------------------------

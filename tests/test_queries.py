@@ -38,6 +38,16 @@ def test_query_agrees_with_sql(spark, database, name):
     result = database.execute(entry.oracle_sql()[name])
     expected = canonical([c[0] for c in result.description], result.fetchall())
     assert found == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [step for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython") if step in plan]
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    df = entry.queries()["revenue_by_month_pivot"](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan
+    scans = [part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]]
+    assert all("o_orderpriority" not in scan and "c_acctbal" not in scan for scan in scans)
 
 
 def test_entry(spark):

@@ -11,9 +11,11 @@ from tidemark.functions import calendar as cal
 from tidemark.functions.scalars import exact_sum, null_label
 from tidemark.operators.joins import latest_join
 from tidemark.operators.reshape import pivot_periods
+from tidemark.operators.spines import months_list
 
-# The book customer that does not count for the current month, and the number of
-# months that are also given under relative names.
+# The months the book lists unless told otherwise, the book customer that does not
+# count for the current month, and the number of months that are also given under relative names.
+BOOK_MONTHS = tuple(months_list(2022, 1, 2024, 1))
 TEST_CUSTOMER = "Ops Test"
 RECENT_MONTHS = 13
 MONEY = "decimal(28,6)"
@@ -56,7 +58,8 @@ def _marks(monthly: DataFrame, changes: DataFrame, this_month: Column, label: st
         mark(0).alias(f"high_water_this_month_{label}"), mark(1).alias(f"high_water_last_month_{label}"))
 
 
-def revenue_book(licences: DataFrame, services: DataFrame, accounts: DataFrame, months: Sequence[str]) -> DataFrame:
+def revenue_book(licences: DataFrame, services: DataFrame, accounts: DataFrame,
+                 months: Sequence[str] = BOOK_MONTHS) -> DataFrame:
     """Customers of the licence book with high-water marks and monthly revenue from both books.
 
     licences and services(customer, month, mrr); accounts(app_customer_key, last_owner_change, ...)

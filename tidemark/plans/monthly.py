@@ -12,9 +12,13 @@ from tidemark.functions.scalars import from_cents
 from tidemark.operators.aggregate import rounded_average
 from tidemark.operators.reshape import pivot_periods
 from tidemark.operators.select import first_slot
-from tidemark.plans.subscriptions import SLOTS
+from tidemark.operators.spines import months_list
+from tidemark.plans.subscriptions import BASE_PLANS, SLOTS
 from tidemark.sources.lifecycle import month_start_snapshots
 
+# The months these reports list unless told otherwise.
+MONTHLY_PERIODS = tuple(months_list(2022, 1, 2024, 11))
+
 
 def run_period(column: str = "run_date") -> Column:
     """`YYYY-MM` of a run date."""
@@ -47,8 +51,8 @@ def measure_by_month(measured: DataFrame, keys: Sequence[str], measure: str, per
 
 
 def seats_by_month(history: DataFrame, current: DataFrame, customers: DataFrame, accounts: DataFrame,
-                   orgs: DataFrame, products: DataFrame, base_prices: Iterable[str], periods: Sequence[str],
-                   as_of, months_back: int = 18) -> DataFrame:
+                   orgs: DataFrame, products: DataFrame, base_prices: Iterable[str], as_of,
+                   periods: Sequence[str] = MONTHLY_PERIODS, months_back: int = 18) -> DataFrame:
     """Seats of each subscription's base plan on the first of each month.
 
     history(id, customer, run_date, slots), current(id, status, slots), customers(id, name,
@@ -67,8 +71,8 @@ def seats_by_month(history: DataFrame, current: DataFrame, customers: DataFrame,
 
 
 def members_by_month(stats: DataFrame, current: DataFrame, customers: DataFrame, accounts: DataFrame,
-                     orgs: DataFrame, products: DataFrame, base_prices: Iterable[str], periods: Sequence[str],
-                     as_of, months_back: int = 18) -> DataFrame:
+                     orgs: DataFrame, products: DataFrame, base_prices: Iterable[str], as_of,
+                     periods: Sequence[str] = MONTHLY_PERIODS, months_back: int = 18) -> DataFrame:
     """Members of each subscription's organisation on the first of each month.
 
     stats(resource_id, export_date, membership_count) holds the daily copies.
@@ -91,8 +95,8 @@ def members_by_month(stats: DataFrame, current: DataFrame, customers: DataFrame,
 
 
 def prices_by_month(history: DataFrame, product_history: DataFrame, current: DataFrame, customers: DataFrame,
-                    accounts: DataFrame, orgs: DataFrame, plan_names: Iterable[str], periods: Sequence[str],
-                    as_of, months_back: int = 18) -> DataFrame:
+                    accounts: DataFrame, orgs: DataFrame, as_of, plan_names: Iterable[str] = BASE_PLANS,
+                    periods: Sequence[str] = MONTHLY_PERIODS, months_back: int = 18) -> DataFrame:
     """Price of each subscription's base plan per month, out of all copies of the month.
 
     The base plan is the first slot whose product had one of the plan names on the day of the copy.

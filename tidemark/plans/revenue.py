@@ -11,9 +11,15 @@ from tidemark.functions import calendar as cal
 from tidemark.functions.documents import parsed, scalar_at
 from tidemark.functions.scalars import exact_sum
 from tidemark.operators.reshape import pivot_periods
+from tidemark.operators.spines import months_list
 
 
-def revenue_by_month(invoices: DataFrame, bridge: DataFrame, orgs: DataFrame, months: Sequence[str]) -> DataFrame:
+# The months the revenue report lists unless told otherwise.
+REVENUE_MONTHS = tuple(months_list(2022, 1, 2023, 10))
+
+
+def revenue_by_month(invoices: DataFrame, bridge: DataFrame, orgs: DataFrame,
+                     months: Sequence[str] = REVENUE_MONTHS) -> DataFrame:
     """Paid amounts per customer and organisation, one column per month.
 
     invoices(customer, amount_paid, created timestamp, paid).  Amounts are summed per customer and

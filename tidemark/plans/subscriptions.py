@@ -13,6 +13,13 @@ from tidemark.plans.customers import ORG_COUNTERS
 
 SLOTS = (0, 1, 2)
 
+# Plans that are paid for by the seat, and plans whose seats do not count at all.
+BASE_PLANS = ("Enterprise", "Professional", "Professional 2019", "Essentials", "Essentials 2019", "Starter")
+UNCOUNTED_PLANS = (
+    "Developer", "Developer Pack", "Data Block", "Professional Services", "Managed Services",
+    "Professional Service PDF Report Template", "Arcadis - Enterprise + Managed Services", "NYSEG - Managed Services",
+)
+
 # Interval labels of the subscription fact, in order of precedence.
 FACT_PERIODS = {
     ("month", 1): "monthly",
@@ -53,8 +60,8 @@ def _sum_known(values: list[Column]) -> Column:
     return F.when(F.coalesce(*values).isNotNull(), safe_add(*values))
 
 
-def with_licences(subs: DataFrame, products: DataFrame, paid_names: Sequence[str],
-                  excluded_names: Sequence[str]) -> DataFrame:
+def with_licences(subs: DataFrame, products: DataFrame, paid_names: Sequence[str] = BASE_PLANS,
+                  excluded_names: Sequence[str] = UNCOUNTED_PLANS) -> DataFrame:
     """Subscriptions with paid and total licences and the paid amount over their three slots.
 
     Subscriptions without a product in any slot are left out; a slot whose product has no name
@@ -83,7 +90,8 @@ def with_licences(subs: DataFrame, products: DataFrame, paid_names: Sequence[str
 
 
 def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, orgs: DataFrame, app_subs: DataFrame,
-                      mrr: DataFrame, paid_names: Sequence[str], excluded_names: Sequence[str]) -> DataFrame:
+                      mrr: DataFrame, paid_names: Sequence[str] = BASE_PLANS,
+                      excluded_names: Sequence[str] = UNCOUNTED_PLANS) -> DataFrame:
     """Subscriptions with licences, billing interval, organisation, revenue and app settings.
 
     The ids of subscriptions are unique, so rows can only repeat through the tables looked up;
