@@ -41,6 +41,12 @@ def test_epochs_and_rounding(spark):
         cal.from_epoch(F.lit(1), "fortnights")
 
 
+def test_local_date_of_text(spark):
+    texts = ["2024-01-01T07:59:00.000+0000", "2024-01-01T08:00:00Z", "2024-01-01T09:59:00+02:00", "2024-01-01 07:00:00"]
+    assert on(spark, D(2024, 1, 1), *[cal.local_date(F.lit(x)) for x in texts]) == [
+        D(2023, 12, 31), D(2024, 1, 1), D(2023, 12, 31), D(2023, 12, 31)]
+
+
 def test_relative_days(spark):
     as_of = "2024-03-31"
     assert on(spark, D(2024, 1, 1), cal.last_month(as_of), cal.next_month(as_of), cal.months_ago(13, as_of), cal.last_week(as_of),

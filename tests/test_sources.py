@@ -66,6 +66,20 @@ def test_flatten_and_explode(spark):
     assert [json.loads(r[0])["q"] for r in children] == [2, 3]
 
 
+def test_flatten_odd_names_and_mixed_types(spark):
+    docs = [{"VOIDED": 1, "a b": {"OBJECT": [[1, 2], [3]]}, "mixed": 1, "none": None, "e": []}, {"mixed": {"x": 1}, "VARIANT": "v", "e": {}}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, json_data string")
+    first, second = files.flatten_json(df, "json_data").orderBy("i").collect()
+    assert (first["VOIDED"], first["a b_OBJECT_0_1"], first["a b_OBJECT_1_0"], first["mixed"]) == (1, 2, 3, "1")
+    assert second["VARIANT"] == "v" and json.loads(second["mixed"]) == {"x": 1} and first["none"] is None
+
+
+def test_flatten_with_a_known_schema(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": [5, 6, 7]}',)], "json_data string")
+    kind = files.merged_schema(df, "json_data")
+    assert [tuple(r) for r in files.flatten_json(df, "json_data", max_items=2, schema=kind).collect()] == [(1, 5, 6)]
+
+
 def test_raw_table_takes_one_copy_per_day(spark, tmp_path, rows):
     docs = spark.createDataFrame([('{"id": "a", "object": "sub"}',)], "json_data string")
     more = spark.createDataFrame([('{"id": "b", "object": "sub"}',), ('{"id": "c"}',)], "json_data string")

@@ -36,8 +36,12 @@ def day(value) -> Column:
 # -- zones and epochs ---------------------------------------------------------------------------
 
 def convert_timezone(value: ColumnLike, target: str = DEFAULT_ZONE, source: str = "UTC") -> Column:
-    """Wall-clock time in `target` of a wall-clock time in `source`."""
-    return F.convert_timezone(F.lit(source), F.lit(target), as_column(value).cast("timestamp_ntz"))
+    """Wall-clock time in `target` of a wall-clock time in `source`.
+
+    Text may carry an offset; it is then taken as that moment.  The session's zone must be UTC.
+    """
+    wall_clock = as_column(value).cast("timestamp").cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(source), F.lit(target), wall_clock)
 
 
 def local_date(value: ColumnLike, zone: str = DEFAULT_ZONE) -> Column:

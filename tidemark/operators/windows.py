@@ -4,7 +4,8 @@ Ordered operators keep one sort per key.  A key that is too heavy for one task i
 stretches of its leading order column; each stretch is a window of its own, and what a stretch
 needs from the ones before or after it (at most one small row per heavy key and stretch) comes
 back through a broadcast join.  Results equal those of a plain window.  An order that leads with
-text cannot be cut this way and runs as a plain window.
+text cannot be cut this way and runs as a plain window; rows that agree in the leading order column
+stay in one stretch, so lead with a column that tells rows apart.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,7 +124,9 @@ def explode_child(df: DataFrame, path: str, column: str = "json_data", keep: Ite
 def merged_schema(df: DataFrame, column: str) -> T.DataType:
     """Schema that covers all documents of a text column.  Reads the column at once."""
     text = df.agg(F.schema_of_variant_agg(parsed(column))).first()[0]
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    # Only where a type stands: at the start, after a name and its colon, or inside an array.
+    ddl = re.sub(r"(?:^|(?<=: )|(?<=ARRAY<))(OBJECT(?=<)|VOID\b|VARIANT\b)",
+                 lambda found: "STRUCT" if found.group() == "OBJECT" else "STRING", text)
     return T.DataType.fromDDL(ddl)
 
 
