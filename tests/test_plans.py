@@ -20,6 +20,7 @@ def test_recurring_revenue(spark):
         ("s3", "c1", moment(2024, 3, 7), moment(2024, 3, 20), "canceled"),       # cancelled in its first month: dropped
         ("s4", "c2", moment(2024, 1, 1), moment(2024, 2, 10), "canceled"),       # gone after February
         ("s5", "c3", moment(2020, 1, 1), None, "active"),                        # began before the calendar
+        ("s1", None, moment(2024, 1, 5), None, "active"),                        # belongs to nobody
     ], "id string, customer_id string, start_date timestamp, canceled_at timestamp, status string")
     items = spark.createDataFrame([
         ("s1", 2, 1000, "month", 1), ("s1", 1, 12000, "year", 1), ("s2", 1, 9000, "month", 3), ("s3", 1, 500, "month", 1),
@@ -37,7 +38,7 @@ def test_recurring_revenue(spark):
 def test_customer_status(spark):
     subs = spark.createDataFrame([
         (1, "a", "canceled", 1704067200), (2, "a", "active", None), (3, "a", "past_due", None), (4, "a", "canceled", 1704153600),
-        (1, "b", "canceled", 1704067200), (2, "b", "canceled", 1704153600)], "n int, customer string, status string, canceled_at bigint")
+        (1, "b", "canceled", 1704067200), (2, "b", "canceled", 1704153600), (1, None, "active", None)], "n int, customer string, status string, canceled_at bigint")
     found = {r["customer_id"]: (r["status"], r["delete_by"]) for r in status.customer_status(subs, "n").collect()}
     assert found == {"a": ("past_due", ""), "b": ("canceled", "2024-04-04")}
 

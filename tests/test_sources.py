@@ -133,6 +133,15 @@ def test_tables_by_name(spark, tmp_path):
         life.materialize(spark.range(1), "x", "cube")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS buckets_test LOCATION '{tmp_path}/buckets'")
+    left = life.materialize(spark.range(100).selectExpr("id", "id % 7 as v"), "buckets_test.l", "table", bucket_by=(4, "id"))
+    right = life.materialize(spark.range(50).selectExpr("id", "id % 5 as w"), "buckets_test.r", "table", ["w"], (4, "id"))
+    joined = left.hint("merge").join(right, "id")
+    assert joined.count() == 50
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_status_feed_holds_only_changes(spark, rows):
     wanted = spark.createDataFrame([(1, "active", ""), (2, "canceled", "2024-01-01"), (3, None, "")], "id int, status string, until string")
     current = spark.createDataFrame([(1, "active", ""), (2, "active", ""), (3, None, "")], "id int, status string, until string")

@@ -79,7 +79,9 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
     """
     this_month, opening = cal.months_ago(0, as_of), cal.months_ago(0, first_month)
     start, cancel = cal.month_start("start_date"), cal.month_start("canceled_at")
-    lasting = subs.filter(F.col("canceled_at").isNull() | (start != cancel)).select(
+    # Revenue without a customer cannot be carried forward for anyone.
+    owned = subs.filter(F.col("customer_id").isNotNull())
+    lasting = owned.filter(F.col("canceled_at").isNull() | (start != cancel)).select(
         "id", "customer_id", "status", start.alias("start_month"), cancel.alias("cancel_month"))
     priced = lasting.join(monthly_cents(items), "id", "left")
     gone = F.col("status") == "canceled"

@@ -22,7 +22,7 @@ def customer_status(subs: DataFrame, order: str, grace_days: int = GRACE_DAYS) -
     costs a task no more than one row per status.
     """
     moment = F.col("canceled_at").cast("timestamp")
-    per_status = subs.groupBy(F.col("customer").alias("customer_id"), "status").agg(
+    per_status = subs.filter(F.col("customer").isNotNull()).groupBy(F.col("customer").alias("customer_id"), "status").agg(
         F.count(F.lit(1)).alias("_n"), F.max(order).alias("_listed"), F.max(moment).alias("_gone"))
     cancelled = F.col("status") == "canceled"
     rolled = per_status.groupBy("customer_id").agg(

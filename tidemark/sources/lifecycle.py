@@ -117,12 +117,21 @@ def freshness(df: DataFrame, now, run_column: str = RUN_DATE, error_after_hours:
                          F.when(hours <= error_after_hours, "pass").otherwise("error").alias("status"))
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """Register a result as a view, or write it as a table, under a name such as `schema.table`."""
+def materialize(df: DataFrame, name: str, kind: str = "view", partition_by: Iterable[str] = (),
+                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+    """Register a result as a view, or write it as a table, under a name such as `schema.table`.
+
+    Tables that are often joined on one key can be bucketed by it, (number of buckets, column):
+    joins between tables with the same buckets need no shuffle.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite").partitionBy(*partition_by)
+        if bucket_by is not None:
+            buckets, column = bucket_by
+            writer = writer.bucketBy(buckets, column).sortBy(column)
+        writer.saveAsTable(name)
     else:
         raise ValueError(f"kind must be 'view' or 'table', not {kind!r}")
     return df.sparkSession.table(name)
