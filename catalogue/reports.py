@@ -743,5 +743,5 @@ SELECT event_type AS "Type", CAST(NULL AS VARCHAR) AS "type_in_lower_case", strf
 WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY ALL""", name="campaigns")
 def newest_campaigns(t):
     raw = t.events.select(F.to_json(F.struct(F.col("event_type").alias("Type"))).alias("json_data"), F.date_format("ts", "yyyyMMddHHmmss").alias("run_date"))
-    staged = touchpoints.campaigns(raw, ["Type", "type_in_lower_case"])
+    staged = touchpoints.campaigns(raw, {"Type": "Type", "type_in_lower_case": "type"})
     return staged.groupBy("Type", "type_in_lower_case", "run_date").agg(F.count(F.lit(1)).alias("n"))

@@ -114,6 +114,18 @@ def test_touchpoints_use_exact_keys_and_local_time(spark):
         "1", 3.5, None, D(2024, 1, 1), dt.datetime(2023, 12, 31, 18), "20240102")
 
 
+def test_standard_touchpoints_and_campaigns(spark):
+    raw = spark.createDataFrame([('{"Id": "1", "Name": "n", "Type": "t", "CreatedDate": "2024-01-01T09:00:00.000+0000", "bizible2__Count_U_Shaped__c": 0.5, '
+                                  '"bizible2__Count_First_Touch__c": 2}', "20240102000000")], "json_data string, run_date string")
+    found = touchpoints.touchpoints(raw)
+    row = found.first()
+    assert len(found.columns) == 16 + 2 + 46 + 8 + 1
+    assert (row["Name_c"], row["date_Createddate"], row["bizible2__Count_U_Shaped__c"], row["bizible2__Count_First_Touch__c"]) == ("n", D(2024, 1, 1), 0.5, 2)
+    assert row["Createddate"] == dt.datetime(2024, 1, 1, 1) and row["bizible2__Touchpoint_date__c"] is None
+    campaign = touchpoints.campaigns(raw).first()
+    assert (campaign["CampaignName"], campaign["CampaignType"], campaign["CampaignStatus"]) == ("n", "t", None)
+
+
 def test_staging_catalogue(spark, tmp_path):
     users = spark.createDataFrame([(1, "a", "b", "c", "d", None, None, 9)],
                                   "id int, first_name string, last_name string, phone string, email string, last_sign_in_at timestamp, last_synced_at timestamp, more int")
