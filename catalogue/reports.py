@@ -182,7 +182,7 @@ r AS (SELECT customer_id, start_month, status AS source_status, sum(cents) AS ce
       FROM s LEFT JOIN items ON id = sub WHERE cancel_month IS NULL OR cancel_month <> start_month GROUP BY 1, 2, 3),
 act AS (SELECT customer_id, max(source_status) AS status FROM r WHERE source_status <> 'canceled' GROUP BY 1),
 can AS (SELECT customer_id, max(cancel_month) AS canceled_at FROM r WHERE source_status = 'canceled' GROUP BY 1),
-res AS (SELECT r.customer_id, start_month, source_status, CAST(CAST(floor(cents + 50) AS HUGEINT) // 100 AS BIGINT) AS amount,
+res AS (SELECT r.customer_id, start_month, source_status, CAST(CAST(floor(round(cents, 3) + 50) AS HUGEINT) // 100 AS BIGINT) AS amount,
           coalesce(act.status, 'canceled') AS status, CASE WHEN act.status IS NULL THEN can.canceled_at END AS canceled_at
         FROM r LEFT JOIN act ON r.customer_id = act.customer_id LEFT JOIN can ON r.customer_id = can.customer_id),
 spine AS (SELECT DISTINCT customer_id, CAST(m AS TIMESTAMP) AS month FROM res, (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)),

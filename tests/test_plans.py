@@ -35,6 +35,14 @@ def test_recurring_revenue(spark):
     assert [(r["customer_id"], r["mrr"], r["mrr_change"], r["start_date_month"]) for r in now] == [("c1", 30, 30, None)]
 
 
+def test_a_half_is_not_missed_by_a_hair(spark):
+    subs = spark.createDataFrame([("s", "c", dt.datetime(2024, 1, 5), None, "active")],
+                                 "id string, customer_id string, start_date timestamp, canceled_at timestamp, status string")
+    thirds = [("s", 1, 50, "month", 3)] * 3  # three times 16 2/3 cents are half a unit
+    items = spark.createDataFrame(thirds, "subscription string, quantity bigint, amount bigint, interval_period string, interval_count bigint")
+    assert revenue.recurring_revenue(subs, items, "2024-01-15").first()["mrr"] == 1
+
+
 def test_customer_status(spark):
     subs = spark.createDataFrame([
         (1, "a", "canceled", 1704067200), (2, "a", "active", None), (3, "a", "past_due", None), (4, "a", "canceled", 1704153600),

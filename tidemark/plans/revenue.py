@@ -86,7 +86,7 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
     priced = lasting.join(monthly_cents(items), "id", "left")
     gone = F.col("status") == "canceled"
     per_status = priced.groupBy("customer_id", "start_month", "status").agg(
-        (F.sum("monthly_cents") / 100).alias("_amount"), F.max("cancel_month").alias("_cancelled"))
+        F.round(F.sum("monthly_cents"), 3).alias("_cents"), F.max("cancel_month").alias("_cancelled"))
 
     # One row per customer, month and status is left, so a customer's rows fit one window, and all
     # of the following shares one sort.
@@ -95,7 +95,9 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start_month, own_status = F.col("start_month"), F.col("status")
     in_reach = start_month.between(opening, this_month)
-    amount = F.round("_amount").cast("bigint")
+    # Thirds and twelfths of cents have been rounded, so a sum can miss a half by a hair: it is
+    # rounded to a thousandth of a cent first, and only then to a whole amount.
+    amount = F.round(F.col("_cents") / 100).cast("bigint")
     timeline = per_status.select(
         "customer_id", "start_month", own_status.alias("source_status"), amount.alias("amount"),
         # Status of the customer: any that is not cancelled, else cancelled since the last cancellation.
