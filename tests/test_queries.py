@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import QUERIES, SQL
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
@@ -31,11 +32,11 @@ def canonical(names, data):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, database, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     found = canonical(df.columns, [tuple(r) for r in df.collect()])
-    result = database.execute(entry.oracle_sql()[name])
+    result = database.execute(SQL[name])
     expected = canonical([c[0] for c in result.description], result.fetchall())
     assert found == expected
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -55,4 +56,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
