@@ -203,3 +203,27 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     np.add.at(change, starts, 1)
     np.add.at(change, np.minimum(starts + length, n), -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def byte_values(buf: np.ndarray) -> np.ndarray:
+    return _BYTES[buf]
+
+
+class RangeHashes:
+    """Hashes of any byte ranges of one buffer."""
+
+    def __init__(self, buf: np.ndarray):
+        self.sums = np.zeros(len(buf) + 1, dtype=U64)
+        np.cumsum(_BYTES[buf] * powers(BYTE_BASE, len(buf)), out=self.sums[1:])
+        self.down = powers(_INVERSE, len(buf) + 1)
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[begin]) * self.down[begin])
+
+
+def ranges(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """[start, start + length) for ascending starts, those that overlap or touch merged."""
+    if not len(starts):
+        return starts, starts
+    head = np.append([True], np.diff(starts) > length)
+    return starts[head], np.append(starts[:-1][head[1:]], starts[-1]) + length

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.substring_dedup import substring_dedup
+from tidemark.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +48,9 @@ FROM texts t LEFT JOIN gone g ON t.doc_id = g.doc_id
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = substring_dedup(_table(spark, folder, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup(_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
