@@ -7,32 +7,26 @@ import numpy as np
 LANES = 2048
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes of the bytes in order (the end of the text sorts first).
+def suffix_array(text: np.ndarray, bits: int = 8) -> np.ndarray:
+    """Starts of all suffixes of symbols of so many bits, in order (the end of the text sorts first).
 
-    Groups of suffixes that agree on their first h bytes are refined by the group of the suffix h bytes
+    Groups of suffixes that agree on their first h symbols are refined by the group of the suffix h symbols
     on; groups of one are left alone, and h doubles until there are no others.
     """
-    n = len(text)
+    n, h = len(text), 64 // bits
     if n >= 1 << 31:
-        raise ValueError("a shard holds less than 2^31 bytes")
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    # The first eight bytes; a suffix that ends within them gets a smaller last digit than a zero byte.
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i:n + i]
-    order = np.argsort(key, kind="stable").astype(np.int64)
-    short = np.arange(max(0, n - 8), n)
-    differs = np.append([True], key[order[1:]] != key[order[:-1]])[:n]
-    if len(short):  # suffixes shorter than eight bytes: shorter before longer where the padded bytes agree
-        rest = np.full(n, 8, dtype=np.int64)
-        rest[short] = n - short
-        order = np.lexsort((rest, key)) if (rest < 8).any() else order
-        differs = np.append([True], (key[order[1:]] != key[order[:-1]]) | (rest[order[1:]] != rest[order[:-1]]))[:n]
+        raise ValueError("a shard holds less than 2^31 symbols")
+    padded = np.concatenate([text, np.zeros(h, text.dtype)])
+    key = np.zeros(n, dtype=np.uint64)  # the first h symbols in one number
+    for i in range(h):
+        key = (key << np.uint64(bits)) | padded[i:n + i].astype(np.uint64)
+    # Among suffixes that end within these symbols and agree with the padding, the shorter comes first.
+    rest = np.minimum(np.arange(n, 0, -1), h)
+    order = np.lexsort((rest, key))
+    differs = np.append([True], (key[order[1:]] != key[order[:-1]]) | (rest[order[1:]] != rest[order[:-1]]))[:n]
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.maximum.accumulate(np.where(differs, np.arange(n), 0))
     at = np.arange(n)
-    h = 8
     while True:
         group = rank[order[at]]
         alone = np.append([True], group[1:] != group[:-1]) & np.append(group[1:] != group[:-1], True) if len(at) else group > 0
