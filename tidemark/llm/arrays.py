@@ -34,9 +34,9 @@ def byte_class(separators: bytes) -> np.ndarray:
 
 #: Characters of `[^\x20\x09-\x0D]+` and, after lower-casing A-Z, of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`.
 NOT_SPACE = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
-ALNUM = byte_class(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+ALNUM = byte_class(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))[LOWER]
 _BYTES = mix(np.arange(1, 257, dtype=U64) * BYTE_BASE)
 
 
@@ -197,6 +197,16 @@ def texts_of(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))).cast(pa.string())
 
 
+def flag_runs(flags: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, text) of the maximal runs of set flags; text i has the entries first[i]:first[i + 1]."""
+    edge = np.append([True], flags[1:] != flags[:-1])[:len(flags)]
+    edge[first[:-1][first[:-1] < len(flags)]] = True
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], len(flags))[:len(begin)]
+    begin, end = begin[flags[begin]], end[flags[begin]]
+    return begin, end, np.searchsorted(first, begin, "right") - 1
+
+
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n places lie in one of the ranges [start, start + length)."""
     change = np.zeros(n + 1, dtype=np.int32)

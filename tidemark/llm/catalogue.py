@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_dedup import suffix_dedup
 
@@ -54,3 +55,38 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup(_table(spark, folder, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query(r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS size, array_to_string(words[start:start + 9], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(range(1, greatest(2, len(words) - 8))) AS start FROM b WHERE len(words) > 0)
+), windows AS (
+  SELECT doc_id, start, size, array_to_string(words[start:start + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS start
+        FROM d, (SELECT DISTINCT size FROM phrases))
+), found AS (
+  SELECT doc_id, item_id, start, size FROM windows JOIN phrases USING (size, phrase)
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(start, start + size)) AS place FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+""")
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), texts=False)
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["begin"])
+    ids = F.array_join(F.sort_array(F.transform("items", lambda item: item.cast("string"))), ",")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(ids, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))

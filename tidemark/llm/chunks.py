@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,3 +80,22 @@ def answers(chunk: np.ndarray, *arrays: np.ndarray) -> dict[str, list]:
     pieces = list(zip(begins, np.append(cuts, len(chunk))))
     return {"chunk": [int(chunk[i]) for i in begins]} | {
         f"more{k}": [x[order][i:j].tobytes() for i, j in pieces] for k, x in enumerate(arrays)}
+
+
+SLICE_BYTES = 4_000_000
+
+
+def slices(batches, column: str, slice_bytes: int = SLICE_BYTES):
+    """Cuts Arrow batches into slices with about so many bytes of text (one row at least)."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes) // slice_bytes
+        begins = np.flatnonzero(np.append([True], piece[1:] != piece[:-1])[:len(piece)])
+        for i, j in zip(begins, np.append(begins[1:], len(piece))):
+            yield batch.slice(i, j - i)
+
+
+def carried(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """(doc_id, text), and with `carry` the whole row as the struct `row`, so that no names can clash."""
+    columns = [F.col(_q(id_col)).cast("long").alias("doc_id"), F.col(_q(text_col)).cast("string").alias("text")]
+    return docs.select(*columns, *([F.struct("*").alias("row")] if carry else []))

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm import chunks
-from tidemark.llm.arrays import (NOT_SPACE, Words, contains, covered, gather_bytes, list_array, runs, text_bytes,
-                                 texts_of, winnow)
+from tidemark.llm.arrays import (NOT_SPACE, Words, contains, covered, flag_runs, gather_bytes, list_array, runs,
+                                 text_bytes, texts_of, winnow)
 
 WINDOW = 20  # words of a repeat
 SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -117,18 +117,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         kept, owner = np.flatnonzero(~gone), text[~gone]
         space = np.append([False], owner[1:] == owner[:-1])[:len(owner)].astype(np.int64)
         size = np.bincount(owner, weights=words.end[kept] - words.start[kept] + space, minlength=table.num_rows)
-        edge = np.append([True], (gone[1:] != gone[:-1]) | (text[1:] != text[:-1]))[:len(gone)]
-        begin = np.flatnonzero(edge)
-        end = np.append(begin[1:], len(gone))[:len(begin)]
-        begin, end = begin[gone[begin]], end[gone[begin]]
-        base = words.first[text[begin]]
+        begin, end, at = flag_runs(gone, words.first)
+        base = words.first[at]
         spans = pa.StructArray.from_arrays([pa.array(begin - base), pa.array(end - base)], ["begin", "end"])
         return pa.table({
             "doc_id": table.column("doc_id"),
             "n_words": np.diff(words.first),
             "n_removed": np.bincount(text[gone], minlength=table.num_rows),
             "kept_text": texts_of(gather_bytes(words.buf, words.start[kept], words.end[kept], space), size.astype(np.int64)),
-            "removed": list_array(np.bincount(text[begin], minlength=table.num_rows), spans),
+            "removed": list_array(np.bincount(at, minlength=table.num_rows), spans),
         }).cast(RESULT)
 
     answer = "chunk int, more0 binary"
