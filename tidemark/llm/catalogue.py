@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_dedup import suffix_dedup
 
@@ -90,3 +91,18 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     ids = F.array_join(F.sort_array(F.transform("items", lambda item: item.cast("string"))), ",")
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(ids, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@_query()
+def op2_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(_table(spark, folder, "documents"), texts=False)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
