@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.quality import quality_rules
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_dedup import suffix_dedup
@@ -106,3 +107,11 @@ def op2_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@_query()
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = _table(spark, folder, "labels").filter("quality = 1")
+    judged = quality_rules(_table(spark, folder, "documents"), trusted)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         "score")
