@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.jaccard_join import ngram_jaccard_join
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.substring_dedup import substring_dedup
@@ -115,3 +116,8 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules(_table(spark, folder, "documents"), trusted)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                          "score")
+
+
+@_query()
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard_join(_table(spark, folder, "documents"))
