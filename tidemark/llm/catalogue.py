@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.jaccard_join import ngram_jaccard_join
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.secrets import scan_secrets
 from tidemark.llm.substring_dedup import substring_dedup
@@ -121,3 +122,9 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, folder, "documents"))
+
+
+@_query()
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
