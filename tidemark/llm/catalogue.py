@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.chat import EVENTS, fold_events, read_back, render
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import ngram_jaccard_join
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import quality_rules
@@ -124,7 +125,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_jaccard_join(_table(spark, folder, "documents"))
+    return ngram_jaccard_join(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @_query()
@@ -199,3 +200,9 @@ FROM p LEFT JOIN found USING (host, path) LEFT JOIN r{ROUNDS} r ON p.host = r.ho
 """)
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query()
+def op7_extract_text(spark: SparkSession, folder: str) -> DataFrame:
+    texts = extract_text(_table(spark, folder, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

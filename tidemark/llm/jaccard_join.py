@@ -22,7 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import chunks
@@ -123,7 +123,7 @@ def meeting_keys(members: np.ndarray, first: np.ndarray, percent: int) -> tuple[
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        percent: int = PERCENT, region_bytes: int = REGION_BYTES) -> DataFrame:
-    """doc_id, n_shingles and component_id, one row per row of `docs`.
+    """doc_id, n_shingles, component_id, text_key (a hash of the text) and class, one row per row of `docs`.
 
     Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a document's set are its distinct runs of
     `shingle` words, or all its words as one where it has fewer.  Two documents link when
@@ -135,17 +135,18 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows have equal sets and share a component.  Empty tables give no rows.  Texts are never cut.
     Sets are compared by 64 bit hashes of their members.
     """
-    rows = carried(docs, id_col, text_col, False)
+    rows = carried(docs, id_col, text_col, False).withColumn("text_key", F.xxhash64("text"))
 
     def name(batches):
         for batch in slices(batches, "text"):
             _, first, names = shingle_sets(batch.column("text"), shingle)
             size = np.diff(first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0)],
-                names=["doc_id", "n_shingles", "set"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0)],
+                names=["doc_id", "text_key", "n_shingles", "set"])
 
-    named = stored(rows.mapInArrow(name, "doc_id long, n_shingles long, set long"), "jaccard-sets")
+    named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long"), "jaccard-sets")
+    rows = rows.drop("text_key")
     total = named.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(1, math.ceil(total * 2.4 * (100 - percent) / (100 + percent) / PART_KEYS))
 
@@ -223,10 +224,29 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = links.filter("set <> root")
 
     classes = named.join(links.withColumnRenamed("set", "node"), F.col("set") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "set").alias("class"))
+        "doc_id", "n_shingles", "text_key", F.coalesce("root", "set").alias("class"))
     least = classes.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least")).withColumnRenamed("class", "of")
+    least = stored(least, "jaccard-least")  # so that the join below reads plain shuffles, which can be split at a large class
     return classes.join(least, F.col("class") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        "text_key", "class")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
+                region_bytes: int = REGION_BYTES) -> DataFrame:
+    """The rows of `docs`, of each class of linked documents only the one with the smallest id (null last; then by
+    a hash of the text, and of equal rows any).  Documents without words all stay.  See `ngram_jaccard_join`.
+    """
+    joined = stored(ngram_jaccard_join(docs, id_col, text_col, shingle, percent, region_bytes), "jaccard-classes")
+    # The smallest row of a class is an aggregation with partial results, so a class may have any size.
+    stay = joined.filter("class IS NOT NULL").groupBy("class").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("least"))
+    stay = stay.select("least.doc_id", "least.text_key", F.lit(False).alias("alone")).unionByName(
+        joined.filter("class IS NULL").select("doc_id", "text_key", F.lit(True).alias("alone")).distinct())
+    rows = carried(docs, id_col, text_col, True).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "row")
+    rows = rows.join(stay, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
+    copy = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(1)))
+    return rows.withColumn("copy", copy).filter("copy = 1 OR alone").select("row.*")
 
 
 def _linked_rows(table: pa.Table, percent: int, known: str) -> pa.Table:

@@ -58,6 +58,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
         F.log((b["good"] + 1) / (F.col("n_good") + buckets)) - F.log((b["raw"] + 1) / (F.col("n_raw") + buckets)))).alias("ratios"))
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it and wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _windows(words: Column) -> Column:
     """Hash and start of each three-word window."""
     n = F.size(words)
@@ -66,26 +71,28 @@ def _windows(words: Column) -> Column:
         lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))))
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """word_chars, n_symbols, n_dup_lines and n_repeat_words next to the words (see `quality_rules`)."""
-    rows = carried(docs, id_col, text_col, carry)
-    more = ["row"] if carry else []
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), words_of(F.col("text")).alias("words"), *more)
-    words = F.col("words")
-    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.select("doc_id", "words", *more, F.size(words).cast("long").alias("n_words"),
-                       F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-                       F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-                       (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-                       F.sort_array(_windows(words)).alias("windows"))
-    # Equal neighbours among the sorted windows give the starts of repeated ones; each start covers three
-    # words, or those up to the next start.
-    starts = F.filter("windows", lambda w, k: (
-        (w["h"] == F.get("windows", k + 1)["h"]) | ((k > 0) & (w["h"] == F.get("windows", F.greatest(k - 1, F.lit(0)))["h"]))))
-    rows = rows.withColumn("starts", F.sort_array(F.transform(starts, lambda w: w["i"]))).drop("windows")
-    reach = F.transform("starts", lambda s, k: F.least(F.lit(3), F.coalesce(F.get("starts", k + 1) - s, F.lit(3))))
-    total = F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.withColumn("n_repeat_words", total).drop("starts")
+def repeat_words(words: Column) -> Column:
+    """How many words lie in three-word windows that occur twice or more.
+
+    Equal neighbours among the windows in order of their hash give the starts of repeated ones; each start
+    covers three words, or those up to the next start.
+    """
+    def starts(windows):
+        repeated = F.filter(windows, lambda w, k: (w["h"] == F.get(windows, k + 1)["h"]) | (
+            (k > 0) & (w["h"] == F.get(windows, F.greatest(k - 1, F.lit(0)))["h"])))
+        return F.sort_array(F.transform(repeated, lambda w: w["i"]))
+
+    def covered(places):
+        reach = F.transform(places, lambda s, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - s, F.lit(3))))
+        return F.aggregate(reach, F.lit(0).cast("long"), lambda total, x: total + x)
+
+    return _let(F.sort_array(_windows(words)), lambda windows: _let(starts(windows), covered))
+
+
+def mean_ratio(words: Column, ratios: Column) -> Column:
+    """Mean of the log ratios of a text's unigrams and bigrams; null without words."""
+    sums = F.zip_with(words, _pairs(words), lambda a, b: F.get(ratios, _bucket(a)) + F.get(ratios, _bucket(a, b)))
+    return F.when(F.size(words) > 0, F.aggregate(sums, F.lit(0.0), lambda total, x: total + x) / (2 * F.size(words)))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -99,18 +106,26 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     with `carry` also the whole input row as the struct `row`.
 
     Nulls: a null text has no words and fails; a null id is never trusted.  Repeated documents are judged
-    alike, and all of them count for the raw corpus; repeated ids in `trusted` count once.  A score equal to the threshold
-    is kept.  Empty tables: no rows; without trusted documents the trusted multinomial is uniform.  Texts
-    are never cut.
+    alike, and all of them count for the raw corpus; repeated ids in `trusted` count once.  A score equal to
+    the threshold is kept.  Empty tables: no rows; without trusted documents the trusted multinomial is
+    uniform.  Texts are never cut.
     """
     # As many numbers as there are buckets come to the driver and go into the plan as one constant array.
     ratios = log_ratios(docs, trusted, id_col, text_col).first()["ratios"]
     ratios = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    rows = measures(docs, id_col, text_col, carry)
-    words = F.col("words")
-    total = F.aggregate(
-        F.zip_with(words, _pairs(words), lambda a, b: F.get(ratios, _bucket(a)) + F.get(ratios, _bucket(a, b))),
-        F.lit(0.0), lambda total, x: total + x)
-    rows = rows.withColumn("score", F.when(F.col("n_words") > 0, total / (2 * F.col("n_words")))).drop("words")
+    text = F.coalesce("text", F.lit(""))
+    measured = _let(words_of(F.col("text")), lambda words: F.struct(
+        F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        repeat_words(words).alias("n_repeat_words"), mean_ratio(words, ratios).alias("score")))
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    again = _let(lines, lambda some: F.size(some) - F.size(F.array_distinct(some)))
+    rows = carried(docs, id_col, text_col, carry).select(
+        "doc_id", measured.alias("m"), F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        again.cast("long").alias("n_dup_lines"), *(["row"] if carry else []))
+    rows = rows.select("doc_id", "m.n_words", "m.word_chars", "n_symbols", "n_dup_lines", "m.n_repeat_words", "m.score",
+                       *(["row"] if carry else []))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.coalesce("score", F.lit(0.0)) >= threshold))
+    # The last term is always true.  It only keeps a filter on `kept` above the measures, which would else be
+    # computed once for the filter and once for its result.
+    passed = (F.coalesce("score", F.lit(0.0)) >= threshold) & (F.monotonically_increasing_id() >= 0)
+    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & passed)
