@@ -164,9 +164,8 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _HREF = r"""(?i)href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)"""
 _RANKS = "".join(f"""
 ), r{k + 1} AS (
-  SELECT n.host, {1 - DAMPING!r} * t + {DAMPING} * (coalesce(ct, 0) + CASE WHEN n_out IS NULL THEN trust ELSE 0 END) AS trust,
-         {1 - DAMPING!r} * d + {DAMPING} * (coalesce(cd, 0) + CASE WHEN n_in IS NULL THEN distrust ELSE 0 END) AS distrust
-  FROM n JOIN r{k} USING (host)
+  SELECT n.host, t + {DAMPING} * coalesce(ct, 0) AS trust, d + {DAMPING} * coalesce(cd, 0) AS distrust
+  FROM n
   LEFT JOIN (SELECT dst AS host, sum(trust * n / n_out) AS ct FROM l JOIN n ON l.src = n.host JOIN r{k} ON l.src = r{k}.host GROUP BY 1) USING (host)
   LEFT JOIN (SELECT src AS host, sum(distrust * n / n_in) AS cd FROM l JOIN n ON l.dst = n.host JOIN r{k} ON l.dst = r{k}.host GROUP BY 1) USING (host)
 """ for k in range(ROUNDS))

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.arrays import part_of
 
@@ -99,3 +100,8 @@ def carried(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFra
     """(doc_id, text), and with `carry` the whole row as the struct `row`, so that no names can clash."""
     columns = [F.col(_q(id_col)).cast("long").alias("doc_id"), F.col(_q(text_col)).cast("string").alias("text")]
     return docs.select(*columns, *([F.struct("*").alias("row")] if carry else []))
+
+
+def schema_of(ddl: str, rows: DataFrame) -> T.StructType:
+    """The columns of `ddl`, and `row` as in `rows` if it is carried."""
+    return T.StructType([*T.StructType.fromDDL(ddl).fields, *(f for f in rows.schema.fields if f.name == "row")])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import ALNUM, LOWER, Words, contains, flag_runs, list_array, text_bytes, texts_of
-from tidemark.llm.chunks import _q, carried, slices
+from tidemark.llm.chunks import _q, carried, schema_of, slices
 from tidemark.llm.fm_index import FMIndex
 
 WINDOW = 10  # words of a phrase
@@ -117,11 +117,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spans = "array<struct<begin:long,end:long>>"
     rows = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast(spans).alias("hits"),
                        F.array().cast("array<long>").alias("items"))
-    row_type = f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""
     for k, block in enumerate(blocks):
         last = k == len(blocks) - 1
         out = "kept_text string" if texts and last else "text string" if not last else ""
-        schema = f"doc_id long, n_words long, hits {spans}, items array<long>" + (out and f", {out}") + row_type
+        schema = schema_of(f"doc_id long, n_words long, hits {spans}, items array<long>" + (out and f", {out}"), rows)
         rows = rows.mapInArrow(_pass(block, out.split(" ")[0], carry), schema)
     return rows
 

@@ -37,7 +37,10 @@ def _pairs(words: Column) -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                buckets: int = BUCKETS, most_trusted: int = TRUSTED) -> DataFrame:
-    """One row with the array `ratios`: log p(trusted) - log p(raw) by bucket, with one added to each count.
+    """One row with the array `ratios`: log p(trusted) - log p(raw) by bucket.
+
+    The raw counts have one added each; the trusted ones are drawn towards the raw multinomial as if it had
+    been seen once per bucket, so a small trusted set says little rather than something wrong.
 
     `trusted` has ids of trusted documents.  The raw multinomial counts all documents; the trusted one is
     fitted on `most_trusted` of them at most, whose ids are broadcast.
@@ -54,8 +57,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     counts = counts.unionByName(every).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
     whole = counts.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "good"))).alias("all"),
                        F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
-    return whole.select(F.transform("all", lambda b: (
-        F.log((b["good"] + 1) / (F.col("n_good") + buckets)) - F.log((b["raw"] + 1) / (F.col("n_raw") + buckets)))).alias("ratios"))
+    def ratio(bucket):
+        raw = (bucket["raw"] + 1) / (F.col("n_raw") + buckets)
+        return F.log((bucket["good"] + buckets * raw) / (F.col("n_good") + buckets) / raw)
+
+    return whole.select(F.transform("all", ratio).alias("ratios"))
 
 
 def _let(value: Column, body) -> Column:
@@ -107,8 +113,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
     Nulls: a null text has no words and fails; a null id is never trusted.  Repeated documents are judged
     alike, and all of them count for the raw corpus; repeated ids in `trusted` count once.  A score equal to
-    the threshold is kept.  Empty tables: no rows; without trusted documents the trusted multinomial is
-    uniform.  Texts are never cut.
+    the threshold is kept.  Empty tables: no rows; without trusted documents every score is 0.  Texts are never cut.
     """
     # As many numbers as there are buckets come to the driver and go into the plan as one constant array.
     ratios = log_ratios(docs, trusted, id_col, text_col).first()["ratios"]

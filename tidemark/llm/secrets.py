@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.arrays import list_array, text_bytes
 from tidemark.llm.automaton import Automaton, compile_rules
-from tidemark.llm.chunks import carried, slices
+from tidemark.llm.chunks import carried, schema_of, slices
 
 
 @dataclass(frozen=True)
@@ -70,9 +70,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rules = tuple(rules)
     rows = carried(docs, id_col, text_col, carry)
-    schema = "doc_id long, spans array<struct<kind:string,start:long,end:long>>" + ", clean_text string" * texts
-    if carry:
-        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+    schema = schema_of("doc_id long, spans array<struct<kind:string,start:long,end:long>>" + ", clean_text string" * texts, rows)
 
     def search(batches):
         for batch in slices(batches, "text"):

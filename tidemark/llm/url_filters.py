@@ -65,13 +65,14 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """(host, trust, distrust) from (host, trust, distrust) of seeds and (src, dst, n) of links.
 
-    A host without links out keeps its trust, one without links in its distrust.
+    Personalised PageRank with restarts at the seeds, in units of 1 - damping, so that a seed without links
+    keeps the value it was given.
     """
     links = stored(links, "links")
     out, into = (links.groupBy(F.col(c).alias("host")).agg(F.sum("n").alias(s)) for c, s in (("src", "n_out"), ("dst", "n_in")))
     hosts = seeds.select("host").unionByName(links.select(F.col("src").alias("host"))).unionByName(links.select(F.col("dst").alias("host")))
     nodes = hosts.distinct().join(seeds.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d")), "host", "left")
-    nodes = stored(nodes.join(out, "host", "left").join(into, "host", "left").na.fill(0.0, ["t", "d"]), "hosts")
+    nodes = stored(nodes.na.fill(0.0, ["t", "d"]), "hosts")
     flows = links.join(out, links["src"] == out["host"]).drop("host").join(into, F.col("dst") == into["host"]).drop("host")
     forward = flows.select(F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("n") / F.col("n_out")).alias("a"), F.lit(0.0).alias("b"))
     back = flows.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("a"), (F.col("n") / F.col("n_in")).alias("b"))
@@ -80,13 +81,10 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     for _ in range(rounds):
         come = flows.join(ranks, flows["from"] == ranks["host"]).groupBy(F.col("to").alias("host")).agg(
             F.sum(F.col("trust") * F.col("a")).alias("come_t"), F.sum(F.col("distrust") * F.col("b")).alias("come_d"))
-        step = nodes.join(ranks, "host").join(come, "host", "left")
-        kept_t, kept_d = F.when(F.col("n_out").isNull(), F.col("trust")), F.when(F.col("n_in").isNull(), F.col("distrust"))
         zero = F.lit(0.0)
-        ranks = stored(step.select(
-            "host",
-            ((1 - damping) * F.col("t") + damping * (F.coalesce("come_t", zero) + F.coalesce(kept_t, zero))).alias("trust"),
-            ((1 - damping) * F.col("d") + damping * (F.coalesce("come_d", zero) + F.coalesce(kept_d, zero))).alias("distrust")), "ranks")
+        ranks = stored(nodes.join(come, "host", "left").select(
+            "host", (F.col("t") + damping * F.coalesce("come_t", zero)).alias("trust"),
+            (F.col("d") + damping * F.coalesce("come_d", zero)).alias("distrust")), "ranks")
     return ranks
 
 
