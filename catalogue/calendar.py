@@ -162,16 +162,19 @@ def date_dimension(t):
                          else F.col(f.name) for f in wide.schema.fields])
 
 
+#: A fiscal year ends on the Saturday closest to the end of January, which is the one from 28 January to 3 February.  Its weeks are
+#: numbered, and their place in the 4-5-4 calendar is looked up in a table of the twelve periods.
 FISCAL_SQL = """
-WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
-d AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
-weeks AS (SELECT d AS ws, d + 6 AS we FROM d WHERE dayofweek(d) = 0),
-ends AS (SELECT year(ws) - 1 AS fy, we,
-           rank() OVER (PARTITION BY year(ws) ORDER BY abs(date_diff('day', we, last_day(ws)))) AS r
-         FROM weeks WHERE month(ws) = 1),
-years AS (SELECT fy, lag(we) OVER (ORDER BY we) + 1 AS fs, we AS fe FROM ends WHERE r = 1),
-days AS (SELECT d.d, fy, fs, fe, ws, we, dense_rank() OVER (PARTITION BY fy ORDER BY ws) AS wk
-         FROM d JOIN years ON d.d BETWEEN fs AND fe JOIN weeks ON d.d BETWEEN ws AND we),
+WITH known AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+closing AS (SELECT y - 1 AS fy, make_date(y, 1, 28) + CAST(6 - dayofweek(make_date(y, 1, 28)) AS INTEGER) AS fe
+            FROM known, unnest(generate_series(year(lo), year(hi))) g(y)),
+weeks AS (SELECT this.fy, before.fe + 1 AS fs, this.fe, CAST(wk AS BIGINT) AS wk, before.fe + 1 + CAST(7 * (wk - 1) AS INTEGER) AS ws
+          FROM known, closing this JOIN closing before ON before.fy = this.fy - 1, unnest(generate_series(1, 53)) g(wk)
+          WHERE before.fe - 6 >= lo AND this.fe - 6 <= hi AND before.fe + CAST(7 * (wk - 1) AS INTEGER) < this.fe),
+period(number, first, last) AS (VALUES (1, 1, 4), (2, 5, 9), (3, 10, 13), (4, 14, 17), (5, 18, 22), (6, 23, 26),
+                                       (7, 27, 30), (8, 31, 35), (9, 36, 39), (10, 40, 43), (11, 44, 48), (12, 49, 53)),
+days AS (SELECT ws + CAST(i AS INTEGER) AS d, fy, fs, fe, wk, ws, ws + 6 AS we, number, first
+         FROM known, weeks JOIN period ON wk BETWEEN first AND last, unnest(generate_series(0, 6)) g(i) WHERE ws + CAST(i AS INTEGER) <= hi),
 n AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders FROM orders GROUP BY 1)
 """
 
@@ -196,15 +199,11 @@ def fiscal_years(t):
     return days.groupBy(*keys).agg(F.coalesce(F.sum("n_orders"), F.lit(0)).alias("n_orders"))
 
 
-@query(FISCAL_SQL + """,
-w13 AS (SELECT *, (wk - 1) % 13 AS w, CAST(least(floor((wk - 1) / 13.0), 3) AS BIGINT) AS q FROM days),
-p AS (SELECT *, CASE WHEN wk = 53 THEN 3 WHEN w BETWEEN 0 AND 3 THEN 1 WHEN w BETWEEN 4 AND 8 THEN 2 ELSE 3 END AS pq FROM w13)
-SELECT CAST(p.d AS VARCHAR) AS date_day, fy AS fiscal_year_number, CAST(ws AS VARCHAR) AS week_start_date,
-       CAST(we AS VARCHAR) AS week_end_date, wk AS fiscal_week_of_year,
-       dense_rank() OVER (PARTITION BY q * 3 + pq ORDER BY wk) AS fiscal_week_of_period,
-       q * 3 + pq AS fiscal_period_number, q + 1 AS fiscal_quarter_number, pq AS fiscal_period_of_quarter,
-       coalesce(n_orders, 0) AS n_orders
-FROM p LEFT JOIN n ON p.d = n.d""")
+@query(FISCAL_SQL + """
+SELECT CAST(days.d AS VARCHAR) AS date_day, fy AS fiscal_year_number, CAST(ws AS VARCHAR) AS week_start_date, CAST(we AS VARCHAR) AS week_end_date,
+       wk AS fiscal_week_of_year, wk - first + 1 AS fiscal_week_of_period, number AS fiscal_period_number, (number + 2) // 3 AS fiscal_quarter_number,
+       (number - 1) % 3 + 1 AS fiscal_period_of_quarter, coalesce(n_orders, 0) AS n_orders
+FROM days LEFT JOIN n ON days.d = n.d""")
 def fiscal_periods(t):
     dates, daily = _fiscal_input(t)
     days = spines.fiscal_periods(dates, 1, 1, 1).join(daily, "date_day", "left")

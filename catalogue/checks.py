@@ -122,29 +122,33 @@ def check_expression_is_true(t):
     return c.expression_is_true(source, "> 50000", column="o_totalprice", where="o_orderstatus = 'F'").drop("o_orderstatus")
 
 
-@query("""
-WITH r AS (SELECT o_custkey AS p, CAST(o_orderdate AS DATE) AS lo,
-                  CAST(o_orderdate AS DATE) + CAST(o_orderkey % 300 AS INTEGER) AS hi FROM orders),
-w AS (SELECT *, lead(lo) OVER (PARTITION BY p ORDER BY lo, hi) AS nx,
-             row_number() OVER (PARTITION BY p ORDER BY lo DESC, hi DESC) = 1 AS is_last FROM r),
-x AS (SELECT *, coalesce(lo < hi, false) AS proper, coalesce(hi <= nx, is_last, false) AS apart FROM w)
-SELECT p AS partition_by_col, CAST(lo AS VARCHAR) AS lower_bound, CAST(hi AS VARCHAR) AS upper_bound, CAST(nx AS VARCHAR) AS next_lower_bound,
-       is_last AS is_last_record, count(*) AS n_records, proper AS lower_bound_less_than_upper_bound,
-       apart AS upper_bound_less_than_or_equal_to_next_lower_bound
-FROM x WHERE NOT (proper AND apart) GROUP BY ALL""")
+#: Each distinct range meets all ranges that start after it (or end later); of equal ranges all but one are followed by their like.
+FOLLOWED_SQL = """
+followed AS (SELECT a.p, a.lo, a.hi, a.n, min(b.lo) AS after FROM spans a LEFT JOIN spans b ON a.p = b.p AND (b.lo > a.lo OR b.lo = a.lo AND b.hi > a.hi)
+             GROUP BY ALL),
+met AS (SELECT p, lo, hi, after, 1 AS n FROM followed UNION ALL SELECT p, lo, hi, lo, n - 1 FROM followed WHERE n > 1)
+"""
+
+
+@query(f"""
+WITH spans AS (SELECT o_custkey AS p, CAST(o_orderdate AS DATE) AS lo, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 300 AS INTEGER) AS hi, count(*) AS n
+               FROM orders GROUP BY ALL), {FOLLOWED_SQL}
+SELECT p AS partition_by_col, CAST(lo AS VARCHAR) AS lower_bound, CAST(hi AS VARCHAR) AS upper_bound, CAST(after AS VARCHAR) AS next_lower_bound,
+       after IS NULL AS is_last_record, CAST(sum(n) AS BIGINT) AS n_records, lo < hi AS lower_bound_less_than_upper_bound,
+       after IS NULL OR hi <= after AS upper_bound_less_than_or_equal_to_next_lower_bound
+FROM met WHERE lo >= hi OR hi > after GROUP BY p, lo, hi, after""")
 def check_mutually_exclusive_ranges(t):
     start = F.col("o_orderdate").cast("date")
     return c.mutually_exclusive_ranges(t.orders, start, F.date_add(start, (F.col("o_orderkey") % 300).cast("int")),
                                        partition_by="o_custkey")
 
 
-@query("""
-WITH r AS (SELECT p_partkey AS lo, p_partkey + CASE WHEN p_size < 3 THEN 2 WHEN p_size > 48 THEN 0 ELSE 1 END AS hi FROM part),
-w AS (SELECT *, lead(lo) OVER (ORDER BY lo, hi) AS nx, row_number() OVER (ORDER BY lo DESC, hi DESC) = 1 AS is_last FROM r),
-x AS (SELECT *, coalesce(lo <= hi, false) AS proper, coalesce(hi = nx, is_last, false) AS apart FROM w)
-SELECT lo AS lower_bound, hi AS upper_bound, nx AS next_lower_bound, is_last AS is_last_record, count(*) AS n_records,
-       proper AS lower_bound_less_than_or_equal_to_upper_bound, apart AS upper_bound_equal_to_next_lower_bound
-FROM x WHERE NOT (proper AND apart) GROUP BY ALL""")
+@query(f"""
+WITH spans AS (SELECT 0 AS p, p_partkey AS lo, p_partkey + CASE WHEN p_size < 3 THEN 2 WHEN p_size > 48 THEN 0 ELSE 1 END AS hi, count(*) AS n
+               FROM part GROUP BY ALL), {FOLLOWED_SQL}
+SELECT lo AS lower_bound, hi AS upper_bound, after AS next_lower_bound, after IS NULL AS is_last_record, CAST(sum(n) AS BIGINT) AS n_records,
+       lo <= hi AS lower_bound_less_than_or_equal_to_upper_bound, after IS NULL OR hi = after AS upper_bound_equal_to_next_lower_bound
+FROM met WHERE lo > hi OR hi <> after GROUP BY p, lo, hi, after""")
 def check_ranges_without_gaps(t):
     width = F.when(F.col("p_size") < 3, 2).when(F.col("p_size") > 48, 0).otherwise(1)
     return c.mutually_exclusive_ranges(t.part, "p_partkey", F.col("p_partkey") + width, gaps="not_allowed", zero_length=True)

@@ -175,32 +175,27 @@ def _mrr_sql(history: bool) -> str:
 items AS (SELECT l_orderkey AS sub, sum(CAST(CASE WHEN l_returnflag = 'A' THEN CAST(round(l_extendedprice * 100) AS BIGINT) / 1 / 12 * CAST(l_quantity AS BIGINT)
             ELSE CAST(round(l_extendedprice * 100) AS BIGINT) / CASE WHEN l_returnflag = 'R' THEN 3 ELSE 1 END * CAST(l_quantity AS BIGINT) END AS DECIMAL(28,6))) AS cents
           FROM lineitem GROUP BY 1),
-s AS (SELECT o_orderkey AS id, 'cus_' || o_custkey AS customer_id, date_trunc('month', o_orderdate) AS start_month,
-        CASE WHEN o_orderstatus = 'F' THEN date_trunc('month', o_orderdate + CAST(o_orderkey % 300 AS INTEGER) * INTERVAL 1 DAY) END AS cancel_month,
-        CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'active' ELSE 'past_due' END AS status FROM orders),
-r AS (SELECT customer_id, start_month, status AS source_status, sum(cents) AS cents, max(cancel_month) AS cancel_month
-      FROM s LEFT JOIN items ON id = sub WHERE cancel_month IS NULL OR cancel_month <> start_month GROUP BY 1, 2, 3),
-act AS (SELECT customer_id, max(source_status) AS status FROM r WHERE source_status <> 'canceled' GROUP BY 1),
-can AS (SELECT customer_id, max(cancel_month) AS canceled_at FROM r WHERE source_status = 'canceled' GROUP BY 1),
-res AS (SELECT r.customer_id, start_month, source_status, CAST(CAST(floor(round(cents, 3) + 50) AS HUGEINT) // 100 AS BIGINT) AS amount,
-          coalesce(act.status, 'canceled') AS status, CASE WHEN act.status IS NULL THEN can.canceled_at END AS canceled_at
-        FROM r LEFT JOIN act ON r.customer_id = act.customer_id LEFT JOIN can ON r.customer_id = can.customer_id),
-spine AS (SELECT DISTINCT customer_id, CAST(m AS TIMESTAMP) AS month FROM res, (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)),
-joined AS (SELECT spine.customer_id, month, start_month, source_status, amount, status, canceled_at
-           FROM spine LEFT JOIN res ON spine.customer_id = res.customer_id AND month = start_month),
-tops AS (SELECT customer_id, month, arg_max(amount, source_status) AS top FROM joined GROUP BY 1, 2),
-fill AS (SELECT customer_id, month, last_value(top IGNORE NULLS) OVER (PARTITION BY customer_id ORDER BY month) AS mrr FROM tops),
-full_rows AS (SELECT j.customer_id, j.month, start_month, source_status, amount, f.mrr,
-           first_value(status IGNORE NULLS) OVER (PARTITION BY j.customer_id ORDER BY j.month) AS status,
-           first_value(canceled_at IGNORE NULLS) OVER (PARTITION BY j.customer_id ORDER BY j.month) AS canceled_at
-         FROM joined j JOIN fill f ON j.customer_id = f.customer_id AND j.month = f.month),
-mrr AS (SELECT customer_id, CAST(CAST(month AS DATE) AS VARCHAR) AS month, CAST(CAST(start_month AS DATE) AS VARCHAR) AS start_date_month,
-          amount AS monthly_amount_after_discount, CAST(CAST(canceled_at AS DATE) AS VARCHAR) AS canceled_at, status, mrr,
-          coalesce(mrr - lag(mrr) OVER up, mrr) AS mrr_change, row_number() OVER up AS mrr_rank_asc,
-          row_number() OVER (PARTITION BY customer_id ORDER BY full_rows.month DESC, source_status DESC) AS mrr_rank_desc
-        FROM full_rows WHERE mrr IS NOT NULL AND (canceled_at IS NULL OR full_rows.month <= canceled_at)
-          {'' if history else "AND full_rows.month = TIMESTAMP '2001-08-01'"}
-        WINDOW up AS (PARTITION BY customer_id ORDER BY full_rows.month, source_status NULLS FIRST))"""
+begun AS (  -- subscriptions by the month they began in, without those cancelled in that month
+  SELECT 'cus_' || o_custkey AS customer_id, date_trunc('month', o_orderdate) AS start_month,
+         CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'active' ELSE 'past_due' END AS source_status,
+         CAST(CAST(floor(round(sum(cents), 3) + 50) AS HUGEINT) // 100 AS BIGINT) AS amount,
+         max(date_trunc('month', o_orderdate + CAST(o_orderkey % 300 AS INTEGER) * INTERVAL 1 DAY)) AS ended
+  FROM orders LEFT JOIN items ON o_orderkey = sub
+  WHERE o_orderstatus <> 'F' OR date_trunc('month', o_orderdate) <> date_trunc('month', o_orderdate + CAST(o_orderkey % 300 AS INTEGER) * INTERVAL 1 DAY)
+  GROUP BY 1, 2, 3),
+person AS (SELECT customer_id, coalesce(max(source_status) FILTER (source_status <> 'canceled'), 'canceled') AS status,
+             CASE WHEN bool_and(source_status = 'canceled') THEN max(ended) END AS canceled_at FROM begun GROUP BY 1),
+level AS (SELECT customer_id, start_month, arg_max(amount, source_status) AS mrr FROM begun
+          WHERE amount IS NOT NULL AND start_month BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-08-01' GROUP BY 1, 2),
+present AS (SELECT person.*, CAST(m AS TIMESTAMP) AS month FROM person, unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) g(m)
+       WHERE (canceled_at IS NULL OR m <= canceled_at) {'' if history else "AND m = TIMESTAMP '2001-08-01'"}),
+standing AS (SELECT present.*, level.mrr FROM present ASOF JOIN level ON present.customer_id = level.customer_id AND present.month >= level.start_month),
+mrr AS (SELECT customer_id, strftime(month, '%Y-%m-%d') AS month, strftime(start_month, '%Y-%m-%d') AS start_date_month,
+          amount AS monthly_amount_after_discount, strftime(canceled_at, '%Y-%m-%d') AS canceled_at, status, mrr,
+          mrr - coalesce(lag(mrr) OVER up, 0) AS mrr_change, row_number() OVER up AS mrr_rank_asc,
+          count(*) OVER (PARTITION BY customer_id) - row_number() OVER up + 1 AS mrr_rank_desc
+        FROM standing LEFT JOIN (SELECT customer_id, start_month, source_status, amount, start_month AS month FROM begun) USING (customer_id, month)
+        WINDOW up AS (PARTITION BY customer_id ORDER BY month, source_status NULLS FIRST))"""
 
 
 def _mrr(t, history=False, as_of=AS_OF):
@@ -481,10 +476,10 @@ def _seen_before(t):
 SEEN_SQL = """
 org AS (SELECT c_custkey AS id, c_acctbal > 5000 AS converted FROM customer),
 member AS (SELECT o_orderkey AS id, o_custkey AS user_id, o_orderkey * 7 % 1000 AS org_id, o_orderkey % 9 AS role_id FROM orders),
-recs AS (SELECT user_id, count(member.id) AS recs FROM member JOIN org ON org_id = org.id WHERE converted GROUP BY 1),
-known AS (SELECT c_custkey AS user_id, coalesce(recs, 0) AS n FROM customer LEFT JOIN recs ON c_custkey = recs.user_id),
-seen AS (SELECT DISTINCT org.id FROM org JOIN member ON org.id = org_id JOIN region ON role_id = r_regionkey AND r_regionkey < 2 JOIN known ON member.user_id = known.user_id
-         WHERE (n > 1 AND converted) OR (n > 0 AND NOT converted))"""
+seen AS (SELECT id FROM org WHERE EXISTS (  -- an owner who has one more membership, and that in a converted organisation
+  SELECT 1 FROM member owner JOIN region ON owner.role_id = r_regionkey AND r_regionkey < 2 JOIN customer ON owner.user_id = c_custkey
+  JOIN member other ON other.user_id = owner.user_id AND other.id <> owner.id JOIN org paid ON other.org_id = paid.id AND paid.converted
+  WHERE owner.org_id = org.id))"""
 
 
 @query(f"WITH {SEEN_SQL} SELECT id AS organization_id FROM seen")

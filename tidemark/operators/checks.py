@@ -185,13 +185,13 @@ def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLik
         F.col("_next.n").alias("n_records"))
 
     low, high, after = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
-    proper = low <= high if zero_length else low < high
-    apart = {"not_allowed": high == after, "allowed": high <= after, "required": high < after}[gaps]
-    proper_name = f"lower_bound_{'less_than_or_equal_to' if zero_length else 'less_than'}_upper_bound"
-    apart_name = f"upper_bound_{GAP_RULES[gaps]}_next_lower_bound"
-    judged = rows.select("*", F.coalesce(proper, F.lit(False)).alias(proper_name),
-                         F.coalesce(apart, F.col("is_last_record"), F.lit(False)).alias(apart_name))
-    return judged.filter(~(F.col(proper_name) & F.col(apart_name)))
+    unknown = low.isNull() | high.isNull()
+    reversed_ = unknown | (low > high if zero_length else low >= high)
+    breaks_rule = {"not_allowed": high != after, "allowed": high > after, "required": high >= after}[gaps]
+    collides = ~F.col("is_last_record") & F.coalesce(breaks_rule, F.lit(True))
+    return rows.filter(reversed_ | collides).select(
+        "*", (~reversed_).alias(f"lower_bound_{'less_than_or_equal_to' if zero_length else 'less_than'}_upper_bound"),
+        (~collides).alias(f"upper_bound_{GAP_RULES[gaps]}_next_lower_bound"))
 
 
 def columns_match_set(df: DataFrame, columns: Iterable[str]) -> DataFrame:
