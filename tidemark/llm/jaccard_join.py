@@ -7,12 +7,13 @@
    the hash of a block (with its number and a size class) is a key under which linked nodes meet.  Should
    all blocks in which they agree be empty, both have more empty blocks than the spare ones; such nodes also
    meet under the first members of their sets in hash order (prefix filter).  Keys travel packed, once per
-   slice of documents and node.
+   slice of documents and node, and shortened to 40 bits within a part of the hash space: nodes that meet by
+   chance are refuted later like all others.
 3. Nodes that meet anywhere form a region.  In each region the points of the nodes (n-grams hashed into
    groups, counted) are indexed by a packed R-tree; the sum of smaller coordinates bounds what two nodes
    share, and pairs that survive are verified on the sets themselves.  Pairs that are linked already over
-   others are not looked at.  A region of more than `region_bytes` is cut by hash into pieces, which are
-   searched each for itself and then in pairs.
+   others are not looked at.  A region of more than `region_bytes` is cut into neighbouring pairs of size
+   classes, and what is still larger by hash into pieces, which are searched each for itself and in pairs.
 4. Connected components of the links, by alternating stars, give each document its class.
 """
 
@@ -25,8 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunks
-from tidemark.llm.arrays import LOWER, MIX_A, MIX_B, NOT_SPACE, U64, Words, mix, runs, text_bytes
+from tidemark.llm.arrays import LOWER, MIX_A, MIX_B, NOT_SPACE, U64, Words, mix, part_of, runs, text_bytes
 from tidemark.llm.chunks import carried, slices
 from tidemark.llm.components import components
 from tidemark.llm.count_tree import linked
@@ -34,7 +34,8 @@ from tidemark.llm.storage import stored
 
 SHINGLE, PERCENT = 3, 90
 REGION_BYTES = 32_000_000  # of sets in one task
-PART_KEYS = 500_000
+PART_KEYS = 2_000_000
+KEY_BITS = U64((1 << 40) - 1)
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,11 +142,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in slices(batches, "text"):
             _, first, names = shingle_sets(batch.column("text"), shingle)
             size = np.diff(first)
+            label = SizeClasses(int(size.max(initial=0)), percent).of(size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0)],
-                names=["doc_id", "text_key", "n_shingles", "set"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0),
+                 pa.array(label)], names=["doc_id", "text_key", "n_shingles", "set", "label"])
 
-    named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long"), "jaccard-sets")
+    named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long, label long"), "jaccard-sets")
     rows = rows.drop("text_key")
     total = named.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(1, math.ceil(total * 2.4 * (100 - percent) / (100 + percent) / PART_KEYS))
@@ -158,15 +160,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             keep[once] = True
             size = np.diff(first)
             members = members[np.repeat(keep, size)]
-            names = names[keep]
             key, owner = meeting_keys(members, np.concatenate([[0], np.cumsum(size[keep])]), percent)
-            order = np.argsort(key, kind="stable")
-            rows = chunks.sent(0, parts, key[order], names[owner[order]])
-            del rows["chunk"]
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("more0", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(_packed_keys(key, owner, names[keep], parts), schema=_PACKED)
 
     def meet(table: pa.Table) -> pa.Table:
-        key, node = (chunks.unpacked(table.column(c), np.uint64) for c in ("hashes", "more0"))
+        key, node = _unpacked_keys(table)
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         begin = np.append([True], key[1:] != key[:-1])[:len(key)]
@@ -175,16 +173,26 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         edges = np.unique(np.column_stack([node[pair], leader[pair]]), axis=0).reshape(-1, 2).view(np.int64)
         return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
 
-    met = rows.mapInArrow(keys, "part int, hashes binary, more0 binary").groupBy("part").applyInArrow(meet, "a long, b long")
+    met = rows.mapInArrow(keys, "part int, top binary, low binary, node binary, names binary").groupBy("part").applyInArrow(
+        meet, "a long, b long")
     regions = components(met, "jaccard-regions")
 
-    # The sets of nodes that met others, each from one document that has it.
-    one = named.filter("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
-    nodes = regions.join(one, regions["node"] == one["set"]).select("doc_id", "set", "size", F.col("root").alias("region"))
-    pieces = nodes.groupBy("region").agg(F.ceil(8 * F.sum("size") / F.lit(region_bytes)).cast("int").alias("pieces"))
-    nodes = nodes.join(pieces, "region")
-    wanted = rows.withColumnRenamed("doc_id", "id").join(nodes, F.col("id").eqNullSafe(F.col("doc_id"))).select(
-        "text", "set", "region", "pieces")
+    # Nodes that met others, each with one document that has it, and the units they are searched in: their region or,
+    # where that is large, its pairs of neighbouring size classes.
+    one = named.filter("set IS NOT NULL").groupBy("set").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"), F.min("label").alias("label"))
+    nodes = regions.join(one, regions["node"] == one["set"]).select("doc_id", "set", "size", "label", F.col("root").alias("region"))
+    large = nodes.groupBy("region").agg((8 * F.sum("size") > region_bytes).alias("large"))
+    either = F.when(F.col("large"), F.array("label", F.col("label") - 1)).otherwise(F.array(F.lit(-2).cast("long")))
+    nodes = nodes.join(large, "region").select("doc_id", "set", "size", F.explode(either).alias("label"), "region")
+    nodes = nodes.select("doc_id", "set", "size", F.xxhash64("region", "label").alias("unit"))
+    pieces = nodes.groupBy("unit").agg(F.ceil(8 * F.sum("size") / F.lit(region_bytes)).cast("int").alias("pieces"))
+    nodes = stored(nodes.join(pieces, "unit"), "jaccard-nodes")
+    size, most = nodes.agg(F.sum("size"), F.max("pieces")).first()
+    bins = max(1, math.ceil(4 * 8 * (size or 0) / region_bytes))
+
+    wanted = nodes.groupBy("doc_id", "set").agg(F.collect_list(F.struct("unit", "pieces")).alias("units"))  # two at most
+    wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "set", "units")
 
     def fetch(batches):
         for batch in slices(batches, "text"):
@@ -192,38 +200,28 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             same = np.flatnonzero(names.view(np.int64) == batch.column("set").to_numpy())
             sets = pa.array([members[first[i]:first[i + 1]].tobytes() for i in same], pa.binary())
             at = pa.array(same)
-            yield pa.RecordBatch.from_arrays([sets, *(batch.column(c).take(at) for c in ("set", "region", "pieces"))],
-                                             names=["members", "set", "region", "pieces"])
+            yield pa.RecordBatch.from_arrays([sets, *(batch.column(c).take(at) for c in ("set", "units"))], names=["members", "set", "units"])
 
-    sets = stored(wanted.mapInArrow(fetch, "members binary, set long, region long, pieces int"), "jaccard-members")
-    n_regions, size, most = sets.agg(F.count_distinct("region"), F.sum(F.length("members")), F.max("pieces")).first()
-    bins = max(1, math.ceil(4 * (size or 0) / region_bytes))
-    # Small regions share a task; pieces of large ones have a task each.
+    sets = wanted.mapInArrow(fetch, "members binary, set long, units array<struct<unit:long,pieces:int>>")
+    sets = sets.select("members", "set", F.inline("units"))
+    # Small units share a task; pieces of large ones have a task each.
     piece = F.pmod(F.xxhash64("set"), F.col("pieces"))
-    task = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("region"), F.lit(bins))).otherwise(F.xxhash64("region", piece))
+    task = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("unit"), F.lit(bins))).otherwise(F.xxhash64("unit", piece))
 
     def link(table: pa.Table) -> pa.Table:
-        return _linked_rows(table, percent, "set")
+        return _linked_rows(table, percent)
 
-    links = sets.select("members", "set", "region", piece.alias("piece"), task.alias("task")).groupBy("task").applyInArrow(
+    links = sets.select("members", "set", "unit", piece.alias("piece"), task.alias("task")).groupBy("task").applyInArrow(
         link, "set long, root long")
     if (most or 0) > 1:
-        links = stored(links, "jaccard-links")
-        cut = sets.filter("pieces > 1").join(links, "set").withColumn("piece", piece)
         other = F.explode(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x != F.col("piece")))
-        pairs = cut.select("members", "set", "region", "root", "piece", other.alias("other"))
-        pairs = pairs.select("members", "set", "root", F.xxhash64("region", F.least("piece", "other"), F.greatest("piece", "other")).alias("task"),
-                             "region", F.lit(0).cast("long").alias("piece"))
+        pairs = sets.filter("pieces > 1").withColumn("piece", piece).select("members", "set", "unit", "piece", other.alias("other"))
+        pairs = pairs.select("members", "set", F.xxhash64("unit", F.least("piece", "other"), F.greatest("piece", "other")).alias("task"),
+                             "unit", F.lit(0).cast("long").alias("piece"))
+        links = links.unionByName(pairs.groupBy("task").applyInArrow(link, "set long, root long"))
+    links = components(links.select(F.col("set").alias("a"), F.col("root").alias("b")), "jaccard-links")
 
-        def link_across(table: pa.Table) -> pa.Table:
-            return _linked_rows(table, percent, "root")
-
-        across = pairs.groupBy("task").applyInArrow(link_across, "set long, root long")
-        across = components(across.select(F.col("set").alias("a"), F.col("root").alias("b")), "jaccard-across")
-        links = links.join(across, links["root"] == across["node"], "left").select("set", F.coalesce(across["root"], links["root"]).alias("root"))
-    links = links.filter("set <> root")
-
-    classes = named.join(links.withColumnRenamed("set", "node"), F.col("set") == F.col("node"), "left").select(
+    classes = named.join(links, F.col("set") == F.col("node"), "left").select(
         "doc_id", "n_shingles", "text_key", F.coalesce("root", "set").alias("class"))
     least = classes.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least")).withColumnRenamed("class", "of")
     least = stored(least, "jaccard-least")  # so that the join below reads plain shuffles, which can be split at a large class
@@ -249,18 +247,43 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.withColumn("copy", copy).filter("copy = 1 OR alone").select("row.*")
 
 
-def _linked_rows(table: pa.Table, percent: int, known: str) -> pa.Table:
-    """(set, root) for rows of (members, set, region, piece): the links found within each region and piece.
+_PACKED = pa.schema([("part", pa.int32()), *((name, pa.binary()) for name in ("top", "low", "node", "names"))])
 
-    `known` is the column whose equal values are linked already; the rows of the result are its values.
-    """
+
+def _packed_keys(key: np.ndarray, owner: np.ndarray, names: np.ndarray, parts: int) -> dict[str, list]:
+    """A row per part: the sorted keys' upper 8 and lower 32 of 40 bits, and for each its node's place among the names."""
+    part, key = part_of(key, parts), key & KEY_BITS
+    order = np.lexsort((key, part))
+    part, key, owner = part[order], key[order], owner[order]
+    begins = np.flatnonzero(np.append([True], part[1:] != part[:-1])[:len(part)])
+    rows: dict[str, list] = {name: [] for name in _PACKED.names}
+    for i, j in zip(begins, np.append(begins[1:], len(part))):
+        own, place = np.unique(owner[i:j], return_inverse=True)
+        rows["part"].append(int(part[i]))
+        rows["top"].append((key[i:j] >> U64(32)).astype(np.uint8).tobytes())
+        rows["low"].append(key[i:j].astype(np.uint32).tobytes())
+        rows["node"].append(place.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes())
+        rows["names"].append(names[own].tobytes())
+    return rows
+
+
+def _unpacked_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys, nodes = [np.zeros(0, U64)], [np.zeros(0, U64)]
+    for top, low, node, names in zip(*(table.column(c).to_pylist() for c in ("top", "low", "node", "names"))):
+        keys.append(np.frombuffer(top, np.uint8).astype(U64) << U64(32) | np.frombuffer(low, np.uint32))
+        place = np.frombuffer(node, np.uint16 if len(node) == 2 * len(top) else np.uint32)
+        nodes.append(np.frombuffer(names, U64)[place])
+    return np.concatenate(keys), np.concatenate(nodes)
+
+
+def _linked_rows(table: pa.Table, percent: int) -> pa.Table:
+    """(set, root) for rows of (members, set, unit, piece): the links found within each unit and piece."""
     node = table.column("set").to_numpy()
-    label = table.column(known).to_numpy()
-    region = np.column_stack([table.column("region").to_numpy(), table.column("piece").to_numpy()])
-    order = np.lexsort((node, region[:, 1], region[:, 0]))
-    new = np.append([True], (region[order[1:]] != region[order[:-1]]).any(axis=1))[:len(order)]
+    unit = np.column_stack([table.column("unit").to_numpy(), table.column("piece").to_numpy()])
+    order = np.lexsort((node, unit[:, 1], unit[:, 0]))
+    new = np.append([True], (unit[order[1:]] != unit[order[:-1]]).any(axis=1))[:len(order)]
     members = table.column("members").combine_chunks()
-    sets, roots = [], []
+    sets, roots = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     begins = np.flatnonzero(new)
     for i, j in zip(begins, np.append(begins[1:], len(order))):
         at = order[i:j]
@@ -268,10 +291,7 @@ def _linked_rows(table: pa.Table, percent: int, known: str) -> pa.Table:
         at = at[once]
         values = [np.frombuffer(members[int(x)].as_buffer(), dtype=np.uint64) for x in at]
         first = np.concatenate([[0], np.cumsum([len(x) for x in values])])
-        _, begin, same = np.unique(label[at], return_index=True, return_inverse=True)
-        found = linked(np.concatenate(values), first, percent, begin[same.ravel()])
-        sets.append(label[at])
-        roots.append(label[at][found])
-    if not sets:
-        return pa.table({"set": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        found = linked(np.concatenate(values), first, percent)
+        sets.append(node[at])
+        roots.append(node[at][found])
     return pa.table({"set": np.concatenate(sets), "root": np.concatenate(roots)})
