@@ -197,6 +197,14 @@ def check_sequential_values(t):
     return c.sequential_values(t.orders, "o_orderkey", 1500, group_by="o_custkey")
 
 
+@query("""
+WITH w AS (SELECT l_suppkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS p FROM lineitem)
+SELECT l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, strftime(p, '%Y-%m-%d %H:%M:%S') AS previous_l_shipdate, count(*) AS n_records
+FROM w WHERE l_shipdate <> p + INTERVAL 1 DAY GROUP BY ALL""")
+def check_sequential_values_cut(t):
+    return c.sequential_values(t.lineitem, "l_shipdate", 1, "day", "l_suppkey", rows_per_piece=40)
+
+
 @query("""
 WITH w AS (SELECT l_quantity, lag(l_quantity) OVER (ORDER BY l_quantity) AS p FROM lineitem)
 SELECT l_quantity, p AS previous_l_quantity, count(*) AS n_records FROM w WHERE NOT (l_quantity = p + 1) GROUP BY ALL""")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalogue.base import query
 from tidemark.operators import windows as w
-from tidemark.operators.skew import skew_join
 
 
 @query("""
@@ -128,7 +127,7 @@ def heavy_key_join(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = t.orders.filter(F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
-    return skew_join(lines, orders, "l_orderkey", "left", unique_right=True)
+    return lines.join(orders, "l_orderkey", "left")  # adaptive execution splits what a heavy key makes too large
 
 
 @query("""
@@ -137,6 +136,54 @@ FROM lineitem JOIN (SELECT DISTINCT user_id, event_type FROM events) ON l_suppke
 def heavy_key_join_to_many(t):
     lines = t.lineitem.select(F.col("l_suppkey").alias("user_id"), "l_partkey", "l_returnflag")
     kinds = t.events.select("user_id", "event_type").distinct()
-    return skew_join(lines, kinds, "user_id").groupBy(
+    return lines.join(kinds, "user_id").groupBy(
         F.col("user_id").alias("l_suppkey"), "l_returnflag", (F.col("user_id") % 5).alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("n_parts"))
+
+
+# The same operators with keys cut into small pieces, over NULL, equal and far-off order values.
+UNEVEN = """
+WITH e AS (SELECT event_id, user_id % 3 AS k, CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id = 5 THEN -1000000000 ELSE event_id // 4 END AS t,
+                  CASE WHEN event_type = 'purchase' THEN value END AS amount FROM events)
+"""
+PIECE = 50
+
+
+def _uneven(t):
+    moment = F.when(F.col("event_id") % 97 == 0, None).when(F.col("event_id") == 5, -1000000000).otherwise(F.floor(F.col("event_id") / 4))
+    return t.events.select("event_id", (F.col("user_id") % 3).alias("k"), moment.cast("bigint").alias("t"),
+                           F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"))
+
+
+@query(UNEVEN + """
+SELECT event_id, k, last_value(amount IGNORE NULLS) OVER w AS filled, first_value(amount IGNORE NULLS) OVER w AS first_amount,
+       lag(amount) OVER s AS before, lead(amount) OVER s AS after FROM e
+WINDOW w AS (PARTITION BY k ORDER BY t NULLS FIRST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       s AS (PARTITION BY k ORDER BY t NULLS FIRST, event_id)""")
+def fills_cut(t):
+    by = F.struct("t", "event_id")
+    scanned = w.ordered_scan(_uneven(t), "k", ["t", "event_id"], [
+        w.filled("filled", "amount", by), w.first_seen("first_amount", "amount", by),
+        w.neighbour("before", "amount", by, following=False), w.neighbour("after", "amount", by, following=True)], rows_per_piece=PIECE)
+    return scanned.drop("t", "amount")
+
+
+@query(UNEVEN + """
+SELECT event_id, row_number() OVER (PARTITION BY k ORDER BY t NULLS FIRST, event_id) AS up,
+       count(*) OVER (PARTITION BY k) - row_number() OVER (PARTITION BY k ORDER BY t NULLS FIRST, event_id) + 1 AS down FROM e""")
+def rank_both_ways_cut(t):
+    ranked = w.rank_both_ways(_uneven(t), "k", ["t", "event_id"], "up", "down", rows_per_piece=PIECE)
+    return ranked.select("event_id", "up", "down")
+
+
+@query(UNEVEN + "SELECT event_id, dense_rank() OVER (PARTITION BY k ORDER BY t NULLS FIRST) AS place FROM e")
+def dense_ranks_cut(t):
+    return w.dense_rank_within(_uneven(t), "k", "t", "place", rows_per_piece=PIECE).select("event_id", "place")
+
+
+@query("""
+SELECT event_id, row_number() OVER (ORDER BY event_type, event_id) AS place, lag(event_id) OVER (ORDER BY event_type, event_id) AS event_before FROM events""")
+def whole_table_sequence_cut(t):
+    scanned = w.ordered_scan(t.events.select("event_id", "event_type"), None, ["event_type", "event_id"], [
+        w.place("place"), w.neighbour("event_before", "event_id", F.struct("event_type", "event_id"), following=False)], rows_per_piece=PIECE)
+    return scanned.drop("event_type")

@@ -11,9 +11,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows as w
-from tidemark.operators.skew import heavy_keys, skew_join
+from tidemark.operators.skew import QUANTILES, heavy_keys, order_number, stretch_number
 
-CUT = {"rows_per_piece": 4, "share": 0.05}
+CUT = {"rows_per_piece": 4}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def sequence(spark):
     return spark.createDataFrame(data, "k int, t int, v int").cache()
 
 
-@pytest.mark.parametrize("options", [{}, CUT, {**CUT, "max_pieces": 3}])
+@pytest.mark.parametrize("options", [{}, CUT, {"rows_per_piece": 1}])
 def test_pieces_change_nothing(sequence, rows, options):
     window = Window.partitionBy("k").orderBy("t")
     so_far = window.rowsBetween(Window.unboundedPreceding, 0)
@@ -55,26 +55,38 @@ def test_whole_table_is_cut(sequence, rows):
     assert rows(w.ordered_scan(sequence, None, "t", [w.place("place")], **{"rows_per_piece": 9})) == rows(expected)
 
 
-def test_text_order_is_a_plain_window(spark, rows):
-    df = spark.createDataFrame([("a", "x", 1), ("a", "y", None), ("b", "z", None)], "k string, o string, v int")
-    assert rows(w.forward_fill(df, "k", "o", "v", "f")) == [("a", "x", 1, 1), ("a", "y", None, 1), ("b", "z", None, None)]
+def test_null_order_values(spark, rows):
+    """What lies before NULL moments reaches the stretches after them."""
+    df = spark.createDataFrame([(None, 5), (1, None), (2, None), (3, 7), (4, None)], "t int, v int").withColumn("k", F.lit(1))
+    for options in ({}, {"rows_per_piece": 1}, {"rows_per_piece": 2}):
+        assert rows(w.forward_fill(df, "k", "t", "v", "f", **options).select("t", "f")) == [(None, 5), (1, 5), (2, 5), (3, 7), (4, 7)]
+        assert rows(w.previous_value(df, "k", "t", "v", "p", **options).select("t", "p")) == [(None, None), (1, 5), (2, None), (3, None), (4, 7)]
+
+
+def test_text_orders_are_cut(spark, rows):
+    data = [(k, f"{chr(97 + i % 26)}{i:03}" if i % 11 else None, i if i % 3 else None) for k in ("a", "b") for i in range(60)]
+    df = spark.createDataFrame(data, "k string, o string, v int")
+    window = Window.partitionBy("k").orderBy("o", "v")
+    expected = df.withColumn("f", F.last("v", True).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(w.forward_fill(df, "k", ["o", "v"], "v", "f", rows_per_piece=5)) == rows(expected)
+    assert rows(w.rank_both_ways(df, None, ["o", "v", "k"], rows_per_piece=7).select("o", "rank_asc")) == rows(
+        df.withColumn("rank_asc", F.row_number().over(Window.orderBy("o", "v", "k")).cast("bigint")).select("o", "rank_asc"))
     with pytest.raises(ValueError):
-        w.rank_both_ways(df, None, "o")
+        w.ordered_scan(df, None, "o", [w.place("n")], rows_per_piece=None)
 
 
-def test_heavy_keys_are_few(sequence):
-    heavy = {r["k"]: r["_pieces"] for r in heavy_keys(sequence, ["k"], share=0.25, rows_per_piece=10, max_pieces=30).collect()}
-    assert set(heavy) == {1} and heavy[1] == 11  # a third of 30 pieces, rounded up
+def test_stretches_are_even(spark):
+    """One far-off value, and more pieces than quantiles."""
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 7, -10**15).otherwise(F.col("id")).alias("t"))
+    for piece in (2000, 250, 50):
+        heavy = heavy_keys(df, ["k"], order_number(df, "t"), piece)
+        sizes = [r["count"] for r in df.join(heavy, "k").groupBy(
+            stretch_number(F.col("t").cast("double"), F.col("_rows"), F.col("_borders"), piece).alias("s")).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= max(2.5 * piece, 1.1 * 20_000 / QUANTILES)
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("unique", [True, False])
-def test_skew_join_equals_join(spark, sequence, rows, how, unique):
-    right = spark.createDataFrame([(1, "a"), (2, "b"), (9, "c"), (None, "d")] + ([] if unique else [(1, "e"), (2, "f")]), "k int, name string")
-    plain = sequence.join(right, "k", how)
-    for options in ({}, CUT):
-        split = skew_join(sequence, right, "k", how, unique_right=unique, **options)
-        assert rows(split.select(*plain.columns)) == rows(plain)
+def test_heavy_keys(sequence):
+    assert [r["k"] for r in heavy_keys(sequence, ["k"], F.col("t").cast("double"), rows_per_piece=100).collect()] == [1]
 
 
 def test_deduplicate(spark, rows):
@@ -102,5 +114,5 @@ def test_forward_fill_by_brute_force(spark, data):
     for i, (k, v) in enumerate(data):
         known[k] = v if v is not None else known.get(k)
         expected.append((i, known[k]))
-    found = w.forward_fill(df, "k", "t", "v", "f", share=0.1, rows_per_piece=2).select("t", "f").collect()
+    found = w.forward_fill(df, "k", "t", "v", "f", rows_per_piece=2).select("t", "f").collect()
     assert sorted(tuple(r) for r in found) == expected

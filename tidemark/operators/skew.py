@@ -1,10 +1,7 @@
-"""Work on data in which one key may hold a large share of all rows.
+"""Keys with too many rows for one task, and where to cut them along an order.
 
-A key is called heavy when it holds more than `share` of the rows and more than fit one task well.
-There are fewer than 1 / share such keys, whatever the size of the data, so the table of heavy keys
-may be broadcast.  Each heavy key is cut into a number of pieces that grows with its rows, but all
-keys together into at most `max_pieces` plus one per heavy key, which bounds every table that has
-one row per piece.
+A key is cut by its own rows alone, whatever share of the table they are.  Borders are quantiles of the
+key's own order values, so one far-off value does not leave all others in one piece.
 """
 
 from __future__ import annotations
@@ -13,90 +10,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.common import names, quoted
+from tidemark.functions.common import quoted
 
-HEAVY_SHARE = 0.005
 ROWS_PER_PIECE = 1_000_000
-MAX_PIECES = 100_000
+QUANTILES = 128  # borders a key gets at most; between two of them a very large key is cut into equal parts
 
 
-def pieces_for(rows: Column, total: Column, rows_per_piece: int, max_pieces: int) -> Column:
-    """How many pieces a key of `rows` rows out of `total` is cut into."""
-    wanted, allowed = rows / rows_per_piece, rows / total * max_pieces
-    return F.ceil(F.least(wanted, allowed)).cast("int")
+def heavy_keys(df: DataFrame, keys: list[str], order: Column, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """Keys of more than `rows_per_piece` rows, with `_rows` and `_borders` (quantiles of the order value).
 
-
-def heavy_keys(df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, rows_per_piece: int = ROWS_PER_PIECE,
-               max_pieces: int = MAX_PIECES, extra: list[Column] | None = None) -> DataFrame:
-    """Heavy keys with the number of `_pieces` to cut each into, and further aggregates.
-
-    Rows are counted per key on the map side, so a heavy key costs one partial row per task.
+    Rows are counted with partial results, so a heavy key costs one row per task; quantiles are taken of
+    heavy keys only.  Where there are none, adaptive execution drops everything behind the count.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *(extra or []))
-    heavy = counted.filter((F.col("_rows") > rows_per_piece) & (F.col("_rows") > total * F.lit(share)))
-    return heavy.withColumn("_pieces", pieces_for(F.col("_rows"), total, rows_per_piece, max_pieces)).drop("_rows")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_piece)
+    known = counted.select(*[quoted(k).alias(f"_k_{k}") for k in keys], "_rows")
+    shares = [k / QUANTILES for k in range(QUANTILES + 1)]
+    rows = df.select(*[quoted(k) for k in keys], order.alias("_order")).join(known, same_keys(keys, "_k_"))
+    return rows.groupBy(*keys, "_rows").agg(F.percentile_approx("_order", shares, 100 * QUANTILES).alias("_borders"))
 
 
-def _known(keys: list[str]) -> Column:
+def same_keys(keys: list[str], prefix: str) -> Column:
     condition = F.lit(True)
     for key in keys:
-        condition = condition & quoted(key).isNotNull()
+        condition = condition & quoted(key).eqNullSafe(quoted(prefix + key))
     return condition
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", unique_right: bool = False,
-              **heavy_options) -> DataFrame:
-    """Equi-join whose left side may hold heavy or NULL keys (`how`: inner, left, left_semi, left_anti).
-
-    `unique_right` says that the right side has one row per key at most.  Then the right rows of
-    heavy keys are as few as these keys; they are broadcast, and left rows of heavy keys are not
-    shuffled at all.  Otherwise the left rows of a heavy key are dealt out over its pieces by a hash
-    of the whole row, and the matching right rows are repeated for each piece.  NULL keys match
-    nothing and are kept out of the join.  The result is the same as that of the plain join.
-    """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError(f"cannot split a {how} join by its left side")
-    keys = names(on)
-    keyed = left.filter(_known(keys))
-    split = _join_apart if unique_right else _join_in_pieces
-    joined = split(keyed, right.filter(_known(keys)), keys, how, heavy_keys(keyed, keys, **heavy_options))
-    if how in ("inner", "left_semi"):
-        return joined
-    return joined.unionByName(left.filter(~_known(keys)), allowMissingColumns=True)
-
-
-def _join_apart(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: DataFrame) -> DataFrame:
-    heavy = F.broadcast(heavy.select(*keys))
-    few = F.broadcast(right.join(heavy, keys, "left_semi"))
-    return left.join(heavy, keys, "left_semi").join(few, keys, how).unionByName(
-        left.join(heavy, keys, "left_anti").join(right, keys, how))
-
-
-def _join_in_pieces(left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: DataFrame) -> DataFrame:
-    heavy = F.broadcast(heavy.select(*keys, "_pieces"))
-    pieces = F.coalesce("_pieces", F.lit(1))
-    row = F.xxhash64(*[quoted(c) for c in left.columns])
-    dealt = left.join(heavy, keys, "left").withColumn("_piece", F.pmod(row, pieces).cast("int")).drop("_pieces")
-    every = F.sequence(F.lit(0), pieces - 1)
-    repeated = right.join(heavy, keys, "left").withColumn("_piece", F.explode(every)).drop("_pieces")
-    return dealt.join(repeated, [*keys, "_piece"], how).drop("_piece")
-
-
 def order_number(df: DataFrame, column: str) -> Column | None:
-    """A double that rises with the column, or None where the type has none (text, arrays, ...)."""
-    kind = df.schema[column].dataType
+    """A double that does not fall as the column rises, or None where the type has none (arrays, structs, ...)."""
+    kind, value = df.schema[column].dataType, quoted(column)
     if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
+        return value.cast("double")
     if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(column)).cast("double")
+        return F.unix_date(value).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.conv(F.rpad(F.substring(F.hex(value), 1, 12), 12, "0"), 16, 10).cast("double")  # the first six bytes
     return None
 
 
-def stretch_number(value: Column, low: Column, high: Column, pieces: Column) -> Column:
-    """Which of the equal stretches of [low, high] the value lies in, from 1 on; 0 for NULL."""
-    position = F.floor((value - low) / (high - low) * pieces)
-    inside = F.least(F.greatest(position, F.lit(0)), pieces - 1) + 1
-    return F.when(value.isNull(), 0).when(high > low, inside).otherwise(1).cast("int")
+def stretch_number(value: Column, rows: Column, borders: Column, rows_per_piece: int) -> Column:
+    """The stretch a value of a heavy key lies in, rising with the value from 1 on; 0 for NULL.
+
+    A key of n pieces uses n of its quantiles as borders; with more pieces than quantiles, each part between
+    two quantiles is cut into equal parts.  Equal values lie in one stretch.
+    """
+    pieces = F.ceil(rows / rows_per_piece).cast("int")
+    step = F.greatest(F.lit(1), F.floor(QUANTILES / pieces)).cast("int")
+    inner = F.filter(borders, lambda _, k: (k % step == 0) & (k > 0) & (k < QUANTILES))
+    part = F.size(F.filter(inner, lambda border: border <= value))
+    parts = F.ceil(pieces / QUANTILES).cast("int")
+    low = F.when(part > 0, F.get(inner, part - 1)).otherwise(F.get(borders, F.lit(0)))
+    high = F.coalesce(F.get(inner, part), F.get(borders, F.lit(QUANTILES)))
+    within = F.when(high > low, F.floor((value - low) / (high - low) * parts)).otherwise(0)
+    within = F.least(F.greatest(within, F.lit(0)), parts - 1)
+    return F.when(value.isNull(), 0).otherwise(part * parts + within + 1).cast("long")

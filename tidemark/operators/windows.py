@@ -2,10 +2,9 @@
 
 Ordered operators keep one sort per key.  A key that is too heavy for one task is cut into
 stretches of its leading order column; each stretch is a window of its own, and what a stretch
-needs from the ones before or after it (at most one small row per heavy key and stretch) comes
-back through a broadcast join.  Results equal those of a plain window.  An order that leads with
-text cannot be cut this way and runs as a plain window; rows that agree in the leading order column
-stay in one stretch, so lead with a column that tells rows apart.
+needs from the ones before or after it (one row per heavy key and stretch) is joined back.  Results
+equal those of a plain window, NULL order values included.  Rows that agree in the leading order
+column stay in one stretch, so lead with a column that tells rows apart.
 """
 
 from __future__ import annotations
@@ -17,15 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
-from tidemark.operators.skew import (
-    HEAVY_SHARE,
-    MAX_PIECES,
-    ROWS_PER_PIECE,
-    heavy_keys,
-    order_number,
-    pieces_for,
-    stretch_number,
-)
+from tidemark.operators.skew import ROWS_PER_PIECE, heavy_keys, order_number, same_keys, stretch_number
 
 def _order(order) -> list:
     return list(order) if isinstance(order, (list, tuple)) else [order]
@@ -77,8 +68,13 @@ def _whole(window):
     return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+def _moment(order: Column) -> Column:
+    """The order value in a struct, for `max_by` and `min_by` pass over rows whose order is NULL."""
+    return F.struct(order.alias("at"))
+
+
 def _present(value: Column, order: Column) -> Column:
-    return F.when(value.isNotNull(), order)
+    return F.when(value.isNotNull(), _moment(order))
 
 
 def filled(name: str, column: str, order: Column) -> Scan:
@@ -111,7 +107,7 @@ def neighbour(name: str, column: str, order: Column, following: bool) -> Scan:
     return Scan(
         name,
         lambda w: shift(value).over(w),
-        edge(value, order),
+        edge(value, _moment(order)),
         lambda s, w: shift(s).over(w),
         lambda own, carried: F.coalesce(own, carried)["v"],
     )
@@ -137,59 +133,56 @@ def place(name: str, descending: bool = False) -> Scan:
     )
 
 
+def dense_place(name: str, order: Column) -> Scan:
+    """Dense rank: equal order values share a number, and none is left out."""
+    return Scan(
+        name,
+        lambda w: F.dense_rank().over(w).cast("bigint"),
+        F.count_distinct(_moment(order)),
+        lambda s, w: F.sum(s).over(_before(w)),
+        lambda own, carried: own + F.coalesce(carried, F.lit(0)),
+    )
+
+
 def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[str], scans: list[Scan],
-                 share: float = HEAVY_SHARE, rows_per_piece: int | None = ROWS_PER_PIECE,
-                 max_pieces: int = MAX_PIECES) -> DataFrame:
+                 rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
     """Add the columns of `scans`, computed along ascending `order` (column names) within `keys`.
 
-    Without keys the whole table is one ordered sequence, cut into stretches in any case.  Heavy
-    keys are found by counting rows per key beforehand; where no key can be heavy, for example after
-    an aggregation by key and month, `rows_per_piece=None` spares the count.
+    Without keys the whole table is one key.  Heavy keys are found by counting rows per key beforehand;
+    where no key can be heavy, for example after an aggregation by key and month, `rows_per_piece=None`
+    spares the count.
     """
-    keys, order = names(keys), names(order)
+    keys, order, columns = names(keys), names(order), df.columns
+    if not keys:
+        if rows_per_piece is None:
+            raise ValueError("a sequence over a whole table is always cut")
+        keys, df = ["_all"], df.withColumn("_all", F.lit(0))
     lead = order_number(df, order[0])
-    if not keys and rows_per_piece is None:
-        raise ValueError("a sequence over a whole table is always cut")
     if lead is None or rows_per_piece is None:
-        if not keys:
-            raise ValueError("a sequence over a whole table must be ordered by a number, date or time")
-        window = Window.partitionBy(*keys).orderBy(*order)
+        window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(c) for c in order])
         plain = df.select("*", *[s.in_window(window).alias(f"_own_{i}") for i, s in enumerate(scans)])
-        return _finish(plain, df.columns, scans, carried=False)
-
-    ends = [F.min(lead).alias("_low"), F.max(lead).alias("_high")]
-    if keys:
-        found = heavy_keys(df, keys, share, rows_per_piece, max_pieces, ends)
-        heavy = F.broadcast(found.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_pieces", "_low", "_high"))
-        match = F.lit(True)
-        for key in keys:
-            match = match & quoted(key).eqNullSafe(F.col(f"_h_{key}"))
-        stretch = F.when(F.col("_pieces").isNull(), 0).otherwise(
-            stretch_number(lead, F.col("_low"), F.col("_high"), F.col("_pieces")))
-        columns = [quoted(c) for c in df.columns]
-        cut = df.join(heavy, match, "left").select(
-            *columns, stretch.alias("_stretch"), F.col("_pieces").isNotNull().alias("_cut"))
-        only_cut = df.join(heavy, match, "inner").select(*columns, stretch.alias("_stretch"))
-    else:
-        rows = F.count(F.lit(1))
-        shape = df.agg(F.struct(*ends, pieces_for(rows, rows, rows_per_piece, max_pieces).alias("_pieces"))).scalar()
-        stretch = stretch_number(lead, shape["_low"], shape["_high"], shape["_pieces"])
-        cut = df.select("*", stretch.alias("_stretch"), F.lit(True).alias("_cut"))
-        only_cut = cut
-
-    summary = only_cut.groupBy(*keys, "_stretch").agg(*[s.summary.alias(f"_sum_{i}") for i, s in enumerate(scans)])
-    across = Window.partitionBy(*keys).orderBy("_stretch")
+        return _finish(plain, columns, scans, carried=False)
+
+    heavy = heavy_keys(df, keys, lead, rows_per_piece)
+    heavy = heavy.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_rows", "_borders")
+    stretch = stretch_number(lead, F.col("_rows"), F.col("_borders"), rows_per_piece)
+    kept = [quoted(c) for c in df.columns]
+    cut = df.join(heavy, same_keys(keys, "_h_"), "left").select(
+        *kept, F.when(F.col("_rows").isNull(), -1).otherwise(stretch).alias("_stretch"))
+    only_cut = df.join(heavy, same_keys(keys, "_h_")).select(*kept, stretch.alias("_stretch"))
+
+    by_key = [quoted(k) for k in keys]
+    summary = only_cut.groupBy(*by_key, "_stretch").agg(*[s.summary.alias(f"_sum_{i}") for i, s in enumerate(scans)])
+    across = Window.partitionBy(*by_key).orderBy("_stretch")
     carry = summary.select(
         *[quoted(k).alias(f"_c_{k}") for k in keys],
         F.col("_stretch").alias("_c_stretch"),
         *[s.carry(F.col(f"_sum_{i}"), across).alias(f"_carry_{i}") for i, s in enumerate(scans)],
     )
-    inside = Window.partitionBy(*keys, "_stretch").orderBy(*order)
+    inside = Window.partitionBy(*by_key, "_stretch").orderBy(*[quoted(c) for c in order])
     own = cut.select("*", *[s.in_window(inside).alias(f"_own_{i}") for i, s in enumerate(scans)])
-    match = F.col("_cut") & (F.col("_stretch") == F.col("_c_stretch"))
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    return _finish(own.join(F.broadcast(carry), match, "left"), df.columns, scans, carried=True)
+    match = same_keys(keys, "_c_") & (F.col("_stretch") == F.col("_c_stretch"))
+    return _finish(own.join(carry, match, "left"), columns, scans, carried=True)
 
 
 def _finish(df: DataFrame, columns: list[str], scans: list[Scan], carried: bool) -> DataFrame:
@@ -203,7 +196,7 @@ def _finish(df: DataFrame, columns: list[str], scans: list[Scan], carried: bool)
 
 
 def _order_value(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    return F.struct(*[quoted(c) for c in order])
 
 
 def forward_fill(df: DataFrame, keys, order, column: str, name: str | None = None, **heavy) -> DataFrame:
@@ -240,19 +233,10 @@ def rank_both_ways(df: DataFrame, keys, order, up: str = "rank_asc", down: str =
     return ordered_scan(df, keys, order, [place(up), place(down, descending=True)], **heavy)
 
 
-def dense_rank_within(df: DataFrame, keys, order, name: str = "rank") -> DataFrame:
-    """Dense rank of an order value: equal values share a rank, no rank is left out.
-
-    The distinct values of each key are ranked, and the ranks joined back, so that repeated rows
-    of a value are counted before they travel.
-    """
-    keys, by = names(keys), names(order)
-    ranked = rank_both_ways(df.select(*keys, *by).distinct(), keys, by, name, "_down").drop("_down")
-    condition = F.lit(True)
-    renamed = ranked.select(*[quoted(c).alias(f"_r_{c}") for c in [*keys, *by]], name)
-    for c in [*keys, *by]:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return df.join(renamed, condition, "left").drop(*[f"_r_{c}" for c in [*keys, *by]])
+def dense_rank_within(df: DataFrame, keys, order, name: str = "rank", **heavy) -> DataFrame:
+    """Dense rank of an order value: equal values share a rank, no rank is left out."""
+    by = names(order)
+    return ordered_scan(df, keys, by, [dense_place(name, _order_value(by))], **heavy)
 
 
 def closest_by(df: DataFrame, keys, distance: Column) -> DataFrame:
