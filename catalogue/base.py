@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -52,11 +51,7 @@ class Tables:
 
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder for files a query writes, below the session's shared checkpoint folder."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local"):
-        parent = tempfile.mkdtemp(prefix="tidemark-")
-    else:
-        parent = checkpoint_dir(spark)
-    return f"{parent}/tidemark-{label}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/tidemark-{label}-{uuid.uuid4().hex}"
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -224,6 +224,18 @@ def date_spine_hours(t):
         "date_hour", F.coalesce("n", F.lit(0)).alias("n_events"))
 
 
+@query("""
+WITH b AS (SELECT date_trunc('day', min(ts)) AS lo FROM events),
+s AS (SELECT unnest(generate_series(lo, lo + INTERVAL 259199 SECOND, INTERVAL 1 SECOND)) AS s FROM b)
+SELECT strftime(date_trunc('hour', s), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS n, strftime(max(s), '%Y-%m-%d %H:%M:%S') AS last FROM s GROUP BY 1""")
+def date_spine_seconds(t):
+    first = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    start, end = t.events.agg(F.min(first)).scalar(), t.events.agg(F.min(first) + F.expr("INTERVAL 3 DAYS")).scalar()
+    seconds = spines.date_spine(t.spark, "second", start, end)
+    return seconds.groupBy(F.date_trunc("hour", "date_second").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("date_second").alias("last"))
+
+
 @query("""
 WITH b AS (SELECT date_trunc('month', min(o_orderdate)) AS lo, date_trunc('month', max(o_orderdate)) AS hi FROM orders),
 m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS m FROM b),

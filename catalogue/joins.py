@@ -82,6 +82,18 @@ def days_in_spans(t):
     return j.date_range_join(daily, spans, "day", "lo", "hi").select("s_suppkey", "day", "n")
 
 
+@query("""
+WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
+SELECT s_suppkey, count(*) AS n_days, CAST(sum(n) AS BIGINT) AS n_orders FROM daily JOIN supplier ON d >= DATE '2001-01-01' + CAST(s_suppkey AS INTEGER)
+GROUP BY 1""")
+def date_range_join_open(t):
+    spans = t.supplier.select("s_suppkey", F.date_add(F.lit("2001-01-01").cast("date"), F.col("s_suppkey").cast("int")).alias("lo"),
+                              F.lit("9999-12-31").cast("date").alias("hi"))
+    daily = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    joined = j.date_range_join(daily, spans, "day", "lo", "hi")
+    return joined.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_days"), F.sum("n").alias("n_orders"))
+
+
 @query("""
 SELECT s_suppkey, p_partkey, p_retailprice FROM part JOIN supplier ON p_retailprice BETWEEN s_acctbal AND s_acctbal + 150""",
        name="range_join")

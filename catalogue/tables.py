@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,13 @@ from tidemark.streaming.landing import land_new_files
 DAY_1, DAY_2 = dt.datetime(2024, 1, 30, 12, 0), dt.datetime(2024, 1, 31, 5, 0)
 
 
+def _new_database(spark, label):
+    """A database for one run, so that no run meets the tables of another."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work_folder(spark, label)}'")
+    return name
+
+
 def _event_documents(t):
     """Events as JSON text."""
     body = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("object"),
@@ -178,24 +186,25 @@ def order_items(t):
 SELECT 'tidemark_shards.events_click' AS "_dbt_source_relation", user_id, value FROM events WHERE event_type = 'click' AND value > 10
 UNION ALL SELECT 'tidemark_shards.events_view', user_id, value FROM events WHERE event_type = 'view' AND value > 10""")
 def tables_like_union(t):
-    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS tidemark_shards LOCATION '{work_folder(t.spark, 'shards')}'")
+    database = _new_database(t.spark, "tidemark_shards")
     for kind in ("click", "view", "error"):
         shard = t.events.filter(F.col("event_type") == kind).select("user_id", "value")
-        life.materialize(shard, f"tidemark_shards.events_{kind}", "table")
-    found = catalog.tables_like(t.spark, "tidemark_sh%", "EVENTS%", exclude="%error")
-    by_prefix = [n for n in catalog.tables_with_prefix(t.spark, "tidemark_shards", "events_") if not n.endswith("_error")]
+        life.materialize(shard, f"{database}.events_{kind}", "table")
+    found = catalog.tables_like(t.spark, f"{database[:-4]}%", "EVENTS%", exclude="%error")
+    by_prefix = [n for n in catalog.tables_with_prefix(t.spark, database, "events_") if not n.endswith("_error")]
     if found != by_prefix:
         raise AssertionError(f"{found} and {by_prefix} differ")
-    return catalog.union_tables(t.spark, found, where="value > 10")
+    united = catalog.union_tables(t.spark, found, where="value > 10")
+    return united.withColumn("_dbt_source_relation", F.replace("_dbt_source_relation", F.lit(database), F.lit("tidemark_shards")))
 
 
 @query("""
 SELECT l_linenumber, count(*) AS n_values, CAST(sum(n_records) AS BIGINT) AS n_rows FROM (
   SELECT l_linenumber, l_partkey, count(*) AS n_records FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1""")
 def stored_failures(t):
-    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS tidemark_failures LOCATION '{work_folder(t.spark, 'failures')}'")
-    lines = life.materialize(t.lineitem.select("l_linenumber", F.struct("l_linenumber", "l_partkey").alias("pair")), "tidemark_lines")
-    failing = life.store_failures(unique(lines, "pair"), "tidemark_failures.unique_pair")
+    database = _new_database(t.spark, "tidemark_failures")
+    lines = life.materialize(t.lineitem.select("l_linenumber", F.struct("l_linenumber", "l_partkey").alias("pair")), f"{database}_lines")
+    failing = life.store_failures(unique(lines, "pair"), f"{database}.unique_pair")
     return failing.groupBy(F.col("unique_field.l_linenumber").alias("l_linenumber")).agg(
         F.count(F.lit(1)).alias("n_values"), F.sum("n_records").alias("n_rows"))
 

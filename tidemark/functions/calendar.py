@@ -38,10 +38,22 @@ def day(value) -> Column:
 def convert_timezone(value: ColumnLike, target: str = DEFAULT_ZONE, source: str = "UTC") -> Column:
     """Wall-clock time in `target` of a wall-clock time in `source`.
 
-    Text may carry an offset; it is then taken as that moment.  The session's zone must be UTC.
+    Text may carry an offset; it is then taken as that moment, and a timestamp with a zone as its time in
+    UTC.  The session's zone plays no part.
     """
-    wall_clock = as_column(value).cast("timestamp").cast("timestamp_ntz")
-    return F.convert_timezone(F.lit(source), F.lit(target), wall_clock)
+    return F.convert_timezone(F.lit(source), F.lit(target), _utc_clock(as_column(value)))
+
+
+def _utc_clock(value: Column) -> Column:
+    """Wall-clock time in UTC; text and times without a zone are read as UTC."""
+    text = value.cast("string")
+    has_zone = text.rlike(r"(Z|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_]+|UTC|GMT)$") & text.contains(":")
+    is_moment = F.typeof(value) == "timestamp"
+    moment = F.when(is_moment, value.cast("timestamp")).when(
+        has_zone, F.when(~is_moment, text).cast("timestamp")).otherwise(
+        F.when(~is_moment, F.concat(F.when(text.contains(":"), text).otherwise(F.concat(text, F.lit(" 00:00:00"))), F.lit("+00:00"))).cast("timestamp"))
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def local_date(value: ColumnLike, zone: str = DEFAULT_ZONE) -> Column:
@@ -50,10 +62,12 @@ def local_date(value: ColumnLike, zone: str = DEFAULT_ZONE) -> Column:
 
 
 def from_epoch(value: ColumnLike, unit: str = "seconds") -> Column:
-    """Timestamp of an epoch number.  Whole numbers that arrive as floats or text are accepted."""
+    """Timestamp of an epoch number.  Whole numbers that arrive as floats or text are accepted;
+    text that is no number gives NULL.
+    """
     if unit not in EPOCH_READERS:
         raise ValueError(f"unit must be one of {sorted(EPOCH_READERS)}, not {unit!r}")
-    return EPOCH_READERS[unit](as_column(value).cast("bigint"))
+    return EPOCH_READERS[unit](as_column(value).try_cast("decimal(38,6)").cast("bigint"))
 
 
 def to_epoch(value: ColumnLike) -> Column:

@@ -91,10 +91,10 @@ def rounded_int(value: ColumnLike) -> Column:
 def exact_sum(value: ColumnLike, scale: int = 2) -> Column:
     """Sum of fractional numbers, each rounded to `scale` places, that does not depend on the order of rows.
 
-    Each number becomes a whole number of its smallest unit, which is cheaper than a cast to a
-    fractional decimal; the sum is a decimal, so it cannot overflow.
+    Each number becomes a whole number of its smallest unit, halves away from zero.  Numbers of 10^28
+    units or more are an error, never a wrong sum.
     """
-    units = F.floor(as_column(value).cast("double") * 10**scale + 0.5).cast("decimal(19,0)")
+    units = F.round(as_column(value).cast("double") * 10**scale).cast("decimal(28,0)")
     return (F.sum(units) * F.lit(10.0**-scale).cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(38,{scale})")
 
 

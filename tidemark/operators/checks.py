@@ -23,8 +23,12 @@ def _records() -> Column:
     return F.count(F.lit(1)).alias("n_records")
 
 
-def _keys_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[f"{k}_a"] == right[f"{k}_b"] for k in keys])
+def _keys_match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = False) -> Column:
+    def same(key: str) -> Column:
+        a, b = left[f"{key}_a"], right[f"{key}_b"]
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    return reduce(lambda a, b: a & b, map(same, keys))
 
 
 # -- one table ----------------------------------------------------------------------------------
@@ -229,20 +233,21 @@ def relationships_where(df: DataFrame, column: str, to: DataFrame, field: str, f
     return relationships(df, column, to, field, from_condition, to_condition)
 
 
-def _counts_side_by_side(a: DataFrame, b: DataFrame, keys: list[str], count_a: str, count_b: str) -> DataFrame:
+def _counts_side_by_side(a: DataFrame, b: DataFrame, keys: list[str], count_a: str, count_b: str,
+                         strict: bool) -> DataFrame:
     left = a.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_a))
     right = b.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_b))
     if not keys:
         return left.select(count_a, right.scalar().alias(count_b))
     left = left.select(*[quoted(k).alias(f"{k}_a") for k in keys], count_a)
     right = right.select(*[quoted(k).alias(f"{k}_b") for k in keys], count_b)
-    return left.join(right, _keys_match(left, right, keys), "full")
+    return left.join(right, _keys_match(left, right, keys, strict), "full")
 
 
 def equal_rowcount(df: DataFrame, other: DataFrame, group_by: str | list[str] | None = None,
                    strict: bool = False) -> DataFrame:
     """Groups with different numbers of rows.  A group that one side lacks fails only if `strict`."""
-    counts = _counts_side_by_side(df, other, names(group_by), "count_a", "count_b")
+    counts = _counts_side_by_side(df, other, names(group_by), "count_a", "count_b", strict)
     difference = F.abs(F.col("count_a") - F.col("count_b"))
     if strict:
         difference = F.abs(F.coalesce(F.col("count_a"), F.lit(0)) - F.coalesce(F.col("count_b"), F.lit(0)))
@@ -256,7 +261,7 @@ def fewer_rows_than(df: DataFrame, other: DataFrame, group_by: str | list[str] |
     Equal numbers count as a difference of 1.  A group that one side lacks passes; with `strict`
     it counts as one of no rows.
     """
-    counts = _counts_side_by_side(df, other, names(group_by), "count_our_model", "count_comparison_model")
+    counts = _counts_side_by_side(df, other, names(group_by), "count_our_model", "count_comparison_model", strict)
     ours, theirs = F.col("count_our_model"), F.col("count_comparison_model")
     if strict:
         ours, theirs = F.coalesce(ours, F.lit(0)), F.coalesce(theirs, F.lit(0))

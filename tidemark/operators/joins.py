@@ -79,10 +79,19 @@ def with_scalar(df: DataFrame, aggregate: Column, of: DataFrame, name: str) -> D
     return df.withColumn(name, of.agg(aggregate).scalar())
 
 
+def _span(df: DataFrame, column: str) -> tuple[Column, Column]:
+    return df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()
+
+
 def date_range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: str) -> DataFrame:
-    """Join on `column BETWEEN low AND high` for dates: each range is written out as its days."""
-    days = ranges.filter(F.col(low) <= F.col(high)).select(
-        "*", F.explode(F.sequence(F.col(low), F.col(high))).alias("_range_day"))
+    """Join on `column BETWEEN low AND high` for dates: each range is written out as its days.
+
+    Ranges are first clipped to the dates there are, so an open end such as 9999-12-31 costs no more rows.
+    """
+    first, last = _span(df, column)
+    inside = ranges.filter(F.col(low) <= F.col(high)).withColumns({"_low": F.greatest(low, first), "_high": F.least(high, last)})
+    days = inside.filter(F.col("_low") <= F.col("_high")).select(
+        *[quoted(c) for c in ranges.columns], F.explode(F.sequence("_low", "_high")).alias("_range_day"))
     return df.join(days, F.col(column) == F.col("_range_day"), "inner").drop("_range_day")
 
 
@@ -90,12 +99,13 @@ def range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: st
     """Join on `column BETWEEN low AND high` for numbers, as an equi-join on bins.
 
     A range is repeated once per bin it touches and a value lies in one bin, so each match is found
-    once.  Pick a width close to that of a usual range.
+    once.  Pick a width close to that of a usual range; bins end where the values do.
     """
     width = F.lit(bin_width)
-    binned = ranges.filter(F.col(low) <= F.col(high)).select(
-        "*",
-        F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))).alias("_range_bin"))
+    first, last = _span(df, column)
+    inside = ranges.filter((F.col(low) <= F.col(high)) & (F.col(high) >= first) & (F.col(low) <= last))
+    binned = inside.select(
+        "*", F.explode(F.sequence(F.floor(F.greatest(F.col(low), first) / width), F.floor(F.least(F.col(high), last) / width))).alias("_range_bin"))
     placed = df.withColumn("_value_bin", F.floor(F.col(column) / width))
     match = (F.col("_value_bin") == F.col("_range_bin")) & F.col(column).between(F.col(low), F.col(high))
     return placed.join(binned, match, "inner").drop("_value_bin", "_range_bin")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 
+SPINE_BLOCK = 100_000
 STEPS = {
     "second": "SECOND", "minute": "MINUTE", "hour": "HOUR", "day": "DAY", "week": "WEEK",
     "month": "MONTH", "quarter": "QUARTER", "year": "YEAR",
@@ -37,10 +38,14 @@ def date_spine(spark: SparkSession, part: str, start, end) -> DataFrame:
     as_moment = [(v if isinstance(v, Column) else F.lit(str(v))).cast("timestamp") for v in (start, end)]
     bounds = spark.range(1).select(as_moment[0].alias("low"), as_moment[1].alias("high"))
     steps = cal.boundaries_between(part, F.col("low"), F.col("high")).cast("bigint")
-    numbers = bounds.filter(F.col("low") < F.col("high")).select(
-        "low", "high", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(steps - 1, F.lit(0)))).alias("n"))
+    # Long spines are dealt out in blocks, so no task writes out more than a few of them.
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("steps") - 1) / SPINE_BLOCK), F.lit(1).cast("bigint")))
+    blocks = bounds.select("low", "high", steps.alias("steps")).filter("low < high AND steps > 0").select(
+        "low", "high", "steps", block.alias("block")).repartition("block")
+    first = F.col("block") * SPINE_BLOCK
+    numbers = blocks.select("low", "high", F.explode(F.sequence(first, F.least(first + SPINE_BLOCK, F.col("steps")) - 1)).alias("n"))
     name = f"date_{part}"
-    moments = numbers.filter(steps > 0).select(
+    moments = numbers.select(
         (F.col("low") + F.expr(_step(part, "cast(n as int)"))).alias(name), "high")
     return moments.filter(F.col(name) <= F.col("high")).select(name)
 

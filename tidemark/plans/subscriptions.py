@@ -94,13 +94,13 @@ def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, o
                       excluded_names: Sequence[str] = UNCOUNTED_PLANS) -> DataFrame:
     """Subscriptions with licences, billing interval, organisation, revenue and app settings.
 
-    The ids of subscriptions are unique, so rows can only repeat through the tables looked up;
-    those are made distinct, which is cheaper than making the wide result distinct.
+    Rows that repeat as a whole, in the subscriptions or in a table looked up, count once: each input is
+    made distinct before it is joined.
     """
     interval = F.when(F.col("plan_interval") == "month", "monthly").otherwise(
         billing_period("items_data_0_plan_interval", "items_data_0_plan_interval_count", FACT_PERIODS))
     paid, whole = F.col("paid_licenses"), F.col("total_licenses")
-    facts = with_licences(subs, products, paid_names, excluded_names).select(
+    facts = with_licences(subs.distinct(), products, paid_names, excluded_names).select(
         F.col("id").alias("billing_subscription_key"), F.col("customer").alias("billing_customer_key"),
         interval.alias("plan_interval"), "status",
         *[F.col(c).cast("date").alias(c) for c in ("current_period_start", "current_period_end", "created", "ended_at")],

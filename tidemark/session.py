@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session.  AQE sizes reducers and splits oversized
@@ -42,8 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage and stream progress, as the session names it."""
+    """The shared folder for tables of its own and stream progress, as the session names it.
+
+    Where the session names none, as in tests on one machine, a new folder is made and set.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
