@@ -13,7 +13,7 @@ from tidemark.operators import spines
 from tidemark.operators.checks import unique
 from tidemark.sources import catalog, files
 from tidemark.sources import lifecycle as life
-from tidemark.streaming.landing import land_new_files
+from tidemark.streaming.landing import land_new_files, land_rejects
 
 DAY_1, DAY_2 = dt.datetime(2024, 1, 30, 12, 0), dt.datetime(2024, 1, 31, 5, 0)
 
@@ -118,7 +118,7 @@ def csv_load(t):
     folder = work_folder(t.spark, "csv")
     (t.documents.write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
                                ignoreTrailingWhiteSpace=False).csv(folder))
-    loaded = files.load_csv(t.spark, folder)
+    loaded = files.load_csv(t.spark, folder, multi_line=True)
     return loaded.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source",
                          F.col("n_chars").cast("bigint").alias("n_chars"), F.md5("text").alias("text_hash"))
 
@@ -221,3 +221,62 @@ def stream_landing(t):
         land_new_files(t.spark, folder, table, as_of, "events", progress=progress).awaitTermination()
     return t.spark.read.parquet(table).groupBy(F.col("run_day").cast("string").alias("run_day"), "object").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+BROKEN = """
+WITH lines AS (SELECT event_id, event_id % 50 = 0 AS broken FROM events)
+"""
+
+
+def _broken_documents(t):
+    """Event documents, every fiftieth of which is cut off."""
+    text = F.col("json_data")
+    return _event_documents(t).select("value", F.when(F.get_json_object(text, "$.id").cast("bigint") % 50 == 0, F.concat(
+        F.lit('{"id": '), F.get_json_object(text, "$.id"))).otherwise(text).alias("line"))
+
+
+@query(BROKEN + """
+SELECT 'document' AS kind, CAST(event_id AS VARCHAR) AS record FROM lines WHERE NOT broken
+UNION ALL SELECT 'rejected', '{"id": ' || event_id FROM lines WHERE broken""")
+def json_lines_with_rejects(t):
+    documents, rejected = files.split_json_lines(t.spark, _land(_broken_documents(t).select("line"), "broken"))
+    return documents.select(F.lit("document").alias("kind"), F.get_json_object("json_data", "$.id").alias("record")).unionByName(
+        rejected.select(F.lit("rejected").alias("kind"), "record"))
+
+
+@query("""
+SELECT 'row' AS kind, CAST(o_orderkey AS VARCHAR) AS record FROM orders WHERE o_orderkey % 40 <> 0
+UNION ALL SELECT 'rejected', 'x' || o_orderkey || ',' || o_custkey FROM orders WHERE o_orderkey % 40 = 0""")
+def csv_with_rejects(t):
+    key = F.when(F.col("o_orderkey") % 40 == 0, F.concat(F.lit("x"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string"))
+    folder = work_folder(t.spark, "rejects")
+    t.orders.select(key.alias("o_orderkey"), "o_custkey").write.option("header", True).csv(folder)
+    rows, rejected = files.split_csv(t.spark, folder, "o_orderkey bigint, o_custkey bigint")
+    return rows.select(F.lit("row").alias("kind"), F.col("o_orderkey").cast("string").alias("record")).unionByName(
+        rejected.select(F.lit("rejected").alias("kind"), "record"))
+
+
+@query(BROKEN + """
+SELECT 'landed' AS kind, '20240130' AS run_day, count(*) AS n FROM lines WHERE NOT broken
+UNION ALL SELECT 'rejected', '20240130', count(*) FROM lines WHERE broken""")
+def stream_with_rejects(t):
+    folder, table, rejects, progress = (work_folder(t.spark, label) for label in ("incoming", "landed", "rejects", "progress"))
+    _broken_documents(t).select("line").write.text(folder)
+    for _ in range(2):  # the second run finds no new files
+        land_new_files(t.spark, folder, table, DAY_1, "events", progress=progress).awaitTermination()
+        land_rejects(t.spark, folder, rejects, DAY_1, "events", progress=f"{progress}-rejects").awaitTermination()
+    counted = [t.spark.read.parquet(path).groupBy(F.col("run_day").cast("string").alias("run_day")).agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("kind", F.lit(kind)) for path, kind in ((table, "landed"), (rejects, "rejected"))]
+    return counted[0].unionByName(counted[1]).select("kind", "run_day", "n")
+
+
+@query("""
+SELECT o_orderkey AS order_id, o_orderkey AS id, o_orderstatus AS state_code, nullif(o_custkey, 7) AS state_who,
+  CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS items_data_0_no,
+  CASE WHEN o_orderkey % 3 > 1 THEN 1 END AS n_rest, CASE WHEN o_orderkey % 3 > 1 THEN o_orderkey + 1 END AS rest_no
+FROM orders""")
+def flatten_json_with_rest(t):
+    flat = files.flatten_json(_order_documents(t), "json_data", max_items=1)
+    rest = F.col("items_data_rest")
+    return flat.select("order_id", "id", "state_code", "state_who", "items_data_0_no", F.json_array_length(rest).alias("n_rest"),
+                       F.get_json_object(rest, "$[0].no").cast("bigint").alias("rest_no"))

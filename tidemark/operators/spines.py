@@ -39,11 +39,11 @@ def date_spine(spark: SparkSession, part: str, start, end) -> DataFrame:
     bounds = spark.range(1).select(as_moment[0].alias("low"), as_moment[1].alias("high"))
     steps = cal.boundaries_between(part, F.col("low"), F.col("high")).cast("bigint")
     # Long spines are dealt out in blocks, so no task writes out more than a few of them.
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("steps") - 1) / SPINE_BLOCK), F.lit(1).cast("bigint")))
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.greatest(F.col("steps") - 1, F.lit(0)) / SPINE_BLOCK), F.lit(1).cast("bigint")))
     blocks = bounds.select("low", "high", steps.alias("steps")).filter("low < high AND steps > 0").select(
         "low", "high", "steps", block.alias("block")).repartition("block")
     first = F.col("block") * SPINE_BLOCK
-    numbers = blocks.select("low", "high", F.explode(F.sequence(first, F.least(first + SPINE_BLOCK, F.col("steps")) - 1)).alias("n"))
+    numbers = blocks.select("low", "high", F.explode(F.sequence(first, F.greatest(F.least(first + SPINE_BLOCK, F.col("steps")) - 1, first))).alias("n"))
     name = f"date_{part}"
     moments = numbers.select(
         (F.col("low") + F.expr(_step(part, "cast(n as int)"))).alias(name), "high")

@@ -15,7 +15,6 @@ from tidemark.functions.documents import json_path, parsed
 # Fixed value: how many bad records a load tolerates.
 MAX_BAD_RECORDS = 15
 CORRUPT = "_corrupt_record"
-SMALLEST_LONG = -(2**63)
 
 # Files of the daily application export and the tables they fill.
 EXPORTED_TABLES = {
@@ -52,44 +51,58 @@ class TooManyBadRecords(ValueError):
     """More records of a load cannot be read than it tolerates."""
 
 
+def split_json_lines(spark: SparkSession, path: str | list[str], column: str = "json_data") -> tuple[DataFrame, DataFrame]:
+    """One JSON document per line: the documents as one text column, and (file, record) of all lines that are not JSON."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    is_bad = parsed("value").isNull()
+    rejected = lines.filter(is_bad).select(F.input_file_name().alias("file"), F.col("value").alias("record"))
+    return lines.filter(~is_bad).select(F.col("value").alias(column)), rejected
+
+
 def load_json_lines(spark: SparkSession, path: str | list[str], max_bad: int = MAX_BAD_RECORDS,
                     column: str = "json_data") -> DataFrame:
-    """One JSON document per line, as one text column.
+    """One JSON document per line, as one text column; more than `max_bad` other lines are an error.
 
-    Reads the files at once to count the lines that are not JSON; up to `max_bad` are left out,
-    more are an error.
+    Reads the files at once to count these lines.  `split_json_lines` returns them.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    is_bad = parsed("value").isNull()
-    found = lines.filter(is_bad).limit(max_bad + 1).count()
-    if found > max_bad:
+    documents, rejected = split_json_lines(spark, path, column)
+    if rejected.limit(max_bad + 1).count() > max_bad:
         raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
-    return lines.filter(~is_bad).select(F.col("value").alias(column))
+    return documents
 
 
-def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
-             max_bad: int = MAX_BAD_RECORDS, multi_line: bool = True) -> DataFrame:
-    """CSV with a header, quoted line breaks and a limit on bad records.
+def split_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
+              multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """CSV with a header: the rows, and (file, record) of all records that do not fit the schema.
 
     Without a schema the types are inferred, which reads the files once more; give a schema for
-    large loads.  Files with quoted line breaks cannot be split among tasks: set `multi_line` to
-    False where there are none.
+    large loads.  Quoted line breaks need `multi_line`, and then a file cannot be split among tasks.
     """
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     if schema is None:
-        schema = reader.options(inferSchema=True).csv(path).schema
+        schema = spark.read.options(**options, inferSchema=True).csv(path).schema
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE",
-                               columnNameOfCorruptRecord=CORRUPT).schema(with_corrupt).csv(path))
-    # The parser must read all columns to tell a bad record, so both uses refer to all of them: a
-    # count of the loaded rows leaves out the same records as a read of every column.
-    every_field = F.xxhash64(*[quoted(f.name) for f in schema.fields])
-    found = rows.agg(F.count_if(F.col(CORRUPT).isNotNull()), F.max(every_field)).first()[0]
-    if found > max_bad:
-        raise TooManyBadRecords(f"{found} records of {path} cannot be read")
-    return rows.filter(F.col(CORRUPT).isNull() & (every_field >= F.lit(SMALLEST_LONG))).drop(CORRUPT)
+    # Without pruning the parser reads all columns whatever is selected, so every use rejects the same records.
+    rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False).schema(with_corrupt).csv(path)
+    is_bad = F.col(CORRUPT).isNotNull()
+    # Spark reads no file for the rejected text alone, so a condition that always holds names a field.
+    some_field = F.hash(*[quoted(f.name) for f in schema.fields[:1]]) >= -(2**31)
+    rejected = rows.filter(is_bad & some_field).select(F.input_file_name().alias("file"), F.col(CORRUPT).alias("record"))
+    return rows.filter(~is_bad & some_field).drop(CORRUPT), rejected
+
+
+def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
+             max_bad: int = MAX_BAD_RECORDS, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; more than `max_bad` records that do not fit are an error.
+
+    Reads the files at once to count these records.  `split_csv` returns them.
+    """
+    rows, rejected = split_csv(spark, path, schema, multi_line)
+    if rejected.limit(max_bad + 1).count() > max_bad:
+        raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
+    return rows
 
 
 def load_many(spark: SparkSession, mapping: Mapping[str, str], folder: str, loader=load_csv) -> dict[str, DataFrame]:
@@ -153,7 +166,7 @@ def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | No
 
     The columns depend on the data, so the documents are read twice at once: for the common schema
     and for the greatest length of each array.  A known `schema` spares the first reading.
-    `max_items` leaves out columns of later items, and spares the second.
+    `max_items` spares the second: items after these come as JSON text in one more column `<name>_rest`.
     """
     kind = merged_schema(df, column) if schema is None else schema
     kept = [c for c in df.columns if c != column] if keep is None else list(keep)
@@ -169,8 +182,12 @@ def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | No
             return [c for f in part.fields
                     for c in outputs(value.getField(f.name), f.dataType, (*path, f.name), [*label, f.name])]
         if isinstance(part, T.ArrayType):
-            return [c for i in range(widths[path])
-                    for c in outputs(F.get(value, F.lit(i)), part.elementType, (*path, ANY_ITEM), [*label, str(i)])]
+            items = [c for i in range(widths[path])
+                     for c in outputs(F.get(value, F.lit(i)), part.elementType, (*path, ANY_ITEM), [*label, str(i)])]
+            if max_items is None:
+                return items
+            rest = F.slice(value, max_items + 1, F.greatest(F.size(value) - max_items, F.lit(0)))
+            return [*items, F.when(F.size(value) > max_items, F.to_json(rest)).alias(sep.join([*label, "rest"]))]
         return [value.alias(sep.join(label))]
 
     return nested.select(*[quoted(k) for k in kept], *outputs(F.col("_document"), kind, (), []))

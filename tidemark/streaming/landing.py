@@ -22,7 +22,8 @@ def land_new_files(spark: SparkSession, folder: str, location: str, as_of: dt.da
                    files_per_batch: int = 10_000, progress: str | None = None) -> StreamingQuery:
     """Append the documents of all files not taken before to a raw table, then stop.
 
-    Lines that are not JSON are left out.  `name` identifies the stream in the checkpoint folder.
+    Lines that are not JSON go to no table here; `land_rejects` takes them.  `name` identifies the stream in
+    the checkpoint folder.
     """
     lines = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
              .filter(parsed("value").isNotNull()).withColumnRenamed("value", "json_data"))
@@ -31,3 +32,17 @@ def land_new_files(spark: SparkSession, folder: str, location: str, as_of: dt.da
     return (rows.writeStream.format("parquet").partitionBy(RUN_DAY).outputMode("append")
             .option("checkpointLocation", progress or f"{checkpoint_dir(spark)}/{name}")
             .trigger(availableNow=True).start(location))
+
+
+def land_rejects(spark: SparkSession, folder: str, location: str, as_of: dt.datetime, name: str,
+                 files_per_batch: int = 10_000, progress: str | None = None) -> StreamingQuery:
+    """Append (file, record) of all lines that are not JSON to a table by day, then stop.
+
+    A stream of its own, with its own progress, so that it cannot hold up the documents.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    rejected = lines.filter((F.trim("value") != "") & parsed("value").isNull()).select(
+        F.input_file_name().alias("file"), F.col("value").alias("record"), F.lit(run_stamp(as_of)[:8]).alias(RUN_DAY))
+    return (rejected.writeStream.format("parquet").partitionBy(RUN_DAY).outputMode("append")
+            .option("checkpointLocation", progress or f"{checkpoint_dir(spark)}/{name}-rejects")
+            .trigger(availableNow=True).start(location))
