@@ -10,7 +10,7 @@ from tidemark.functions.scalars import sum_if
 from tidemark.operators.select import null_column
 from tidemark.operators.spines import months_list
 from tidemark.operators.windows import latest_per_key
-from tidemark.plans import book, crm, customers, general, monthly, revenue, status, subscriptions, touchpoints, usage
+from tidemark.plans import book, crm, customers, general, monthly, revenue, staging, status, subscriptions, touchpoints, usage
 
 AS_OF = "2001-08-01"
 APP_URL, BILLING_URL = "https://app.example.com/customers/", "https://billing.example.com/customers/"
@@ -109,7 +109,7 @@ def wide_subscriptions(t):
         F.col("o_orderpriority").alias("collection_method"), F.lit("usd").alias("currency"),
         (F.col("o_orderstatus") == "O").alias("plan_active"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "month").alias("plan_interval"),
-        F.date_add(day, 7).alias("trial_end"), day.alias("created"), day.alias("current_period_start"),
+        F.date_add(day, 7).alias("trial_end"), F.date_add(day, 1).alias("items_data_0_created"), day.alias("created"), day.alias("current_period_start"),
         F.date_add(day, 30).alias("current_period_end"),
         F.when(F.col("o_orderstatus") == "F", F.date_add(day, 90)).alias("ended_at"),
         *[F.col(f"slot_{n}.{f}").alias(f"items_data_{n}_{f}") for n in (0, 1, 2) for f in fields])
@@ -281,7 +281,8 @@ def slot_licences(t):
 # -- CRM ----------------------------------------------------------------------------------------
 
 def crm_users(t):
-    return t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), (F.col("n_regionkey") * 7).alias("manager_id"))
+    return t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.upper("n_name").alias("first_name"),
+                           F.lower("n_name").alias("last_name"), (F.col("n_regionkey") * 7).alias("manager_id"))
 
 
 def _hours_after(column: str):
@@ -341,7 +342,7 @@ def crm_opportunities(t):
         (F.col("c_nationkey") + 2).alias("owner_id"), F.col("c_name").alias("name"), _hours_after("c_custkey").alias("created_date"), "c_mktsegment")
     acc = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), (F.col("s_suppkey") - F.col("s_suppkey") % 4).alias("top_parent_id"))
     kinds = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
-    return crm.opportunities(opps, _touch_leads(t), acc, crm_users(t), kinds, columns=["c_mktsegment"])
+    return crm.opportunities(opps, _touch_leads(t), acc, crm_users(t), kinds, columns=["c_mktsegment"], account_columns=[])
 
 
 # -- usage --------------------------------------------------------------------------------------
@@ -495,7 +496,7 @@ def _active_plans(t):
 PLANS_SQL = f"""
 prod AS (SELECT p_partkey AS id, nullif(p_type, 'PROMO') AS name FROM part),
 plans AS (SELECT customer AS customer_id, replace(customer, 'cus_', 'org_') AS app_customer_key, c_name AS customer_email, name AS plan, quantity_0 AS licence_count, subs.status AS plan_status,
-  CAST(created + 7 AS VARCHAR) AS trial_end_date, CAST(created AS VARCHAR) AS created_subscription,
+  CAST(created + 7 AS VARCHAR) AS trial_end_date, CAST(created + 1 AS VARCHAR) AS slot_created, CAST(created AS VARCHAR) AS created_subscription,
   CAST(coalesce(amount_0, 0) * coalesce(quantity_0, 0) + coalesce(amount_1, 0) * coalesce(quantity_1, 0) + coalesce(amount_2, 0) * coalesce(quantity_2, 0) AS DOUBLE) / 100 AS price,
   CASE WHEN unit_0 = 'month' AND times_0 = 1 THEN 'monthly' WHEN unit_0 = 'month' AND times_0 = 3 THEN 'quarterly' WHEN unit_0 = 'year' THEN 'annualy' ELSE '' END AS billing_frequency,
   mrr, '{BILLING_URL}' || customer AS subscription_link
@@ -510,16 +511,21 @@ def active_plans(t):
 def _account_report(t):
     accounts = t.customer.select(
         F.col("c_custkey").alias("id"), _text("org_", "c_custkey").alias("app_customer_key"), _text("K", "c_custkey").alias("account_key"), F.col("c_name").alias("name"),
-        F.concat(F.lit("K"), (F.col("c_custkey") % 50).cast("string")).alias("top_parent_key"), (F.col("c_nationkey") + 2).alias("owner_id"), F.col("c_mktsegment").alias("account_type"))
+        F.concat(F.lit("K"), (F.col("c_custkey") % 50).cast("string")).alias("top_parent_key"), (F.col("c_nationkey") + 2).alias("owner_id"), F.col("c_mktsegment").alias("account_type"),
+        (F.col("c_nationkey") % 4).alias("owners_manager"), F.when(F.col("c_acctbal") > 0, "gold").alias("account_tier"),
+        F.lower("c_mktsegment").alias("industry"), (F.col("c_custkey") % 3).alias("billing_country"))
     opps = t.orders.select(F.col("o_custkey").alias("account_id"), F.col("o_orderkey").alias("opportunity_id"),
-                           F.col("o_orderdate").cast("date").alias("subscription_end_date"), F.col("o_orderpriority").alias("subscription_term"))
+                           F.col("o_orderdate").cast("date").alias("subscription_end_date"), F.col("o_orderpriority").alias("subscription_term"),
+                           (F.col("o_orderstatus") == "F").alias("created_by_billing"), (F.col("o_orderkey") % 2 == 0).alias("self_serve"))
     return general.account_report(accounts, crm_users(t), opps, "https://crm.example.com/")
 
 
 ACCOUNTS_SQL = """
-opp AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+opp AS (SELECT o_custkey, o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
 accounts AS (SELECT 'org_' || a.c_custkey AS app_customer_key, 'K' || a.c_custkey AS account_key, a.c_name AS account_name, p.c_name AS top_parent_account, n_nationkey AS owner_id,
-  n_name AS account_owner, o_orderpriority AS subscription_term, a.c_mktsegment AS account_type, 'https://crm.example.com/K' || a.c_custkey || '/view' AS account_url,
+  n_name AS account_owner, upper(n_name) AS first_name, lower(n_name) AS last_name, a.c_nationkey % 4 AS owners_manager,
+  CASE WHEN a.c_acctbal > 0 THEN 'gold' END AS account_tier, lower(a.c_mktsegment) AS industry, a.c_custkey % 3 AS billing_country,
+  o_orderpriority AS subscription_term, o_orderstatus = 'F' AS created_by_billing, o_orderkey % 2 = 0 AS self_serve, a.c_mktsegment AS account_type, 'https://crm.example.com/K' || a.c_custkey || '/view' AS account_url,
   CAST(d AS VARCHAR) AS subscription_end_date
   FROM customer a JOIN customer p ON a.c_custkey % 50 = p.c_custkey JOIN nation ON a.c_nationkey + 2 = n_nationkey JOIN opp ON a.c_custkey = o_custkey)"""
 
@@ -729,8 +735,8 @@ def newest_touchpoints(t):
         F.lit('{"Id": "'), F.col("event_id").cast("string"), F.lit('", "Type": "'), F.col("event_type"), F.lit('", "Amount": '), F.col("value").cast("string"),
         F.lit(', "Detail": '), F.col("props"), F.lit(', "CreatedDate": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('.000+00:00"}'))
     raw = t.events.select(document.alias("json_data"), F.date_format("ts", "yyyyMMddHHmmss").alias("run_date"))
-    return touchpoints.touchpoints(raw, {"id": "Id", "kind": "Type", "k": ("Detail.k", "bigint"), "amount": ("Amount", "double"), "nested": "Detail"},
-                                   {"created_at": "CreatedDate"})
+    return touchpoints.touchpoints(raw, {"id": "Id", "kind": "Type", "k": ("Detail.k", "bigint"), "amount": ("Amount", "double"), "nested": "Detail",
+                                         "created_at": ("CreatedDate", "moment")})
 
 
 @query("""
@@ -740,3 +746,115 @@ def newest_campaigns(t):
     raw = t.events.select(F.to_json(F.struct(F.col("event_type").alias("Type"))).alias("json_data"), F.date_format("ts", "yyyyMMddHHmmss").alias("run_date"))
     staged = touchpoints.campaigns(raw, {"Type": "Type", "type_in_lower_case": "type"})
     return staged.groupBy("Type", "type_in_lower_case", "run_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- the standard columns, and reports on staged sources ------------------------------------------
+
+def _documents_of(t, fields, values):
+    """One document per event, with a value for every field."""
+    body = F.to_json(F.struct(*[values(path, kind).alias(path) for path, kind in {path: kind for path, kind in fields.values()}.items()]))
+    return t.events.select(body.alias("json_data"), F.date_format("ts", "yyyyMMddHHmmss").alias("run_date"))
+
+
+NEWEST = "FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"
+
+
+@query("SELECT " + ", ".join(f"'{path}#' || event_id AS \"{name}\"" for name, (path, _) in touchpoints.CAMPAIGN_FIELDS.items())
+       + ", strftime(ts, '%Y%m%d') AS run_date " + NEWEST)
+def campaigns_standard(t):
+    raw = _documents_of(t, touchpoints.CAMPAIGN_FIELDS, lambda path, kind: F.concat(F.lit(f"{path}#"), F.col("event_id").cast("string")))
+    return touchpoints.campaigns(raw)
+
+
+def _touch_sql():
+    columns = []
+    for k, (name, (path, kind)) in enumerate(touchpoints.TOUCHPOINT_FIELDS.items()):
+        if kind == "moment":
+            utc = f"(TIMESTAMP '2024-01-01 03:30:00' + CAST(event_id + {k} AS INTEGER) * INTERVAL 1 HOUR)"
+            columns += [f"strftime({utc}, '%Y-%m-%d') AS \"date_{name}\"",
+                        f"strftime(({utc} AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d %H:%M:%S') AS \"{name}\""]
+        else:
+            value = {"double": f"CAST(event_id + {k} AS DOUBLE) / 4", "bigint": f"CAST(event_id + {k} AS BIGINT)"}.get(kind, f"'{path}#' || event_id")
+            columns.append(f"{value} AS \"{name}\"")
+    return "SELECT " + ", ".join(columns) + ", strftime(ts, '%Y%m%d') AS run_date " + NEWEST
+
+
+@query(_touch_sql())
+def touchpoints_standard(t):
+    place = {path: k for k, (path, _) in enumerate(touchpoints.TOUCHPOINT_FIELDS.values())}
+
+    def value(path, kind):
+        number = F.col("event_id") + place[path]
+        moment = F.timestamp_seconds(F.lit(1704079800) + number * 3600)
+        return {"double": number / 4, "bigint": number, "moment": F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSXX")}.get(
+            kind, F.concat(F.lit(f"{path}#"), F.col("event_id").cast("string")))
+
+    return touchpoints.touchpoints(_documents_of(t, touchpoints.TOUCHPOINT_FIELDS, value))
+
+
+def _crm_sources(t):
+    """CRM sources under their raw names, with a value in every column the reports show."""
+    def raw(df, id_, owner, name, more, shown):
+        known = {c for c, _ in more}
+        return df.select(id_.alias("Id"), owner.alias("OwnerId"), *([name.alias("Name")] if name is not None else []), *[v.alias(c) for c, v in more],
+                         *[F.concat(F.lit(f"{c}-"), id_.cast("string")).alias(c) for c in shown if c not in known])
+
+    def sources_of(view, shown):
+        renames = {new: old for old, new in staging.STAGING[view].renames.items()}
+        return [renames.get(c, c) for c in shown]
+
+    day = _hours_after("c_custkey")
+    return staging.stage_all({
+        "crm_accounts": raw(t.customer, F.col("c_custkey"), F.col("c_nationkey") + 2, F.col("c_name"), [
+            ("Top_Parent_Account_ID__c", F.col("c_custkey") - F.col("c_custkey") % 5), ("CreatedDate", day)], sources_of("crm_accounts", crm.ACCOUNT_COLUMNS)),
+        "crm_leads": raw(t.orders, F.col("o_orderkey"), F.col("o_custkey") % 30, None, [
+            ("ConvertedOpportunityId", F.col("o_custkey")), ("ConvertedDate", F.col("o_orderdate").cast("date")),
+            ("GBQ_Reporting_Lead__c", F.col("o_orderstatus") == "F"), ("CreatedDate", F.col("o_orderdate").cast("timestamp"))],
+            sources_of("crm_leads", crm.LEAD_COLUMNS)),
+        "crm_opportunities": raw(t.customer, F.col("c_custkey"), F.col("c_nationkey") + 2, F.col("c_name"), [
+            ("AccountId", F.col("c_custkey") % 120), ("RecordTypeId", F.col("c_custkey") % 6), ("CreatedDate", day)],
+            sources_of("crm_opportunities", crm.OPPORTUNITY_COLUMNS)),
+        "crm_users": t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name"), (F.col("n_regionkey") * 7).alias("ManagerId"))})
+
+
+def _local_day(hours: str) -> str:
+    return f"CAST(CAST((make_timestamp((1577836800 + {hours} * 3600) * 1000000) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) AS VARCHAR)"
+
+
+def _shown_sql(view: str, shown, key: str) -> str:
+    renames = {new: old for old, new in staging.STAGING[view].renames.items()}
+    return ", ".join(f"'{renames.get(c, c)}-' || {key} AS \"{c}\"" for c in shown)
+
+
+@query(f"""SELECT c_custkey AS account_id, c_custkey // 5 * 5 AS top_parent_id, c_name AS account_name, n_name AS account_owner,
+  {_shown_sql('crm_accounts', crm.ACCOUNT_COLUMNS, 'c_custkey')}, CASE WHEN c_custkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS is_top_parent,
+  {_local_day('c_custkey')} AS created_date FROM customer JOIN nation ON c_nationkey + 2 = n_nationkey""")
+def crm_accounts_staged(t):
+    views = _crm_sources(t)
+    return crm.accounts(views["crm_accounts"], views["crm_users"])
+
+
+_LEAD_TEXTS = [c for c in crm.LEAD_COLUMNS if c not in ("converted_opportunity_id", "converted_date", "reporting")]
+
+
+@query(f"""SELECT o_orderkey AS lead_id, n_name AS owner_name, {_shown_sql('crm_leads', _LEAD_TEXTS, 'o_orderkey')}, o_custkey AS converted_opportunity_id,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS converted_date, true AS reporting,
+  CAST(CAST((o_orderdate AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) AS VARCHAR) AS created_date
+  FROM orders JOIN nation ON o_custkey % 30 = n_nationkey WHERE o_orderstatus = 'F'""")
+def crm_leads_staged(t):
+    views = _crm_sources(t)
+    return crm.leads(views["crm_leads"], views["crm_users"])
+
+
+@query(f"""WITH touch AS (SELECT o_custkey AS opp, arg_max(o_orderkey, (- epoch(date_trunc('day', o_orderdate)), o_orderkey)) AS lead_id FROM orders GROUP BY 1)
+SELECT o.c_custkey AS opportunity_id, o.c_custkey % 120 AS account_id, a.c_name AS account_name, a.c_custkey // 5 * 5 AS top_parent_id, o.c_name AS opportunity_name,
+  {_shown_sql('crm_opportunities', crm.OPPORTUNITY_COLUMNS, 'o.c_custkey')}, {_shown_sql('crm_accounts', crm.OPPORTUNITY_ACCOUNT_COLUMNS, 'a.c_custkey')},
+  m.n_name AS opportunity_owner_manager, n.n_name AS opportunity_owner, r_name AS record_type_name, lead_id AS lead_id_from_converted_lead,
+  CASE WHEN a.c_custkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS is_top_parent, {_local_day('o.c_custkey')} AS opportunity_created_date
+FROM customer o JOIN customer a ON o.c_custkey % 120 = a.c_custkey JOIN region ON o.c_custkey % 6 = r_regionkey LEFT JOIN touch ON touch.opp = o.c_custkey
+LEFT JOIN nation n ON o.c_nationkey + 2 = n.n_nationkey LEFT JOIN nation m ON n.n_regionkey * 7 = m.n_nationkey""")
+def crm_opportunities_staged(t):
+    views = _crm_sources(t)
+    shown = views["crm_accounts"].withColumns({c: F.concat(F.lit(f"{c}-"), F.col("id").cast("string")) for c in ("Top_Parent_Account_Name__c",)})
+    kinds = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    return crm.opportunities(views["crm_opportunities"], views["crm_leads"], shown, views["crm_users"], kinds)

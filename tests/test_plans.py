@@ -117,7 +117,7 @@ def test_base_slot_and_average(spark):
 def test_touchpoints_use_exact_keys_and_local_time(spark):
     raw = spark.createDataFrame([('{"Id": "1", "At": "2024-01-01T02:00:00.000+0000", "N": "3.5"}', "20240102000000"), ('{"Id": "0"}', "20240101000000")],
                                 "json_data string, run_date string")
-    row = touchpoints.touchpoints(raw, {"id": "Id", "n": ("N", "double"), "no": "id"}, {"at": "At"}).first()
+    row = touchpoints.touchpoints(raw, {"id": "Id", "n": ("N", "double"), "no": "id", "at": ("At", "moment")}).first()
     assert (row["id"], row["n"], row["no"], row["date_at"], row["at"], row["run_date"]) == (
         "1", 3.5, None, D(2024, 1, 1), dt.datetime(2023, 12, 31, 18), "20240102")
 
@@ -131,6 +131,8 @@ def test_standard_touchpoints_and_campaigns(spark):
     assert (row["Name_c"], row["date_Createddate"], row["bizible2__Count_U_Shaped__c"], row["bizible2__Count_First_Touch__c"]) == ("n", D(2024, 1, 1), 0.5, 2)
     assert row["Createddate"] == dt.datetime(2024, 1, 1, 1) and row["bizible2__Touchpoint_date__c"] is None
     campaign = touchpoints.campaigns(raw).first()
+    assert len(campaign) == 72 + 1 and len(touchpoints.TOUCHPOINT_FIELDS) == 68
+    assert list(found.columns[21:24]) == ["Name_c", "date_Createddate", "Createddate"]
     assert (campaign["CampaignName"], campaign["CampaignType"], campaign["CampaignStatus"]) == ("n", "t", None)
 
 
@@ -140,8 +142,11 @@ def test_staging_catalogue(spark, tmp_path):
     copies = spark.createDataFrame([("a", "20240101000000"), ("b", "20240102000000")], "id string, run_date string")
     views = staging.stage_all({"app_users": users, "raw_subscriptions": copies})
     assert views["app_users"].columns[0] == "user_id" and views["raw_subscriptions"].count() == 1
-    more = staging.with_columns(staging.STAGING["app_users"], ["more"])
-    assert staging.stage_all({"app_users": users}, {"app_users": more})["app_users"].columns[-1] == "more"
+    assert views["app_users"].columns[-1] == "more"
+    few = staging.only(staging.renaming(staging.STAGING["app_users"], more="extra"), ["id", "more"])
+    assert staging.stage_all({"app_users": users}, {"app_users": few})["app_users"].columns == ["user_id", "extra"]
+    left = staging.excluding(staging.STAGING["app_users"], "first_name", ["a", "it's"])
+    assert staging.stage_all({"app_users": users}, {"app_users": left})["app_users"].count() == 0
     path = tmp_path / "views.json"
     path.write_text('{"app_users": {"columns": ["id", "more"], "renames": {"more": "extra"}, "where": "id = 1"}}')
     assert staging.stage_all({"app_users": users}, staging.read_config(str(path)))["app_users"].columns == ["id", "extra"]

@@ -39,6 +39,7 @@ def stage(df: DataFrame, spec: StageSpec | None = None, *, columns: Iterable[str
     if absent:
         raise ValueError(f"the source has no columns {absent}")
     seconds = fold(spec.epochs)
+    renamed = {old.lower(): new for old, new in spec.renames.items()}
     source = df.filter(spec.where) if spec.where else df
 
     def output(name: str) -> Column:
@@ -47,7 +48,7 @@ def stage(df: DataFrame, spec: StageSpec | None = None, *, columns: Iterable[str
             column = from_epoch(column)
         if name in spec.casts:
             column = column.try_cast(spec.casts[name])
-        return column.alias(spec.renames.get(name, name))
+        return column.alias(renamed.get(name.lower(), name))
 
     return source.select(*[output(name) for name in chosen])
 

@@ -20,6 +20,9 @@ REPORT_PERIODS = {
     ("month", 6): "semiannualy",
     ("year", 1): "annualy",
 }
+#: Columns of accounts and of their newest opportunity that the report shows as they are.
+ACCOUNT_COLUMNS = ("owners_manager", "account_tier", "industry", "account_type", "billing_country")
+OPPORTUNITY_COLUMNS = ("subscription_term", "created_by_billing", "self_serve")
 LEFT_OUT_PLAN = "Developer Pack"
 OWNER_ROLE = "owner"
 
@@ -38,7 +41,7 @@ def active_plans(customers: DataFrame, subs: DataFrame, products: DataFrame, mrr
     active = subs.filter(F.col("status") == "active").join(plans, "items_data_0_plan_product").select(
         F.col("customer").alias("customer_id"), "plan", F.col("items_data_0_quantity").alias("licence_count"),
         F.col("status").alias("plan_status"), F.col("trial_end").alias("trial_end_date"),
-        F.col("created").alias("created_subscription"), price.alias("price"),
+        F.col("items_data_0_created").alias("slot_created"), F.col("created").alias("created_subscription"), price.alias("price"),
         billing_period("items_data_0_plan_interval", "items_data_0_plan_interval_count", REPORT_PERIODS, "")
         .alias("billing_frequency"))
     people = customers.select(F.col("id").alias("customer_id"), "metadata_organization_id",
@@ -48,23 +51,24 @@ def active_plans(customers: DataFrame, subs: DataFrame, products: DataFrame, mrr
 
 
 def account_report(accounts: DataFrame, users: DataFrame, opps: DataFrame, account_url: str = "",
-                   tie: str = "opportunity_id") -> DataFrame:
+                   tie: str = "opportunity_id", account_columns: Sequence[str] = ACCOUNT_COLUMNS,
+                   opportunity_columns: Sequence[str] = OPPORTUNITY_COLUMNS) -> DataFrame:
     """Accounts with top parent, owner and latest opportunity; accounts that lack one are left out.
 
-    accounts(id, app_customer_key, account_key, name, top_parent_key, owner_id, account_type),
-    users(id, name), opps(account_id, opportunity_id, subscription_end_date, subscription_term).
+    accounts(id, app_customer_key, account_key, name, top_parent_key, owner_id, `account_columns`),
+    users(id, name, first_name, last_name), opps(account_id, opportunity_id, subscription_end_date,
+    `opportunity_columns`).
     """
     whole = hierarchy_join(accounts, "top_parent_key", "account_key", ["name"])
-    owners = users.select(F.col("id").alias("owner_id"), F.col("name").alias("account_owner"))
+    owners = users.select(F.col("id").alias("owner_id"), F.col("name").alias("account_owner"), "first_name", "last_name")
     newest = opps.withColumnRenamed("account_id", "id")
     joined = latest_join(whole.join(owners, "owner_id"), newest, "id",
                          [F.desc("subscription_end_date"), F.desc(tie)])
-    keys = ["app_customer_key", "account_key", "name", "parent_name", "owner_id", "account_owner",
-            "subscription_term", "account_type"]
+    shown = ["owner_id", "account_owner", "first_name", "last_name", *account_columns, *opportunity_columns]
+    keys = ["app_customer_key", "account_key", "name", "parent_name", *shown]
     return joined.groupBy(*keys).agg(F.max("subscription_end_date").alias("subscription_end_date")).select(
-        "app_customer_key", "account_key", F.col("name").alias("account_name"),
-        F.col("parent_name").alias("top_parent_account"), "owner_id", "account_owner", "subscription_term",
-        "account_type", link(account_url, "account_key", "/view").alias("account_url"), "subscription_end_date")
+        "app_customer_key", "account_key", F.col("name").alias("account_name"), F.col("parent_name").alias("top_parent_account"),
+        *shown, link(account_url, "account_key", "/view").alias("account_url"), "subscription_end_date")
 
 
 def owners_seen_before(orgs: DataFrame, memberships: DataFrame, roles: DataFrame, users: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Staging views as data: which columns the plans need of each source, and what is renamed.
+"""Staging views as data: what is renamed, converted and left out of each source.
 
-The catalogue lists the columns the plans read.  A site that wants more of a source (the CRM
-sources have several hundred columns) passes its own lists, for example from a JSON file.
+Views keep all columns of their source, however many; nothing that is not read is scanned, for the plans
+name what they need.  A site adds its own renames, for example from a JSON file.
 """
 
 from __future__ import annotations
@@ -15,62 +15,49 @@ from pyspark.sql import DataFrame
 from tidemark.operators.select import StageSpec, stage
 from tidemark.sources.lifecycle import latest_snapshot
 
-SLOT_FIELDS = ("plan_product", "plan_id", "plan_amount", "plan_interval", "plan_interval_count", "price_id", "quantity",
-               "created")
-SLOT_COLUMNS = tuple(f"items_data_{n}_{field}" for n in (0, 1, 2) for field in SLOT_FIELDS)
-
-# Source columns the plans read, by staging view.
+# Renamed and epoch columns, by staging view.
 STAGING: dict[str, StageSpec] = {
     # billing
-    "billing_subscriptions": StageSpec(
-        ("id", "customer", "status", "collection_method", "currency", "plan_interval", "plan_active", "trial_end",
-         "created", "current_period_start", "current_period_end", "ended_at", "start_date", "canceled_at",
-         *SLOT_COLUMNS),
-        epochs=("trial_end", "created", "current_period_start", "current_period_end", "ended_at", "start_date",
-                "canceled_at", "items_data_0_created", "items_data_1_created", "items_data_2_created")),
-    "billing_customers": StageSpec(("id", "email", "name", "description", "metadata_organization_id")),
-    "billing_prices": StageSpec(("id", "created"), epochs=("created",)),
-    "billing_products": StageSpec(("id", "name")),
+    "billing_subscriptions": StageSpec(epochs=(
+        "items_data_0_created", "trial_end", "trial_start", "billing_cycle_anchor", "cancel_at", "created",
+        "current_period_end", "current_period_start", "ended_at")),
+    "billing_customers": StageSpec(),
+    "billing_prices": StageSpec(epochs=("created",)),
+    "billing_products": StageSpec(),
     # application
-    "app_customers_bridge": StageSpec(("id", "organization_id", "customer_id")),
-    "app_organizations": StageSpec((
-        "id", "resource_id", "name", "customer_name", "locality", "region", "country", "industry_name",
-        "company_size", "sign_up_source", "created_by_id", "created_at", "converted_at", "membership_count",
-        "active_device_count", "form_count", "record_count", "api_token_count", "data_event_count",
-        "repeatable_count", "report_count", "record_link_field_count")),
-    "app_subscriptions": StageSpec((
-        "owner_id", "stripe_customer_token", "max_users", "min_users", "media_data_usage", "form_scripts_enabled",
-        "shared_views_enabled"), {"stripe_customer_token": "customer_token"}),
-    "app_users": StageSpec(
-        ("id", "first_name", "last_name", "phone", "email", "last_sign_in_at", "last_synced_at"), {"id": "user_id"}),
-    "app_memberships": StageSpec(("id", "user_id", "organization_id", "role_id")),
-    "app_roles": StageSpec(("id", "name")),
-    "app_projects": StageSpec(("id", "owner_id")),
-    "app_workflows": StageSpec(("id", "owner_id")),
-    "app_forms": StageSpec(
-        ("id", "resource_id", "name", "description", "version", "owner_id", "record_count", "record_changed_at",
-         "status", "status_field", "created_by_id", "updated_by_id", "created_at", "updated_at"), {"id": "form_id"}),
-    "app_form_stats": StageSpec(("resource_id",)),
-    "app_form_updates": StageSpec(("id", "org_id", "loaded_at")),
-    "app_groups": StageSpec(("id", "org_id")),
-    "app_flows_completed": StageSpec(("id", "user_org_id", "user_flag_feature_service_layers_enabled")),
-    "app_devices": StageSpec(
-        ("id", "resource_id", "owner_id", "identifier", "platform", "platform_version", "manufacturer", "model",
-         "application_version", "created_at"), {"owner_id": "user_id", "created_at": "device_created_at"}),
-    "app_device_registrations": StageSpec(("owner_id", "device_id", "user_id", "updated_at")),
-    "app_device_syncs": StageSpec(("identifier", "organization_id", "loaded_at")),
+    "app_customers_bridge": StageSpec(),
+    "app_organizations": StageSpec(),
+    "app_subscriptions": StageSpec(renames={"stripe_customer_token": "customer_token"}),
+    "app_users": StageSpec(renames={"id": "user_id"}),
+    "app_memberships": StageSpec(),
+    "app_roles": StageSpec(),
+    "app_projects": StageSpec(),
+    "app_workflows": StageSpec(),
+    "app_forms": StageSpec(renames={"id": "form_id"}),
+    "app_form_stats": StageSpec(),
+    "app_form_updates": StageSpec(),
+    "app_groups": StageSpec(),
+    "app_flows_completed": StageSpec(),
+    "app_devices": StageSpec(renames={"owner_id": "user_id", "created_at": "device_created_at"}),
+    "app_device_registrations": StageSpec(),
+    "app_device_syncs": StageSpec(),
     # CRM
-    "crm_accounts": StageSpec(("Id", "OwnerId", "Name", "CreatedDate")),
-    "crm_account_history": StageSpec(("AccountId", "Field", "OldValue", "NewValue", "CreatedDate"), {
+    "crm_accounts": StageSpec(renames={
+        "Id": "id", "OwnerId": "owner_id", "Name": "name", "Top_Parent_Account_ID__c": "top_parent_id",
+        "X18_Digit_Account_ID__c": "account_key", "Owner_s_Manager__c": "owners_manager", "AccountTier__c": "account_tier",
+        "ZoomInfo_Industry__c": "industry", "Account_Type__c": "account_type", "Billing_Country__c": "billing_country",
+        "CreatedDate": "created_date"}),
+    "crm_account_history": StageSpec(renames={
         "AccountId": "account_id", "Field": "field", "OldValue": "old_value", "NewValue": "new_value",
         "CreatedDate": "created_date"}),
-    "crm_leads": StageSpec(("Id", "OwnerId", "ConvertedOpportunityId", "ConvertedDate", "CreatedDate"), {
+    "crm_leads": StageSpec(renames={
         "Id": "id", "OwnerId": "owner_id", "ConvertedOpportunityId": "converted_opportunity_id",
-        "ConvertedDate": "converted_date", "CreatedDate": "created_date"}),
-    "crm_opportunities": StageSpec(("Id", "AccountId", "OwnerId", "RecordTypeId", "Name", "CreatedDate"), {
+        "ConvertedDate": "converted_date", "GBQ_Reporting_Lead__c": "reporting", "CreatedDate": "created_date"}),
+    "crm_opportunities": StageSpec(renames={
         "Id": "id", "AccountId": "account_id", "OwnerId": "owner_id", "RecordTypeId": "record_type_id",
-        "Name": "name", "CreatedDate": "created_date"}),
-    "crm_users": StageSpec(("Id", "Name", "FirstName", "LastName", "ManagerId"), {
+        "Name": "name", "Subscription_End_Date__c": "subscription_end_date", "Opportunity_Term__c": "subscription_term",
+        "IsCreatedByStripe__c": "created_by_billing", "Self_Serve__c": "self_serve", "CreatedDate": "created_date"}),
+    "crm_users": StageSpec(renames={
         "Id": "id", "Name": "name", "FirstName": "first_name", "LastName": "last_name", "ManagerId": "manager_id"}),
 }
 
@@ -78,10 +65,21 @@ STAGING: dict[str, StageSpec] = {
 LATEST_COPIES = ("raw_subscriptions", "raw_subscription_items")
 
 
-def with_columns(spec: StageSpec, columns) -> StageSpec:
-    """The same view with more source columns."""
-    known = spec.columns or ()
-    return replace(spec, columns=(*known, *[c for c in columns if c not in known]))
+def only(spec: StageSpec, columns) -> StageSpec:
+    """The same view with these source columns alone."""
+    return replace(spec, columns=tuple(columns))
+
+
+def renaming(spec: StageSpec, **names: str) -> StageSpec:
+    """The same view with more source columns renamed (source name = name in the view)."""
+    return replace(spec, renames={**spec.renames, **names})
+
+
+def excluding(spec: StageSpec, column: str, values) -> StageSpec:
+    """The same view without the rows whose column has one of the values, such as customers made for tests."""
+    listed = ", ".join("'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    rule = f"`{column}` NOT IN ({listed})"
+    return replace(spec, where=f"({spec.where}) AND {rule}" if spec.where else rule)
 
 
 def read_config(path: str) -> dict[str, StageSpec]:

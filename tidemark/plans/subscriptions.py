@@ -13,11 +13,12 @@ from tidemark.plans.customers import ORG_COUNTERS
 
 SLOTS = (0, 1, 2)
 
-# Plans that are paid for by the seat, and plans whose seats do not count at all.
+# Plans that are paid for by the seat, and plans whose seats do not count at all.  Plans that
+# were made for one customer are for the caller to add.
 BASE_PLANS = ("Enterprise", "Professional", "Professional 2019", "Essentials", "Essentials 2019", "Starter")
 UNCOUNTED_PLANS = (
     "Developer", "Developer Pack", "Data Block", "Professional Services", "Managed Services",
-    "Professional Service PDF Report Template", "Arcadis - Enterprise + Managed Services", "NYSEG - Managed Services",
+    "Professional Service PDF Report Template",
 )
 
 # Interval labels of the subscription fact, in order of precedence.
