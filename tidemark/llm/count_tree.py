@@ -62,27 +62,39 @@ class CountTree:
         return nodes
 
 
-def linked(values: np.ndarray, first: np.ndarray, percent: int, roots: np.ndarray | None = None) -> np.ndarray:
+def linked(values: np.ndarray, first: np.ndarray, percent: int, groups: list[np.ndarray] | None = None) -> np.ndarray:
     """For each set (sorted distinct members) the number of the first set it is linked with over any way.
 
-    Two sets link when their Jaccard similarity is `percent` / 100 or more.  `roots` has links known before.
-    Pairs that are linked over others already are not compared, and subtrees of such pairs not entered, so
-    a group of copies costs about one comparison for each.
+    Two sets link when their Jaccard similarity is `percent` / 100 or more.  With `groups` (numbers of sets)
+    only sets that are in a group together are compared.  Pairs that are linked over others already are not
+    compared, and subtrees of such pairs not entered, so copies cost about one comparison for each.
     """
     sizes = np.diff(first)
-    roots = np.arange(len(sizes)) if roots is None else roots.copy()
+    roots = np.arange(len(sizes))
     vectors = count_vectors(values, first)
-    tree = CountTree(vectors, sizes)
+    groups = [roots.copy()] if groups is None else groups
+    large = [g for g in groups if len(g) > FANOUT]
+    for group in sorted(large, key=len, reverse=True):
+        _link_by_tree(values, first, sizes, vectors, group, percent, roots)
+    _link_pairs(values, first, sizes, vectors, [g for g in groups if 1 < len(g) <= FANOUT], percent, roots)
+    return roots
+
+
+def _link_by_tree(values, first, sizes, vectors, group, percent, roots) -> None:
+    """Link the sets of a group through the R-tree of their points; changes `roots`."""
+    if (roots[group] == roots[group[0]]).all():
+        return
+    tree = CountTree(vectors[group], sizes[group])
     leaves = np.arange(len(tree.levels[0][0]))
     begins = leaves * FANOUT
     for k in leaves:
-        mine = tree.leaf(k)
-        by_leaf = roots[tree.order]
+        mine = group[tree.leaf(k)]
+        by_leaf = roots[group[tree.order]]
         low, high = np.minimum.reduceat(by_leaf, begins), np.maximum.reduceat(by_leaf, begins)
         others = tree.search(k, percent)
         others = others[(low[others] != high[others]) | (low[others] != low[k]) | (low[k] != high[k])]
         for other in others:
-            theirs = tree.leaf(other)
+            theirs = group[tree.leaf(other)]
             open_ = roots[mine][:, None] != roots[theirs][None]
             if other == k:
                 open_ &= np.tri(len(mine), k=-1, dtype=bool)
@@ -93,19 +105,48 @@ def linked(values: np.ndarray, first: np.ndarray, percent: int, roots: np.ndarra
             open_ &= bound >= need
             while open_.any():
                 x, y = divmod(int(np.argmax(np.where(open_, bound - need, -1))), len(theirs))
-                a, b = mine[x], theirs[y]
-                if _common(values[first[a]:first[a + 1]], values[first[b]:first[b + 1]]) >= need[x, y]:
-                    keep, gone = sorted((roots[a], roots[b]))
-                    roots[roots == gone] = keep
+                if _link(values, first, mine[x], theirs[y], need[x, y], roots):
                     open_ &= roots[mine][:, None] != roots[theirs][None]
                 else:
                     open_[x, y] = False
-    return roots
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
+PAIRS = 50_000  # looked at together
+
+
+def _link_pairs(values, first, sizes, vectors, groups, percent, roots) -> None:
+    """Link the sets of small groups, by the bounds of all pairs of some groups at once; changes `roots`."""
+    by_size: dict[int, list[np.ndarray]] = {}
+    for group in groups:
+        by_size.setdefault(len(group), []).append(group)
+    for size, same in by_size.items():
+        i, j = np.triu_indices(size, 1)
+        step = max(1, PAIRS // len(i))
+        for k in range(0, len(same), step):
+            members = np.stack(same[k:k + step])
+            a, b = members[:, i].ravel(), members[:, j].ravel()
+            open_ = roots[a] != roots[b]
+            pairs = np.unique(np.minimum(a, b)[open_] * len(sizes) + np.maximum(a, b)[open_])
+            a, b = np.divmod(pairs, len(sizes))
+            need = needed(percent, sizes[a], sizes[b])
+            open_ = np.minimum(sizes[a], sizes[b]) >= need
+            a, b, need = a[open_], b[open_], need[open_]
+            spare = np.minimum(vectors[a], vectors[b]).sum(axis=1) - need
+            order = np.argsort(-spare, kind="stable")
+            for x in order[:np.count_nonzero(spare >= 0)]:
+                if roots[a[x]] != roots[b[x]]:
+                    _link(values, first, a[x], b[x], need[x], roots)
+
+
+def _link(values, first, a, b, need, roots) -> bool:
+    """Compare two sets, and join their classes if they link."""
+    one, other = values[first[a]:first[a + 1]], values[first[b]:first[b + 1]]
+    if len(one) > len(other):
+        one, other = other, one
+    at = np.searchsorted(other, one)
+    at[at == len(other)] = 0
+    if (other[at] == one).sum() < need:
+        return False
+    keep, gone = sorted((roots[a], roots[b]))
+    roots[roots == gone] = keep
+    return True

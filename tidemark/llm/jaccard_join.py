@@ -9,11 +9,12 @@
    meet under the first members of their sets in hash order (prefix filter).  Keys travel packed, once per
    slice of documents and node, and shortened to 40 bits within a part of the hash space: nodes that meet by
    chance are refuted later like all others.
-3. Nodes that meet anywhere form a region.  In each region the points of the nodes (n-grams hashed into
-   groups, counted) are indexed by a packed R-tree; the sum of smaller coordinates bounds what two nodes
-   share, and pairs that survive are verified on the sets themselves.  Pairs that are linked already over
-   others are not looked at.  A region of more than `region_bytes` is cut into neighbouring pairs of size
-   classes, and what is still larger by hash into pieces, which are searched each for itself and in pairs.
+3. Nodes under one key are a group; equal groups count once, and groups that share nodes form a region.  In
+   each group the points of the nodes (n-grams hashed, counted) are indexed by a packed R-tree; the sum of
+   smaller coordinates bounds what two nodes share, and pairs that survive are verified on the sets
+   themselves.  Pairs that are linked already over others are not looked at.  A task takes whole regions; the
+   groups of a region of more than `region_bytes` are dealt out by their smallest node, and a group that is
+   larger itself is cut by hash into pieces, each two of which are a group.
 4. Connected components of the links, by alternating stars, give each document its class.
 """
 
@@ -33,8 +34,8 @@ from tidemark.llm.count_tree import linked
 from tidemark.llm.storage import stored
 
 SHINGLE, PERCENT = 3, 90
-REGION_BYTES = 32_000_000  # of sets in one task
-PART_KEYS = 2_000_000
+REGION_BYTES = 16_000_000  # of sets in one task
+PART_KEYS = 1_000_000
 KEY_BITS = U64((1 << 40) - 1)
 
 
@@ -142,12 +143,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in slices(batches, "text"):
             _, first, names = shingle_sets(batch.column("text"), shingle)
             size = np.diff(first)
-            label = SizeClasses(int(size.max(initial=0)), percent).of(size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0),
-                 pa.array(label)], names=["doc_id", "text_key", "n_shingles", "set", "label"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(size), pa.array(names.view(np.int64), mask=size == 0)],
+                names=["doc_id", "text_key", "n_shingles", "set"])
 
-    named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long, label long"), "jaccard-sets")
+    named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long"), "jaccard-sets")
     rows = rows.drop("text_key")
     total = named.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(1, math.ceil(total * 2.4 * (100 - percent) / (100 + percent) / PART_KEYS))
@@ -167,59 +167,58 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         key, node = _unpacked_keys(table)
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
-        begin = np.append([True], key[1:] != key[:-1])[:len(key)]
-        leader = node[np.maximum.accumulate(np.where(begin, np.arange(len(key)), 0))] if len(key) else node
-        pair = leader != node
-        edges = np.unique(np.column_stack([node[pair], leader[pair]]), axis=0).reshape(-1, 2).view(np.int64)
-        return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
+        new = np.append([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[:len(key)]
+        key, node = key[new], node[new]
+        begin = np.flatnonzero(np.append([True], key[1:] != key[:-1])[:len(key)])
+        size = np.diff(np.append(begin, len(key)))
+        group = mix(np.add.reduceat(mix(node), begin) + size.astype(U64)) if len(key) else key
+        _, once = np.unique(group, return_index=True)
+        once = once[size[once] > 1]
+        at = np.arange(size[once].sum()) + np.repeat(begin[once] - (np.cumsum(size[once]) - size[once]), size[once])
+        return pa.table({"gid": np.repeat(group[once], size[once]).view(np.int64), "node": node[at].view(np.int64),
+                         "leader": np.repeat(node[begin[once]], size[once]).view(np.int64)})
 
     met = rows.mapInArrow(keys, "part int, top binary, low binary, node binary, names binary").groupBy("part").applyInArrow(
-        meet, "a long, b long")
-    regions = components(met, "jaccard-regions")
-
-    # Nodes that met others, each with one document that has it, and the units they are searched in: their region or,
-    # where that is large, its pairs of neighbouring size classes.
-    one = named.filter("set IS NOT NULL").groupBy("set").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"), F.min("label").alias("label"))
-    nodes = regions.join(one, regions["node"] == one["set"]).select("doc_id", "set", "size", "label", F.col("root").alias("region"))
-    large = nodes.groupBy("region").agg((8 * F.sum("size") > region_bytes).alias("large"))
-    either = F.when(F.col("large"), F.array("label", F.col("label") - 1)).otherwise(F.array(F.lit(-2).cast("long")))
-    nodes = nodes.join(large, "region").select("doc_id", "set", "size", F.explode(either).alias("label"), "region")
-    nodes = nodes.select("doc_id", "set", "size", F.xxhash64("region", "label").alias("unit"))
-    pieces = nodes.groupBy("unit").agg(F.ceil(8 * F.sum("size") / F.lit(region_bytes)).cast("int").alias("pieces"))
-    nodes = stored(nodes.join(pieces, "unit"), "jaccard-nodes")
-    size, most = nodes.agg(F.sum("size"), F.max("pieces")).first()
-    bins = max(1, math.ceil(4 * 8 * (size or 0) / region_bytes))
-
-    wanted = nodes.groupBy("doc_id", "set").agg(F.collect_list(F.struct("unit", "pieces")).alias("units"))  # two at most
-    wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "set", "units")
+        meet, "gid long, node long, leader long")
+    met = stored(met.distinct(), "jaccard-groups")
+    regions = components(met.select(F.col("node").alias("a"), F.col("leader").alias("b")), "jaccard-regions")
+
+    one = named.filter("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), (8 * F.min("n_shingles")).alias("size"))
+    nodes = stored(regions.join(one, F.col("node") == F.col("set")).select("node", "doc_id", "size", F.col("root").alias("region")), "jaccard-nodes")
+    units = nodes.groupBy("region").agg(F.sum("size").alias("bytes")).select("region", _share("bytes", region_bytes, 3).alias("units"))
+    met = met.join(nodes.select("node", "size", "region"), "node").join(units, "region")
+    cuts = met.groupBy("gid").agg(F.sum("size").alias("bytes")).select("gid", _share("bytes", region_bytes, 2).alias("pieces"))
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces"))
+    whole = F.array(F.struct("gid", F.xxhash64("region", F.pmod(F.xxhash64("leader"), F.col("units"))).alias("unit")))
+    halves = F.transform(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x != piece), lambda x: F.struct(
+        F.xxhash64("gid", F.least(x, piece), F.greatest(x, piece)).alias("gid"),
+        F.xxhash64("gid", F.least(x, piece), F.greatest(x, piece)).alias("unit")))
+    groups = met.join(cuts, "gid").select("node", "size", F.inline(F.when(F.col("pieces") > 1, halves).otherwise(whole)))
+    groups = stored(groups, "jaccard-units")
+    placed = groups.select("node", "unit", "size").distinct()
+    bins = max(1, math.ceil(4 * (placed.agg(F.sum("size")).first()[0] or 0) / region_bytes))
+
+    # The sets of nodes that met others, each from one document that has it, in every unit that has the node.
+    wanted = placed.groupBy("node").agg(F.collect_list("unit").alias("units")).join(nodes.select("node", "doc_id"), "node")
+    wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node", "units")
 
     def fetch(batches):
         for batch in slices(batches, "text"):
             members, first, names = shingle_sets(batch.column("text"), shingle)
-            same = np.flatnonzero(names.view(np.int64) == batch.column("set").to_numpy())
+            same = np.flatnonzero(names.view(np.int64) == batch.column("node").to_numpy())
             sets = pa.array([members[first[i]:first[i + 1]].tobytes() for i in same], pa.binary())
             at = pa.array(same)
-            yield pa.RecordBatch.from_arrays([sets, *(batch.column(c).take(at) for c in ("set", "units"))], names=["members", "set", "units"])
-
-    sets = wanted.mapInArrow(fetch, "members binary, set long, units array<struct<unit:long,pieces:int>>")
-    sets = sets.select("members", "set", F.inline("units"))
-    # Small units share a task; pieces of large ones have a task each.
-    piece = F.pmod(F.xxhash64("set"), F.col("pieces"))
-    task = F.when(F.col("pieces") == 1, F.pmod(F.xxhash64("unit"), F.lit(bins))).otherwise(F.xxhash64("unit", piece))
-
-    def link(table: pa.Table) -> pa.Table:
-        return _linked_rows(table, percent)
-
-    links = sets.select("members", "set", "unit", piece.alias("piece"), task.alias("task")).groupBy("task").applyInArrow(
-        link, "set long, root long")
-    if (most or 0) > 1:
-        other = F.explode(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x != F.col("piece")))
-        pairs = sets.filter("pieces > 1").withColumn("piece", piece).select("members", "set", "unit", "piece", other.alias("other"))
-        pairs = pairs.select("members", "set", F.xxhash64("unit", F.least("piece", "other"), F.greatest("piece", "other")).alias("task"),
-                             "unit", F.lit(0).cast("long").alias("piece"))
-        links = links.unionByName(pairs.groupBy("task").applyInArrow(link, "set long, root long"))
-    links = components(links.select(F.col("set").alias("a"), F.col("root").alias("b")), "jaccard-links")
+            yield pa.RecordBatch.from_arrays([sets, *(batch.column(c).take(at) for c in ("node", "units"))], names=["members", "node", "units"])
+
+    task = F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("task")
+    sets = wanted.mapInArrow(fetch, "members binary, node long, units array<long>").select("members", "node", F.explode("units").alias("unit"))
+
+    def link(sets: pa.Table, groups: pa.Table) -> pa.Table:
+        return _linked_rows(sets, groups, percent)
+
+    links = sets.select(task, "unit", "node", "members").groupBy("task").cogroup(
+        groups.select(task, "unit", "node", "gid").groupBy("task")).applyInArrow(link, "node long, root long")
+    links = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), "jaccard-links")
 
     classes = named.join(links, F.col("set") == F.col("node"), "left").select(
         "doc_id", "n_shingles", "text_key", F.coalesce("root", "set").alias("class"))
@@ -276,22 +275,33 @@ def _unpacked_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(nodes)
 
 
-def _linked_rows(table: pa.Table, percent: int) -> pa.Table:
-    """(set, root) for rows of (members, set, unit, piece): the links found within each unit and piece."""
-    node = table.column("set").to_numpy()
-    unit = np.column_stack([table.column("unit").to_numpy(), table.column("piece").to_numpy()])
-    order = np.lexsort((node, unit[:, 1], unit[:, 0]))
-    new = np.append([True], (unit[order[1:]] != unit[order[:-1]]).any(axis=1))[:len(order)]
-    members = table.column("members").combine_chunks()
-    sets, roots = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    begins = np.flatnonzero(new)
-    for i, j in zip(begins, np.append(begins[1:], len(order))):
-        at = order[i:j]
-        _, once = np.unique(node[at], return_index=True)
-        at = at[once]
-        values = [np.frombuffer(members[int(x)].as_buffer(), dtype=np.uint64) for x in at]
+def _share(column: str, most: int, times: int):
+    """1 for a number up to `most`, and else in how many parts to cut it, each `times` below that bound."""
+    return F.when(F.col(column) <= most, 1).otherwise(F.ceil(times * F.col(column) / most)).cast("int")
+
+
+def _linked_rows(sets: pa.Table, groups: pa.Table, percent: int) -> pa.Table:
+    """(node, root) of the links found in the units of a task: (unit, node, members) of sets, (unit, node, gid) of groups."""
+    unit, node = sets.column("unit").to_numpy(), sets.column("node").to_numpy()
+    order = np.lexsort((node, unit))
+    new = np.append([True], (unit[order][1:] != unit[order][:-1]) | (node[order][1:] != node[order][:-1]))[:len(order)]
+    order = order[new]  # a set comes twice where a document does
+    unit, node = unit[order], node[order]
+    members = sets.column("members").combine_chunks()
+    in_group = np.lexsort((groups.column("node").to_numpy(), groups.column("gid").to_numpy(), groups.column("unit").to_numpy()))
+    g_unit, g_node, gid = (groups.column(c).to_numpy()[in_group] for c in ("unit", "node", "gid"))
+    found_node, found_root = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    begins = np.flatnonzero(np.append([True], unit[1:] != unit[:-1])[:len(unit)])
+    for i, j in zip(begins, np.append(begins[1:], len(unit))):
+        low, high = np.searchsorted(g_unit, [unit[i], unit[i] + 1]) if unit[i] < np.iinfo(np.int64).max else (
+            np.searchsorted(g_unit, unit[i]), len(g_unit))
+        place = np.searchsorted(node[i:j], g_node[low:high])
+        there = (place < j - i) & (node[i:j][np.minimum(place, j - i - 1)] == g_node[low:high])
+        place, of = place[there], gid[low:high][there]
+        inside = np.split(place, np.flatnonzero(of[1:] != of[:-1]) + 1) if len(place) else []
+        values = [np.frombuffer(members[int(x)].as_buffer(), dtype=np.uint64) for x in order[i:j]]
         first = np.concatenate([[0], np.cumsum([len(x) for x in values])])
-        found = linked(np.concatenate(values), first, percent)
-        sets.append(node[at])
-        roots.append(node[at][found])
-    return pa.table({"set": np.concatenate(sets), "root": np.concatenate(roots)})
+        roots = linked(np.concatenate(values), first, percent, [np.unique(x) for x in inside])
+        found_node.append(node[i:j])
+        found_root.append(node[i:j][roots])
+    return pa.table({"node": np.concatenate(found_node), "root": np.concatenate(found_root)})
