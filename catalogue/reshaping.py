@@ -32,7 +32,7 @@ def pivot_by_month(t):
     + ", " + ", ".join(f"count(DISTINCT CASE WHEN event_type <> '{e}' THEN event_id % 50 ELSE -1 END) AS \"not_{e}\""
                        for e in EVENT_TYPES) + " FROM events GROUP BY user_id")
 def pivot_cols_events(t):
-    types = r.list_column_values(t.events, "event_type", order="value")
+    types = EVENT_TYPES  # the columns of a pivot are given, not looked up
     counts = r.pivot_cols("event_type", types, prefix="n_", suffix="_events")
     others = r.pivot_cols("event_type", types, agg="count", cmp="<>", prefix="Not ", distinct=True,
                           then_value=F.col("event_id") % 50, else_value=-1, quote=False)
@@ -103,7 +103,5 @@ def brand_values(t):
 @query("""
 SELECT o_orderstatus, count(*) AS n_orders, (SELECT max(o_totalprice) FROM orders) AS highest FROM orders GROUP BY 1""")
 def single_values(t):
-    highest = r.single_value(t.orders.agg(F.max("o_totalprice")), default=0.0)
-    statuses = r.as_dict(t.orders.select("o_orderstatus").distinct())["o_orderstatus"]
-    return t.orders.filter(F.col("o_orderstatus").isin(*statuses)).groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.lit(highest).alias("highest"))
+    counted = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
+    return counted.withColumn("highest", t.orders.agg(F.max("o_totalprice")).scalar())

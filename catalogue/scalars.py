@@ -9,14 +9,13 @@ from tidemark.functions import calendar as cal
 from tidemark.functions import scalars as sc
 from tidemark.functions.documents import json_value, project_json
 from tidemark.functions.web import url_host, url_param, url_path
-from tidemark.operators.reshape import list_column_values
 from tidemark.operators.select import (
     empty_to_null,
     epoch_to_ts,
     filtered_columns,
     first_slot,
     null_column,
-    slugify,
+    slugified,
     stage,
     star,
     top_parent_flag,
@@ -272,6 +271,4 @@ def predicates_and_text(t):
 @query("""
 SELECT 'brand' || '_' || lower(replace(p_brand, '#', '')) AS column_name, count(*) AS n_parts FROM part GROUP BY 1""")
 def slugged_names(t):
-    brands = list_column_values(t.part, "p_brand")
-    names = F.create_map(*[x for b in brands for x in (F.lit(b), F.lit(slugify(f"Brand {b}")))])
-    return t.part.groupBy(names[F.col("p_brand")].alias("column_name")).agg(F.count(F.lit(1)).alias("n_parts"))
+    return t.part.groupBy(slugified(F.concat(F.lit("Brand "), "p_brand")).alias("column_name")).agg(F.count(F.lit(1)).alias("n_parts"))

@@ -92,3 +92,24 @@ def test_date_dimension_and_fiscal_calendar(spark):
     per_quarter = fiscal.filter("fiscal_year_number = 2018").groupBy("fiscal_quarter_number", "fiscal_period_of_quarter").agg(
         F.count_distinct("week_start_date").alias("n")).collect()
     assert {(r[1], r[2]) for r in per_quarter} == {(1, 4), (2, 5), (3, 4)}
+
+
+def test_epochs_out_of_text(spark):
+    df = spark.createDataFrame([("1700000000",), ("1700000000.0",), ("no",), (None,)], "e string")
+    found = [r[0] for r in df.select(cal.to_epoch(cal.from_epoch("e"))).collect()]
+    assert found == [1700000000, 1700000000, None, None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_zones_do_not_depend_on_the_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("""SELECT timestamp_micros(1704074400000000) AS moment, timestamp_ntz'2024-01-01 02:00:00' AS clock, '2024-01-01 02:00:00' AS text,
+                                 '2024-01-01T02:00:00Z' AS zulu, '2024-01-01T11:00:00+09:00' AS offset, '2024-01-01' AS day""")
+        row = df.select(*[cal.convert_timezone(c, "America/Los_Angeles").cast("string").alias(c) for c in df.columns],
+                        cal.local_date("clock").cast("string").alias("date")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [row[c] for c in ("moment", "clock", "text", "zulu", "offset")] == ["2023-12-31 18:00:00"] * 5
+    assert row["day"] == "2023-12-31 16:00:00" and row["date"] == "2023-12-31"

@@ -149,3 +149,11 @@ def test_combinations_columns_and_pairs(spark, rows):
     assert rows(c.columns_match_set(df, ["month", "product", "cost"])) == [("cost", "not_found"), ("revenue", "not_expected")]
     pairs = table(spark, [(1, 1), (None, 1), (2, 3)], "actual int, expected int")
     assert rows(c.assert_equal(pairs, "actual", "expected")) == [(2, 3)]
+
+
+def test_strict_counts_take_null_for_a_group(spark):
+    df = spark.createDataFrame([(1,), (None,), (None,)], "k int")
+    assert c.equal_rowcount(df, df, "k", strict=True).count() == 0
+    assert c.equal_rowcount(df, df.limit(0), "k", strict=True).count() == 2
+    found = c.fewer_rows_than(df, df, "k", strict=True).collect()
+    assert sorted(r["row_count_delta"] for r in found) == [1, 1]

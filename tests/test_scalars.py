@@ -110,3 +110,18 @@ def test_column_selection(spark):
     assert staged.dtypes == [("id", "int"), ("field_2", "int")]
     with pytest.raises(ValueError):
         select.stage(df, columns=["nowhere"])
+
+
+def test_exact_sums_round_away_from_zero_and_never_saturate(spark):
+    halves = spark.createDataFrame([(0.125,), (-0.125,), (-0.125,)], "x double")
+    assert str(halves.agg(sc.exact_sum("x")).first()[0]) == "-0.13"
+    large = spark.createDataFrame([(1e18,), (1e18,)], "x double")
+    assert float(large.agg(sc.exact_sum("x", 6)).first()[0]) == 2e18
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|ARITHMETIC_OVERFLOW|cannot be represented"):
+        spark.createDataFrame([(1e27,)], "x double").agg(sc.exact_sum("x", 6)).collect()
+
+
+def test_slugified_column_equals_slugify(spark):
+    texts = ["!Hell0 world-hi", "0Hell0 world-hi", "A  -- b", "", "1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(select.slugified(F.col("t"))).collect()] == [select.slugify(t) for t in texts]

@@ -86,6 +86,12 @@ def slugify(text: str) -> str:
     return "_" + safe if safe[:1].isdigit() else safe
 
 
+def slugified(text: Column) -> Column:
+    """`slugify` of the values of a column."""
+    safe = F.regexp_replace(F.regexp_replace(F.lower(text), "[ -]+", "_"), "[^a-z0-9_]+", "")
+    return F.regexp_replace(safe, "^(?=[0-9])", "_")
+
+
 def first_slot(tests: Iterable[Column], values: Iterable[Column], otherwise=None) -> Column:
     """Value of the first of several parallel slots whose test holds."""
     result: Column | None = None

@@ -156,7 +156,8 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
     if not keys:
         if rows_per_piece is None:
             raise ValueError("a sequence over a whole table is always cut")
-        keys, df = ["_all"], df.withColumn("_all", F.lit(0))
+        # One key for all rows; no literal, for a join on literals would be a nested loop.
+        keys, df = ["_all"], df.withColumn("_all", F.xxhash64(quoted(order[0])).bitwiseAND(F.lit(0)))
     lead = order_number(df, order[0])
     if lead is None or rows_per_piece is None:
         window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(c) for c in order])

@@ -43,12 +43,12 @@ def current_month(book: DataFrame) -> Column:
 
 def _marks(monthly: DataFrame, changes: DataFrame, this_month: Column, label: str) -> DataFrame:
     """High-water marks of this and of the last month in one pass over customers' months."""
-    dated = monthly.join(changes, "customer", "left")
+    dated = monthly.join(changes, "customer", "left").withColumn("_this_month", this_month)
     month, changed = F.col("month").cast("date"), F.col("_changed")
 
     def mark(months_back: int) -> Column:
-        end = F.add_months(this_month, -months_back)
-        start = F.add_months(this_month, -11 - months_back)
+        end = F.add_months("_this_month", -months_back)
+        start = F.add_months("_this_month", -11 - months_back)
         since = F.when(changed.isNull() | (changed < start), start).otherwise(changed)
         # Months outside count as zero, so a mark is never negative unless every month lies inside.
         zero = F.lit(0).cast(MONEY)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +30,18 @@ def run_day_of(column: str = RUN_DATE) -> Column:
 
 
 def last_run_day(spark: SparkSession, location: str) -> str:
-    """Day of the newest copy, or a day long past if there is none.  Reads at once.
+    """Day of the newest copy, or a day long past if there is none.
 
-    Only the partition column is asked for, so no data pages are read.
+    The days are the names of the table's folders, so one listing is enough and no file is opened.
     """
-    try:
-        newest = spark.read.parquet(location).agg(F.max(F.col(RUN_DAY).cast("string"))).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        newest = None
-    return newest or FIRST_DAY
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(location)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return FIRST_DAY
+    prefix = f"{RUN_DAY}="
+    days = [name.removeprefix(prefix) for name in (entry.getPath().getName() for entry in files.listStatus(folder)) if name.startswith(prefix)]
+    return max(days, default=FIRST_DAY)
 
 
 def _append_day(df: DataFrame, location: str, as_of: dt.datetime) -> bool:
@@ -92,7 +92,7 @@ def latest_snapshot(df: DataFrame, run_column: str = RUN_DATE) -> DataFrame:
 
 def snapshots_on(df: DataFrame, days: DataFrame, run_column: str = RUN_DATE, day_column: str = "month") -> DataFrame:
     """Rows of the copies taken on the given days; `days` is a calendar, one row per day."""
-    wanted = F.broadcast(days.select(F.date_format(quoted(day_column), "yyyyMMdd").alias("_wanted")).distinct())
+    wanted = days.select(F.date_format(quoted(day_column), "yyyyMMdd").alias("_wanted")).distinct()
     return df.join(wanted, _day(df, run_column) == F.col("_wanted"), "left_semi")
 
 
