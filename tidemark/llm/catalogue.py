@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import ngram_jaccard_join
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import quality_rules
-from tidemark.llm.secrets import scan_secrets
+from tidemark.llm.secrets import RULES, Rule, scan_secrets
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.suffix_dedup import suffix_dedup
 from tidemark.llm.url_filters import DAMPING, MARGIN, ROUNDS, url_filter
@@ -33,6 +34,9 @@ def _query(sql: str | None = None):
     return register
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -59,7 +63,29 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@_query()
+@_query(r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), windows AS (
+  SELECT doc_id, start, md5(substr(digits, 2 * start - 1, 800)) AS content
+  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 - 398)) AS start FROM texts)
+), repeated AS (
+  SELECT doc_id, start FROM windows QUALIFY count(*) OVER (PARTITION BY content) > 1
+), edges AS (
+  SELECT doc_id, start, start > coalesce(lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 400, 0) AS opens FROM repeated
+), spans AS (
+  SELECT doc_id, min(start) AS low, max(start) + 400 AS high
+  FROM (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY start) AS span FROM edges) GROUP BY doc_id, span
+), pieces AS (  -- what lies before each span, and after the last
+  SELECT doc_id, low AS place, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 1) AS low, low AS high FROM spans
+  UNION ALL SELECT doc_id, 1e12, coalesce(max(high), 1), len(any_value(digits)) // 2 + 1 FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(digits, 2 * low - 1, 2 * (high - low)), '' ORDER BY place) AS digits FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id
+), gone AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY 1
+)
+SELECT doc_id, len(t.digits) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(k.digits)) AS kept_sha256
+FROM texts t JOIN kept k USING (doc_id) LEFT JOIN gone USING (doc_id)
+""")
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup(_table(spark, folder, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -100,7 +126,31 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-@_query()
+def _either(pattern: str) -> str:
+    """`(?i:...)` spelled out, for SQL engines that fold more letters than A-Z."""
+    return re.sub(r"\(\?i:([^)]*)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", m[1]) + ")", pattern)
+
+def _found(k: int, rule: Rule) -> str:
+    """Hits of one rule: matches, and their places from the lengths of matches and of the gaps between."""
+    p = _either(rule.pattern).replace("'", "''")
+    return f"""
+  SELECT doc_id, {k} AS rule, '{rule.kind}' AS kind, matches[i] AS hit, list_sum([len(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([len(x) FOR x IN matches[1:i - 1]]), 0) AS start,
+         len(regexp_extract(matches[i], '{p}', {rule.group})) AS size
+  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i
+        FROM (SELECT doc_id, regexp_extract_all(body, '{p}') AS matches, regexp_split_to_array(body, '{p}') AS gaps FROM texts))
+  WHERE size >= {rule.least}"""
+
+
+@_query("WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents), found AS (" + " UNION ALL ".join(_found(k, r) for k, r in enumerate(RULES)) + """
+), listed AS (SELECT doc_id, rule, kind, CAST(start AS BIGINT) AS start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + len(hit) AS BIGINT) AS span FROM found
+), joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, rule) FILTER (rule < 3) AS base, string_agg(span, ',' ORDER BY start, rule) AS spans
+  FROM listed GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)
+""")
 def op2_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(_table(spark, folder, "documents"), texts=False)
 
@@ -123,7 +173,23 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                          "score")
 
 
-@_query()
+@_query(r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(""" + _LOWER.format("coalesce(text, '')") + r""", '[^\x20\x09-\x0D]+') AS words FROM documents
+), members AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3 THEN [array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)]
+                                      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS member FROM texts
+), sizes AS (SELECT doc_id, count(*) AS n FROM members GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM members a JOIN members b ON a.member = b.member AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id WHERE 100 * common.n >= 90 * (a.n + b.n - common.n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM texts
+  UNION SELECT reach.doc_id, step.y FROM reach JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) step ON other = step.x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+""")
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -160,7 +226,6 @@ def op5_format_chats(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(render(fold_events(events)))
 
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _HREF = r"""(?i)href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)"""
 _RANKS = "".join(f"""
 ), r{k + 1} AS (
