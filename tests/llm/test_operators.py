@@ -310,3 +310,17 @@ def test_mix_sources(spark):
     again = mix_sources(df.repartition(7), group=100).collect()
     assert Counter((r.doc_id, r.size, r.copies) for r in again) == Counter((r.doc_id, r.size, r.copies) for r in found)
     assert mix_sources(df.limit(0)).collect() == []
+
+
+def test_rows_without_ids_are_spread_out(spark):
+    rows = [(None, f"{k} " + "shared words of all these texts " * 8) for k in range(40)] + [(7, "shared words of all these texts " * 8)]
+    found = substring_dedup(frame(spark, rows), chunk_bytes=1_000).collect()
+    assert len(found) == 41 and {r.doc_id for r in found} == {None, 7}
+    assert all(r.kept_text.split()[0].isdigit() and r.n_removed == 48 for r in found if r.doc_id is None)
+    assert [r.n_removed for r in found if r.doc_id == 7] == [42]
+    spans = suffix_dedup(frame(spark, rows), window=100, chunk_bytes=1_000).collect()
+    assert all(r.n_removed > 200 for r in spans)
+    from tidemark.llm.chunks import deal_out
+
+    dealt, n = deal_out(frame(spark, rows), "doc_id", "text", 1_000)
+    assert dealt.select("chunk").distinct().count() > 4 and n > 8

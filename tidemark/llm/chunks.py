@@ -20,19 +20,21 @@ from pyspark.sql import types as T
 from tidemark.llm.arrays import part_of
 
 CHUNK_BYTES = 4_000_000
-MAX_ID = np.iinfo(np.int64).max
 
 
 def deal_out(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) and the number of chunks.  Rows of one id, also of a null id, share a chunk.
+    """(chunk, doc_id, key, text) and the number of chunks.  Rows of one id share a chunk.
 
-    The number follows the bytes of all texts, so that a chunk has about `chunk_bytes` at any size of
+    Rows without an id are dealt out by `key`, a hash of their text (null for others), however many they are.
+    The number of chunks follows the bytes of all texts, so that a chunk has about `chunk_bytes` at any size of
     the corpus (one text is never cut).
     """
     rows = docs.select(F.col(_q(id_col)).cast("long").alias("doc_id"), F.col(_q(text_col)).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / chunk_bytes))
-    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text"), n
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    chunk = F.pmod(F.coalesce(key, F.xxhash64("doc_id")), F.lit(n)).cast("int")
+    return rows.select(chunk.alias("chunk"), "doc_id", key.alias("key"), "text"), n
 
 
 def _q(name: str) -> str:
@@ -40,16 +42,20 @@ def _q(name: str) -> str:
 
 
 def in_order(table: pa.Table) -> pa.Table:
-    """Rows by id (null last), rows of one id by their text (null last), so that reruns agree."""
-    ids = ids_of(table)
-    order = np.argsort(ids, kind="stable")
-    if (np.diff(ids[order]) == 0).any():
-        return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    """Rows by id, then those without an id by key; rows that agree in it by their text (null last)."""
+    missing, ids = order_of(table)
+    order = np.lexsort((ids, missing))
+    if ((np.diff(ids[order]) == 0) & (np.diff(missing[order]) == 0)).any():
+        rank = np.empty(table.num_rows, dtype=np.int64)
+        rank[pa.compute.sort_indices(table.column("text")).to_numpy()] = np.arange(table.num_rows)
+        order = np.lexsort((rank, ids, missing))
     return table.take(pa.array(order))
 
 
-def ids_of(table: pa.Table) -> np.ndarray:
-    return table.column("doc_id").fill_null(MAX_ID).to_numpy()
+def order_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """What rows are ordered by: 1 for rows without an id, and the id or the key."""
+    ids = pa.compute.coalesce(table.column("doc_id"), table.column("key")).to_numpy()
+    return table.column("doc_id").is_null().to_numpy().astype(np.uint8), ids
 
 
 def sent(chunk: int, parts: int, hashes: np.ndarray, *more: np.ndarray) -> dict[str, list]:

@@ -44,7 +44,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Returns doc_id, n_words, n_removed, kept_text (kept words joined by one space) and removed (maximal
     runs [begin, end) of word numbers), one row per row of `docs`; no other columns are read.
 
-    Nulls: a null text has no words and gives an empty kept_text; null ids come after all others.
+    Nulls: a null text has no words and gives an empty kept_text; rows without an id come after all others,
+    in the order of a hash of their texts.
     Repeated rows: rows of one id are ordered by their text, and count as starts one after another.
     Ties cannot occur otherwise.  Empty tables give no rows.  Texts are never cut.
     """
@@ -73,7 +74,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def extend(table: pa.Table, found: pa.Table) -> pa.Table:
         schema = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary()), ("more0", pa.binary()),
-                            ("more1", pa.binary()), ("again", pa.binary())])
+                            ("more1", pa.binary()), ("more2", pa.binary()), ("again", pa.binary())])
         if not table.num_rows:
             return schema.empty_table()
         chunk = table.column("chunk")[0].as_py()
@@ -90,7 +91,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         value, starts = value[order], starts[order]
         first = np.append([True], value[1:] != value[:-1])[:len(value)]
         text = np.searchsorted(words.first, starts[first], "right") - 1
-        rows = chunks.sent(chunk, parts, value[first], chunks.ids_of(table)[text], starts[first].astype(np.int32))
+        missing, ids = chunks.order_of(table)
+        rows = chunks.sent(chunk, parts, value[first], ids[text], starts[first].astype(np.int32), missing[text])
         again = np.sort(starts[~first]).astype(np.int32)
         if not rows["part"]:
             return schema.empty_table()
@@ -99,7 +101,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def earlier(table: pa.Table) -> pa.Table:
         hashes, chunk = chunks.unpacked(table.column("hashes"), np.uint64), chunks.senders(table)
         ids, start = chunks.unpacked(table.column("more0"), np.int64), chunks.unpacked(table.column("more1"), np.int32)
-        order = np.lexsort((chunk, ids, hashes))
+        order = np.lexsort((chunk, ids, chunks.unpacked(table.column("more2"), np.uint8), hashes))
         later = order[1:][hashes[order[1:]] == hashes[order[:-1]]]
         rows = chunks.answers(chunk[later], start[later])
         for c, again in zip(table.column("chunk").to_pylist(), table.column("again").to_pylist()):
@@ -132,7 +134,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = dealt.groupBy("chunk").applyInArrow(seeds, "part int, chunk int, hashes binary")
     found = asked.groupBy("part").applyInArrow(shared, answer)
     asked = dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
-        extend, "part int, chunk int, hashes binary, more0 binary, more1 binary, again binary")
+        extend, "part int, chunk int, hashes binary, more0 binary, more1 binary, more2 binary, again binary")
     found = asked.groupBy("part").applyInArrow(earlier, answer)
     return dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
         finish, "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<begin:long,end:long>>")
