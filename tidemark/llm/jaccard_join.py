@@ -13,8 +13,9 @@
    each group the points of the nodes (n-grams hashed, counted) are indexed by a packed R-tree; the sum of
    smaller coordinates bounds what two nodes share, and pairs that survive are verified on the sets
    themselves.  Pairs that are linked already over others are not looked at.  A task takes whole regions; the
-   groups of a region of more than `region_bytes` are dealt out by their smallest node, and a group that is
-   larger itself is cut by hash into pieces, each two of which are a group.
+   groups of a region of more than `region_bytes` are dealt out by their smallest node.  A group that is larger
+   itself is cut by hash into pieces: each is searched with the group's smallest node, and then only the
+   nodes that are not linked with that one are compared with all pieces.
 4. Connected components of the links, by alternating stars, give each document its class.
 """
 
@@ -188,19 +189,21 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     units = nodes.groupBy("region").agg(F.sum("size").alias("bytes")).select("region", _share("bytes", region_bytes, 3).alias("units"))
     met = met.join(nodes.select("node", "size", "region"), "node").join(units, "region")
     cuts = met.groupBy("gid").agg(F.sum("size").alias("bytes")).select("gid", _share("bytes", region_bytes, 2).alias("pieces"))
-    piece = F.pmod(F.xxhash64("node"), F.col("pieces"))
-    whole = F.array(F.struct("gid", F.xxhash64("region", F.pmod(F.xxhash64("leader"), F.col("units"))).alias("unit")))
-    halves = F.transform(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x != piece), lambda x: F.struct(
-        F.xxhash64("gid", F.least(x, piece), F.greatest(x, piece)).alias("gid"),
-        F.xxhash64("gid", F.least(x, piece), F.greatest(x, piece)).alias("unit")))
-    groups = met.join(cuts, "gid").select("node", "size", F.inline(F.when(F.col("pieces") > 1, halves).otherwise(whole)))
-    groups = stored(groups, "jaccard-units")
-    placed = groups.select("node", "unit", "size").distinct()
-    bins = max(1, math.ceil(4 * (placed.agg(F.sum("size")).first()[0] or 0) / region_bytes))
-
-    # The sets of nodes that met others, each from one document that has it, in every unit that has the node.
-    wanted = placed.groupBy("node").agg(F.collect_list("unit").alias("units")).join(nodes.select("node", "doc_id"), "node")
-    wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node", "units")
+    met = stored(met.join(cuts, "gid"), "jaccard-members")
+
+    def compare(groups: DataFrame) -> DataFrame:
+        """(node, root) of the links within the groups (node, size, gid, unit); a unit is searched in one task."""
+        groups = stored(groups, "jaccard-units")
+        placed = groups.select("node", "unit", "size").distinct()
+        bins = max(1, math.ceil(4 * (placed.agg(F.sum("size")).first()[0] or 0) / region_bytes))
+        task = F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("task")
+        # The sets of the nodes, each from one document that has it, in every unit that has the node.
+        wanted = placed.groupBy("node").agg(F.collect_list("unit").alias("units")).join(nodes.select("node", "doc_id"), "node")
+        wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node", "units")
+        sets = wanted.mapInArrow(fetch, "members binary, node long, units array<long>").select("members", "node", F.explode("units").alias("unit"))
+        links = sets.select(task, "unit", "node", "members").groupBy("task").cogroup(
+            groups.select(task, "unit", "node", "gid").groupBy("task")).applyInArrow(link, "node long, root long")
+        return components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), "jaccard-links")
 
     def fetch(batches):
         for batch in slices(batches, "text"):
@@ -210,15 +213,36 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             at = pa.array(same)
             yield pa.RecordBatch.from_arrays([sets, *(batch.column(c).take(at) for c in ("node", "units"))], names=["members", "node", "units"])
 
-    task = F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("task")
-    sets = wanted.mapInArrow(fetch, "members binary, node long, units array<long>").select("members", "node", F.explode("units").alias("unit"))
-
     def link(sets: pa.Table, groups: pa.Table) -> pa.Table:
         return _linked_rows(sets, groups, percent)
 
-    links = sets.select(task, "unit", "node", "members").groupBy("task").cogroup(
-        groups.select(task, "unit", "node", "gid").groupBy("task")).applyInArrow(link, "node long, root long")
-    links = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), "jaccard-links")
+    def own_unit(df: DataFrame, *key) -> DataFrame:
+        name = F.xxhash64(*key)
+        return df.select("node", "size", name.alias("gid"), name.alias("unit"))
+
+    # First all groups that fit a task, and of larger ones each piece together with the group's smallest node.
+    unit = F.xxhash64("region", F.pmod(F.xxhash64("leader"), F.col("units")))
+    fitting = met.filter("pieces = 1").select("node", "size", "gid", unit.alias("unit"))
+    cut = met.filter("pieces > 1").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")))
+    every = cut.filter("node = leader").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces").cast("long") - 1)))
+    links = compare(fitting.unionByName(own_unit(cut, "gid", "piece")).unionByName(own_unit(every, "gid", "piece")).distinct())
+    if not cut.isEmpty():
+        # Then the nodes that are not linked with the smallest one, the rest, against all pieces.  Two nodes that
+        # are linked with it need no further comparison.
+        root = links.select(F.col("node").alias("of"), "root")
+        home = cut.select("gid", "leader").distinct().join(root, F.col("leader") == F.col("of"), "left").select(
+            "gid", F.coalesce("root", "leader").alias("home"))
+        marked = cut.join(root, F.col("node") == F.col("of"), "left").drop("of").join(home, "gid")
+        marked = stored(marked.withColumn("rest", F.coalesce("root", "node") != F.col("home")), "jaccard-rest")
+        parts_of = marked.filter("rest").groupBy("gid").agg(F.sum("size").alias("bytes")).select(
+            "gid", _share("bytes", region_bytes, 2).cast("long").alias("parts"))
+        marked = marked.join(parts_of, "gid")
+        part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
+        against = marked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        rest = marked.filter("rest").withColumn("part", part).withColumn(
+            "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces").cast("long") - 1)))
+        more = compare(own_unit(against, "gid", "piece", "part").unionByName(own_unit(rest, "gid", "piece", "part")).distinct())
+        links = components(links.unionByName(more).select(F.col("node").alias("a"), F.col("root").alias("b")), "jaccard-all-links")
 
     classes = named.join(links, F.col("set") == F.col("node"), "left").select(
         "doc_id", "n_shingles", "text_key", F.coalesce("root", "set").alias("class"))
