@@ -49,17 +49,19 @@ def _batches(rows: Iterator[dict], schema: pa.Schema, text: str, most: int = 2_0
 _MESSAGES = pa.schema([("conv_id", pa.int64()), ("message", pa.int64()), ("role", pa.string()), ("text", pa.string())])
 
 
-def fold_events(events: DataFrame) -> DataFrame:
+def fold_events(events: DataFrame, ordered: bool = False) -> DataFrame:
     """Final messages (conv_id, message, role, text), partitioned by conversation and in order in each partition.
 
     A message that has no event left is gone.  Nulls: a null conv_id is one conversation, a null message or
     seq sorts first, null texts are empty, null or unknown kinds do nothing, and a null role leaves the role
     as it is (empty at first).  Repeated events apply again; ties of seq go by kind, role and text.  Empty
     tables give no rows.  A conversation is streamed, so it may be longer than a task's memory; one message
-    may not.
+    may not.  With `ordered` the caller has partitioned and sorted the events, and they are streamed as they come.
     """
     columns = ["conv_id", "message", "seq", "kind", "role", "text"]
-    ordered = events.select(*columns).repartition("conv_id").sortWithinPartitions(*columns)
+    rows = events.select(*columns)
+    if not ordered:
+        rows = rows.repartition("conv_id").sortWithinPartitions(*columns)
 
     def fold(batches):
         def messages():
@@ -79,7 +81,7 @@ def fold_events(events: DataFrame) -> DataFrame:
 
         return _batches(messages(), _MESSAGES, "text")
 
-    return ordered.mapInArrow(fold, "conv_id long, message long, role string, text string")
+    return rows.mapInArrow(fold, "conv_id long, message long, role string, text string")
 
 
 def _cut(held: list[dict], cut):
