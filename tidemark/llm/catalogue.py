@@ -131,8 +131,10 @@ def _either(pattern: str) -> str:
     return re.sub(r"\(\?i:([^)]*)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", m[1]) + ")", pattern)
 
 def _found(k: int, rule: Rule) -> str:
-    """Hits of one rule: matches, and their places from the lengths of matches and of the gaps between."""
-    p = _either(rule.pattern).replace("'", "''")
+    """Hits of one rule: matches, and their places from the lengths of matches and of the gaps between.
+
+    Of a rule that is `far` only what it seeks, so spans of such rows end earlier here than in the operator."""
+    p = _either(rule.seek if rule.far else rule.pattern).replace("'", "''")
     return f"""
   SELECT doc_id, {k} AS rule, '{rule.kind}' AS kind, matches[i] AS hit, list_sum([len(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([len(x) FOR x IN matches[1:i - 1]]), 0) AS start,
          len(regexp_extract(matches[i], '{p}', {rule.group})) AS size

@@ -25,13 +25,15 @@ from tidemark.llm.chunks import carried, schema_of, slices
 class Rule:
     """`seek` matches within every hit and goes into the automaton; `pattern` gives the hits, of which `group` has
     `least` bytes or more.  Long counted repeats in `seek` multiply the automaton's states with those of other
-    rules, so only a rule that would match ordinary words has one."""
+    rules, so only a rule that would match ordinary words has one.  Matches of a rule that is `far` may go on over
+    bytes that no `seek` contains; a text in which it is found is read by `pattern` to the end."""
 
     kind: str
     seek: str
     pattern: str
     group: int = 0
     least: int = 1
+    far: bool = False
 
 
 _KEY = r"(?i:password|passwd|secret|token|api_?key)"
@@ -42,9 +44,15 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", "[0-9a-f]{16}", "[0-9a-f]+", 0, 16),
 )
+#: A private key: the lines that say how it is encrypted, then its base64 up to the END line, also where line ends are
+#: written as `\n` or lines are quoted; without an END line the long runs of base64, and a shorter last line.
+_BEGIN, _END = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----END [A-Z ]*PRIVATE KEY-----"
+_GAP = r"(?:[\x20\x09-\x0D\"'>#*,;]|\\[nr])"
+_ENCRYPTED = rf"(?:{_GAP}*(?:Proc-Type:[\x20,0-9A-Z]+|DEK-Info:\x20*[0-9A-Z-]+,[0-9A-Fa-f]+))*"
+_CUT_OFF = rf"(?:{_GAP}*[A-Za-z0-9+/]{{16,}}={{0,2}})*(?:{_GAP}+[A-Za-z0-9+/]+(?:=+|(?=[\x20\x09]*(?:[\n\r]|\\[nr]|\Z))))?"
 #: Formats that nothing but a credential has.
 MORE = (
-    Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private", _BEGIN, rf"{_BEGIN}{_ENCRYPTED}(?:[A-Za-z0-9+/=\x20\x09-\x0D\\\"'>#*,;]*{_END}|{_CUT_OFF})", far=True),
     Rule("hosting", "gh[pousr]_[A-Za-z0-9]", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[0-9A-Za-z-]", "xox[abprs]-[0-9A-Za-z-]{10,}"),
 )
@@ -97,8 +105,9 @@ def _scan(texts: pa.Array, rules: tuple[Rule, ...]) -> tuple[pa.Array, pa.Array]
         breaks = np.concatenate([[begin - 1], begin + np.flatnonzero(automaton.breaks[buf[begin:end]]), [end]])
         after = np.searchsorted(breaks, place[mine], "right")
         for k, rule in enumerate(rules):
-            for stretch in np.unique(after[(hits[mine] >> k & 1).astype(bool)]):
-                low, high = int(breaks[stretch - 1]) + 1, int(breaks[stretch])
+            stretches = np.unique(after[(hits[mine] >> k & 1).astype(bool)])
+            for stretch in stretches[:1] if rule.far else stretches:
+                low, high = int(breaks[stretch - 1]) + 1, end if rule.far else int(breaks[stretch])
                 for match in patterns[k].finditer(buf[low:high].tobytes()):
                     if match.end(rule.group) - match.start(rule.group) >= rule.least:
                         rows[t].append((low + match.start() - begin, k, low + match.end() - begin))
