@@ -3,13 +3,14 @@
 Hosts whose pages a rule allows are trusted seeds, hosts whose pages a rule blocks are distrusted ones, each
 to the share of their pages the rules cover.  Trust is a personalised PageRank along links between hosts,
 distrust one against them.  A page no rule fits is judged by its host.  Everything is built-in expressions;
-links are summed up per pair of hosts before anything iterates, and each round is stored.
+links are summed up per pair of hosts before anything iterates, and what each round moves is stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from tidemark.llm.storage import stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
-DAMPING, ROUNDS, MARGIN = 0.85, 8, 0.25
+DAMPING, MARGIN = 0.85, 0.25
+TOLERANCE = 1e-6  # how far a host's trust and distrust may be from those of endless rounds
+ROUNDS = 8  # of the SQL, which cannot go on until nothing changes
 
 
 @dataclass(frozen=True)
@@ -62,34 +65,49 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.filter("src <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = None,
+              tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from (host, trust, distrust) of seeds and (src, dst, n) of links.
 
     Personalised PageRank with restarts at the seeds, in units of 1 - damping, so that a seed without links
-    keeps the value it was given.
+    keeps the value it was given.  A round moves on what the one before moved, and a host has the sum of all.
+    All that a round moves is at most `damping` of the round before, so the sum over hosts bounds what is
+    still to come at any of them; without `rounds` it goes on until that is `tolerance` or less.
     """
+    if rounds is None and not 0 <= damping < 1:
+        raise ValueError(f"rounds without end at damping {damping}")
     links = stored(links, "links")
     out, into = (links.groupBy(F.col(c).alias("host")).agg(F.sum("n").alias(s)) for c, s in (("src", "n_out"), ("dst", "n_in")))
     hosts = seeds.select("host").unionByName(links.select(F.col("src").alias("host"))).unionByName(links.select(F.col("dst").alias("host")))
-    nodes = hosts.distinct().join(seeds.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d")), "host", "left")
-    nodes = stored(nodes.na.fill(0.0, ["t", "d"]), "hosts")
+    nodes = hosts.distinct().join(seeds.select("host", "trust", "distrust"), "host", "left")
+    nodes = stored(nodes.na.fill(0.0, ["trust", "distrust"]), "hosts")
     flows = links.join(out, links["src"] == out["host"]).drop("host").join(into, F.col("dst") == into["host"]).drop("host")
     forward = flows.select(F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("n") / F.col("n_out")).alias("a"), F.lit(0.0).alias("b"))
     back = flows.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("a"), (F.col("n") / F.col("n_in")).alias("b"))
     flows = stored(forward.unionByName(back), "flows")
-    ranks = nodes.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
-    for _ in range(rounds):
-        come = flows.join(ranks, flows["from"] == ranks["host"]).groupBy(F.col("to").alias("host")).agg(
-            F.sum(F.col("trust") * F.col("a")).alias("come_t"), F.sum(F.col("distrust") * F.col("b")).alias("come_d"))
-        zero = F.lit(0.0)
-        ranks = stored(nodes.join(come, "host", "left").select(
-            "host", (F.col("t") + damping * F.coalesce("come_t", zero)).alias("trust"),
-            (F.col("d") + damping * F.coalesce("come_d", zero)).alias("distrust")), "ranks")
-    return ranks
+    moves = "trust > 0 OR distrust > 0"
+    moved, parts, done = nodes.filter(moves), [nodes], 0
+    while done != rounds:
+        moved = stored(flows.join(moved, flows["from"] == moved["host"]).groupBy(F.col("to").alias("host")).agg(
+            (damping * F.sum(F.col("trust") * F.col("a"))).alias("trust"),
+            (damping * F.sum(F.col("distrust") * F.col("b"))).alias("distrust")).filter(moves), "moved")
+        done += 1
+        parts.append(moved)
+        if len(parts) > 16:
+            parts = [stored(_summed(parts), "ranks")]
+        if rounds is None:
+            left = moved.agg(F.greatest(F.sum("trust"), F.sum("distrust")).alias("left")).first()["left"] or 0.0
+            if left * damping / (1 - damping) <= tolerance:
+                break
+    return _summed(parts)
+
+
+def _summed(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
 
 
 def url_filter(pages: DataFrame, rules: Sequence[Rule] = RULES, page_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-               damping: float = DAMPING, rounds: int = ROUNDS, margin: float = MARGIN) -> DataFrame:
+               damping: float = DAMPING, rounds: int | None = None, margin: float = MARGIN) -> DataFrame:
     """page_id, host, path, rule (of the longest rule that fits, or null), verdict (`allow` or `block`), trust and
     distrust (of the host), one row per row of `pages`.
 
