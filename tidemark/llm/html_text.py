@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags.  Each block has its word count and link density, those of its
 neighbours, and where it lies: in an article, in a container that is not main text (menus, headers, footers,
-sidebars, notices, adverts, forms, comments, by tag, role, class or id), or in neither.  A decision tree,
+sidebars, notices, adverts, forms, comments, by tag, role, class or id; a class or id says nothing of what
+holds the article), or in neither.  A decision tree,
 grown on the small labelled table below, keeps a block or not.
 """
 
@@ -24,7 +25,8 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
     "tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style title textarea noscript template iframe object svg math select button canvas audio video".split())
+SKIPPED = frozenset("script style title textarea noscript template iframe object svg select button canvas audio video".split())
+NOT_CLOSED = {"button": frozenset(), "select": frozenset("option optgroup hr".split())}  # skipped, but ends with the block around; blocks it may hold
 ASIDE = frozenset("nav footer aside form menu dialog search".split())
 LEFT_OPEN = frozenset("p li dt dd option tr td th thead tbody tfoot b i u a em strong span font small br".split())  # often not closed
 #: Words of a class or id, and whole classes or ids, of containers that are no main text.
@@ -34,6 +36,8 @@ NOT_MAIN = re.compile(
     r"sidebar\w*|widget\w*|related|recommend\w*|trending|breadcrumb\w*|menu\w*|nav|navbar|navigation|toolbar|pager|pagination|"
     r"footer|masthead|topbar|copyright|disclaimer)(?=$|[\s_-])|"
     r"(?:^|\s)(?:header|site-header|page-header|foot|side|rail|skip|legal|tags|respond)(?=$|\s)", re.I)
+#: Classes that say how a page is laid out, or what it has or lacks.
+STATE = re.compile(r"^(?:no|has|have|with|without|left|right)[_-]|[_-](?:open|opened|closed|enabled|disabled|allowed)$", re.I)
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
@@ -110,16 +114,22 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
     out: list[tuple[str, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: tag, whether it is an article, whether it is no main text
-    article = aside = link = 0
-    any_article = False
+    # Open elements: tag, whether it is an article, whether it is no main text, and its number if only a class or id says so.
+    # Such a container is main text all the same if it holds the article (`main`, or an article that lies in no other).
+    stack: list[tuple[str, bool, bool, int]] = []
+    named: list[int] = []
+    holds: set[int] = set()
+    inside_of: list[tuple[bool, tuple[int, ...]]] = []  # by block: whether it is no main text for sure, numbers of such containers
+    articles: list[tuple[int, ...]] = []
+    article = aside = link = numbers = 0
     skipped, at, n = None, 0, len(page)
 
     def flush():
         joined = " ".join(entities.unescape("".join(text)).split())
         if joined:
             inside = len(entities.unescape(" ".join(linked)).split())
-            out.append((joined, joined.count(" ") + 1, inside, NOT_TEXT if aside else ARTICLE if article else OUTSIDE))
+            out.append((joined, joined.count(" ") + 1, inside, ARTICLE if article else OUTSIDE))
+            inside_of.append((aside > 0, tuple(named)))
         text.clear()
         linked.clear()
 
@@ -139,7 +149,9 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
             continue
         closing, name, attributes = match[1] or match[4], name.lower(), match[3] or match[6] or ""
         if name in SKIPPED:
-            if not closing and not attributes.endswith("/"):
+            if not closing and name in NOT_CLOSED:
+                at = _end_of(page, at, name)
+            elif not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else n
             continue
@@ -155,41 +167,77 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    for _, is_article, is_aside in stack[k:]:
+                    for _, is_article, is_aside, number in stack[k:]:
                         article -= is_article
                         aside -= is_aside
+                        if number:
+                            named.pop()
                     del stack[k:]
                     link = 0 if name in BLOCKS else link
                     break
         elif not attributes.endswith("/"):
-            is_article, role, not_main = name in ("article", "main"), "", False
-            if attributes:
-                not_main, role = _place(attributes)
-            is_article = is_article or role in ("main", "article")
-            is_aside = not is_article and (name in ASIDE or name == "header" and not article) or role in NOT_MAIN_ROLES or not_main
+            hidden, not_main, role = _place(attributes) if attributes else (False, False, "")
+            is_main = name == "main" or role == "main"
+            is_article = is_main or name == "article" or role == "article"
+            is_aside = not is_article and (name in ASIDE or name == "header" and not article) or role in NOT_MAIN_ROLES or hidden
             is_aside = is_aside and name not in ("html", "body")
-            any_article |= is_article and not (aside or is_aside)
-            stack.append((name, is_article, is_aside))
+            number = 0
+            if not_main and not is_article and not is_aside and name not in ("html", "body"):
+                number = numbers = numbers + 1
+                named.append(number)
+            if is_article:
+                if is_main or not any(tag == "article" for tag, *_ in stack):
+                    holds.update(named)
+                if not (aside or is_aside):
+                    articles.append(tuple(named))
+            stack.append((name, is_article, is_aside, number))
             article += is_article
             aside += is_aside
     if at < n:
         text.append(page[at:])
     flush()
-    if not any_article:
-        out = [(t, w, k, NOWHERE if place != NOT_TEXT else place) for t, w, k, place in out]
-    return out
+    any_article = any(holds.issuperset(around) for around in articles)
+    return [(t, w, k, NOT_TEXT if sure or not holds.issuperset(around) else place if any_article else NOWHERE)
+            for (t, w, k, place), (sure, around) in zip(out, inside_of)]
+
+
+def _end_of(page: str, at: int, name: str) -> int:
+    """Where a button or select ends whose start tag ends at `at`: after its end tag; if there is none before the block
+    around it ends or the next of its kind begins, at the first tag of a block."""
+    opened: list[str] = []
+    first = None
+    for match in _TAG.finditer(page, at):
+        tag = (match[2] or match[5] or "").lower()
+        closing = match[1] or match[4]
+        if tag == name:
+            return match.end() if closing else match.start() if first is None else first
+        if tag not in BLOCKS:
+            continue
+        if first is None and tag not in NOT_CLOSED[name]:
+            first = match.start()
+        if not closing:
+            opened.append(tag)
+        elif tag in opened:
+            del opened[len(opened) - 1 - opened[::-1].index(tag):]
+        else:
+            return match.start() if first is None else first
+    return len(page) if first is None else first
 
 
 def _stands_out(attributes: str) -> bool:
-    return bool(attributes) and _place(attributes)[0]
+    if not attributes:
+        return False
+    hidden, not_main, _ = _place(attributes)
+    return hidden or not_main
 
 
-def _place(attributes: str) -> tuple[bool, str]:
-    """Whether an element's attributes say that it is no main text, and its role."""
+def _place(attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element's attributes hide it, whether its class or id says that it is no main text, and its role."""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(found.get("style", ""))
-    named = NOT_MAIN.search(found.get("class", "")) or NOT_MAIN.search(found.get("id", ""))
-    return bool(hidden or named), found.get("role", "").lower()
+    tokens = (found.get("class", "") + " " + found.get("id", "")).split()
+    named = any(NOT_MAIN.search(token) and not STATE.search(token) for token in tokens)
+    return bool(hidden), named, found.get("role", "").lower()
 
 
 def main_text(page: str | None, tree: tuple | float) -> str:
