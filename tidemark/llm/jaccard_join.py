@@ -149,7 +149,6 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 names=["doc_id", "text_key", "n_shingles", "set"])
 
     named = stored(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, set long"), "jaccard-sets")
-    rows = rows.drop("text_key")
     total = named.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(1, math.ceil(total * 2.4 * (100 - percent) / (100 + percent) / PART_KEYS))
 
@@ -179,13 +178,16 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return pa.table({"gid": np.repeat(group[once], size[once]).view(np.int64), "node": node[at].view(np.int64),
                          "leader": np.repeat(node[begin[once]], size[once]).view(np.int64)})
 
-    met = rows.mapInArrow(keys, "part int, top binary, low binary, node binary, names binary").groupBy("part").applyInArrow(
+    met = rows.drop("text_key").mapInArrow(keys, "part int, top binary, low binary, node binary, names binary").groupBy("part").applyInArrow(
         meet, "gid long, node long, leader long")
     met = stored(met.distinct(), "jaccard-groups")
     regions = components(met.select(F.col("node").alias("a"), F.col("leader").alias("b")), "jaccard-regions")
 
-    one = named.filter("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), (8 * F.min("n_shingles")).alias("size"))
-    nodes = stored(regions.join(one, F.col("node") == F.col("set")).select("node", "doc_id", "size", F.col("root").alias("region")), "jaccard-nodes")
+    # Of each node one document that has it, by id and text, for many documents may have no id.
+    one = named.filter("set IS NOT NULL").groupBy("set").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("of"), (8 * F.min("n_shingles")).alias("size"))
+    nodes = stored(regions.join(one, F.col("node") == F.col("set")).select(
+        "node", "of.doc_id", "of.text_key", "size", F.col("root").alias("region")), "jaccard-nodes")
     units = nodes.groupBy("region").agg(F.sum("size").alias("bytes")).select("region", _share("bytes", region_bytes, 3).alias("units"))
     met = met.join(nodes.select("node", "size", "region"), "node").join(units, "region")
     cuts = met.groupBy("gid").agg(F.sum("size").alias("bytes")).select("gid", _share("bytes", region_bytes, 2).alias("pieces"))
@@ -198,8 +200,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         bins = max(1, math.ceil(4 * (placed.agg(F.sum("size")).first()[0] or 0) / region_bytes))
         task = F.pmod(F.xxhash64("unit"), F.lit(bins)).alias("task")
         # The sets of the nodes, each from one document that has it, in every unit that has the node.
-        wanted = placed.groupBy("node").agg(F.collect_list("unit").alias("units")).join(nodes.select("node", "doc_id"), "node")
-        wanted = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node", "units")
+        wanted = placed.groupBy("node").agg(F.collect_list("unit").alias("units")).join(nodes.select("node", "doc_id", "text_key"), "node")
+        wanted = rows.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "text").join(
+            wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))).select("text", "node", "units")
         sets = wanted.mapInArrow(fetch, "members binary, node long, units array<long>").select("members", "node", F.explode("units").alias("unit"))
         links = sets.select(task, "unit", "node", "members").groupBy("task").cogroup(
             groups.select(task, "unit", "node", "gid").groupBy("task")).applyInArrow(link, "node long, root long")
