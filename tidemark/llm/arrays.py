@@ -174,8 +174,8 @@ def list_array(sizes: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
 
-def gather_bytes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, space_before: np.ndarray) -> np.ndarray:
-    """The byte ranges one after another, each after a space where asked for."""
+def gather_bytes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, space_before: np.ndarray, space: int = 0x20) -> np.ndarray:
+    """The byte ranges one after another, each after a space (or another byte) where asked for."""
     size = (end - start) + space_before
     stop = np.cumsum(size)
     total = int(stop[-1]) if len(stop) else 0
@@ -187,7 +187,7 @@ def gather_bytes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, space_befo
         at = np.repeat(start[i:j] - space_before[i:j] - (stop[i:j] - size[i:j] - low), size[i:j]) + np.arange(stop[j - 1] - low)
         out[low:stop[j - 1]] = buf[np.maximum(at, 0)]
         i = j
-    out[(stop - size)[space_before.astype(bool)]] = 0x20
+    out[(stop - size)[space_before.astype(bool)]] = space
     return out
 
 

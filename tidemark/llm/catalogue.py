@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.chat import EVENTS, fold_events, read_back, render
+from tidemark.llm.collocations import collocations
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import ngram_jaccard_join
+from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.secrets import RULES, Rule, scan_secrets
@@ -278,3 +281,72 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op7_extract_text(spark: SparkSession, folder: str) -> DataFrame:
     texts = extract_text(_table(spark, folder, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS number,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS entries
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.number AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.number, a.label = b.label AS same,
+         CAST(list_dot_product(a.entries, b.entries) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.number <> b.number WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, number) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.number ORDER BY s.score DESC, s.id) AS rank
+  FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+""")
+def op11_mine_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, folder, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@_query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(""" + _LOWER.format("coalesce(text, '')") + r""",
+         '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM documents
+), phrases AS (
+  SELECT lang, words[i:i + size - 1] AS words, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM pieces, range(1, 5) sizes(size)) GROUP BY ALL
+), candidates AS (SELECT lang, words, f AS a FROM phrases WHERE f >= 30 AND len(words) > 1
+), cuts AS (
+  SELECT c.lang, c.words, a, k, l.f AS l, r.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(words))) AS k FROM candidates) c
+  JOIN phrases l ON l.lang = c.lang AND l.words = c.words[1:k] JOIN phrases r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+), scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, words[i:i + size - 1] AS words, max(a) AS longest
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM candidates, range(2, 4) sizes(size) WHERE len(words) > size) GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, array_to_string(s.words, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.words, ' ')) AS rank
+  FROM scored s LEFT JOIN held h ON s.lang = h.lang AND s.words = h.words
+  WHERE longest IS NULL OR CAST(100 AS HUGEINT) * longest < CAST(80 AS HUGEINT) * a
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE len(words) = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op12_mine_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
+@_query(r"""
+WITH lines AS (
+  SELECT doc_id, place, line, """ + _LOWER.format(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')") + r""" AS key
+  FROM (SELECT doc_id, generate_subscripts(lines, 1) AS place, unnest(lines) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (SELECT doc_id, place, line, coalesce(doc_id <> keeper, false) AS dropped FROM lines LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op13_dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup(_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
