@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, U64, Words, byte_class, gather_bytes, mix, part_of, text_bytes, texts_of
 from tidemark.llm.chunks import slices
-from tidemark.llm.count_automaton import NONE, CountAutomaton, summed
+from tidemark.llm.count_automaton import NONE, CountAutomaton, from_planes, to_planes
 from tidemark.llm.storage import stored
 
 LONGEST, PREFIX = 4, 3
@@ -54,7 +54,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                        F.col(_q(text_col)).cast("string").alias("text")).filter("text != ''")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / slice_bytes))
-    parts = max(1, n // 8)
+    parts, ranges = math.ceil(n / 4), math.ceil(n / 2)  # a slice's words and phrases are smaller than its texts
 
     def encode(batches):
         for batch in slices(batches, "text", slice_bytes):
@@ -98,14 +98,14 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                          "ids": pa.array([ids[j - k:j].tobytes() for j, k in zip(ends.tolist(), sizes)], pa.binary())})
 
     numbered = sent.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(answer, "slice long, part int, lang string, ids binary")
-    sizes = [n]  # numbers of ranges, from coarse to fine
+    sizes = [ranges]  # numbers of ranges, from coarse to fine
     while sizes[0] > fan:
         sizes.insert(0, math.ceil(sizes[0] / fan))
 
     def count(codes: pa.Table, ids: pa.Table) -> pa.Table:
         number = codes.column("slice")[0].as_py()
         ids = ids.sort_by([("part", "ascending"), ("lang", "ascending")])
-        local = np.frombuffer(codes.column("codes")[0].as_py(), np.int32)
+        local = from_planes(codes.column("codes")[0].as_py())
         known = np.concatenate([*(np.frombuffer(x, np.int32) for x in ids.column("ids").to_pylist()), np.array([-1], np.int32)])
         return _messages(number, *_phrases(known[local]), sizes[0])
 
@@ -114,7 +114,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     def finer(ranges: int):
         def unite_some(table: pa.Table) -> pa.Table:
-            return _messages(table.column("slice")[0].as_py(), *_united(table), ranges)
+            united = CountAutomaton.union(_automata(table), LONGEST)
+            return _messages(table.column("slice")[0].as_py(), *united.phrases(), ranges)
 
         return unite_some
 
@@ -124,7 +125,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         group *= merged
 
     def unite(table: pa.Table) -> pa.Table:
-        return pa.table({"range": table.column("range").slice(0, 1), "automaton": [CountAutomaton.build(*_united(table)).packed()]},
+        """A range's phrases, without those that are too rare: no part of a candidate is rarer than the candidate."""
+        united = CountAutomaton.union(_automata(table), LONGEST, least)
+        return pa.table({"range": table.column("range").slice(0, 1), "automaton": [united.packed()]},
                         schema=pa.schema([("range", pa.int32()), ("automaton", pa.binary())]))
 
     index = stored(automata.groupBy("range").applyInArrow(unite, "range int, automaton binary"), "phrases")
@@ -140,7 +143,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
     def route(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"range": pa.array(_range_of(_matrix(batch.column("part")), n), pa.int32()),
+            yield pa.RecordBatch.from_pydict({"range": pa.array(_range_of(_matrix(batch.column("part")), ranges), pa.int32()),
                                               "part": batch.column("part")})
 
     def look_up(asked: pa.Table, automaton: pa.Table) -> pa.Table:
@@ -217,7 +220,7 @@ def _encoded(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
     sent = [{"part": int(part[i]), "lang": names[int(lang[i])].as_py(), "counts": counts[i:j].tobytes(),
              "words": b"\n".join(entries.take(pa.array(word[i:j])).to_pylist())}
             for i, j in zip(begins, np.append(begins[1:], len(part)))]
-    return pa.RecordBatch.from_pydict({"codes": [out.tobytes()], "sent": pa.array([sent], _SENT)})
+    return pa.RecordBatch.from_pydict({"codes": [to_planes(out)], "sent": pa.array([sent], _SENT)})
 
 
 def _word_rows(table: pa.Table) -> pa.Table:
@@ -283,8 +286,8 @@ def _messages(slice_: int, phrases: np.ndarray, counts: np.ndarray, ranges: int)
                      "automaton": pa.array([CountAutomaton.build(phrases[i:j], counts[i:j]).packed() for i, j in pieces], pa.binary())})
 
 
-def _united(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return summed([CountAutomaton.unpacked(x).phrases() for x in table.column("automaton").to_pylist()], LONGEST)
+def _automata(table: pa.Table) -> list[CountAutomaton]:
+    return [CountAutomaton.unpacked(x) for x in table.column("automaton").to_pylist()]
 
 
 def _lists(phrases: np.ndarray) -> pa.Array:

@@ -39,8 +39,8 @@ class CountAutomaton:
         levels = [{"word": arcs[0], "count": arcs[1], "target": arcs[2], "first": np.array([0, len(arcs[0])])}]
         return cls(levels + [r.arcs() for r in registers[1:]])
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """All phrases with a count, in ascending order."""
+    def phrases(self, ordered: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """All phrases with a count, in ascending order (or level by level)."""
         depth = len(self.levels)
         path, state = np.full((1, depth), NONE, dtype=np.int32), np.zeros(1, dtype=np.int64)
         rows, counts = [], []
@@ -55,13 +55,15 @@ class CountAutomaton:
             on = level["target"][arc] >= 0
             path, state = path[on], level["target"][arc][on]
         rows, counts = np.concatenate(rows), np.concatenate(counts)
+        if not ordered:
+            return rows, counts
         order = _sorted(rows)
         return rows[order], counts[order]
 
     @classmethod
-    def union(cls, automata: list[CountAutomaton], depth: int) -> CountAutomaton:
-        """One automaton for all phrases, counts added up."""
-        return cls.build(*summed([a.phrases() for a in automata], depth))
+    def union(cls, automata: list[CountAutomaton], depth: int, least: int = 1) -> CountAutomaton:
+        """One automaton for all phrases, counts added up; those that come to less than `least` are left out."""
+        return cls.build(*summed([a.phrases(ordered=False) for a in automata], depth, least))
 
     def compose(self, phrases: np.ndarray) -> np.ndarray:
         """The counts of phrases, read along the arcs word by word; 0 for phrases that are not in it."""
@@ -210,15 +212,30 @@ def _sorted(rows: np.ndarray) -> np.ndarray:
     return np.lexsort(rows.T[::-1])
 
 
-def summed(parts: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of several sources in ascending order, each once, with their counts added up."""
+def summed(parts: list[tuple[np.ndarray, np.ndarray]], depth: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of several sources in ascending order, each once, with their counts added up, if those reach `least`.
+
+    Equal phrases are brought together by a hash, which is one key to sort by instead of `depth`, and then compared.
+    """
     if not parts:
         return np.zeros((0, depth), np.int32), np.zeros(0, np.int64)
     rows, counts = np.concatenate([r for r, _ in parts]), np.concatenate([c for _, c in parts])
+    value = np.zeros(len(rows), dtype=U64)
+    with np.errstate(over="ignore"):
+        for d in range(depth):
+            value = mix(value + rows[:, d].astype(U64) + U64(0x9E3779B97F4A7C15))
+    order = np.argsort(value)
+    value, rows, counts = value[order], rows[order], counts[order]
+    differs = (rows[1:] != rows[:-1]).any(axis=1)
+    if (differs & (value[1:] == value[:-1])).any():  # unequal phrases of one hash
+        order = _sorted(rows)
+        rows, counts = rows[order], counts[order]
+        differs = (rows[1:] != rows[:-1]).any(axis=1)
+    first = np.flatnonzero(np.append([True], differs)[:len(rows)])
+    rows, counts = rows[first], np.add.reduceat(counts, first) if len(first) else counts
+    rows, counts = rows[counts >= least], counts[counts >= least]
     order = _sorted(rows)
-    rows, counts = rows[order], counts[order]
-    first = np.flatnonzero(np.append([True], (rows[1:] != rows[:-1]).any(axis=1))[:len(rows)])
-    return rows[first], np.add.reduceat(counts, first) if len(first) else counts
+    return rows[order], counts[order]
 
 
 def _arc_key(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -228,3 +245,14 @@ def _arc_key(state: np.ndarray, word: np.ndarray) -> np.ndarray:
 def _planes(values: np.ndarray) -> np.ndarray:
     """One row for each byte of the values, so that the empty high bytes lie together."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+
+
+def to_planes(values: np.ndarray) -> bytes:
+    """32-bit numbers as compressed bytes, those of equal weight together."""
+    raw = _planes(values.astype(np.int32)).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.int32).reshape(-1)
