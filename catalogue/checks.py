@@ -143,6 +143,23 @@ def check_mutually_exclusive_ranges(t):
                                        partition_by="o_custkey")
 
 
+@query(f"""
+WITH spans AS (SELECT o_custkey % 2 AS p, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS lo, strftime(o_orderdate + INTERVAL 1 HOUR * CAST(o_orderkey % 30 AS INTEGER), '%Y-%m-%dT%H:%M:%S') AS hi,
+                      count(*) AS n FROM orders GROUP BY ALL),
+ordered AS (SELECT *, lead(lo) OVER (PARTITION BY p ORDER BY lo, hi) AS after FROM spans),
+met AS (SELECT p, lo, hi, after, 1 AS n FROM ordered UNION ALL SELECT p, lo, hi, lo, n - 1 FROM ordered WHERE n > 1)
+SELECT p AS partition_by_col, lo AS lower_bound, hi AS upper_bound, after AS next_lower_bound, after IS NULL AS is_last_record,
+       CAST(sum(n) AS BIGINT) AS n_records, lo < hi AS lower_bound_less_than_upper_bound,
+       after IS NULL OR hi <= after AS upper_bound_less_than_or_equal_to_next_lower_bound
+FROM met WHERE lo >= hi OR hi > after GROUP BY p, lo, hi, after""")
+def check_ranges_of_texts_cut(t):
+    """Bounds that are times as text, with many equal lower bounds, in two heavy partitions."""
+    text = "yyyy-MM-dd'T'HH:mm:ss"
+    end = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + 3600 * (F.col("o_orderkey") % 30))
+    return c.mutually_exclusive_ranges(t.orders, F.date_format("o_orderdate", text), F.date_format(end, text),
+                                       partition_by=F.col("o_custkey") % 2, rows_per_piece=200)
+
+
 @query(f"""
 WITH spans AS (SELECT 0 AS p, p_partkey AS lo, p_partkey + CASE WHEN p_size < 3 THEN 2 WHEN p_size > 48 THEN 0 ELSE 1 END AS hi, count(*) AS n
                FROM part GROUP BY ALL), {FOLLOWED_SQL}

@@ -187,3 +187,59 @@ def whole_table_sequence_cut(t):
     scanned = w.ordered_scan(t.events.select("event_id", "event_type"), None, ["event_type", "event_id"], [
         w.place("place"), w.neighbour("event_before", "event_id", F.struct("event_type", "event_id"), following=False)], rows_per_piece=PIECE)
     return scanned.drop("event_type")
+
+
+# Heavy keys whose order values are texts of one long prefix, or agree in all leading columns.
+LINKED = """
+WITH e AS (SELECT event_id, user_id % 3 AS k, 'https://example.org/events/' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS link,
+                  strftime(ts, '%Y-%m-%dT%H:%M:%S') AS moment, CASE WHEN event_type = 'purchase' THEN value END AS amount FROM events)
+"""
+
+
+def _linked(t):
+    link = F.concat(F.lit("https://example.org/events/"), F.lpad(F.col("event_id").cast("string"), 9, "0"))
+    return t.events.select("event_id", (F.col("user_id") % 3).alias("k"), link.alias("link"),
+                           F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("moment"), F.lit("all").alias("same"),
+                           F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"))
+
+
+@query(LINKED + """
+SELECT event_id, row_number() OVER s AS up, count(*) OVER (PARTITION BY k) - row_number() OVER s + 1 AS down, lag(event_id) OVER s AS before,
+       lead(event_id) OVER s AS after, last_value(amount IGNORE NULLS) OVER w AS filled, first_value(amount IGNORE NULLS) OVER w AS first_amount
+FROM e WINDOW s AS (PARTITION BY k ORDER BY link),
+              w AS (PARTITION BY k ORDER BY link ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def links_in_order_cut(t):
+    by = F.struct("link")
+    scanned = w.ordered_scan(_linked(t), "k", "link", [
+        w.place("up"), w.place("down", descending=True), w.neighbour("before", "event_id", by, following=False),
+        w.neighbour("after", "event_id", by, following=True), w.filled("filled", "amount", by),
+        w.first_seen("first_amount", "amount", by)], rows_per_piece=PIECE)
+    return scanned.select("event_id", "up", "down", "before", "after", "filled", "first_amount")
+
+
+@query(LINKED + """
+SELECT event_id, row_number() OVER (PARTITION BY k ORDER BY moment, event_id) AS up, lag(moment) OVER (PARTITION BY k ORDER BY moment, event_id) AS moment_before,
+       last_value(amount IGNORE NULLS) OVER (PARTITION BY k ORDER BY moment, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM e""")
+def equal_leads_cut(t):
+    order = ["same", "moment", "event_id"]
+    by = F.struct(*order)
+    scanned = w.ordered_scan(_linked(t), "k", order, [
+        w.place("up"), w.neighbour("moment_before", "moment", by, following=False), w.filled("filled", "amount", by)], rows_per_piece=PIECE)
+    return scanned.select("event_id", "up", "moment_before", "filled")
+
+
+@query(LINKED + "SELECT event_id, dense_rank() OVER (PARTITION BY k ORDER BY substr(moment, 1, 13)) AS place FROM e")
+def dense_ranks_of_texts_cut(t):
+    rows = _linked(t).withColumn("hour", F.substring("moment", 1, 13))
+    return w.dense_rank_within(rows, "k", ["same", "hour"], "place", rows_per_piece=PIECE).select("event_id", "place")
+
+
+@query("""
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS place,
+       lead(o_orderkey) OVER (ORDER BY o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS after FROM orders""")
+def whole_table_of_texts_cut(t):
+    rows = t.orders.select("o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    order = ["o_orderpriority", "day", "o_orderkey"]
+    scanned = w.ordered_scan(rows, None, order, [
+        w.place("place"), w.neighbour("after", "o_orderkey", F.struct(*order), following=True)], rows_per_piece=500)
+    return scanned.select("o_orderkey", "place", "after")

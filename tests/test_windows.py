@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows as w
-from tidemark.operators.skew import QUANTILES, heavy_keys, order_number, stretch_number
+from tidemark.operators.skew import heavy_keys
 
 CUT = {"rows_per_piece": 4}
 
@@ -75,18 +75,51 @@ def test_text_orders_are_cut(spark, rows):
         w.ordered_scan(df, None, "o", [w.place("n")], rows_per_piece=None)
 
 
-def test_stretches_are_even(spark):
-    """One far-off value, and more pieces than quantiles."""
-    df = spark.range(20_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 7, -10**15).otherwise(F.col("id")).alias("t"))
-    for piece in (2000, 250, 50):
-        heavy = heavy_keys(df, ["k"], order_number(df, "t"), piece)
-        sizes = [r["count"] for r in df.join(heavy, "k").groupBy(
-            stretch_number(F.col("t").cast("double"), F.col("_rows"), F.col("_borders"), piece).alias("s")).count().collect()]
-        assert sum(sizes) == 20_000 and max(sizes) <= max(2.5 * piece, 1.1 * 20_000 / QUANTILES)
+ORDERS = {
+    "numbers, one far off": ["CASE WHEN id = 7 THEN -1000000000000000 ELSE id END"],
+    "texts of one prefix": ["concat('https://example.org/a/long/prefix/', lpad(id, 8, '0'))"],
+    "times as text": ["date_format(timestamp_seconds(1700000000 + 60 * id), \"yyyy-MM-dd'T'HH:mm:ss\")"],
+    "equal leading values": ["'same'", "date '2024-01-01'", "id"],
+    "few leading values": ["id % 3", "lpad(id, 8, '0')"],
+    "bytes": ["CAST(concat('prefix', lpad(id, 8, '0')) AS BINARY)"],
+    "arrays": ["array(1, id DIV 1000, id)"],
+    "some that repeat": ["CASE WHEN id < 5000 THEN id DIV 10 ELSE id END"],
+    "NULL in places": ["CASE WHEN id % 5 > 0 THEN 'x' END", "id"],
+}
+
+
+@pytest.mark.parametrize("name", ORDERS)
+@pytest.mark.parametrize("piece", [2000, 50])
+def test_stretches_are_even(spark, name, piece):
+    """No piece of a heavy key has more than twice the rows asked for, and pieces follow each other along the order."""
+    order = [f"o{i}" for i in range(len(ORDERS[name]))]
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 50 = 0 THEN id END AS k", *[f"{e} AS {o}" for e, o in zip(ORDERS[name], order)])
+    cut, only_cut = w.in_stretches(df, ["k"], order, piece)
+    found = only_cut.groupBy("k", "_stretch").agg(
+        F.count("*").alias("n"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high"))
+    follows = (F.lag("high").over(Window.orderBy("_stretch")) < F.col("low")).alias("follows")
+    found = found.select("k", "n", "_stretch", follows).orderBy("_stretch").collect()
+    assert sum(r.n for r in found) == 19_600 and max(r.n for r in found) <= 2 * piece and len(found) >= 19_600 / piece / 2
+    assert all(r.k is None for r in found) and all(r.follows for r in found[1:])
+    assert cut.filter("_stretch = -1").count() == 400
+
+
+def test_cutting_is_the_same_in_every_run(spark):
+    """A task that is run again, on rows in another order, must find the same borders."""
+    df = spark.range(5_000).selectExpr("id % 2 AS k", "concat('prefix', id) AS o")
+    borders = [sorted(map(str, heavy_keys(rows, ["k"], F.struct("o"), 100).collect())) for rows in (df, df.repartition(7).sort(F.desc("o")))]
+    assert borders[0] == borders[1] and len(borders[0]) == 2
+
+
+def test_ties_of_the_whole_order_stay_together(spark, rows):
+    df = spark.range(1_000).selectExpr("1 AS k", "id DIV 100 AS o", "id % 7 AS v")
+    window = Window.orderBy("o")
+    expected = df.withColumn("rank", F.dense_rank().over(window).cast("bigint"))
+    assert rows(w.dense_rank_within(df, "k", "o", rows_per_piece=10)) == rows(expected)
 
 
 def test_heavy_keys(sequence):
-    assert [r["k"] for r in heavy_keys(sequence, ["k"], F.col("t").cast("double"), rows_per_piece=100).collect()] == [1]
+    assert [r["k"] for r in heavy_keys(sequence, ["k"], F.struct("t"), rows_per_piece=100).collect()] == [1]
 
 
 def test_deduplicate(spark, rows):

@@ -179,11 +179,12 @@ def mutually_exclusive_ranges(df: DataFrame, lower: ColumnLike, upper: ColumnLik
         neighbour("next_lower_bound", "lower_bound", by, following=True), place("_from_end", descending=True)], **heavy)
 
     # Of n equal ranges, n - 1 are followed by their own lower bound and one by the next range.
-    following = F.array(
-        F.struct(F.col("next_lower_bound").alias("b"), (F.col("_from_end") == 1).alias("last"),
-                 F.lit(1).cast("bigint").alias("n")),
-        F.struct(F.col("lower_bound").alias("b"), F.lit(False).alias("last"), (F.col("n_records") - 1).alias("n")),
-    )
+    def step(bound, last, n):
+        return F.struct(bound.alias("b"), last.alias("last"), n.cast("bigint").alias("n"))
+
+    own, after, last = F.col("lower_bound"), F.col("next_lower_bound"), F.col("_from_end") == 1
+    following = F.when(~last & own.eqNullSafe(after), F.array(step(own, F.lit(False), F.col("n_records")))).otherwise(
+        F.array(step(after, last, F.lit(1)), step(own, F.lit(False), F.col("n_records") - 1)))
     rows = scanned.select(*keys, *order, F.explode(following).alias("_next")).filter(F.col("_next.n") > 0).select(
         *keys, *order, F.col("_next.b").alias("next_lower_bound"), F.col("_next.last").alias("is_last_record"),
         F.col("_next.n").alias("n_records"))

@@ -1,32 +1,52 @@
 """Keys with too many rows for one task, and where to cut them along an order.
 
-A key is cut by its own rows alone, whatever share of the table they are.  Borders are quantiles of the
-key's own order values, so one far-off value does not leave all others in one piece.
+A key is cut by its own rows alone, whatever share of the table they are.  Borders are whole order tuples out of a
+sample of its rows, so texts with one long prefix, and rows that agree in the leading columns, are cut as numbers
+are; rows are dealt out by binary search over the borders.  Only rows whose whole tuples are equal stay together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.common import quoted
 
 ROWS_PER_PIECE = 1_000_000
-QUANTILES = 128  # borders a key gets at most; between two of them a very large key is cut into equal parts
+MOST_PIECES = 4096  # pieces of a key; a key of more rows than this many pieces hold is cut into larger ones
+SAMPLED = 64  # sampled rows a piece, which keeps pieces below twice their size
+DICE = 1 << 40
 
 
 def heavy_keys(df: DataFrame, keys: list[str], order: Column, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
-    """Keys of more than `rows_per_piece` rows, with `_rows` and `_borders` (quantiles of the order value).
+    """Keys of more than `rows_per_piece` rows, with `_rows` and `_borders` (ascending values of `order`).
 
-    Rows are counted with partial results, so a heavy key costs one row per task; quantiles are taken of
-    heavy keys only.  Where there are none, adaptive execution drops everything behind the count.
+    Rows are counted with partial results, so a heavy key costs one row per task; heavy keys alone are sampled.
+    The sample hangs on a hash of the rows themselves, so a task that is run again draws the same one; equal rows
+    of it are counted, not kept.  Where no key is heavy, adaptive execution drops everything behind the count.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_piece)
     known = counted.select(*[quoted(k).alias(f"_k_{k}") for k in keys], "_rows")
-    shares = [k / QUANTILES for k in range(QUANTILES + 1)]
-    rows = df.select(*[quoted(k) for k in keys], order.alias("_order")).join(known, same_keys(keys, "_k_"))
-    return rows.groupBy(*keys, "_rows").agg(F.percentile_approx("_order", shares, 100 * QUANTILES).alias("_borders"))
+    pieces = F.least(F.ceil(F.col("_rows") / rows_per_piece), F.lit(MOST_PIECES))
+    dice = F.pmod(F.xxhash64(*[quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]), F.lit(DICE))
+    sample = df.select(*[quoted(k) for k in keys], order.alias("_order"), dice.alias("_dice")).join(known, same_keys(keys, "_k_"))
+    sample = sample.filter(F.col("_dice") < SAMPLED * pieces / F.col("_rows") * DICE)
+    sample = sample.groupBy(*keys, "_rows", "_order").agg(F.count(F.lit(1)).alias("_times"))
+    by_key = Window.partitionBy(*[quoted(k) for k in keys], "_rows")
+    upto = by_key.orderBy("_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    piece = F.floor((F.sum("_times").over(upto) - 1) * pieces / F.sum("_times").over(by_key))
+    borders = sample.select(*[quoted(k) for k in keys], "_rows", "_order", piece.alias("_piece"))
+    borders = borders.groupBy(*keys, "_rows", "_piece").agg(F.min("_order").alias("_border"))
+    return borders.groupBy(*keys, "_rows").agg(F.sort_array(F.collect_list("_border")).alias("_borders"))
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def same_keys(keys: list[str], prefix: str) -> Column:
@@ -36,33 +56,8 @@ def same_keys(keys: list[str], prefix: str) -> Column:
     return condition
 
 
-def order_number(df: DataFrame, column: str) -> Column | None:
-    """A double that does not fall as the column rises, or None where the type has none (arrays, structs, ...)."""
-    kind, value = df.schema[column].dataType, quoted(column)
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.conv(F.rpad(F.substring(F.hex(value), 1, 12), 12, "0"), 16, 10).cast("double")  # the first six bytes
-    return None
-
-
-def stretch_number(value: Column, rows: Column, borders: Column, rows_per_piece: int) -> Column:
-    """The stretch a value of a heavy key lies in, rising with the value from 1 on; 0 for NULL.
-
-    A key of n pieces uses n of its quantiles as borders; with more pieces than quantiles, each part between
-    two quantiles is cut into equal parts.  Equal values lie in one stretch.
-    """
-    pieces = F.ceil(rows / rows_per_piece).cast("int")
-    step = F.greatest(F.lit(1), F.floor(QUANTILES / pieces)).cast("int")
-    inner = F.filter(borders, lambda _, k: (k % step == 0) & (k > 0) & (k < QUANTILES))
-    part = F.size(F.filter(inner, lambda border: border <= value))
-    parts = F.ceil(pieces / QUANTILES).cast("int")
-    low = F.when(part > 0, F.get(inner, part - 1)).otherwise(F.get(borders, F.lit(0)))
-    high = F.coalesce(F.get(inner, part), F.get(borders, F.lit(QUANTILES)))
-    within = F.when(high > low, F.floor((value - low) / (high - low) * parts)).otherwise(0)
-    within = F.least(F.greatest(within, F.lit(0)), parts - 1)
-    return F.when(value.isNull(), 0).otherwise(part * parts + within + 1).cast("long")
+def stretch_number(value: Column, borders: Column) -> Column:
+    """How many of the ascending borders are not above the value, by binary search: rises with the value from 0 on."""
+    steps = F.array(*[F.lit(1 << k) for k in range(math.ceil(math.log2(MOST_PIECES + 1)) - 1, -1, -1)])
+    fits = lambda at, step: (at + step <= F.size(borders)) & (F.get(borders, at + step - 1) <= value)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at)).cast("long")

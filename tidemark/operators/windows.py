@@ -1,10 +1,10 @@
 """Row-to-row operators along an order: latest row, fill, change, neighbours and ranks.
 
 Ordered operators keep one sort per key.  A key that is too heavy for one task is cut into
-stretches of its leading order column; each stretch is a window of its own, and what a stretch
-needs from the ones before or after it (one row per heavy key and stretch) is joined back.  Results
-equal those of a plain window, NULL order values included.  Rows that agree in the leading order
-column stay in one stretch, so lead with a column that tells rows apart.
+stretches of its order; each stretch is a window of its own, and what a stretch needs from the ones
+before or after it (one row per heavy key and stretch) is joined back.  Results equal those of a
+plain window, NULL order values included.  Borders are tuples of all order columns, of any type that
+can be sorted by; only rows that agree in all of them stay in one stretch for certain.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
-from tidemark.operators.skew import ROWS_PER_PIECE, heavy_keys, order_number, same_keys, stretch_number
+from tidemark.operators.skew import ROWS_PER_PIECE, heavy_keys, same_keys, stretch_number
+
 
 def _order(order) -> list:
     return list(order) if isinstance(order, (list, tuple)) else [order]
@@ -158,20 +159,11 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
             raise ValueError("a sequence over a whole table is always cut")
         # One key for all rows; no literal, for a join on literals would be a nested loop.
         keys, df = ["_all"], df.withColumn("_all", F.xxhash64(quoted(order[0])).bitwiseAND(F.lit(0)))
-    lead = order_number(df, order[0])
-    if lead is None or rows_per_piece is None:
+    if rows_per_piece is None:
         window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(c) for c in order])
         plain = df.select("*", *[s.in_window(window).alias(f"_own_{i}") for i, s in enumerate(scans)])
         return _finish(plain, columns, scans, carried=False)
-
-    heavy = heavy_keys(df, keys, lead, rows_per_piece)
-    heavy = heavy.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_rows", "_borders")
-    stretch = stretch_number(lead, F.col("_rows"), F.col("_borders"), rows_per_piece)
-    kept = [quoted(c) for c in df.columns]
-    cut = df.join(heavy, same_keys(keys, "_h_"), "left").select(
-        *kept, F.when(F.col("_rows").isNull(), -1).otherwise(stretch).alias("_stretch"))
-    only_cut = df.join(heavy, same_keys(keys, "_h_")).select(*kept, stretch.alias("_stretch"))
-
+    cut, only_cut = in_stretches(df, keys, order, rows_per_piece)
     by_key = [quoted(k) for k in keys]
     summary = only_cut.groupBy(*by_key, "_stretch").agg(*[s.summary.alias(f"_sum_{i}") for i, s in enumerate(scans)])
     across = Window.partitionBy(*by_key).orderBy("_stretch")
@@ -186,6 +178,19 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
     return _finish(own.join(carry, match, "left"), columns, scans, carried=True)
 
 
+def in_stretches(df: DataFrame, keys: list[str], order: list[str], rows_per_piece: int) -> tuple[DataFrame, DataFrame]:
+    """All rows with `_stretch`, which rises along the order (-1: the key is not cut), and the rows of cut keys alone."""
+    value = _order_value(order)
+    heavy = heavy_keys(df, keys, value, rows_per_piece)
+    heavy = heavy.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_borders")
+    stretch = stretch_number(value, F.col("_borders"))
+    kept = [quoted(c) for c in df.columns]
+    cut = df.join(heavy, same_keys(keys, "_h_"), "left").select(
+        *kept, F.when(F.col("_borders").isNull(), -1).otherwise(stretch).alias("_stretch"))
+    only_cut = df.join(heavy, same_keys(keys, "_h_")).select(*kept, stretch.alias("_stretch"))
+    return cut, only_cut
+
+
 def _finish(df: DataFrame, columns: list[str], scans: list[Scan], carried: bool) -> DataFrame:
     def value(i, scan):
         own = F.col(f"_own_{i}")
