@@ -123,6 +123,25 @@ def csv_load(t):
                          F.col("n_chars").cast("bigint").alias("n_chars"), F.md5("text").alias("text_hash"))
 
 
+@query("""
+SELECT copy, doc_id, lang, md5(text) AS text_hash, CASE WHEN doc_id % 50 = 7 THEN 1 ELSE 0 END AS rejected
+FROM documents, range(4) copies(copy)""")
+def csv_in_blocks(t):
+    """One file with quoted line breaks, read block by block; records that do not fit come from the folder of rejects."""
+    folder = work_folder(t.spark, "csv")
+    doc = F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit("no. "), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    copies = t.documents.select(F.explode(F.sequence(F.lit(0), F.lit(3))).alias("copy"), doc.alias("doc_id"), "lang", "text")
+    (copies.coalesce(1).write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
+                                      ignoreTrailingWhiteSpace=False).csv(folder))
+    rejects = work_folder(t.spark, "rejects")
+    rows = files.load_csv(t.spark, folder, "copy bigint, doc_id bigint, lang string, text string", max_bad=10**9, multi_line=True, rejects=rejects)
+    again = F.from_csv("record", "copy BIGINT, doc_id STRING, lang STRING, text STRING", {"escape": '"'})
+    bad = t.spark.read.parquet(rejects).select(again.alias("r")).select(
+        "r.copy", F.replace("r.doc_id", F.lit("no. "), F.lit("")).cast("bigint").alias("doc_id"), "r.lang", "r.text")
+    both = rows.withColumn("rejected", F.lit(0)).unionByName(bad.withColumn("rejected", F.lit(1)))
+    return both.select("copy", "doc_id", "lang", F.md5("text").alias("text_hash"), "rejected")
+
+
 @query("""
 SELECT 'nations' AS name, count(*) AS n, CAST(max(n_nationkey) AS BIGINT) AS last_key FROM nation
 UNION ALL SELECT 'sellers', count(*), max(s_suppkey) FROM supplier""")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,21 +26,73 @@ def write(path, text):
 
 def test_json_lines_tolerate_some_bad_ones(spark, tmp_path):
     path = write(tmp_path / "a.json", '{"id": "x", "object": "o"}\nbroken\n\n{"id": "y"}\n')
-    assert files.load_json_lines(spark, path).count() == 2
+    rejects = str(tmp_path / "rejects")
+    assert files.load_json_lines(spark, path, max_bad=files.MAX_BAD_RECORDS, rejects=rejects).count() == 2
+    assert spark.read.parquet(rejects).count() > 0
     with pytest.raises(files.TooManyBadRecords):
-        files.load_json_lines(spark, path, max_bad=0)
+        files.load_json_lines(spark, path)
+    with pytest.raises(ValueError, match="rejects"):
+        files.load_json_lines(spark, path, max_bad=1)
 
 
 def test_csv_with_line_breaks_and_bad_records(spark, tmp_path, rows):
     path = write(tmp_path / "a.csv", 'id,text,n\n1,"two\nlines ""quoted""",5\n2,plain,6\n3,too,many,fields\n')
-    found = files.load_csv(spark, path, schema="id int, text string, n int", multi_line=True)
+    rejects = str(tmp_path / "rejects")
+    found = files.load_csv(spark, path, schema="id int, text string, n int", max_bad=1, multi_line=True, rejects=rejects)
     assert rows(found) == [(1, 'two\nlines "quoted"', 5), (2, "plain", 6)]
+    assert [r.record for r in spark.read.parquet(rejects).collect()] == ["3,too,many,fields"]
     with pytest.raises(files.TooManyBadRecords):
-        files.load_csv(spark, path, schema="id int, text string, n int", max_bad=0, multi_line=True)
+        files.load_csv(spark, path, schema="id int, text string, n int", multi_line=True)
     inferred = files.load_csv(spark, write(tmp_path / "b.csv", "id,at\n1,2024-01-01\n"))
     assert inferred.dtypes[0] == ("id", "int")
 
 
+PIECES = ["plain", "two\nlines \"\"quoted\"\"", "a,b,c", '""', 'x""\n""y', "", "\n\n\n", '""""\n', "é\n日本", "long " * 40 + "\n"]
+
+
+def csv_text(seed):
+    """Quoted line breaks, doubled and stray quotes, blank lines, records of the wrong shape."""
+    pick = random.Random(seed)
+    end = pick.choice(["\n", "\r\n"])
+    lines = ["id,text,n"]
+    for i in range(200):
+        field = '"' + pick.choice(PIECES).replace("\n", pick.choice(["\n", end])) + '"'
+        field = pick.choice([field, field, field, "bare", '5" pipe', '"closed"and more'])
+        lines.append(pick.choice([f"{i},{field},{i}"] * 15 + [f"{i},too,many,fields", "x,bad,1", "", f"{i}"]))
+    return end.join(lines) + pick.choice([end, ""])
+
+
+@pytest.mark.parametrize("block", [64, 700, 1 << 27])
+def test_csv_in_blocks_equals_one_task(spark, tmp_path, block):
+    for name in ("a", "b", "c"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            f.write(csv_text(f"{name}{block}"))
+    schema = "id int, text string, n int"
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True, columnNameOfCorruptRecord="bad", columnPruning=False)
+    whole = whole.schema(schema + ", bad string").csv(str(tmp_path)).collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        if block < 1000:
+            assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 5
+        found, rejected = files.split_csv(spark, str(tmp_path), schema, multi_line=True)
+        assert Counter(map(tuple, found.collect())) == Counter(tuple(r)[:3] for r in whole if r.bad is None)
+        assert Counter(r.record for r in rejected.collect()) == Counter(r.bad for r in whole if r.bad is not None)
+        assert {r.file.rsplit("/", 1)[1] for r in rejected.collect()} == {"a.csv", "b.csv", "c.csv"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_types_are_inferred_in_blocks(spark, tmp_path):
+    head = 'a,"b ""x""",c,d,e,f,g\n'
+    path = write(tmp_path / "t.csv", head + '1,5000000000,1.5,2024-01-02,2024-01-02 03:04:05,true,"two\nlines"\n-2,,3,2024-01-03,2024-01-03T00:00:00,FALSE,\n')
+    found, rejected = files.split_csv(spark, path, multi_line=True)
+    assert found.dtypes == [("a", "int"), ('b "x"', "bigint"), ("c", "double"), ("d", "date"), ("e", "timestamp"), ("f", "boolean"), ("g", "string")]
+    assert found.count() == 2 and rejected.count() == 0
+    empty, _ = files.split_csv(spark, write(tmp_path / "h.csv", "a,b\n"), multi_line=True)
+    assert empty.columns == ["a", "b"] and empty.count() == 0
+
+
 def test_dated_copies_are_passed_over(spark, tmp_path):
     for name in ("users.csv", "users-2024.csv"):
         write(tmp_path / name, "id\n1\n")

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.common import quoted
 from tidemark.functions.documents import json_path, parsed
+from tidemark.sources.csv_blocks import split_csv_blocks
 
-# Fixed value: how many bad records a load tolerates.
+# Fixed value: how many bad records the daily loads tolerate.
 MAX_BAD_RECORDS = 15
 CORRUPT = "_corrupt_record"
 
@@ -59,16 +60,26 @@ def split_json_lines(spark: SparkSession, path: str | list[str], column: str = "
     return lines.filter(~is_bad).select(F.col("value").alias(column)), rejected
 
 
-def load_json_lines(spark: SparkSession, path: str | list[str], max_bad: int = MAX_BAD_RECORDS,
-                    column: str = "json_data") -> DataFrame:
+def load_json_lines(spark: SparkSession, path: str | list[str], max_bad: int = 0, column: str = "json_data",
+                    rejects: str | None = None) -> DataFrame:
     """One JSON document per line, as one text column; more than `max_bad` other lines are an error.
 
-    Reads the files at once to count these lines.  `split_json_lines` returns them.
+    Those up to `max_bad`, such as `MAX_BAD_RECORDS`, are written to the folder `rejects`, which must then be given.
     """
     documents, rejected = split_json_lines(spark, path, column)
+    _hand_over(rejected, path, max_bad, rejects)
+    return documents
+
+
+def _hand_over(rejected: DataFrame, path: str | list[str], max_bad: int, rejects: str | None) -> None:
+    """Write the rejected records to a folder of their own, and fail if they are too many; nothing is dropped unseen."""
+    if max_bad and rejects is None:
+        raise ValueError("a load that tolerates bad records needs a folder for them, `rejects`")
+    if rejects is not None:
+        rejected.write.mode("overwrite").parquet(rejects)
+        rejected = rejected.sparkSession.read.schema(rejected.schema).parquet(rejects)
     if rejected.limit(max_bad + 1).count() > max_bad:
         raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
-    return documents
 
 
 def split_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
@@ -76,13 +87,16 @@ def split_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     """CSV with a header: the rows, and (file, record) of all records that do not fit the schema.
 
     Without a schema the types are inferred, which reads the files once more; give a schema for
-    large loads.  Quoted line breaks need `multi_line`, and then a file cannot be split among tasks.
+    large loads.  Quoted line breaks need `multi_line`, which costs a shuffle: records are put together
+    from the lines of each block (see `csv_blocks`), so that many tasks read one file.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if multi_line:
+        return split_csv_blocks(spark, path, schema, CORRUPT)
+    options = {"header": True, "quote": '"', "escape": '"'}
     if schema is None:
         schema = spark.read.options(**options, inferSchema=True).csv(path).schema
-    elif isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     # Without pruning the parser reads all columns whatever is selected, so every use rejects the same records.
     rows = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False).schema(with_corrupt).csv(path)
@@ -94,14 +108,13 @@ def split_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
-             max_bad: int = MAX_BAD_RECORDS, multi_line: bool = False) -> DataFrame:
+             max_bad: int = 0, multi_line: bool = False, rejects: str | None = None) -> DataFrame:
     """CSV with a header; more than `max_bad` records that do not fit are an error.
 
-    Reads the files at once to count these records.  `split_csv` returns them.
+    Those up to `max_bad`, such as `MAX_BAD_RECORDS`, are written to the folder `rejects`, which must then be given.
     """
     rows, rejected = split_csv(spark, path, schema, multi_line)
-    if rejected.limit(max_bad + 1).count() > max_bad:
-        raise TooManyBadRecords(f"more than {max_bad} records of {path} cannot be read")
+    _hand_over(rejected, path, max_bad, rejects)
     return rows
 
 
