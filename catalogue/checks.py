@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.base import query
 from tidemark.operators import checks as c
+from tidemark.operators import suite
 
 NOW = "2024-01-31 00:00:00"
 
@@ -257,3 +258,50 @@ def check_assert_equal(t):
     source = t.orders.select("o_orderkey", "o_custkey",
                              F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 50).alias("expected"))
     return c.assert_equal(source, "o_custkey", "expected").drop("expected")
+
+
+SUITE_SQL = """
+WITH t AS (SELECT *, CAST(l_quantity AS INTEGER) AS q FROM lineitem),
+by_flag AS (SELECT l_returnflag, l_linestatus, count(*) AS n, min(l_tax) AS low, max(l_tax) AS high, count(CASE WHEN l_tax > 0.01 THEN 1 END) AS known,
+                   max(l_shipdate) AS last FROM t GROUP BY ALL)
+SELECT 'not_null l_shipdate' AS "check", CAST(NULL AS VARCHAR) AS key, count(*) AS n_records FROM t WHERE l_shipdate IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'quantity', NULL, count(*) FROM t WHERE NOT (l_quantity >= 2 AND l_quantity <= 49) HAVING count(*) > 0
+UNION ALL SELECT 'price covers discount', NULL, count(*) FROM t WHERE NOT (l_extendedprice * (1 - l_discount) > 30000) HAVING count(*) > 0
+UNION ALL SELECT 'not_empty_string l_linestatus', NULL, count(*) FROM t WHERE trim(l_linestatus) = '' HAVING count(*) > 0
+UNION ALL SELECT 'number is quantity', NULL, count(*) FROM t WHERE l_linenumber <> q HAVING count(*) > 0
+UNION ALL SELECT 'unique l_orderkey', CAST(l_orderkey AS VARCHAR), count(*) FROM t GROUP BY l_orderkey HAVING count(*) > 1
+UNION ALL SELECT 'one line', l_orderkey || ', ' || l_linenumber, count(*) FROM t GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL SELECT 'accepted_values l_returnflag', l_returnflag, count(*) FROM t GROUP BY 2 HAVING l_returnflag NOT IN ('A', 'R')
+UNION ALL SELECT 'not_accepted_values l_linenumber', CAST(l_linenumber AS VARCHAR), count(*) FROM t WHERE l_linenumber IN (6, 7) GROUP BY 2
+UNION ALL SELECT 'at_least_one taxed', l_returnflag || ', ' || l_linestatus, n FROM by_flag WHERE known = 0
+UNION ALL SELECT 'not_constant l_tax', l_returnflag || ', ' || l_linestatus, n FROM by_flag WHERE low = high
+UNION ALL SELECT 'share taxed', l_returnflag || ', ' || l_linestatus, n FROM by_flag WHERE known / n < 0.89 OR known / n > 1
+UNION ALL SELECT 'recency l_shipdate', l_returnflag || ', ' || l_linestatus, n FROM by_flag WHERE last < TIMESTAMP '2001-08-28' - INTERVAL 1 DAY
+"""
+
+
+@query(SUITE_SQL)
+def check_suite(t):
+    """Thirteen checks in one scan."""
+    lines = t.lineitem.withColumn("taxed", F.when(F.col("l_tax") > 0.01, F.col("l_tax")))
+    by = ["l_returnflag", "l_linestatus"]
+    return suite.run_suite(lines, [
+        suite.not_null("l_shipdate"), suite.accepted_range("l_quantity", 2, 49, name="quantity"),
+        suite.expression_is_true("l_extendedprice * (1 - l_discount) > 30000", name="price covers discount"),
+        suite.not_empty_string("l_linestatus"), suite.assert_equal("l_linenumber", F.col("l_quantity").cast("int"), name="number is quantity"),
+        suite.unique("l_orderkey"), suite.unique_combination_of_columns(["l_orderkey", "l_linenumber"], name="one line"),
+        suite.accepted_values("l_returnflag", ["A", "R"]), suite.not_accepted_values("l_linenumber", [6, 7]),
+        suite.at_least_one("taxed", by), suite.not_constant("l_tax", by), suite.not_null_proportion("taxed", 0.89, group_by=by, name="share taxed"),
+        suite.recency("l_shipdate", "day", 1, "2001-08-28", group_by=by)])
+
+
+@query("""
+WITH b AS (SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_orderkey = 7 THEN NULL WHEN l_orderkey % 1000 = 3 THEN l_tax + 1 ELSE l_tax END AS l_tax
+           FROM lineitem WHERE l_orderkey <> 11)
+SELECT 'a_minus_b' AS which_diff, * FROM (SELECT l_orderkey, l_linenumber, l_returnflag, l_tax FROM lineitem EXCEPT SELECT * FROM b)
+UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT l_orderkey, l_linenumber, l_returnflag, l_tax FROM lineitem)""")
+def check_equality_by_digest(t):
+    key, tax = F.col("l_orderkey"), F.col("l_tax")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_tax")
+    changed = lines.filter(key != 11).withColumn("l_tax", F.when(key == 7, None).when(key % 1000 == 3, tax + 1).otherwise(tax))
+    return suite.equality_by_digest(lines, changed, ranges=256)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks as c
+from tidemark.operators import suite
 
 D, T = dt.date, dt.datetime
 
@@ -157,3 +158,76 @@ def test_strict_counts_take_null_for_a_group(spark):
     assert c.equal_rowcount(df, df.limit(0), "k", strict=True).count() == 2
     found = c.fewer_rows_than(df, df, "k", strict=True).collect()
     assert sorted(r["row_count_delta"] for r in found) == [1, 1]
+
+
+MESSY = "k int, g string, v double, at timestamp"
+
+
+def messy(spark):
+    rows = [(i % 7 if i % 5 else None, "ab"[i % 2] if i % 11 else "", float(i % 3) if i % 4 else None, dt.datetime(2024, 1, 1 + i % 9)) for i in range(200)]
+    return spark.createDataFrame(rows + [(None, None, None, None)] * 3 + [(9, "only", 1.0, None)], MESSY)
+
+
+def test_a_suite_finds_what_its_checks_find(spark, tmp_path):
+    path = str(tmp_path / "t")
+    messy(spark).write.parquet(path)
+    df = spark.read.schema(MESSY).parquet(path)
+    now = "2024-01-10"
+    pairs = [
+        (suite.not_null("k"), c.not_null(df, "k"), ()),
+        (suite.not_empty_string("g"), c.not_empty_string(df, "g"), ()),
+        (suite.accepted_range("v", 1), c.accepted_range(df, "v", 1), ()),
+        (suite.accepted_range("v", high=1, inclusive=False, name="below one"), c.accepted_range(df, "v", high=1, inclusive=False), ()),
+        (suite.expression_is_true("k > v"), c.expression_is_true(df, "k > v"), ()),
+        (suite.assert_equal("k", "v"), c.assert_equal(df, "k", "v"), ()),
+        (suite.at_least_one("at"), c.at_least_one(df, "at"), ()),
+        (suite.not_constant("at"), c.not_constant(df, "at"), ()),
+        (suite.unique("k"), c.unique(df, "k"), ("unique_field",)),
+        (suite.unique_combination_of_columns(["k", "g"]), c.unique_combination_of_columns(df, ["k", "g"]), ("k", "g")),
+        (suite.accepted_values("k", [1, 2]), c.accepted_values(df, "k", [1, 2]), ("value_field",)),
+        (suite.not_accepted_values("g", ["a"]), c.not_accepted_values(df, "g", ["a"]), ("value_field",)),
+        (suite.at_least_one("at", "g", name="at by g"), c.at_least_one(df, "at", "g"), ("g",)),
+        (suite.not_constant("v", "g", name="v by g"), c.not_constant(df, "v", "g"), ("g",)),
+        (suite.not_null_proportion("v", 0.8, group_by="k"), c.not_null_proportion(df, "v", 0.8, group_by="k"), ("k",)),
+        (suite.recency("at", "day", 1, now, group_by="g"), c.recency(df, "at", "day", 1, now, group_by="g"), ("g",)),
+    ]
+    found = suite.run_suite(df, [check for check, _, _ in pairs])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    found = found.collect()
+    failed = 0
+    for check, single, keys in pairs:
+        mine, rows = [r for r in found if r.check == check.name], single.collect()
+        failed += bool(rows)
+        if keys:
+            assert sorted(r.key for r in mine) == sorted(", ".join("NULL" if r[k] is None else str(r[k]) for k in keys) for r in rows), check.name
+            if "n_records" in single.columns:
+                assert sorted(r.n_records for r in mine) == sorted(r.n_records for r in rows), check.name
+        elif check.measures.keys() == {f"{check.name} n"}:
+            assert [r.n_records for r in mine] == [len(rows)] * bool(rows), check.name
+        else:
+            assert len(mine) == len(rows), check.name
+    assert failed >= 13
+
+
+def test_a_suite_over_no_rows(spark):
+    none = messy(spark).limit(0)
+    checks = [suite.at_least_one("v"), suite.not_null("v"), suite.unique("v"), suite.at_least_one("v", "k", name="by k"), suite.not_null_proportion("v", 0.5)]
+    assert [r.check for r in suite.run_suite(none, checks).collect()] == ["at_least_one v"] and c.at_least_one(none, "v").count() == 1
+    assert suite.run_suite(none, [suite.not_null("v")]).count() == 0
+    with pytest.raises(ValueError, match="same name"):
+        suite.run_suite(none, [suite.not_null("v"), suite.not_null("v")])
+
+
+def test_equality_by_digest(spark, rows):
+    a = spark.range(20_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'x' END AS p", "CASE WHEN id % 3 > 0 THEN 'x' END AS q")
+    swapped = a.withColumn("p", F.when(F.col("id") == 77, F.col("q")).otherwise(F.col("p"))).withColumn(
+        "q", F.when(F.col("id") == 77, F.lit(None)).otherwise(F.col("q")))  # the same values, NULL in another place
+    b = swapped.filter("id <> 5").unionAll(a.filter("id = 9"))  # a lost row, and one that comes twice
+    assert rows(suite.equality_by_digest(a, b)) == rows(c.equality(a, b)) and c.equality(a, b).count() == 3
+    ours, theirs = suite.differing_rows(a, b.repartition(5), a.columns)
+    assert ours.count() <= 20 and theirs.count() <= 20  # of 20,000: the rest is never shuffled
+    assert suite.differing_rows(a, a.sort(F.desc("id")), a.columns)[0].count() == 0
+    twice = a.limit(2).unionAll(a.limit(2))
+    assert suite.equality_by_digest(a.limit(2), twice).count() == 0
+    assert suite.equality_by_digest(a.limit(0), a.limit(0)).count() == 0 and suite.equality_by_digest(a.limit(0), a.limit(3)).count() == 3
