@@ -21,7 +21,7 @@ from tidemark.operators.select import (
     top_parent_flag,
 )
 from tidemark.plans.general import REPORT_PERIODS
-from tidemark.plans.staging import stage_all
+from tidemark.plans.staging import COLUMNS, STAGING, TEST_CUSTOMERS, stage_all
 from tidemark.plans.subscriptions import FACT_PERIODS
 from tidemark.sources.files import load_union
 
@@ -212,6 +212,65 @@ def staging_views(t):
                        for kind, view, key, label in parts])
 
 
+# One query per staging view whose source has no counterpart among the driver's tables: the source gets the view's columns
+# with texts made of their names and a key, and one column that the view's list does not have.
+_WIDE = {  # some columns of views that keep all of their source's
+    "billing_subscriptions": ("id", "customer", "status", "items_data_0_plan_id", "items_data_1_quantity", *STAGING["billing_subscriptions"].epochs),
+    "billing_customers": ("id", "email", "name", "description", "metadata_organization_id"),
+    "app_organizations": ("id", "resource_id", "name", "membership_count", "created_at"),
+    "app_subscriptions": ("id", "stripe_customer_token", "plan_id", "max_users", "owner_id"),
+    "app_forms": ("id", "resource_id", "name", "owner_id", "record_count"),
+    "app_form_updates": ("id", "resource_id", "organization_id", "field_count", "received_at"),
+    "app_groups": ("id", "group_id", "industry", "is_paid_account", "timestamp"),
+    "app_flows_completed": ("id", "flow_id", "flow_name", "user_org_id", "timestamp"),
+    "app_device_syncs": ("id", "identifier", "organization_id", "platform", "timestamp"),
+}
+_SOURCES = {"billing": ("customer", "c_custkey"), "app": ("orders", "o_orderkey"), "raw": ("events", "event_id")}
+
+
+def _staged(view: str) -> None:
+    table, key = _SOURCES[view.split("_")[0]]
+    spec = STAGING[view]
+    listed = spec.columns or _WIDE[view]
+    shown = listed if spec.columns else (*listed, "not_listed")  # a view without a list keeps what its source has
+    test = TEST_CUSTOMERS[0]
+
+    def value(column: str):
+        text = F.concat(F.lit(f"{column}-"), F.col(key).cast("string"))
+        if column in spec.epochs:
+            return F.when(F.col(key) % 7 > 0, F.col(key) * 3600).cast("string").alias(column)
+        return (F.when(F.col(key) % 50 == 3, F.lit(test)).otherwise(text) if column == "id" else text).alias(column)
+
+    def value_sql(column: str) -> str:
+        text = f"'{column}-' || {key}"
+        if column in spec.epochs:
+            text = f"CASE WHEN {key} % 7 > 0 THEN strftime(make_timestamp(CAST({key} * 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') END"
+        elif column == "id":
+            text = f"CASE WHEN {key} % 50 = 3 THEN '{test}' ELSE {text} END"
+        return f'{text} AS "{spec.renames.get(column, column)}"'
+
+    excluded = f" WHERE {key} % 50 <> 3" if view == "billing_customers" else ""
+
+    @query(f"SELECT {', '.join(map(value_sql, shown))} FROM {table}{excluded}", name=f"staged_{view}")
+    def staged(t):
+        source = getattr(t, table)
+        return stage_all({view: source.select(*map(value, (*listed, "not_listed")))})[view]
+
+
+for _view in (*_WIDE, *COLUMNS):
+    _staged(_view)
+
+
+@query("""
+SELECT 'item-' || event_id AS id, 'sub-' || user_id AS subscription, strftime(ts, '%Y%m%d%H%M%S') AS run_date FROM events
+WHERE strftime(ts, '%Y%m%d') = (SELECT max(strftime(ts, '%Y%m%d')) FROM events)""")
+def staged_raw_subscription_items(t):
+    copies = t.events.select(F.concat(F.lit("item-"), F.col("event_id").cast("string")).alias("id"),
+                             F.concat(F.lit("sub-"), F.col("user_id").cast("string")).alias("subscription"),
+                             F.date_format("ts", "yyyyMMddHHmmss").alias("run_date"))
+    return stage_all({"raw_subscription_items": copies})["raw_subscription_items"]
+
+
 @query("""
 SELECT o_orderkey, strftime(make_timestamp(o_orderkey * 1000000), '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""")
 def epoch_columns(t):

@@ -62,7 +62,7 @@ def snapshot_replace(t):
     table = work_folder(t.spark, "snapshot")
     for as_of, kind in ((DAY_1, "F"), (DAY_2, "O")):
         life.write_snapshot(t.orders.filter(F.col("o_orderstatus") == kind), table, ["o_orderkey", "o_custkey"], as_of)
-    return t.spark.read.parquet(table).groupBy("o_custkey", "run_date").agg(F.count(F.lit(1)).alias("n_orders"))
+    return life.read_snapshot(t.spark, table).groupBy("o_custkey", "run_date").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
 @query("""

@@ -157,10 +157,28 @@ def test_snapshot_and_history(spark, tmp_path, rows):
         life.write_snapshot(df, snapshot, ["id", "name"], as_of)
         life.append_history(df, history, ["id"], as_of)
         life.append_history(df, history, ["id"], as_of)
-    assert rows(spark.read.parquet(snapshot)) == [(1, "a", "20240102050000")]
+    assert rows(life.read_snapshot(spark, snapshot)) == [(1, "a", "20240102050000")]
     assert spark.read.parquet(history).count() == 2
 
 
+def test_a_run_that_fails_leaves_the_snapshot(spark, tmp_path, rows):
+    table = str(tmp_path / "snap")
+    with pytest.raises(FileNotFoundError):
+        life.read_snapshot(spark, table)
+    life.write_snapshot(spark.createDataFrame([(1,)], "id int"), table, ["id"], MONDAY)
+    reading = life.read_snapshot(spark, table)
+    broken = spark.range(1000).repartition(4).withColumn("id", F.when(F.col("id") == 999, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        life.write_snapshot(broken, table, ["id"], TUESDAY)
+    assert rows(life.read_snapshot(spark, table)) == rows(reading) == [(1, "20240101120000")]
+    life.write_snapshot(spark.createDataFrame([(2,)], "id int"), table, ["id"], TUESDAY)
+    assert rows(life.read_snapshot(spark, table)) == [(2, "20240102050000")]
+    assert rows(reading) == [(1, "20240101120000")]  # who began to read before still can
+    life.write_snapshot(life.read_snapshot(spark, table).select("id"), table, ["id"], TUESDAY)  # out of itself
+    assert rows(life.read_snapshot(spark, table)) == [(2, "20240102050000")]
+    assert len(list((tmp_path / "snap").glob("version-*"))) == 2
+
+
 def test_first_of_month_copies(spark, rows):
     df = spark.createDataFrame([(d,) for d in ("20231201010101", "20240101000000", "20240102000000", "20240201000000")], "run_date string")
     assert rows(life.month_start_snapshots(df, "2024-01-31", 1)) == [("20231201010101",), ("20240101000000",)]

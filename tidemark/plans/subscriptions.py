@@ -93,15 +93,15 @@ def with_licences(subs: DataFrame, products: DataFrame, paid_names: Sequence[str
 def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, orgs: DataFrame, app_subs: DataFrame,
                       mrr: DataFrame, paid_names: Sequence[str] = BASE_PLANS,
                       excluded_names: Sequence[str] = UNCOUNTED_PLANS) -> DataFrame:
-    """Subscriptions with licences, billing interval, organisation, revenue and app settings.
+    """Subscriptions with licences, billing interval, organisation, revenue and app settings, each row once.
 
-    Rows that repeat as a whole, in the subscriptions or in a table looked up, count once: each input is
-    made distinct before it is joined.
+    The subscriptions are made distinct after their columns are reduced to those of the fact, and so is each table
+    looked up, so that no other column is read or shuffled.
     """
     interval = F.when(F.col("plan_interval") == "month", "monthly").otherwise(
         billing_period("items_data_0_plan_interval", "items_data_0_plan_interval_count", FACT_PERIODS))
     paid, whole = F.col("paid_licenses"), F.col("total_licenses")
-    facts = with_licences(subs.distinct(), products, paid_names, excluded_names).select(
+    facts = with_licences(subs, products, paid_names, excluded_names).select(
         F.col("id").alias("billing_subscription_key"), F.col("customer").alias("billing_customer_key"),
         interval.alias("plan_interval"), "status",
         *[F.col(c).cast("date").alias(c) for c in ("current_period_start", "current_period_end", "created", "ended_at")],
@@ -109,7 +109,7 @@ def fct_subscriptions(subs: DataFrame, products: DataFrame, bridge: DataFrame, o
         F.round(paid).cast("bigint").alias("paid_licenses"),
         F.round(whole - paid).cast("bigint").alias("unpaid_licenses"),
         F.round(whole).cast("bigint").alias("total_licenses"),
-        F.col("total_amount").cast("double").alias("total_amount"))
+        F.col("total_amount").cast("double").alias("total_amount")).distinct()
     pairs = bridge.select(F.col("customer_id").alias("billing_customer_key"), "organization_id").distinct()
     places = orgs.select(F.col("id").alias("organization_id"), F.col("resource_id").alias("app_customer_key"),
                          "industry_name", *ORG_COUNTERS, F.col("created_at").alias("signed_up_date"))

@@ -43,13 +43,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return tune(spark)
 
 
+_OWN: list[str] = []  # the folder of a local session that names none
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for tables of its own and stream progress, as the session names it.
+    """The shared folder for tables of its own and stream progress, as `spark.checkpoint.dir` names it.
 
-    Where the session names none, as in tests on one machine, a new folder is made and set.
+    A local session that names none gets a new folder; on a cluster that is an error, for executors on other
+    machines would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="tidemark-"))
+    return _OWN[0]

@@ -7,6 +7,7 @@ partition in one commit, so a run that was cut short can simply be started again
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,10 +72,61 @@ def append_history(df: DataFrame, location: str, columns: Iterable[str], as_of:
     return _append_day(df.select(*[quoted(c) for c in columns]), location, as_of)
 
 
+CURRENT = "_current"  # the file of a snapshot table that names the version to read
+
+
+def _files(spark: SparkSession, location: str):
+    """The file system of a location, and its path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def current_version(spark: SparkSession, location: str) -> str | None:
+    """The folder of a snapshot table's rows, None before its first run has ended."""
+    files, pointer = _files(spark, f"{location}/{CURRENT}")
+    if not files.exists(pointer):
+        return None
+    stream = files.open(pointer)
+    try:
+        name = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return f"{location}/{name}"
+
+
 def write_snapshot(df: DataFrame, location: str, columns: Iterable[str], as_of: dt.datetime) -> None:
-    """Replace a snapshot table by the chosen columns and the run date."""
+    """Replace a snapshot table by the chosen columns and the run date; read it by `read_snapshot`.
+
+    A run writes a folder of its own, and then the name of that folder replaces the old one in a single rename.  A
+    run that fails before leaves the table as it was.  The version before is kept for those who still read it;
+    older ones, and what failed runs left, are removed.
+    """
+    spark, before = df.sparkSession, current_version(df.sparkSession, location)
+    version = f"version-{run_stamp(as_of)}-{uuid.uuid4().hex[:8]}"
     chosen = df.select(*[quoted(c) for c in columns], F.lit(run_stamp(as_of)).alias(RUN_DATE))
-    chosen.write.mode("overwrite").parquet(location)
+    chosen.write.parquet(f"{location}/{version}")
+    jvm = spark.sparkContext._jvm
+    files, draft = _files(spark, f"{location}/_{version}")
+    stream = files.create(draft, True)
+    stream.write(version.encode())
+    stream.close()
+    renaming = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renaming[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(draft, jvm.org.apache.hadoop.fs.Path(f"{location}/{CURRENT}"), renaming)
+    kept = {version, before.rsplit("/", 1)[1] if before else None}
+    for entry in files.listStatus(jvm.org.apache.hadoop.fs.Path(location)):
+        name = entry.getPath().getName()
+        if name.startswith("version-") and name not in kept:
+            files.delete(entry.getPath(), True)
+
+
+def read_snapshot(spark: SparkSession, location: str) -> DataFrame:
+    """The rows of the last run of `write_snapshot` that ended."""
+    version = current_version(spark, location)
+    if version is None:
+        raise FileNotFoundError(f"no snapshot has been written to {location}")
+    return spark.read.parquet(version)
 
 
 def _day(df: DataFrame, run_column: str) -> Column:
