@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder `spark.checkpoint.dir` names; where it is not set, as in tests, a new one that is then set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from tidemark.session import checkpoint_dir
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: cuts the lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/tidemark-{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(df.sparkSession)}/tidemark-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
