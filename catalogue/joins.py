@@ -103,6 +103,28 @@ def parts_in_bands(t):
         "s_suppkey", "p_partkey", "p_retailprice")
 
 
+@query("""
+WITH spans AS (SELECT s_suppkey, DATE '1995-06-01' + CAST(s_suppkey % 40 * 50 AS INTEGER) AS lo, CASE WHEN s_suppkey % 5 = 0 THEN DATE '9999-12-31'
+                 ELSE DATE '1995-06-01' + CAST(s_suppkey % 40 * 50 + s_suppkey % 4 * 700 - 3 AS INTEGER) END AS hi FROM supplier),
+facts AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN DATE '1998-01-05' ELSE CAST(o_orderdate AS DATE) END AS d, o_totalprice FROM orders)
+SELECT s_suppkey, CAST(lo AS VARCHAR) AS lo, count(*) AS n, max(o_orderkey) AS last_order, CAST(count(DISTINCT d) AS BIGINT) AS n_days FROM facts JOIN spans ON d BETWEEN lo AND hi GROUP BY ALL""")
+def long_ranges(t):
+    """Ranges of days, years and without end, over facts a third of which lie on one day."""
+    day = F.when(F.col("o_orderkey") % 3 == 0, F.lit("1998-01-05").cast("date")).otherwise(F.col("o_orderdate").cast("date"))
+    start = F.date_add(F.lit("1995-06-01").cast("date"), (F.col("s_suppkey") % 40 * 50).cast("int"))
+    end = F.when(F.col("s_suppkey") % 5 == 0, F.lit("9999-12-31").cast("date")).otherwise(F.date_add(start, (F.col("s_suppkey") % 4 * 700 - 3).cast("int")))
+    spans = t.supplier.select("s_suppkey", start.alias("lo"), end.alias("hi"))
+    joined = j.quantile_range_join(t.orders.select("o_orderkey", day.alias("d")), spans, "d", "lo", "hi", rows_per_piece=100, fan=8)
+    return joined.groupBy("s_suppkey", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last_order"), F.count_distinct("d").alias("n_days"))
+
+
+@query("""
+SELECT p_partkey, s_suppkey FROM part JOIN supplier ON p_retailprice BETWEEN s_acctbal AND s_acctbal + s_suppkey % 3 * 400 - 50""")
+def quantile_ranges(t):
+    bands = t.supplier.select("s_suppkey", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + F.col("s_suppkey") % 3 * 400 - 50).alias("hi"))
+    return j.quantile_range_join(t.part.select("p_partkey", "p_retailprice"), bands, "p_retailprice", "lo", "hi").select("p_partkey", "s_suppkey")
+
+
 @query("""
 SELECT coalesce(a.k, b.k) AS k, n_customers, n_suppliers FROM
   (SELECT c_nationkey AS k, count(*) AS n_customers FROM customer WHERE c_acctbal > 9700 GROUP BY 1) a FULL JOIN

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
+from tidemark.operators.skew import _hashable, heavy_keys, stretch_number
 from tidemark.operators.windows import latest_per_key
 
 
@@ -111,6 +112,59 @@ def range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: st
     return placed.join(binned, match, "inner").drop("_value_bin", "_range_bin")
 
 
+FACTS_PER_PIECE, FAN = 1000, 64
+
+
+def pieces_of_ranges(df: DataFrame, ranges: DataFrame, column: str, low: str, high: str, rows_per_piece: int = FACTS_PER_PIECE,
+                     fan: int = FAN) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts with the piece they lie in, and ranges once per group of `fan` pieces that they cover as a whole and once
+    per further piece that they touch.
+
+    Pieces end at sampled quantiles of the facts.  A border is a value and a hash of the row, so a value that very
+    many facts share spreads over several pieces.
+    """
+    kind = ranges.select(F.coalesce(F.lit(None).cast(df.schema[column].dataType), low, high).alias("k")).schema["k"].dataType
+    facts = df.filter(F.col(column).isNotNull())
+    dice = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    place = F.struct(F.col(column).cast(kind).alias("at"), dice.alias("dice"))
+    one_key = facts.withColumn("_all", F.xxhash64(column).bitwiseAND(F.lit(0)))
+    borders = heavy_keys(one_key, ["_all"], place, rows_per_piece).select("_borders").scalar()
+
+    def piece(value: Column) -> Column:
+        return F.coalesce(stretch_number(value, F.col("_borders")), F.lit(0).cast("long"))
+
+    def end(bound: str, least: bool) -> Column:
+        return F.struct(F.col(bound).cast(kind).alias("at"), F.lit(-(2**63) if least else 2**63 - 1).cast("long").alias("dice"))
+
+    placed = facts.withColumn("_borders", borders).withColumn("_piece", piece(place)).drop("_borders")
+    spans = ranges.filter(F.col(low) <= F.col(high)).withColumn("_borders", borders).withColumns(
+        {"_from": piece(end(low, True)), "_to": piece(end(high, False))}).drop("_borders")
+    # Pieces between the first and the last one hold no fact outside the range.
+    spans = spans.withColumns({"_first": F.ceil((F.col("_from") + 1) / fan), "_last": F.floor(F.col("_to") / fan) - 1})
+    some = F.col("_first") <= F.col("_last")
+    kept = [quoted(c) for c in ranges.columns]
+    covered = spans.filter(some).select(*kept, F.explode(F.sequence("_first", "_last")).alias("_group"))
+    before = F.sequence(F.col("_from"), F.col("_first") * fan - 1)
+    after = F.sequence((F.col("_last") + 1) * fan, F.col("_to"))
+    touched = spans.select(*kept, F.explode(F.when(some, F.concat(before, after)).otherwise(F.sequence("_from", "_to"))).alias("_touched"))
+    return placed, covered, touched
+
+
+def quantile_range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: str, rows_per_piece: int = FACTS_PER_PIECE,
+                        fan: int = FAN) -> DataFrame:
+    """Join on `column BETWEEN low AND high` for any sortable type, whatever the lengths of the ranges.
+
+    Two equi-joins: groups of pieces that a range covers, where nothing is compared, and the pieces at its ends,
+    where values are.  A range costs a row per group and some 2 x `fan` for its ends, not one per day or bin.
+    NULL values and bounds match nothing, as do ranges that end before they begin.
+    """
+    placed, covered, touched = pieces_of_ranges(df, ranges, column, low, high, rows_per_piece, fan)
+    kept = [quoted(c) for c in (*df.columns, *ranges.columns)]
+    inside = placed.withColumn("_group", F.floor(F.col("_piece") / fan)).join(covered, "_group").select(*kept)
+    at_ends = (F.col("_piece") == F.col("_touched")) & F.col(column).between(F.col(low), F.col(high))
+    return inside.unionAll(placed.join(touched, at_ends).select(*kept))
+
+
 def full_join(left: DataFrame, right: DataFrame, keys: str | list[str]) -> DataFrame:
     return left.join(right, names(keys), "full")
 
