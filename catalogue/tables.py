@@ -11,7 +11,7 @@ from catalogue.base import query, work_folder
 from tidemark.functions.documents import project_json
 from tidemark.operators import spines
 from tidemark.operators.checks import unique
-from tidemark.sources import catalog, files
+from tidemark.sources import catalog, files, kept_schema
 from tidemark.sources import lifecycle as life
 from tidemark.streaming.landing import land_new_files, land_rejects
 
@@ -299,3 +299,19 @@ def flatten_json_with_rest(t):
     rest = F.col("items_data_rest")
     return flat.select("order_id", "id", "state_code", "state_who", "items_data_0_no", F.json_array_length(rest).alias("n_rest"),
                        F.get_json_object(rest, "$[0].no").cast("bigint").alias("rest_no"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN user_id END AS owner_id, CASE WHEN event_id % 3 = 1 THEN value END AS sum_value,
+       CASE WHEN event_id % 3 = 2 THEN event_type END AS kinds_0, CASE WHEN event_id % 3 = 2 AND event_id % 2 = 0 THEN 'even' END AS kinds_1
+FROM events""")
+def flatten_day_by_day(t):
+    """Three days of documents with fields of their own; the schema comes from each day's new documents alone."""
+    kinds = F.when(F.col("event_id") % 2 == 0, F.array("event_type", F.lit("even"))).otherwise(F.array("event_type"))
+    fields = [F.struct(F.col("user_id").alias("id")).alias("owner"), F.struct("value").alias("sum"), kinds.alias("kinds")]
+    location = work_folder(t.spark, "schema") + ".json"
+    days = [t.events.filter(F.col("event_id") % 3 == k).select(F.to_json(F.struct("event_id", field)).alias("json_data")) for k, field in enumerate(fields)]
+    for day in days:
+        kept = kept_schema.keep_schema(day, "json_data", location)
+    flat = files.flatten_json(files.load_union(days), "json_data", schema=kept.schema, widths=kept.widths)
+    return flat.select("event_id", "owner_id", F.col("sum_value").cast("double").alias("sum_value"), "kinds_0", "kinds_1")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import spines
-from tidemark.sources import catalog, files
+from tidemark.sources import catalog, files, kept_schema
 from tidemark.sources import lifecycle as life
 from tidemark.streaming.landing import land_new_files
 
@@ -230,3 +230,27 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     land_new_files(spark, str(source), place, TUESDAY, "t", progress=progress).awaitTermination()
     assert {(r["id"], str(r["run_day"])) for r in spark.read.parquet(place).collect()} == {("a", "20240101"), ("b", "20240102")}
     assert spark.read.parquet(place).filter(F.col("object").isNotNull()).count() == 0
+
+
+DAYS = [
+    [{"id": 1, "a": None, "items": []}, {"id": 2, "a": None, "items": [{"q": 1}], "odd.name": {"x y": 1}}],
+    [{"id": 3, "a": 5, "items": [{"q": 2.5, "tags": ["u"]}, {"q": 1}], "more": True}],
+    [{"id": "4", "a": 1.25, "items": None, "more": {"deep": [1, 2, 3]}}, {"id": 5, "a": 12345678901}],
+    [{"id": 6, "items": [{"q": 1, "tags": []}], "only": "text"}],
+]
+
+
+def test_schema_kept_day_by_day_is_that_of_a_full_read(spark, tmp_path, rows):
+    location, seen = str(tmp_path / "schema.json"), []
+    for day in DAYS:
+        new = spark.createDataFrame([(json.dumps(d),) for d in day], "json_data string")
+        seen += day
+        kept = kept_schema.keep_schema(new, "json_data", location)
+        assert kept == kept_schema.read_schema(spark, location) == kept_schema.keep_schema(new, "json_data", location)
+        whole = spark.createDataFrame([(json.dumps(d),) for d in seen], "json_data string")
+        assert kept.schema == files.merged_schema(whole, "json_data")
+        full = files.flatten_json(whole, "json_data")
+        found = files.flatten_json(whole, "json_data", schema=kept.schema, widths=kept.widths)
+        assert found.columns == full.columns and rows(found) == rows(full)
+        assert files.flatten_json(new, "json_data", schema=kept.schema, widths=kept.widths).columns == full.columns
+    assert kept_schema.read_schema(spark, str(tmp_path / "none")).schema.simpleString() == "string"

@@ -147,47 +147,62 @@ def explode_child(df: DataFrame, path: str, column: str = "json_data", keep: Ite
 
 # -- flattening ---------------------------------------------------------------------------------
 
-def merged_schema(df: DataFrame, column: str) -> T.DataType:
-    """Schema that covers all documents of a text column.  Reads the column at once."""
+def variant_schema(df: DataFrame, column: str) -> T.DataType:
+    """Schema that covers all documents of a text column, NULL and mixed types as such.  Reads the column at once."""
     text = df.agg(F.schema_of_variant_agg(parsed(column))).first()[0]
     # Only where a type stands: at the start, after a name and its colon, or inside an array.
-    ddl = re.sub(r"(?:^|(?<=: )|(?<=ARRAY<))(OBJECT(?=<)|VOID\b|VARIANT\b)",
-                 lambda found: "STRUCT" if found.group() == "OBJECT" else "STRING", text)
-    return T.DataType.fromDDL(ddl)
+    return T.DataType.fromDDL(re.sub(r"(?:^|(?<=: )|(?<=ARRAY<))OBJECT(?=<)", "STRUCT", text))
+
+
+def as_read(kind: T.DataType) -> T.DataType:
+    """The types documents are read with: text for values that are always NULL or of mixed types."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, as_read(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(as_read(kind.elementType))
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+def merged_schema(df: DataFrame, column: str) -> T.DataType:
+    """Schema that covers all documents of a text column.  Reads the column at once."""
+    return as_read(variant_schema(df, column))
 
 
-def _array_paths(kind: T.DataType, path: tuple = ()) -> list[tuple]:
+def array_paths(kind: T.DataType, path: tuple = ()) -> list[tuple]:
     if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in _array_paths(f.dataType, (*path, f.name))]
+        return [p for f in kind.fields for p in array_paths(f.dataType, (*path, f.name))]
     if isinstance(kind, T.ArrayType):
-        return [path, *_array_paths(kind.elementType, (*path, ANY_ITEM))]
+        return [path, *array_paths(kind.elementType, (*path, ANY_ITEM))]
     return []
 
 
-def _size_at(value: Column, path: tuple) -> Column:
+def size_at(value: Column, path: tuple) -> Column:
     if not path:
         return F.array_size(value)
     step, rest = path[0], path[1:]
     if step is ANY_ITEM:
-        return F.array_max(F.transform(value, lambda item: _size_at(item, rest)))
-    return _size_at(value.getField(step), rest)
+        return F.array_max(F.transform(value, lambda item: size_at(item, rest)))
+    return size_at(value.getField(step), rest)
 
 
 def flatten_json(df: DataFrame, column: str, sep: str = "_", max_items: int | None = None,
-                 keep: Iterable[str] | None = None, schema: T.DataType | None = None) -> DataFrame:
+                 keep: Iterable[str] | None = None, schema: T.DataType | None = None,
+                 widths: Mapping[tuple, int] | None = None) -> DataFrame:
     """Nested documents as wide rows: names joined with `sep`, array items numbered from 0.
 
     The columns depend on the data, so the documents are read twice at once: for the common schema
     and for the greatest length of each array.  A known `schema` spares the first reading.
     `max_items` spares the second: items after these come as JSON text in one more column `<name>_rest`.
+    Known `widths` spare it too; they must be the greatest lengths, as `kept_schema` keeps them with the schema.
     """
     kind = merged_schema(df, column) if schema is None else schema
     kept = [c for c in df.columns if c != column] if keep is None else list(keep)
     nested = df.select(*[quoted(k) for k in kept], F.from_json(quoted(column), kind).alias("_document"))
-    paths = _array_paths(kind)
-    widths: dict[tuple, int] = {p: max_items for p in paths if max_items is not None}
-    if paths and max_items is None:
-        sizes = nested.agg(*[F.max(_size_at(F.col("_document"), p)).alias(f"w{i}") for i, p in enumerate(paths)])
+    paths = array_paths(kind)
+    known = widths
+    widths = {p: max_items for p in paths if max_items is not None} if known is None else {p: known.get(p, 0) for p in paths}
+    if paths and max_items is None and known is None:
+        sizes = nested.agg(*[F.max(size_at(F.col("_document"), p)).alias(f"w{i}") for i, p in enumerate(paths)])
         widths = {p: n or 0 for p, n in zip(paths, sizes.first(), strict=True)}
 
     def outputs(value: Column, part: T.DataType, path: tuple, label: list[str]) -> list[Column]:

@@ -81,17 +81,36 @@ def _files(spark: SparkSession, location: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def current_version(spark: SparkSession, location: str) -> str | None:
-    """The folder of a snapshot table's rows, None before its first run has ended."""
-    files, pointer = _files(spark, f"{location}/{CURRENT}")
-    if not files.exists(pointer):
+def read_text(spark: SparkSession, location: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    files, path = _files(spark, location)
+    if not files.exists(path):
         return None
-    stream = files.open(pointer)
+    stream = files.open(path)
     try:
-        name = bytes(stream.readAllBytes()).decode()
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
-    return f"{location}/{name}"
+
+
+def replace_text(spark: SparkSession, location: str, text: str) -> None:
+    """Replace a small file by another text in one rename: readers see the old text or the new one, whole."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, _, name = location.rpartition("/")
+    files, draft = _files(spark, f"{folder}/_{uuid.uuid4().hex}")
+    stream = files.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    renaming = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renaming[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), conf).rename(
+        draft, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), renaming)
+
+
+def current_version(spark: SparkSession, location: str) -> str | None:
+    """The folder of a snapshot table's rows, None before its first run has ended."""
+    name = read_text(spark, f"{location}/{CURRENT}")
+    return None if name is None else f"{location}/{name}"
 
 
 def write_snapshot(df: DataFrame, location: str, columns: Iterable[str], as_of: dt.datetime) -> None:
@@ -105,17 +124,10 @@ def write_snapshot(df: DataFrame, location: str, columns: Iterable[str], as_of:
     version = f"version-{run_stamp(as_of)}-{uuid.uuid4().hex[:8]}"
     chosen = df.select(*[quoted(c) for c in columns], F.lit(run_stamp(as_of)).alias(RUN_DATE))
     chosen.write.parquet(f"{location}/{version}")
-    jvm = spark.sparkContext._jvm
-    files, draft = _files(spark, f"{location}/_{version}")
-    stream = files.create(draft, True)
-    stream.write(version.encode())
-    stream.close()
-    renaming = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    renaming[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    context.rename(draft, jvm.org.apache.hadoop.fs.Path(f"{location}/{CURRENT}"), renaming)
+    replace_text(spark, f"{location}/{CURRENT}", version)
+    files, folder = _files(spark, location)
     kept = {version, before.rsplit("/", 1)[1] if before else None}
-    for entry in files.listStatus(jvm.org.apache.hadoop.fs.Path(location)):
+    for entry in files.listStatus(folder):
         name = entry.getPath().getName()
         if name.startswith("version-") and name not in kept:
             files.delete(entry.getPath(), True)
