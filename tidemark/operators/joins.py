@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
-from tidemark.operators.skew import _hashable, heavy_keys, stretch_number
+from tidemark.operators.skew import hashable, heavy_keys, stretch_number
 from tidemark.operators.windows import latest_per_key
 
 
@@ -125,7 +125,7 @@ def pieces_of_ranges(df: DataFrame, ranges: DataFrame, column: str, low: str, hi
     """
     kind = ranges.select(F.coalesce(F.lit(None).cast(df.schema[column].dataType), low, high).alias("k")).schema["k"].dataType
     facts = df.filter(F.col(column).isNotNull())
-    dice = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    dice = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if hashable(f.dataType)])
     place = F.struct(F.col(column).cast(kind).alias("at"), dice.alias("dice"))
     one_key = facts.withColumn("_all", F.xxhash64(column).bitwiseAND(F.lit(0)))
     borders = heavy_keys(one_key, ["_all"], place, rows_per_piece).select("_borders").scalar()

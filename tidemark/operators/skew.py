@@ -31,7 +31,7 @@ def heavy_keys(df: DataFrame, keys: list[str], order: Column, rows_per_piece: in
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_piece)
     known = counted.select(*[quoted(k).alias(f"_k_{k}") for k in keys], "_rows")
     pieces = F.least(F.ceil(F.col("_rows") / rows_per_piece), F.lit(MOST_PIECES))
-    dice = F.pmod(F.xxhash64(*[quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]), F.lit(DICE))
+    dice = F.pmod(F.xxhash64(*[quoted(f.name) for f in df.schema.fields if hashable(f.dataType)]), F.lit(DICE))
     sample = df.select(*[quoted(k) for k in keys], order.alias("_order"), dice.alias("_dice")).join(known, same_keys(keys, "_k_"))
     sample = sample.filter(F.col("_dice") < SAMPLED * pieces / F.col("_rows") * DICE)
     sample = sample.groupBy(*keys, "_rows", "_order").agg(F.count(F.lit(1)).alias("_times"))
@@ -43,10 +43,11 @@ def heavy_keys(df: DataFrame, keys: list[str], order: Column, rows_per_piece: in
     return borders.groupBy(*keys, "_rows").agg(F.sort_array(F.collect_list("_border")).alias("_borders"))
 
 
-def _hashable(kind: T.DataType) -> bool:
+def hashable(kind: T.DataType) -> bool:
+    """Whether values of a type have a hash; maps and variants have none."""
     if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+        return all(hashable(f.dataType) for f in kind.fields)
+    return hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def same_keys(keys: list[str], prefix: str) -> Column:

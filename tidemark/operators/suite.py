@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.common import ColumnLike, as_column, names, quoted
 from tidemark.operators.checks import equality
-from tidemark.operators.skew import _hashable
+from tidemark.operators.skew import hashable
 
 _REAL = "_real"  # false for the one row that is added, so that a table without rows has its one whole-table group
 
@@ -162,7 +162,7 @@ def differing_rows(df: DataFrame, other: DataFrame, columns: list[str], rounds:
     Each round reads both tables, shuffles one row per task and range, and splits the ranges that differ into
     `ranges` finer ones; ranges with equal digests are never shuffled.
     """
-    if not all(_hashable(df.schema[c].dataType) for c in columns):
+    if not all(hashable(df.schema[c].dataType) for c in columns):
         raise ValueError("columns with maps have no hash")
     picked = [quoted(c) for c in columns]
     # Hashes pass over NULLs, so where they stand is hashed too.
