@@ -286,9 +286,9 @@ def op7_extract_text(spark: SparkSession, folder: str) -> DataFrame:
 @_query("""
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS number,
-         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS entries
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS entries
   FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT a.number AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.number, a.label = b.label AS same,
          CAST(list_dot_product(a.entries, b.entries) AS BIGINT) AS score
