@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalogue.base import query
+from catalogue.base import query, work_folder
 from tidemark.functions.scalars import sum_if
 from tidemark.operators.select import null_column
 from tidemark.operators.spines import months_list
 from tidemark.operators.windows import latest_per_key
-from tidemark.plans import book, crm, customers, general, monthly, revenue, staging, status, subscriptions, touchpoints, usage
+from tidemark.plans import book, crm, customers, general, kept, monthly, revenue, staging, status, subscriptions, touchpoints, usage
 
 AS_OF = "2001-08-01"
 APP_URL, BILLING_URL = "https://app.example.com/customers/", "https://billing.example.com/customers/"
@@ -212,6 +214,29 @@ def mrr_history(t):
     return _mrr(t, history=True)
 
 
+def _kept_revenue(t, history=False):
+    """The same out of a state: early subscriptions as they stood before any was cancelled, the others a day later with what became of them."""
+    state, day = work_folder(t.spark, "revenue"), dt.datetime(2001, 8, 1)
+    subs, items = plain_subscriptions(t), subscription_items(t)
+    early = F.col("start_date") < "1998-07-01"
+    then = subs.filter(early).withColumns({"status": F.lit("active"), "canceled_at": F.lit(None).cast("date")})
+    early_items = items.join(subs.filter(early).select(F.col("id").alias("subscription")), "subscription", "left_semi")
+    kept.update_revenue(then, early_items, state, day, "1995-01-01", buckets=16)
+    late_items = items.join(subs.filter(~early).select(F.col("id").alias("subscription")), "subscription", "left_semi")
+    kept.update_revenue(subs.filter(~early | (F.col("status") != "active")), late_items, state, day + dt.timedelta(days=1), "1995-01-01")
+    return kept.kept_revenue(t.spark, state, AS_OF, history)
+
+
+@query(f"WITH {_mrr_sql(False)} SELECT * FROM mrr")
+def mrr_current_kept(t):
+    return _kept_revenue(t)
+
+
+@query(f"WITH {_mrr_sql(True)} SELECT * FROM mrr")
+def mrr_history_kept(t):
+    return _kept_revenue(t, history=True)
+
+
 @query("""
 SELECT o_orderkey AS id, 'cus_' || o_custkey AS customer_id, CASE o_orderstatus WHEN 'F' THEN 'canceled' ELSE 'active' END AS status,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS start_date, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 90 DAY, '%Y-%m-%d %H:%M:%S') END AS canceled_at,
@@ -711,20 +736,47 @@ def _book_outputs() -> str:
     return ", ".join(out)
 
 
-@query(f"""WITH {OWNER_SQL},
+def _books(t):
+    licences = t.orders.select(F.when(F.col("o_custkey") % 50 != 0, _text("C", "o_custkey")).alias("customer"),
+                               F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"), F.col("o_totalprice").alias("mrr"))
+    services = t.lineitem.filter("l_returnflag = 'R'").select(
+        _text("C", "l_partkey").alias("customer"), F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"), F.col("l_extendedprice").alias("mrr"))
+    return licences, services
+
+
+BOOKS_SQL = """
 lic AS (SELECT CASE WHEN o_custkey % 50 <> 0 THEN 'C' || o_custkey END AS customer, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(o_totalprice AS DECIMAL(18,2)) AS mrr FROM orders),
-srv AS (SELECT 'C' || l_partkey AS customer, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(l_extendedprice AS DECIMAL(18,2)) AS mrr FROM lineitem WHERE l_returnflag = 'R'),
+srv AS (SELECT 'C' || l_partkey AS customer, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(l_extendedprice AS DECIMAL(18,2)) AS mrr FROM lineitem WHERE l_returnflag = 'R')"""
+
+
+@query(f"""WITH {OWNER_SQL}, {BOOKS_SQL},
 {_mark_sql('a', 'rgr', 'lic')}, {_mark_sql('b', 'msp', 'srv')}
 SELECT a.k AS customer_key, account_id, account_name, previous_owner, CAST(last_owner_change AS VARCHAR) AS last_owner_change, {_book_outputs()}
 FROM a LEFT JOIN b ON a.k = b.k LEFT JOIN acc ON a.k = app_customer_key""", name="high_water_mark")
 def revenue_book(t):
-    licences = t.orders.select(F.when(F.col("o_custkey") % 50 != 0, _text("C", "o_custkey")).alias("customer"),
-                               F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"), F.col("o_totalprice").alias("mrr"))
-    services = t.lineitem.filter("l_returnflag = 'R'").select(
-        _text("C", "l_partkey").alias("customer"), F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"), F.col("l_extendedprice").alias("mrr"))
+    licences, services = _books(t)
     return book.revenue_book(licences, services, _book_accounts(t), BOOK_MONTHS)
 
 
+@query(f"""WITH {OWNER_SQL}, {BOOKS_SQL}, {_mark_sql('a', 'rgr', 'lic')}, {_mark_sql('b', 'msp', 'srv')}
+SELECT 'licence' AS book, k AS customer_key, CAST(this_rgr AS DOUBLE) AS this_month, CAST(last_rgr AS DOUBLE) AS last_month FROM a
+UNION ALL SELECT 'service', k, CAST(this_msp AS DOUBLE), CAST(last_msp AS DOUBLE) FROM b""")
+def high_water_marks_kept(t):
+    """Marks out of states that first held half of what each month of 2001 brought, and a day later all of it."""
+    day, accounts, parts = dt.datetime(2001, 8, 1), _book_accounts(t), []
+    licences, services = _books(t)
+    this_month = book.current_month(licences)
+    for name, rows in (("licence", licences), ("service", services)):
+        state, new = work_folder(t.spark, "marks"), F.col("month") >= "2001-01-01"
+        half = rows.withColumn("mrr", F.when(new, F.col("mrr") / 2).otherwise(F.col("mrr")))
+        kept.update_marks(half, state, day, buckets=16)
+        kept.update_marks(rows.filter(new), state, day + dt.timedelta(days=1))
+        marks = kept.kept_marks(t.spark, state, accounts, name, this_month)
+        parts.append(marks.select(F.lit(name).alias("book"), "customer_key", *[
+            F.col(f"high_water_{when}_month_{name}").cast("double").alias(f"{when}_month") for when in ("this", "last")]))
+    return parts[0].unionByName(parts[1])
+
+
 @query("""
 SELECT CAST(event_id AS VARCHAR) AS id, event_type AS kind, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k, value AS amount, CAST(NULL AS VARCHAR) AS nested,
   CAST(CAST(ts AS DATE) AS VARCHAR) AS date_created_at, strftime((date_trunc('second', ts) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d %H:%M:%S') AS created_at,

@@ -64,26 +64,27 @@ def monthly_cents(items: DataFrame) -> DataFrame:
         exact_sum(monthly, 6).alias("monthly_cents"))
 
 
-def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="2021-01-01",
-                      history: bool = False) -> DataFrame:
-    """Monthly recurring revenue of each customer, carried forward from month to month.
-
-    subs(id, customer_id, start_date, canceled_at, status), items(subscription, quantity, amount in
-    cents, interval_period, interval_count).  Without `history` only the month of `as_of`, with it
-    all months from `first_month` on.
+def priced_subscriptions(subs: DataFrame, cents: DataFrame) -> DataFrame:
+    """Subscriptions with their months of beginning and cancellation and what they cost per month.
 
-    The amount of a month is that of the latest month in which subscriptions began.  A month in
-    which subscriptions of several statuses began has a row for each, the last status giving the
-    amount.  Carrying forward needs no join with a calendar: each such month is written out up to
-    the next one.
+    subs(id, customer_id, start_date, canceled_at, status), cents as `monthly_cents` returns them.  Those
+    cancelled in the month they began in are left out.
     """
-    this_month, opening = cal.months_ago(0, as_of), cal.months_ago(0, first_month)
     start, cancel = cal.month_start("start_date"), cal.month_start("canceled_at")
     # Revenue without a customer cannot be carried forward for anyone.
     owned = subs.filter(F.col("customer_id").isNotNull())
     lasting = owned.filter(F.col("canceled_at").isNull() | (start != cancel)).select(
         "id", "customer_id", "status", start.alias("start_month"), cancel.alias("cancel_month"))
-    priced = lasting.join(monthly_cents(items), "id", "left")
+    return lasting.join(cents, "id", "left")
+
+
+def revenue_timeline(priced: DataFrame, first_month="2021-01-01") -> DataFrame:
+    """One row per customer, month in which subscriptions began, and status, with what follows up to the next one.
+
+    priced(customer_id, status, start_month, cancel_month, monthly_cents).  The rows hang on no day, so they can be
+    kept; `months_of_timeline` writes the months out.
+    """
+    opening = cal.months_ago(0, first_month)
     gone = F.col("status") == "canceled"
     per_status = priced.groupBy("customer_id", "start_month", "status").agg(
         F.round(F.sum("monthly_cents"), 3).alias("_cents"), F.max("cancel_month").alias("_cancelled"))
@@ -93,8 +94,7 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
     along = Window.partitionBy("customer_id").orderBy("start_month", "status")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start_month, own_status = F.col("start_month"), F.col("status")
-    in_reach = start_month.between(opening, this_month)
+    own_status, in_reach = F.col("status"), F.col("start_month") >= opening
     # Thirds and twelfths of cents have been rounded, so a sum can miss a half by a hair: it is
     # rounded to a thousandth of a cent first, and only then to a whole amount.
     amount = F.round(F.col("_cents") / 100).cast("bigint")
@@ -105,17 +105,23 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
         F.max(F.when(gone, own_status)).over(whole).alias("_ended"),
         F.max(F.when(gone, F.col("_cancelled"))).over(whole).alias("_last_cancel"),
         F.last(F.when(in_reach, amount), ignorenulls=True).over(so_far).alias("_known"),
-        F.lead("start_month").over(along).alias("_next"))
+        F.lead("start_month").over(along).alias("next_month"))
     same_month = Window.partitionBy("customer_id", "start_month")
     status = F.coalesce("_open", "_ended")
-    filled = timeline.select(
-        "*", status.alias("status"), F.when(status == "canceled", F.col("_last_cancel")).alias("canceled_at"),
+    return timeline.select(
+        "customer_id", "start_month", "source_status", "amount", "next_month", status.alias("status"),
+        F.when(status == "canceled", F.col("_last_cancel")).alias("canceled_at"),
         F.max_by("_known", F.coalesce("source_status", F.lit(""))).over(same_month).alias("mrr"),
     ).filter(in_reach & F.col("mrr").isNotNull())
 
+
+def months_of_timeline(timeline: DataFrame, as_of, history: bool = False) -> DataFrame:
+    """The months of a timeline up to `as_of`, or that month alone."""
+    this_month, start_month = cal.months_ago(0, as_of), F.col("start_month")
+    filled = timeline.filter(start_month <= this_month)
     # The last row of a month also stands for the months up to the next one.
-    until = F.least(F.coalesce(F.add_months("_next", -1), this_month), this_month)
-    is_last = F.col("_next").isNull() | (F.col("_next") > start_month)
+    until = F.least(F.coalesce(F.add_months("next_month", -1), this_month), this_month)
+    is_last = F.col("next_month").isNull() | (F.col("next_month") > start_month)
     later = F.when(is_last & (until > start_month),
                    F.sequence(F.add_months(start_month, 1), until, F.expr("INTERVAL 1 MONTH")))
 
@@ -142,3 +148,20 @@ def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="202
         F.col("_row.amount").alias("monthly_amount_after_discount"), "canceled_at", "status", "mrr",
         F.coalesce(change, F.col("mrr")).alias("mrr_change"),
         F.row_number().over(rising).alias("mrr_rank_asc"), F.row_number().over(falling).alias("mrr_rank_desc"))
+
+
+def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="2021-01-01",
+                      history: bool = False) -> DataFrame:
+    """Monthly recurring revenue of each customer, carried forward from month to month.
+
+    subs(id, customer_id, start_date, canceled_at, status), items(subscription, quantity, amount in
+    cents, interval_period, interval_count).  Without `history` only the month of `as_of`, with it
+    all months from `first_month` on.
+
+    The amount of a month is that of the latest month in which subscriptions began.  A month in
+    which subscriptions of several statuses began has a row for each, the last status giving the
+    amount.  Carrying forward needs no join with a calendar: each such month is written out up to
+    the next one.
+    """
+    priced = priced_subscriptions(subs, monthly_cents(items))
+    return months_of_timeline(revenue_timeline(priced, first_month), as_of, history)
