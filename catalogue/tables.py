@@ -11,7 +11,7 @@ from catalogue.base import query, work_folder
 from tidemark.functions.documents import project_json
 from tidemark.operators import spines
 from tidemark.operators.checks import unique
-from tidemark.sources import catalog, files, kept_schema
+from tidemark.sources import catalog, files, intervals, kept_schema
 from tidemark.sources import lifecycle as life
 from tidemark.streaming.landing import land_new_files, land_rejects
 
@@ -75,6 +75,23 @@ def history_append(t):
     return newest.groupBy(F.col("run_day").cast("string").alias("run_day"), "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+WITH copies AS (
+  SELECT '20240130' AS run_day, CASE o_orderstatus WHEN 'F' THEN 'O' ELSE o_orderstatus END AS o_orderstatus, o_custkey FROM orders
+  UNION ALL SELECT '20240131', o_orderstatus, o_custkey FROM orders
+  UNION ALL SELECT '20240201', o_orderstatus, o_custkey FROM orders WHERE o_orderstatus <> 'F')
+SELECT run_day, o_orderstatus, count(*) AS n, count(DISTINCT o_custkey) AS n_customers, CAST(sum(o_custkey) AS BIGINT) AS total FROM copies GROUP BY 1, 2""")
+def history_as_intervals(t):
+    """Three daily copies: orders before any was finished, then with their status, then without the finished ones."""
+    table, status = work_folder(t.spark, "intervals"), F.col("o_orderstatus")
+    days = [DAY_1, DAY_2, DAY_2 + dt.timedelta(days=1)]
+    columns = ["o_custkey", "o_orderstatus"]  # many rows are equal
+    for as_of, copy in zip(days, (t.orders.withColumn("o_orderstatus", F.when(status == "F", "O").otherwise(status)), t.orders, t.orders.filter(status != "F")), strict=True):
+        intervals.append_intervals(copy, table, columns, as_of, buckets=16)
+    return intervals.copies_on(t.spark, table, days).groupBy("run_day", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_customers"), F.sum("o_custkey").alias("total"))
+
+
 def _dated(df, moment: str):
     return df.withColumn("run_date", F.date_format(moment, "yyyyMMddHHmmss"))
 

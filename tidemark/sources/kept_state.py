@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.common import quoted
-from tidemark.sources.lifecycle import CURRENT, _files, read_text, replace_text, run_stamp
+from tidemark.sources.lifecycle import CURRENT, files_of, read_text, replace_text, run_stamp
 
 BUCKETS = 256  # of a new state; their names are listed in its small file
 PIECES, DERIVED, BUCKET = "pieces", "derived", "_bucket"
@@ -31,7 +31,7 @@ def _bucket_of(owner: str, keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int")
 
 
-def _listing(spark: SparkSession, location: str) -> dict | None:
+def listing_of(spark: SparkSession, location: str) -> dict | None:
     """What the state consists of; None before its first run has ended."""
     text = read_text(spark, f"{location}/{CURRENT}")
     return None if text is None else json.loads(text)
@@ -50,7 +50,7 @@ def _rows(spark: SparkSession, location: str, listing: dict | None, table: str,
 
 def read_state(spark: SparkSession, location: str, table: str = DERIVED) -> DataFrame:
     """The rows after the last run of `update_state` that ended."""
-    rows = _rows(spark, location, _listing(spark, location), table)
+    rows = _rows(spark, location, listing_of(spark, location), table)
     if rows is None:
         raise FileNotFoundError(f"no state has been written to {location}")
     return rows
@@ -76,7 +76,7 @@ def update_state(changes: DataFrame, location: str, keys: Sequence[str], owner:
     Nulls: a null key is a key like others, and so is a null owner.  Without changes nothing is written but on the
     first run.  `settings` that differ from those the state was begun with are an error.
     """
-    spark, before = changes.sparkSession, _listing(changes.sparkSession, location)
+    spark, before = changes.sparkSession, listing_of(changes.sparkSession, location)
     if before is not None and before["settings"] != (settings or {}):
         raise ValueError(f"the state was begun with {before['settings']}, not {settings or {}}")
     number = buckets if before is None else before["n_buckets"]
@@ -137,7 +137,7 @@ def _write(rows: DataFrame, path: str, bucket: Column) -> T.StructType:
 
 
 def _listed(spark: SparkSession, location: str, version: str, table: str, schema: T.StructType) -> dict:
-    files, folder = _files(spark, f"{location}/{version}/{table}")
+    files, folder = files_of(spark, f"{location}/{version}/{table}")
     names = [entry.getPath().getName() for entry in files.listStatus(folder)]
     held = {n.removeprefix(f"{BUCKET}="): version for n in names if n.startswith(f"{BUCKET}=")}
     return {"schema": json.loads(schema.json()), "buckets": held}
@@ -146,7 +146,7 @@ def _listed(spark: SparkSession, location: str, version: str, table: str, schema
 def _clear(spark: SparkSession, location: str, kept: Sequence[dict]) -> None:
     """Remove versions that neither the state nor the one before it reads, and what failed runs left."""
     used = {v for listing in kept for table in listing["tables"].values() for v in table["buckets"].values()}
-    files, folder = _files(spark, location)
+    files, folder = files_of(spark, location)
     for entry in files.listStatus(folder):
         name = entry.getPath().getName()
         if name.startswith("version-") and name not in used:

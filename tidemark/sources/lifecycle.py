@@ -75,7 +75,7 @@ def append_history(df: DataFrame, location: str, columns: Iterable[str], as_of:
 CURRENT = "_current"  # the file of a snapshot table that names the version to read
 
 
-def _files(spark: SparkSession, location: str):
+def files_of(spark: SparkSession, location: str):
     """The file system of a location, and its path."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
@@ -83,7 +83,7 @@ def _files(spark: SparkSession, location: str):
 
 def read_text(spark: SparkSession, location: str) -> str | None:
     """The text of a small file, None if there is none."""
-    files, path = _files(spark, location)
+    files, path = files_of(spark, location)
     if not files.exists(path):
         return None
     stream = files.open(path)
@@ -97,7 +97,7 @@ def replace_text(spark: SparkSession, location: str, text: str) -> None:
     """Replace a small file by another text in one rename: readers see the old text or the new one, whole."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder, _, name = location.rpartition("/")
-    files, draft = _files(spark, f"{folder}/_{uuid.uuid4().hex}")
+    files, draft = files_of(spark, f"{folder}/_{uuid.uuid4().hex}")
     stream = files.create(draft, True)
     stream.write(text.encode())
     stream.close()
@@ -125,7 +125,7 @@ def write_snapshot(df: DataFrame, location: str, columns: Iterable[str], as_of:
     chosen = df.select(*[quoted(c) for c in columns], F.lit(run_stamp(as_of)).alias(RUN_DATE))
     chosen.write.parquet(f"{location}/{version}")
     replace_text(spark, f"{location}/{CURRENT}", version)
-    files, folder = _files(spark, location)
+    files, folder = files_of(spark, location)
     kept = {version, before.rsplit("/", 1)[1] if before else None}
     for entry in files.listStatus(folder):
         name = entry.getPath().getName()
