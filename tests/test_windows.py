@@ -149,3 +149,20 @@ def test_forward_fill_by_brute_force(spark, data):
         expected.append((i, known[k]))
     found = w.forward_fill(df, "k", "t", "v", "f", rows_per_piece=2).select("t", "f").collect()
     assert sorted(tuple(r) for r in found) == expected
+
+
+def test_no_row_carries_all_borders_of_its_key(spark):
+    def joined(plan):
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        here = [{plan.output().apply(i).name() for i in range(plan.output().size())}] if plan.nodeName() == "Join" else []
+        return here + [names for child in children for names in joined(child)]
+
+    df = spark.range(30_000).select("id", (F.col("id") % 2).alias("k"), F.concat(F.lit("x" * 60), F.lpad("id", 9, "0")).alias("t"))
+    for keys in ("k", None):
+        plan = w.rank_both_ways(df, keys, "t", "up", "down", rows_per_piece=5)._jdf.queryExecution().optimizedPlan()
+        assert joined(plan) and not any("_borders" in names for names in joined(plan))
+    cut, only_cut = w.in_stretches(df, ["k"], ["t"], 5)
+    for rows in (cut, only_cut):  # some 3,000 pieces a key, more than two steps' worth of one array
+        pieces = rows.groupBy("k", "_stretch").agg(F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high")).orderBy("k", "_stretch").collect()
+        assert len(pieces) > 5000 and sum(p.n for p in pieces) == 30_000
+        assert all(a.k != b.k or a.high < b.low for a, b in zip(pieces, pieces[1:]))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
-from tidemark.operators.skew import hashable, heavy_keys, stretch_number
+from tidemark.operators.skew import hashable, heavy_keys, with_stretch
 from tidemark.operators.windows import latest_per_key
 
 
@@ -127,18 +127,19 @@ def pieces_of_ranges(df: DataFrame, ranges: DataFrame, column: str, low: str, hi
     facts = df.filter(F.col(column).isNotNull())
     dice = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if hashable(f.dataType)])
     place = F.struct(F.col(column).cast(kind).alias("at"), dice.alias("dice"))
-    one_key = facts.withColumn("_all", F.xxhash64(column).bitwiseAND(F.lit(0)))
-    borders = heavy_keys(one_key, ["_all"], place, rows_per_piece).select("_borders").scalar()
+    # One key for all rows; nothing that may fold to a literal, for a join on literals would be a nested loop.
+    keyed = facts.withColumn("_all", F.xxhash64(column).bitwiseAND(F.lit(0)))
+    borders = heavy_keys(keyed, ["_all"], place, rows_per_piece).select("_all", "_borders")
 
-    def piece(value: Column) -> Column:
-        return F.coalesce(stretch_number(value, F.col("_borders")), F.lit(0).cast("long"))
+    def in_piece(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        return with_stretch(rows, borders, ["_all"], value, name, one_key=True).withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
     def end(bound: str, least: bool) -> Column:
         return F.struct(F.col(bound).cast(kind).alias("at"), F.lit(-(2**63) if least else 2**63 - 1).cast("long").alias("dice"))
 
-    placed = facts.withColumn("_borders", borders).withColumn("_piece", piece(place)).drop("_borders")
-    spans = ranges.filter(F.col(low) <= F.col(high)).withColumn("_borders", borders).withColumns(
-        {"_from": piece(end(low, True)), "_to": piece(end(high, False))}).drop("_borders")
+    placed = in_piece(keyed, place, "_piece").drop("_all")
+    spans = ranges.filter(F.col(low) <= F.col(high)).withColumn("_all", F.monotonically_increasing_id().bitwiseAND(F.lit(0)))
+    spans = in_piece(in_piece(spans, end(low, True), "_from"), end(high, False), "_to").drop("_all")
     # Pieces between the first and the last one hold no fact outside the range.
     spans = spans.withColumns({"_first": F.ceil((F.col("_from") + 1) / fan), "_last": F.floor(F.col("_to") / fan) - 1})
     some = F.col("_first") <= F.col("_last")

@@ -3,6 +3,7 @@
 A key is cut by its own rows alone, whatever share of the table they are.  Borders are whole order tuples out of a
 sample of its rows, so texts with one long prefix, and rows that agree in the leading columns, are cut as numbers
 are; rows are dealt out by binary search over the borders.  Only rows whose whole tuples are equal stay together.
+No row ever carries all borders of its key: it meets them in two steps of at most `LOT` each.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tidemark.functions.common import quoted
 
 ROWS_PER_PIECE = 1_000_000
 MOST_PIECES = 4096  # pieces of a key; a key of more rows than this many pieces hold is cut into larger ones
+LOT = math.isqrt(MOST_PIECES)  # borders a row meets at once
 SAMPLED = 64  # sampled rows a piece, which keeps pieces below twice their size
 DICE = 1 << 40
 
@@ -57,8 +59,33 @@ def same_keys(keys: list[str], prefix: str) -> Column:
     return condition
 
 
-def stretch_number(value: Column, borders: Column) -> Column:
-    """How many of the ascending borders are not above the value, by binary search: rises with the value from 0 on."""
-    steps = F.array(*[F.lit(1 << k) for k in range(math.ceil(math.log2(MOST_PIECES + 1)) - 1, -1, -1)])
+def with_stretch(df: DataFrame, heavy: DataFrame, keys: list[str], value: Column, name: str = "_stretch", how: str = "left",
+                 one_key: bool = False) -> DataFrame:
+    """Adds how many of the ascending `_borders` of a row's key are not above `value`: rises with it from 0 on, NULL
+    where the key is not in `heavy`; `how="inner"` leaves such rows out.
+
+    Joined whole, the borders of a heavy key would be written out beside each of its rows.  So a row meets every
+    `LOT`-th border first and then those between two of them.  `one_key` says that there is at most one heavy key, so
+    that its borders, bounded in number, may be broadcast.
+    """
+    small = F.broadcast if one_key else lambda borders: borders
+    own = [quoted(c) for c in df.columns]
+    of_key = [quoted(k).alias(f"_h_{k}") for k in keys]
+    every = F.filter("_borders", lambda border, at: (at + 1) % LOT == 0)
+    coarse = small(heavy.select(*of_key, every.alias("_every")))
+    lot = F.when(F.col("_every").isNotNull(), _not_above(value, F.col("_every")))
+    if how == "inner":
+        lot = F.coalesce(lot, F.lit(0))
+    rough = df.join(coarse, same_keys(keys, "_h_"), how).select(*own, lot.alias("_lot"))
+
+    lots = heavy.select(*of_key, "_borders", F.explode(F.sequence(F.lit(0), F.size(every))).alias("_h__lot"))
+    fine = small(lots.select(*[quoted(f"_h_{k}") for k in (*keys, "_lot")], F.slice("_borders", F.col("_h__lot") * LOT + 1, LOT - 1).alias("_between")))
+    same_lot = same_keys(keys, "_h_") & (F.col("_lot") == F.col("_h__lot"))
+    return rough.join(fine, same_lot, how).select(*own, (F.col("_lot") * LOT + _not_above(value, F.col("_between"))).cast("long").alias(name))
+
+
+def _not_above(value: Column, borders: Column) -> Column:
+    """How many of at most `LOT` ascending borders are not above the value, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(math.ceil(math.log2(LOT + 1)) - 1, -1, -1)])
     fits = lambda at, step: (at + step <= F.size(borders)) & (F.get(borders, at + step - 1) <= value)
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at)).cast("long")
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))

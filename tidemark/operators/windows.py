@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.common import names, quoted
-from tidemark.operators.skew import ROWS_PER_PIECE, heavy_keys, same_keys, stretch_number
+from tidemark.operators.skew import ROWS_PER_PIECE, heavy_keys, same_keys, with_stretch
 
 
 def _order(order) -> list:
@@ -154,7 +154,8 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
     spares the count.
     """
     keys, order, columns = names(keys), names(order), df.columns
-    if not keys:
+    whole_table = not keys
+    if whole_table:
         if rows_per_piece is None:
             raise ValueError("a sequence over a whole table is always cut")
         # One key for all rows; no literal, for a join on literals would be a nested loop.
@@ -163,7 +164,7 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
         window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(c) for c in order])
         plain = df.select("*", *[s.in_window(window).alias(f"_own_{i}") for i, s in enumerate(scans)])
         return _finish(plain, columns, scans, carried=False)
-    cut, only_cut = in_stretches(df, keys, order, rows_per_piece)
+    cut, only_cut = in_stretches(df, keys, order, rows_per_piece, whole_table)
     by_key = [quoted(k) for k in keys]
     summary = only_cut.groupBy(*by_key, "_stretch").agg(*[s.summary.alias(f"_sum_{i}") for i, s in enumerate(scans)])
     across = Window.partitionBy(*by_key).orderBy("_stretch")
@@ -178,17 +179,13 @@ def ordered_scan(df: DataFrame, keys: str | list[str] | None, order: str | list[
     return _finish(own.join(carry, match, "left"), columns, scans, carried=True)
 
 
-def in_stretches(df: DataFrame, keys: list[str], order: list[str], rows_per_piece: int) -> tuple[DataFrame, DataFrame]:
+def in_stretches(df: DataFrame, keys: list[str], order: list[str], rows_per_piece: int,
+                 one_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """All rows with `_stretch`, which rises along the order (-1: the key is not cut), and the rows of cut keys alone."""
     value = _order_value(order)
-    heavy = heavy_keys(df, keys, value, rows_per_piece)
-    heavy = heavy.select(*[quoted(k).alias(f"_h_{k}") for k in keys], "_borders")
-    stretch = stretch_number(value, F.col("_borders"))
-    kept = [quoted(c) for c in df.columns]
-    cut = df.join(heavy, same_keys(keys, "_h_"), "left").select(
-        *kept, F.when(F.col("_borders").isNull(), -1).otherwise(stretch).alias("_stretch"))
-    only_cut = df.join(heavy, same_keys(keys, "_h_")).select(*kept, stretch.alias("_stretch"))
-    return cut, only_cut
+    heavy = heavy_keys(df, keys, value, rows_per_piece).select(*[quoted(k) for k in keys], "_borders")
+    cut = with_stretch(df, heavy, keys, value, one_key=one_key).withColumn("_stretch", F.coalesce("_stretch", F.lit(-1)))
+    return cut, with_stretch(df, heavy, keys, value, how="inner", one_key=one_key)
 
 
 def _finish(df: DataFrame, columns: list[str], scans: list[Scan], carried: bool) -> DataFrame:
