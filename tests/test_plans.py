@@ -156,3 +156,11 @@ def test_interval_labels_differ_between_reports():
     assert subscriptions.FACT_PERIODS["month", 6] == "biannually" and general.REPORT_PERIODS["month", 6] == "semiannualy"
     with pytest.raises(KeyError):
         general.REPORT_PERIODS["week", 1]
+
+
+def test_months_are_written_out_after_all_sorting(spark):
+    subs = spark.createDataFrame([(1, "c", None, None, "active")], "id long, customer_id string, start_date timestamp, canceled_at timestamp, status string")
+    items = spark.createDataFrame([(1, 1, 100, "month", 1)], "subscription long, quantity long, amount long, interval_period string, interval_count int")
+    plan = revenue.recurring_revenue(subs, items, "2024-04-15", "2023-12-01", history=True)._jdf.queryExecution().optimizedPlan().toString()
+    before_generate = plan[:plan.index("Generate posexplode" if "Generate posexplode" in plan else "Generate explode")]
+    assert "Window" not in before_generate and "Sort" not in before_generate

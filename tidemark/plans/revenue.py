@@ -135,19 +135,25 @@ def months_of_timeline(timeline: DataFrame, as_of, history: bool = False) -> Dat
         F.transform(F.coalesce(later, F.array().cast("array<date>")), lambda m: month_row(m, nothing, nothing, nothing)))
     if not history:
         rows = F.filter(rows, lambda r: r["month"] == this_month)
-    spelled = filled.select("customer_id", "status", "canceled_at", "mrr", F.explode(rows).alias("_row"))
-    alive = spelled.filter(F.col("canceled_at").isNull() | (F.col("_row.month") <= F.col("canceled_at")))
-
-    # At most one row per customer, month and status reaches these windows.
-    order = [F.col("_row.month"), F.col("_row.source_status")]
-    rising = Window.partitionBy("customer_id").orderBy(*order)
-    falling = Window.partitionBy("customer_id").orderBy(*[c.desc() for c in order])
-    change = F.col("mrr") - F.lag("mrr").over(rising)
-    return alive.select(
+    rows = F.filter(rows, lambda r: F.col("canceled_at").isNull() | (r["month"] <= F.col("canceled_at")))
+    spelled = filled.select("customer_id", "start_month", F.col("source_status").alias("_status"), "status", "canceled_at", "mrr", rows.alias("_rows"))
+
+    # Ranks and changes are found on the timeline, before its months are written out: written out, the rows of a task
+    # are many times what it read, and sorting them again would take that much memory.
+    alive = spelled.filter(F.size("_rows") > 0)
+    along = Window.partitionBy("customer_id").orderBy("start_month", "_status")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    size = F.size("_rows")
+    ranked = alive.select("*", (F.sum(size).over(so_far) - size).cast("int").alias("_before"), F.sum(size).over(whole).cast("int").alias("_all"),
+                          F.coalesce(F.col("mrr") - F.lag("mrr").over(along), F.col("mrr")).alias("_change"))
+    written = ranked.select("customer_id", "status", "canceled_at", "mrr", "_before", "_all", "_change", F.posexplode("_rows").alias("_at", "_row"))
+    place = F.col("_before") + F.col("_at") + 1
+    return written.select(
         "customer_id", F.col("_row.month").alias("month"), F.col("_row.start_date_month").alias("start_date_month"),
         F.col("_row.amount").alias("monthly_amount_after_discount"), "canceled_at", "status", "mrr",
-        F.coalesce(change, F.col("mrr")).alias("mrr_change"),
-        F.row_number().over(rising).alias("mrr_rank_asc"), F.row_number().over(falling).alias("mrr_rank_desc"))
+        F.when(F.col("_at") == 0, F.col("_change")).otherwise(F.col("mrr") - F.col("mrr")).alias("mrr_change"),
+        place.alias("mrr_rank_asc"), (F.col("_all") - place + 1).alias("mrr_rank_desc"))
 
 
 def recurring_revenue(subs: DataFrame, items: DataFrame, as_of, first_month="2021-01-01",
