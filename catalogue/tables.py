@@ -144,12 +144,15 @@ def csv_load(t):
 SELECT copy, doc_id, lang, md5(text) AS text_hash, CASE WHEN doc_id % 50 = 7 THEN 1 ELSE 0 END AS rejected
 FROM documents, range(4) copies(copy)""")
 def csv_in_blocks(t):
-    """One file with quoted line breaks, read block by block; records that do not fit come from the folder of rejects."""
+    """Files with quoted line breaks, read block by block; records that do not fit come from the folder of rejects.
+
+    Each task writes the file of what it reads, for one file of all would be one task's work.
+    """
     folder = work_folder(t.spark, "csv")
     doc = F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit("no. "), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     copies = t.documents.select(F.explode(F.sequence(F.lit(0), F.lit(3))).alias("copy"), doc.alias("doc_id"), "lang", "text")
-    (copies.coalesce(1).write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
-                                      ignoreTrailingWhiteSpace=False).csv(folder))
+    (copies.write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False).csv(folder))
     rejects = work_folder(t.spark, "rejects")
     rows = files.load_csv(t.spark, folder, "copy bigint, doc_id bigint, lang string, text string", max_bad=10**9, multi_line=True, rejects=rejects)
     again = F.from_csv("record", "copy BIGINT, doc_id STRING, lang STRING, text STRING", {"escape": '"'})

@@ -58,3 +58,24 @@ def test_entry(spark):
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_csv_in_blocks_is_written_by_several_tasks(spark, tmp_path):
+    import glob
+
+    from catalogue import QUERIES
+    from tidemark.session import checkpoint_dir
+
+    text = "first\nsecond, \"quoted\"\n" + "x" * 100
+    documents = [(k, text, "en", "web", len(text)) for k in range(40)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    known = set(glob.glob(f"{folder}/tidemark-csv-*"))
+    open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task a file
+    try:
+        assert QUERIES["csv_in_blocks"](spark, str(tmp_path)).count() == 160
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    new = set(glob.glob(f"{folder}/tidemark-csv-*")) - known
+    assert len(new) == 1 and len(glob.glob(f"{new.pop()}/part-*.csv")) == 2
