@@ -48,3 +48,13 @@ def test_range_join_of_mixed_types_and_nothing(spark):
     df, spans = spark.createDataFrame([(1,), (2,)], "v int"), spark.createDataFrame([(0.5, 1.5)], "lo double, hi double")
     assert [r.v for r in j.quantile_range_join(df, spans, "v", "lo", "hi", 1, 2).collect()] == [1]
     assert j.quantile_range_join(df.limit(0), spans, "v", "lo", "hi").count() == j.quantile_range_join(df, spans.limit(0), "v", "lo", "hi").count() == 0
+
+
+def test_matches_of_one_bin_are_spread_over_tasks(spark):
+    df = spark.range(40_000).select("id", (F.col("id") % 100).cast("double").alias("v"))
+    bands = spark.createDataFrame([(k, k - 1.0, k + 1.5) for k in range(0, 100, 5)] + [(200, None, 4.0), (300, 9.0, 8.0)], "k int, lo double, hi double")
+    expected = sorted((i, k) for i in range(40_000) for k in range(0, 100, 5) if k - 1 <= i % 100 <= k + 1.5)
+    for found in (j.range_join(df, bands, "v", "lo", "hi", 150), j.quantile_range_join(df, bands, "v", "lo", "hi", 1000, 4)):
+        found = found.withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r.id, r.k) for r in found) == expected
+        assert len({r.task for r in found}) > 1

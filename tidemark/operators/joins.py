@@ -96,6 +96,15 @@ def date_range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, hig
     return df.join(days, F.col(column) == F.col("_range_day"), "inner").drop("_range_day")
 
 
+VALUES_PER_PART = 10_000
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt out to all shuffle partitions: the matches of a few MB can be very many, and adaptive execution, which goes by
+    size, would leave them to one task.  Both sides of a join need it, for either may be the one that is not broadcast."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: str, bin_width: float) -> DataFrame:
     """Join on `column BETWEEN low AND high` for numbers, as an equi-join on bins.
 
@@ -108,8 +117,18 @@ def range_join(df: DataFrame, ranges: DataFrame, column: str, low: str, high: st
     binned = inside.select(
         "*", F.explode(F.sequence(F.floor(F.greatest(F.col(low), first) / width), F.floor(F.least(F.col(high), last) / width))).alias("_range_bin"))
     placed = df.withColumn("_value_bin", F.floor(F.col(column) / width))
-    match = (F.col("_value_bin") == F.col("_range_bin")) & F.col(column).between(F.col(low), F.col(high))
-    return placed.join(binned, match, "inner").drop("_value_bin", "_range_bin")
+    # A bin of many values is dealt out to several tasks by a hash of the rows; its ranges go to each of them.
+    parts = placed.filter(F.col("_value_bin").isNotNull()).groupBy(F.col("_value_bin").alias("_bin")).agg(
+        F.ceil(F.count(F.lit(1)) / VALUES_PER_PART).alias("_parts"))
+    dice = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if hashable(f.dataType)])
+    dealt = placed.join(parts, F.col("_value_bin") == F.col("_bin")).select(
+        *[quoted(c) for c in df.columns], "_value_bin", F.pmod(dice, "_parts").alias("_value_part"))
+    copied = binned.join(parts, F.col("_range_bin") == F.col("_bin")).select(
+        *[quoted(c) for c in ranges.columns], "_range_bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_range_part"))
+    match = ((F.col("_value_bin") == F.col("_range_bin")) & (F.col("_value_part") == F.col("_range_part"))
+             & F.col(column).between(F.col(low), F.col(high)))
+    found = _spread(dealt, "_value_bin", "_value_part").join(_spread(copied, "_range_bin", "_range_part"), match, "inner")
+    return found.drop("_value_bin", "_value_part", "_range_bin", "_range_part")
 
 
 FACTS_PER_PIECE, FAN = 1000, 64
@@ -161,9 +180,10 @@ def quantile_range_join(df: DataFrame, ranges: DataFrame, column: str, low: str,
     """
     placed, covered, touched = pieces_of_ranges(df, ranges, column, low, high, rows_per_piece, fan)
     kept = [quoted(c) for c in (*df.columns, *ranges.columns)]
-    inside = placed.withColumn("_group", F.floor(F.col("_piece") / fan)).join(covered, "_group").select(*kept)
+    grouped = _spread(placed.withColumn("_group", F.floor(F.col("_piece") / fan)), "_group")
+    inside = grouped.join(_spread(covered, "_group"), "_group").select(*kept)
     at_ends = (F.col("_piece") == F.col("_touched")) & F.col(column).between(F.col(low), F.col(high))
-    return inside.unionAll(placed.join(touched, at_ends).select(*kept))
+    return inside.unionAll(_spread(placed, "_piece").join(_spread(touched, "_touched"), at_ends).select(*kept))
 
 
 def full_join(left: DataFrame, right: DataFrame, keys: str | list[str]) -> DataFrame:
