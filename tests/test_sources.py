@@ -93,6 +93,19 @@ def test_csv_types_are_inferred_in_blocks(spark, tmp_path):
     assert empty.columns == ["a", "b"] and empty.count() == 0
 
 
+def test_inference_puts_records_together_once(spark, tmp_path):
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            f.write(csv_text(f"inferred {name}"))
+    typed, typed_bad = files.split_csv(spark, str(tmp_path), "id string, text string, n string", multi_line=True)
+    found, rejected = files.split_csv(spark, str(tmp_path), multi_line=True)
+    assert found.columns == ["id", "text", "n"] and found.count() > 100
+    assert Counter(map(tuple, found.select(*[F.col(c).cast("string") for c in found.columns]).collect())) == Counter(map(tuple, typed.collect()))
+    assert Counter(map(tuple, rejected.collect())) == Counter(map(tuple, typed_bad.collect()))
+    read = {file.rsplit(".", 1)[1] for df in (found, rejected) for file in df.inputFiles()}
+    assert read == {"parquet"}  # not the files again
+
+
 def test_dated_copies_are_passed_over(spark, tmp_path):
     for name in ("users.csv", "users-2024.csv"):
         write(tmp_path / name, "id\n1\n")

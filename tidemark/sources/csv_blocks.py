@@ -9,11 +9,14 @@ together within their blocks.  Only the lines that finish a record of an earlier
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.common import quoted
+from tidemark.session import checkpoint_dir
 
 # Types a column can be found to have, each with a pattern its texts must fit beside the cast.
 INFERRED = [("int", r"^[+-]?[0-9]+$"), ("bigint", r"^[+-]?[0-9]+$"), ("double", r"^\S+$"), ("date", r"^\d{4}-\d{2}-\d{2}$"),
@@ -133,9 +136,16 @@ def parsed_record(record: Column, schema: T.StructType, **options: str) -> Colum
 
 
 def split_csv_blocks(spark: SparkSession, path: str | list[str], schema: T.StructType | None, corrupt: str) -> tuple[DataFrame, DataFrame]:
-    """The rows, and (file, record) of all records that do not fit the schema (inferred where none is given)."""
+    """The rows, and (file, record) of all records that do not fit the schema (inferred where none is given).
+
+    Inference reads all records before the rows are read, so records are then put together once and kept in the
+    folder that all executors share.
+    """
     records = csv_records(spark, path)
     if schema is None:
+        folder = f"{checkpoint_dir(spark)}/tidemark-records-{uuid.uuid4().hex}"
+        records.write.parquet(folder)
+        records = spark.read.schema(records.schema).parquet(folder)
         schema = inferred_schema(records)
     with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     rows = records.filter("NOT header").select("file", parsed_record(F.col("record"), with_corrupt, columnNameOfCorruptRecord=corrupt).alias("_row"))
