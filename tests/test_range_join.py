@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -58,3 +59,33 @@ def test_matches_of_one_bin_are_spread_over_tasks(spark):
         found = found.withColumn("task", F.spark_partition_id()).collect()
         assert sorted((r.id, r.k) for r in found) == expected
         assert len({r.task for r in found}) > 1
+
+
+def test_long_ranges_join_a_row_a_day(spark, tmp_path, monkeypatch):
+    from catalogue import QUERIES, joins
+
+    suppliers = [(k, f"s{k}", 1, 1.0) for k in [*range(1, 90), 5, 5, 41, None]]
+    orders = [(k if k % 50 else None, 1, "F", 1.0, None if k % 31 == 0 else f"{1995 + k % 7}-0{1 + k % 9}-{10 + k % 19}") for k in range(4000)]
+    orders += orders[:100]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    df = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, at string")
+    df.select("*", F.col("at").cast("timestamp_ntz").alias("o_orderdate"), F.lit("x").alias("o_orderpriority")).drop("at").write.parquet(f"{tmp_path}/orders.parquet")
+
+    met, join = [], joins.j.quantile_range_join
+
+    def seen(facts, ranges, *args, **options):
+        met.extend([facts.count(), ranges.count()])
+        return join(facts, ranges, *args, **options)
+
+    monkeypatch.setattr(joins.j, "quantile_range_join", seen)
+    found = sorted(map(tuple, QUERIES["long_ranges"](spark, str(tmp_path)).select("s_suppkey", "lo", "n", "last_order", "n_days").collect()))
+    day_of = lambda k, at: dt.date(1998, 1, 5) if k is not None and k % 3 == 0 else at and dt.date.fromisoformat(at)
+    facts = [(o[0], day_of(o[0], o[4])) for o in orders]
+    expected = {}
+    for k, *_ in suppliers:
+        if k is not None:
+            lo = dt.date(1995, 6, 1) + dt.timedelta(k % 40 * 50)
+            hi = dt.date(9999, 12, 31) if k % 5 == 0 else lo + dt.timedelta(k % 4 * 700 - 3)
+            expected.setdefault((k, str(lo)), []).extend((o, d) for o, d in facts if d and lo <= d <= hi)
+    assert found == sorted((k, lo, len(x), max(o for o, _ in x if o is not None), len({d for _, d in x})) for (k, lo), x in expected.items() if x)
+    assert met == [len({d for _, d in facts}), len({s[0] for s in suppliers})]  # not a row an order: 4,100 facts, 93 ranges
