@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.collocations import collocations
-from tidemark.llm.count_automaton import CountAutomaton
+from tidemark.llm.count_automaton import CountAutomaton, summed
 from tidemark.llm.hard_negatives import _Block, _packed, _scan, hard_negatives
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.perfect_hash import PerfectHash
@@ -173,6 +173,46 @@ def test_collocations_of_nothing(spark):
     assert collocations(rare).count() == 0
 
 
+def test_phrases_that_are_rare_in_all_slices_are_not_sent():
+    from tidemark.llm.collocations import _buckets, _messages, _phrases
+
+    rng, least, buckets = np.random.default_rng(5), 6, 1 << 16
+    slices = [np.where(rng.random(4000) < 0.1, -1, rng.zipf(1.5, 4000) % 300).astype(np.int32) for _ in range(5)]
+    slices += [np.zeros(0, np.int32), np.array([-1], np.int32), np.array([7], np.int32), np.array([7, 8, -1], np.int32)]
+    total, exact, kept = np.zeros(buckets, np.int64), Counter(), Counter()
+    for ids in slices:
+        np.add.at(total, _buckets(ids, buckets, None), 1)
+    whole = cut = 0
+    for ids in slices:
+        where = np.empty(2 * len(ids), dtype=bool)
+        found = _buckets(ids, buckets, where)
+        assert len(found) == where.sum()
+        where[where] = total[found] >= least
+        for counts, got in ((exact, _phrases(ids)), (kept, _phrases(ids, where[:len(ids)], where[len(ids):]))):
+            for phrase, times in zip(*map(np.ndarray.tolist, got)):
+                counts[tuple(phrase)] += times
+            size = sum(map(len, _messages(0, *got, 3).column("automaton").to_pylist()))
+            whole, cut = (whole + size, cut) if counts is exact else (whole, cut + size)
+    often = {phrase: times for phrase, times in exact.items() if times >= least}
+    assert len(often) > 300 and {phrase: kept[phrase] for phrase in often} == often
+    assert all(times <= exact[phrase] for phrase, times in kept.items())
+    assert cut < whole / 3 and len(kept) < len(exact) / 3
+
+
+def test_automata_are_united_a_few_at_a_time(monkeypatch):
+    import tidemark.llm.count_automaton as module
+
+    rng = np.random.default_rng(8)
+    parts = [summed([(rng.integers(0, 4, (60, 3)).astype(np.int32), np.ones(60, np.int64))], 3) for _ in range(12)]
+    expected = summed(parts, 3, 5)
+    held, add_up = [], module.summed
+    monkeypatch.setattr(module, "AT_ONCE", 100)
+    monkeypatch.setattr(module, "summed", lambda found, *args: held.append(sum(len(c) for _, c in found)) or add_up(found, *args))
+    united = CountAutomaton.union((CountAutomaton.build(*part) for part in parts), 3, 5).phrases()
+    assert len(expected[1]) > 20 and (united[0] == expected[0]).all() and (united[1] == expected[1]).all()
+    assert max(held) < 250 < sum(len(c) for _, c in parts)
+
+
 def test_automaton_shares_states_and_keeps_counts(monkeypatch):
     import tidemark.llm.count_automaton as module
 

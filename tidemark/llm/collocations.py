@@ -1,8 +1,10 @@
 """Phrase collocations per language, counted by weighted acyclic automata.
 
 Slices of documents are written as word codes.  Parts of the hash space add up the slices' word counts and number the
-words that occur often enough (a phrase cannot occur more often than its words, so others end a piece).  Each slice
-sorts its phrases of one to four words and builds count automata of them, one per range of the phrases' hashed
+words that occur often enough (a phrase cannot occur more often than its words, so others end a piece).  Then slices
+send how often each bucket of hashed pairs and triples occurs, and learn which buckets come to enough in all slices:
+what lies in another is too rare, as is all that holds it, and is not counted further.  Each slice sorts its phrases of
+one to four words that are left and builds count automata of them, one per range of the phrases' hashed
 prefixes; ranges unite the automata of all slices and add up their weights.  With many ranges a slice sends coarse
 ones, which units of some slices unite and cut finer.  The parts of a candidate are looked up by composing them with
 the automata of the ranges that hold them.  What remains, cuts, scores, containment and ranks, is plain DataFrames.
@@ -14,6 +16,7 @@ that a third of all rows hold is one entry per slice.  Words are compared as tex
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from tidemark.llm.storage import stored
 LONGEST, PREFIX = 4, 3
 SLICE_BYTES = 4_000_000
 FAN, MERGED = 512, 64  # ranges a slice sends to at most, and slices united before they are cut finer
+SHARE = 8  # slices' worth of words, buckets or phrases that one task puts together
+BUCKET_BYTES = 16  # bytes of text a bucket; some three pairs and triples then share one
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 IN_WORD = byte_class(b"\x20\x09" + BREAKS)
 IS_BREAK = ~byte_class(BREAKS)
@@ -54,7 +59,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                        F.col(_q(text_col)).cast("string").alias("text")).filter("text != ''")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / slice_bytes))
-    parts, ranges = math.ceil(n / 4), math.ceil(n / 2)  # a slice's words and phrases are smaller than its texts
+    parts = shards = ranges = math.ceil(n / SHARE)
+    buckets = max(1, min(2**32 - 1, total // BUCKET_BYTES))
+    of_shard = math.ceil(buckets / shards)
 
     def encode(batches):
         for batch in slices(batches, "text", slice_bytes):
@@ -65,51 +72,85 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     sent = encoded.select("slice", F.inline("sent"))
 
     def number(table: pa.Table) -> pa.Table:
-        """A part's words with their counts, numbered where they are frequent; words without a number are one row a language."""
-        part = table.column("part")[0].as_py()
-        counted = _word_rows(table).group_by(["lang", "word"]).aggregate([("count", "sum")]).sort_by([("lang", "ascending"), ("word", "ascending")])
-        often = counted.filter(pc.greater_equal(counted.column("count_sum"), least))
-        rare = counted.filter(pc.less(counted.column("count_sum"), least)).group_by("lang").aggregate([("count_sum", "sum")])
-        ids = np.arange(often.num_rows, dtype=np.int64) * parts + part
+        """A part's words with their counts, numbered where they are frequent; words without a number are one row a language.
+        Further rows have the numbers of the words of each message, in its order; -1 for rare ones."""
+        part, rows = table.column("part")[0].as_py(), _word_rows(table)
+        langs, spelled = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "word"))
+        pair = _places(langs.dictionary)[langs.indices.to_numpy()] * len(spelled.dictionary) + _places(spelled.dictionary)[spelled.indices.to_numpy()]
+        pairs, which = np.unique(pair, return_inverse=True)
+        times = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(times, which, rows.column("count").to_numpy())
+        lang, word = np.divmod(pairs, max(1, len(spelled.dictionary)))
+        often = times >= least
+        ids = np.arange(often.sum(), dtype=np.int64) * parts + part
         if len(ids) and ids[-1] > np.iinfo(np.int32).max:
             raise ValueError("more than 2^31 frequent words")
-        blank = pa.nulls(rare.num_rows)
-        return pa.table({
-            "part": pa.array(np.full(often.num_rows + rare.num_rows, part), pa.int32()),
-            "id": pa.chunked_array([pa.array(ids, pa.int32()), blank.cast(pa.int32())]),
-            "lang": pa.chunked_array([*often.column("lang").chunks, *rare.column("lang").chunks], pa.string()),
-            "word": pa.chunked_array([*often.column("word").chunks, blank.cast(pa.binary())], pa.binary()).cast(pa.string()),
-            "count": pa.chunked_array([*often.column("count_sum").chunks, *rare.column("count_sum_sum").chunks], pa.int64())})
-
-    words = stored(sent.groupBy("part").applyInArrow(number, "part int, id int, lang string, word string, count long"), "words")
-
-    def answer(table: pa.Table, known: pa.Table) -> pa.Table:
-        """The numbers of the words of each message, in its order; -1 for rare ones."""
-        known = known.filter(pc.is_valid(known.column("id")))
-        wanted = _word_rows(table).select(["lang", "word"])
-        wanted = wanted.append_column("at", pa.array(np.arange(wanted.num_rows)))
-        known = pa.table({"lang": known.column("lang"), "word": known.column("word").cast(pa.binary()), "id": known.column("id")})
-        both = wanted.join(known, ["lang", "word"], join_type="inner")
-        ids = np.full(wanted.num_rows, -1, dtype=np.int32)
-        ids[both.column("at").to_numpy()] = both.column("id").to_numpy()
+        rare = np.zeros(len(langs.dictionary), dtype=np.int64)
+        np.add.at(rare, lang[~often], times[~often])
+        some = np.flatnonzero(rare)
+        names, entries = (x.take(pc.sort_indices(x)) for x in (langs.dictionary, spelled.dictionary))
+        answer = np.full(len(pairs), -1, dtype=np.int32)
+        answer[often] = ids
+        answer = answer[which]
         sizes = [len(x) // 8 for x in table.column("counts").to_pylist()]
         ends = np.cumsum(sizes, dtype=np.int64)
-        return pa.table({"slice": table.column("slice"), "part": table.column("part"), "lang": table.column("lang"),
-                         "ids": pa.array([ids[j - k:j].tobytes() for j, k in zip(ends.tolist(), sizes)], pa.binary())})
-
-    numbered = sent.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(answer, "slice long, part int, lang string, ids binary")
+        n_words, n_rest = len(ids) + len(some), len(some) + table.num_rows
+        return pa.table({
+            "part": pa.array(np.full(n_words + table.num_rows, part), pa.int32()),
+            "id": pa.chunked_array([pa.array(ids, pa.int32()), pa.nulls(n_rest, pa.int32())]),
+            "lang": pa.chunked_array([names.take(pa.array(np.concatenate([lang[often], some]))), *table.column("lang").chunks], pa.string()),
+            "word": pa.chunked_array([entries.take(pa.array(word[often])), pa.nulls(n_rest, pa.binary())]).cast(pa.string()),
+            "count": pa.chunked_array([pa.array(np.concatenate([times[often], rare[some]])), pa.nulls(table.num_rows, pa.int64())]),
+            "slice": pa.chunked_array([pa.nulls(n_words, pa.int64()), *table.column("slice").chunks]),
+            "ids": pa.array([None] * n_words + [answer[j - k:j].tobytes() for j, k in zip(ends.tolist(), sizes)], pa.binary())})
+
+    numbers = stored(sent.groupBy("part").applyInArrow(number, "part int, id int, lang string, word string, count long, slice long, ids binary"), "words")
+    words = numbers.filter("slice IS NULL").select("id", "lang", "word", "count")
+    numbered = numbers.filter("slice IS NOT NULL").select("slice", "part", "lang", "ids")
+    whole = encoded.select("slice", "codes").unionByName(numbered, allowMissingColumns=True)
+
+    def known(table: pa.Table) -> np.ndarray:
+        """The numbers of a slice's words, -1 for rare ones and after each piece."""
+        ids = table.filter(pc.is_valid(table.column("ids"))).sort_by([("part", "ascending"), ("lang", "ascending")])
+        numbers = np.concatenate([*(np.frombuffer(x, np.int32) for x in ids.column("ids").to_pylist()), np.array([-1], np.int32)])
+        return numbers[from_planes(pc.drop_null(table.column("codes"))[0].as_py())]
+
+    def ask(table: pa.Table) -> pa.Table:
+        """How often a slice has each bucket, by shard."""
+        found, times = np.unique(_buckets(known(table), buckets, None), return_counts=True)
+        cuts = np.searchsorted(found, np.arange(shards + 1) * of_shard)
+        some = np.flatnonzero(np.diff(cuts))
+        gaps = [np.diff(found[cuts[k]:cuts[k + 1]], prepend=k * of_shard) for k in some]
+        return pa.table({"shard": pa.array(some, pa.int32()), "slice": pa.array([table.column("slice")[0].as_py()] * len(some), pa.int64()),
+                         "gaps": pa.array([to_planes(x) for x in gaps], pa.binary()),
+                         "times": pa.array([to_planes(times[cuts[k]:cuts[k + 1]]) for k in some], pa.binary())})
+
+    def judge(table: pa.Table) -> pa.Table:
+        """One bit for each bucket of each message: whether it comes to `least` in all slices."""
+        total = np.zeros(of_shard, dtype=np.int64)
+        at = [np.cumsum(from_planes(x), dtype=np.int32 if of_shard < 2**31 else np.int64) for x in table.column("gaps").to_pylist()]
+        for places, times in zip(at, table.column("times").to_pylist()):
+            total[places] += from_planes(times)
+        return pa.table({"slice": table.column("slice"), "shard": table.column("shard"),
+                         "often": pa.array([np.packbits(total[places] >= least).tobytes() for places in at], pa.binary())})
+
+    asked = whole.groupBy("slice").applyInArrow(ask, "shard int, slice long, gaps binary, times binary")
+    judged = asked.groupBy("shard").applyInArrow(judge, "slice long, shard int, often binary")
     sizes = [ranges]  # numbers of ranges, from coarse to fine
     while sizes[0] > fan:
         sizes.insert(0, math.ceil(sizes[0] / fan))
 
-    def count(codes: pa.Table, ids: pa.Table) -> pa.Table:
-        number = codes.column("slice")[0].as_py()
-        ids = ids.sort_by([("part", "ascending"), ("lang", "ascending")])
-        local = from_planes(codes.column("codes")[0].as_py())
-        known = np.concatenate([*(np.frombuffer(x, np.int32) for x in ids.column("ids").to_pylist()), np.array([-1], np.int32)])
-        return _messages(number, *_phrases(known[local]), sizes[0])
-
-    automata = encoded.select("slice", "codes").groupBy("slice").cogroup(numbered.groupBy("slice")).applyInArrow(count, MESSAGE)
+    def count(table: pa.Table, answers: pa.Table) -> pa.Table:
+        ids = known(table)
+        where = np.empty(2 * len(ids), dtype=bool)
+        found, which = np.unique(_buckets(ids, buckets, where), return_inverse=True)
+        sizes_ = np.diff(np.searchsorted(found, np.arange(shards + 1) * of_shard))
+        bits = answers.sort_by("shard").column("often").to_pylist()
+        often = [np.unpackbits(np.frombuffer(x, np.uint8), count=k) for x, k in zip(bits, sizes_[sizes_ > 0].tolist())]
+        where[where] = np.concatenate([*often, np.zeros(0, np.uint8)]).astype(bool)[which]
+        return _messages(table.column("slice")[0].as_py(), *_phrases(ids, where[:len(ids)], where[len(ids):]), sizes[0])
+
+    automata = whole.groupBy("slice").cogroup(judged.groupBy("slice")).applyInArrow(count, MESSAGE)
     group = merged
 
     def finer(ranges: int):
@@ -204,11 +245,7 @@ def _encoded(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
     lang, word = np.divmod(pairs, max(1, len(spelled.dictionary)))
     part = part_of(words.hashes()[sample], parts)
     names, entries = langs.dictionary, spelled.dictionary
-    place = np.empty(len(names), dtype=np.int64)
-    place[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
-    spot = np.empty(len(entries), dtype=np.int64)
-    spot[pc.sort_indices(entries).to_numpy()] = np.arange(len(entries))
-    order = np.lexsort((spot[word], place[lang], part))
+    order = np.lexsort((_places(entries)[word], _places(names)[lang], part))
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     breaks = np.concatenate([[0], np.cumsum(IS_BREAK[buf])])[words.start] if len(words) else none
@@ -223,6 +260,13 @@ def _encoded(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"codes": [to_planes(out)], "sent": pa.array([sent], _SENT)})
 
 
+def _places(values: pa.Array) -> np.ndarray:
+    """The place of each of some distinct values in their ascending order."""
+    out = np.empty(len(values), dtype=np.int64)
+    out[pc.sort_indices(values).to_numpy()] = np.arange(len(values))
+    return out
+
+
 def _word_rows(table: pa.Table) -> pa.Table:
     """(lang, word, count) of all messages of a part, one after another."""
     lists = [x.split(b"\n") for x in table.column("words").to_pylist()]
@@ -232,8 +276,29 @@ def _word_rows(table: pa.Table) -> pa.Table:
     return pa.table({"lang": lang, "word": pa.array([w for x in lists for w in x], pa.binary()), "count": counts})
 
 
-def _phrases(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All distinct phrases of one to four ids (-1 ends a piece) in ascending order, with their counts."""
+def _buckets(ids: np.ndarray, buckets: int, where: np.ndarray | None) -> np.ndarray:
+    """The buckets of the pairs, then of the triples in ids (-1 ends a piece).
+
+    `where`, of twice the length of ids, is filled with where pairs and, in its second half, triples begin.
+    """
+    where = np.empty(2 * len(ids), dtype=bool) if where is None else where
+    where[:] = False
+    out, value, whole = [], np.zeros(len(ids), dtype=U64), np.ones(len(ids), dtype=bool)
+    with np.errstate(over="ignore"):
+        for d in range(3):
+            value = mix(value[:len(ids) - d] + ids[d:].astype(np.int64).astype(U64) + U64(0x9E3779B97F4A7C15))
+            whole = whole[:len(ids) - d] & (ids[d:] >= 0)
+            if d:
+                where[(d - 1) * len(ids):(d - 1) * len(ids) + len(whole)] = whole
+                out.append(part_of(value[whole], buckets))
+    return np.concatenate(out)
+
+
+def _phrases(ids: np.ndarray, pairs: np.ndarray | None = None, triples: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All distinct phrases of one to four ids (-1 ends a piece) in ascending order, with their counts.
+
+    `pairs` and `triples` say which places begin one that may be frequent; phrases that hold another one are left out.
+    """
     alphabet, rank = np.unique(ids[ids >= 0], return_inverse=True)
     m = len(alphabet)
     if not m:
@@ -246,7 +311,12 @@ def _phrases(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inside = at + length < len(letters)
         at, code = at[inside], code[inside]
         letter = letters[at + length]
-        at, key = at[letter >= 0], (code * m + letter)[letter >= 0]
+        some = letter >= 0
+        if length == 1 and pairs is not None:
+            some &= pairs[at]
+        elif length > 1 and triples is not None:
+            some &= triples[at + length - 2]
+        at, key = at[some], (code * m + letter)[some]
         keys, code, times = np.unique(key, return_inverse=True, return_counts=True)
         rows.append(np.concatenate([rows[-1][keys // m], (keys % m)[:, None]], axis=1))
         counts.append(times)
@@ -286,8 +356,8 @@ def _messages(slice_: int, phrases: np.ndarray, counts: np.ndarray, ranges: int)
                      "automaton": pa.array([CountAutomaton.build(phrases[i:j], counts[i:j]).packed() for i, j in pieces], pa.binary())})
 
 
-def _automata(table: pa.Table) -> list[CountAutomaton]:
-    return [CountAutomaton.unpacked(x) for x in table.column("automaton").to_pylist()]
+def _automata(table: pa.Table) -> Iterator[CountAutomaton]:
+    return (CountAutomaton.unpacked(x) for x in table.column("automaton").to_pylist())
 
 
 def _lists(phrases: np.ndarray) -> pa.Array:

@@ -9,12 +9,15 @@ so that the automaton has no two equal states on a level.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 
 from tidemark.llm.arrays import U64, mix
 
 NONE = -1  # fills phrases that are shorter than the longest
+AT_ONCE = 1 << 18  # phrases held at least before equal ones are added up
 RUN = 1 << 17  # phrases frozen at a time, up to the next change of the first word
 
 
@@ -61,9 +64,20 @@ class CountAutomaton:
         return rows[order], counts[order]
 
     @classmethod
-    def union(cls, automata: list[CountAutomaton], depth: int, least: int = 1) -> CountAutomaton:
-        """One automaton for all phrases, counts added up; those that come to less than `least` are left out."""
-        return cls.build(*summed([a.phrases(ordered=False) for a in automata], depth, least))
+    def union(cls, automata: Iterable[CountAutomaton], depth: int, least: int = 1) -> CountAutomaton:
+        """One automaton for all phrases, counts added up; those that come to less than `least` are left out.
+
+        They are added up as soon as twice as many are held as there were different ones, `AT_ONCE` at least.
+        """
+        parts, held, most = [], 0, AT_ONCE
+        for automaton in automata:
+            parts.append(automaton.phrases(ordered=False))
+            held += len(parts[-1][1])
+            if held > most:
+                parts = [summed(parts, depth)]
+                held = len(parts[0][1])
+                most = max(AT_ONCE, 2 * held)
+        return cls.build(*summed(parts, depth, least))
 
     def compose(self, phrases: np.ndarray) -> np.ndarray:
         """The counts of phrases, read along the arcs word by word; 0 for phrases that are not in it."""
