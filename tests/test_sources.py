@@ -83,6 +83,64 @@ def test_csv_in_blocks_equals_one_task(spark, tmp_path, block):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("block,batch", [(700, 1), (700, 4), (1 << 27, 3)])
+def test_csv_blocks_are_streamed_in_batches(spark, tmp_path, block, batch):
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            f.write(csv_text(f"{name}{block}{batch}"))
+    schema = "id int, text string, n int"
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True, columnNameOfCorruptRecord="bad", columnPruning=False)
+    whole = whole.schema(schema + ", bad string").csv(str(tmp_path)).collect()
+    settings = {"spark.sql.files.maxPartitionBytes": block, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found, rejected = files.split_csv(spark, str(tmp_path), schema, multi_line=True)
+        assert Counter(map(tuple, found.collect())) == Counter(tuple(r)[:3] for r in whole if r.bad is None)
+        assert Counter(r.record for r in rejected.collect()) == Counter(r.bad for r in whole if r.bad is not None)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan  # no task sorts the lines of a block
+
+
+def test_a_csv_block_needs_no_more_than_a_batch_and_a_record():
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.sources.csv_blocks import _blocks, _pieces
+
+    given, rng = [0], random.Random(4)
+    texts = ['1,"two', 'lines"', "2,plain", "", '3,"', "", '"']
+    flags = {'1,"two': (True, True), 'lines"': (False, False), '3,"': (True, False), '"': (True, False)}
+    lines = texts * 600
+
+    def batches(*columns):
+        begin = 0
+        while begin < len(lines):
+            part = lines[begin:begin + rng.randint(1, 9)]
+            n, outside, inside = len(part), *zip(*(flags.get(x, (False, True)) for x in part))
+            data = {"file": ["f"] * n, "block": [70] * n, "place": np.arange(begin, begin + n), "line": part, "outside": outside, "inside": inside,
+                    "cr": [False] * n, "begins_inside": [False] * n, "crlf": [False] * n, "owner_block": [0] * n, "owner_record": [5] * n}
+            begin += n
+            given[0] = begin
+            yield pa.RecordBatch.from_pydict({c: data[c] for c in columns})
+
+    found, lag = [], 0
+    for batch in _pieces(batches("file", "block", "place", "line", "outside", "inside", "begins_inside", "crlf", "owner_block", "owner_record")):
+        found += batch.to_pylist()
+        lag = max(lag, given[0] - sum(x["text"].count("\n") + 1 for x in found))
+    assert [x["text"] for x in found] == ['1,"two\nlines"', "2,plain", "", '3,"\n\n"'] * 600
+    assert [x["record"] for x in found] == list(range(1, 2401)) and [x["open"] for x in found] == [False] * 2399 + [True]
+    assert lag < 20  # of 4,200 lines of the block
+    rows = [row for batch in _blocks(batches("file", "block", "place", "outside", "inside", "cr")) for row in batch.to_pylist()]
+    assert rows == [{"file": "f", "block": 70, "outside": False, "inside": False, "begun_outside": 2400, "begun_inside": 2399, "crlf": False}]
+    with pytest.raises(ValueError, match="order"):
+        list(_blocks(reversed(list(batches("file", "block", "place", "outside", "inside", "cr")))))
+
+
 def test_csv_types_are_inferred_in_blocks(spark, tmp_path):
     head = 'a,"b ""x""",c,d,e,f,g\n'
     path = write(tmp_path / "t.csv", head + '1,5000000000,1.5,2024-01-02,2024-01-02 03:04:05,true,"two\nlines"\n-2,,3,2024-01-03,2024-01-03T00:00:00,FALSE,\n')

@@ -87,8 +87,8 @@ def split_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     """CSV with a header: the rows, and (file, record) of all records that do not fit the schema.
 
     Without a schema the types are inferred, which reads the files once more; give a schema for
-    large loads.  Quoted line breaks need `multi_line`, which costs a shuffle: records are put together
-    from the lines of each block (see `csv_blocks`), so that many tasks read one file.
+    large loads.  Quoted line breaks need `multi_line`, which reads the files twice and stores the records: they are
+    put together from the lines of each block (see `csv_blocks`), so that many tasks read one file.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
